@@ -362,6 +362,15 @@ def cleanup_keep_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleanup.keep_latest_batch(X.table(spark, sf_dir, "events"), EVENT_KEY, "ts")
 
 
+def superseded_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleanup.superseded_keys(X.table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_EPOCH)
+
+
+def run_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per user and type: staged where the cluster names a folder, lazy otherwise."""
+    return load.run_cleanup(X.table(spark, sf_dir, "events"), EVENT_KEY, "ts").stale
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_source": scan_source,
@@ -409,4 +418,6 @@ def queries() -> dict[str, Query]:
         "cleanup_keep_latest": cleanup_keep_latest,
         "cleanup_stale_rows": cleanup_stale_rows,
         "cleanup_keep_latest_events": cleanup_keep_latest_events,
+        "superseded_keys": superseded_keys,
+        "run_cleanup": run_cleanup,
     }

@@ -3,6 +3,10 @@
 The newest epoch per key is one small row per key, aggregated before its shuffle. Rows then meet it
 on key and epoch together, which spreads the loads of a hot key over many tasks and lets adaptive
 execution split what is still too large; a window over the key would sort each key in one task.
+
+Most keys were loaded once. ``superseded_keys`` names the others, and once that list is written its
+size is known: a short one is broadcast and the table is scanned without a shuffle
+(``plans.load.run_cleanup``).
 """
 
 from __future__ import annotations
@@ -15,8 +19,12 @@ from pyspark.sql import functions as F
 
 from dimweave.columns import BATCH_EPOCH
 from dimweave.functions.hashing import quoted
+from dimweave.operators.joins import TARGET, t
 from dimweave.operators.roles import without
 
+OLDEST = "oldest_epoch"
+NEWEST = "newest_epoch"
+
 
 def _key(primary_key: Sequence[str], epoch_col: str) -> list[str]:
     key = without(primary_key, [epoch_col])
@@ -42,6 +50,41 @@ def keep_latest_batch(
     return df.join(newest, [*key, epoch_col], "left_semi").select(*map(quoted, df.columns))
 
 
+def superseded_keys(
+    df: DataFrame, primary_key: Sequence[str], epoch_col: str = BATCH_EPOCH
+) -> DataFrame:
+    """Newest epoch of the keys that have an older one too."""
+    key = _key(primary_key, epoch_col)
+    span = df.dropna(subset=[*key, epoch_col]).groupBy(*map(quoted, key))
+    spans = span.agg(F.min(quoted(epoch_col)).alias(OLDEST), F.max(quoted(epoch_col)).alias(NEWEST))
+    return spans.where(F.col(OLDEST) < F.col(NEWEST)).drop(OLDEST)
+
+
+def split_by_superseded(
+    df: DataFrame,
+    superseded: DataFrame,
+    primary_key: Sequence[str],
+    epoch_col: str = BATCH_EPOCH,
+) -> tuple[DataFrame, DataFrame]:
+    """Kept and stale rows, given the result of ``superseded_keys``."""
+    key = _key(primary_key, epoch_col)
+    renamed = superseded.select(
+        *[quoted(c).alias(TARGET + c) for c in key], F.col(NEWEST).alias(TARGET + NEWEST)
+    )
+    older = quoted(epoch_col) < t(NEWEST)
+    for c in key:
+        older = older & (quoted(c) == t(c))
+    unmatched = _unmatched(key, epoch_col)
+    comparable = df.where(~unmatched)
+    kept = comparable.join(renamed, older, "left_anti")
+    stale = comparable.join(renamed, older, "left_semi").unionByName(df.where(unmatched))
+    return kept, stale
+
+
+def _unmatched(key: Sequence[str], epoch_col: str) -> Column:
+    return reduce(lambda a, b: a | b, [quoted(c).isNull() for c in [*key, epoch_col]])
+
+
 def stale_rows(
     df: DataFrame, primary_key: Sequence[str], epoch_col: str = BATCH_EPOCH
 ) -> DataFrame:
@@ -50,9 +93,7 @@ def stale_rows(
     The latter need no match and skip the join, where they would all meet in one task.
     """
     key = _key(primary_key, epoch_col)
-    unmatched: Column = reduce(
-        lambda a, b: a | b, [quoted(c).isNull() for c in [*key, epoch_col]]
-    )
+    unmatched = _unmatched(key, epoch_col)
     newest = latest_epoch(df, primary_key, epoch_col)
     older = df.where(~unmatched).join(newest, [*key, epoch_col], "left_anti")
     return older.select(*map(quoted, df.columns)).unionByName(df.where(unmatched))

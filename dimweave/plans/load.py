@@ -9,9 +9,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType
 
+from dimweave.columns import BATCH_EPOCH
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
 from dimweave.operators.apply import apply_fact, apply_scd2_hash, apply_type1, apply_type2
 from dimweave.operators.checks import require_unique
+from dimweave.operators.cleanup import (
+    keep_latest_batch,
+    split_by_superseded,
+    stale_rows,
+    superseded_keys,
+)
 from dimweave.operators.conform import RAISE
 from dimweave.operators.feeds import fact_insert_feed, type1_upsert_feed, type2_hybrid_feed
 from dimweave.operators.hash_scd2 import scd2_hash_changed, scd2_hash_feed
@@ -26,6 +33,16 @@ class LoadResult:
     snapshot: DataFrame
 
 
+@dataclass(frozen=True)
+class CleanupResult:
+    kept: DataFrame
+    stale: DataFrame
+
+
+def _batch(batch_id: str | int | None) -> str | int:
+    return uuid.uuid4().hex if batch_id is None else batch_id
+
+
 def build_feed(
     spec: LoadSpec,
     src: DataFrame,
@@ -62,6 +79,10 @@ def publish(
     return apply(target, feed, spec, epoch, schema, on_overflow)
 
 
+def _directory(df: DataFrame, staged: bool, stage_dir: str | None) -> str | None:
+    return (stage_dir or staging_dir(df.sparkSession)) if staged else None
+
+
 def run_load(
     spec: LoadSpec,
     src: DataFrame,
@@ -73,14 +94,16 @@ def run_load(
     schema: StructType | None = None,
     on_overflow: str = RAISE,
     check_keys: bool = True,
+    staged: bool = True,
     stage_dir: str | None = None,
     batch_id: str | int | None = None,
 ) -> LoadResult:
     """Feed and next snapshot of one load.
 
-    ``check_keys`` refuses a dimension source that repeats a key (it would fan out). The feed is
-    staged under ``stage_dir`` or, without one, the folder in ``spark.checkpoint.dir``; with neither
-    it stays a lazy plan that the apply evaluates again.
+    ``check_keys`` refuses a dimension source that repeats a key (it would fan out) and a staged
+    feed that holds a surrogate key twice (the apply could not tell its rows apart). The feed is
+    staged under ``stage_dir`` or, without one, the folder in ``spark.checkpoint.dir``; with neither,
+    or with ``staged=False``, it stays a lazy plan that the apply evaluates again.
     """
     kind = spec.kind
     if check_keys and kind != FACT:
@@ -89,9 +112,11 @@ def run_load(
         if kind == TYPE2:
             require_unique(checked, spec.dim_key, "source")
     feed = build_feed(spec, src, tgt, load_ts, epoch, predicate, zone)
-    directory = stage_dir or staging_dir(src.sparkSession)
+    directory = _directory(src, staged, stage_dir)
     if directory and kind != FACT:
-        feed = stage(feed, directory, spec.target_table or kind, batch_id or uuid.uuid4().hex)
+        feed = stage(feed, directory, spec.target_table or kind, _batch(batch_id))
+        if check_keys:
+            require_unique(feed, spec.sid_key, "feed")
     return LoadResult(feed, publish(feed, tgt, spec, epoch, schema, on_overflow))
 
 
@@ -102,14 +127,15 @@ def run_scd2_hash(
     attributes: Sequence[str],
     load_ts: LoadTime,
     check_keys: bool = True,
+    staged: bool = True,
     stage_dir: str | None = None,
     batch_id: str | int | None = None,
 ) -> LoadResult:
     """Hash-based history load: changed rows, expire/insert feed, next snapshot."""
     if check_keys:
         require_unique(src, keys, "source")
-    directory = stage_dir or staging_dir(src.sparkSession)
-    batch = batch_id or uuid.uuid4().hex
+    directory = _directory(src, staged, stage_dir)
+    batch = _batch(batch_id)
     changed = scd2_hash_changed(src, tgt, keys, attributes, load_ts)
     if directory:
         changed = stage(changed, directory, "changed", batch)
@@ -117,3 +143,28 @@ def run_scd2_hash(
     if directory:
         feed = stage(feed, directory, "feed", batch)
     return LoadResult(feed, apply_scd2_hash(tgt, feed, keys))
+
+
+def run_cleanup(
+    df: DataFrame,
+    primary_key: Sequence[str],
+    epoch_col: str = BATCH_EPOCH,
+    staged: bool = True,
+    stage_dir: str | None = None,
+    batch_id: str | int | None = None,
+) -> CleanupResult:
+    """Split a table into each key's newest load and the loads it supersedes.
+
+    With a staging folder the keys loaded more than once are written first. Their size then decides
+    whether the table is shuffled at all; without one the lazy form is returned.
+    """
+    directory = _directory(df, staged, stage_dir)
+    if not directory:
+        return CleanupResult(
+            keep_latest_batch(df, primary_key, epoch_col), stale_rows(df, primary_key, epoch_col)
+        )
+    batch = _batch(batch_id)
+    superseded = stage(
+        superseded_keys(df, primary_key, epoch_col), directory, "superseded", batch
+    )
+    return CleanupResult(*split_by_superseded(df, superseded, primary_key, epoch_col))

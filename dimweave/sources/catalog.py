@@ -23,8 +23,14 @@ def _text(value: Any) -> str:
 def add_partition(
     spark: SparkSession, table: str, partition: Mapping[str, Any], location: str
 ) -> None:
-    """Register a directory as a table partition; nothing happens when the partition exists."""
+    """Register a directory as a table partition; nothing happens when the partition exists.
+
+    The look-up comes first because Spark's in-memory catalog moves an existing partition to the new
+    location in spite of IF NOT EXISTS.
+    """
     spec = ", ".join(f"{_name(c)} = {_text(v)}" for c, v in partition.items())
+    if not spark.sql(f"SHOW PARTITIONS {_name(table)} PARTITION ({spec})").isEmpty():
+        return
     spark.sql(
         f"ALTER TABLE {_name(table)} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {_text(location)}"
     )

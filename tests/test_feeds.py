@@ -1,0 +1,361 @@
+"""Feeds against hand cases and row-by-row models."""
+
+from collections import Counter
+from datetime import datetime
+from types import SimpleNamespace
+
+import models
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from dimweave import LoadSpec
+from dimweave import columns as C
+from dimweave.operators import apply, cleanup, feeds, joins
+from dimweave.operators.checks import DuplicateKeyError, require_unique
+from dimweave.plans import load
+from dimweave.sources import files
+
+LOAD = "2024-01-15 06:30:00"
+LOCAL = datetime(2024, 1, 15, 0, 30, 0)
+OPENED = datetime(2024, 1, 15, 0, 30, 1)
+SPEC2 = LoadSpec(
+    "DIM", "Type2", "sid", "dim", scd_type1_attributes=("a",), scd_type2_attributes=("b",)
+)
+SPEC1 = LoadSpec("DIM", "Type1", "sid", "dim")
+AUDIT_DDL = (
+    "INSERTED_BY_USER_NAME string, INSERTED_UTC_DATETIME timestamp_ntz,"
+    " UPDATED_BY_USER_NAME string, UPDATED_UTC_DATETIME timestamp_ntz, ETL_BATCH_SID int"
+)
+SEEDED = ("SEED", datetime(2023, 1, 1), None, None, 1)
+STARTED = datetime(2023, 1, 1)
+
+
+def history(spark, rows):
+    """rows: sid, dim, flag, a, b"""
+    ddl = (
+        "sid bigint, dim string, EFFECTIVE_DATETIME timestamp_ntz,"
+        f" EXPIRATION_DATETIME timestamp_ntz, CURRENT_IND string, a string, b string, {AUDIT_DDL}"
+    )
+    data = [(sid, dim, STARTED, None, flag, a, b, *SEEDED) for sid, dim, flag, a, b in rows]
+    return spark.createDataFrame(data, ddl)
+
+
+def plain_target(spark, rows):
+    data = [(sid, dim, a, b, *SEEDED) for sid, dim, a, b in rows]
+    return spark.createDataFrame(data, f"sid bigint, dim string, a string, b string, {AUDIT_DDL}")
+
+
+def source(spark, rows):
+    """rows: sid, dim, a, b"""
+    data = [(*r, 9) for r in rows]
+    return spark.createDataFrame(
+        data, "sid bigint, dim string, a string, b string, ETL_BATCH_SID int"
+    )
+
+
+HAND_TARGET = [
+    (1, "A", "Y", "x", "p"), (2, "B", "N", "x", "o"), (3, "B", "Y", "x", "p"),
+    (4, "C", "Y", "x", "p"), (5, "E", "N", "x", "p"), (6, "F", "N", "x", "o"),
+    (7, "F", "Y", "x", "p"), (8, "G", "Y", "x", None),
+]
+HAND_SOURCE = [
+    (101, "A", "x", "q"), (102, "B", "y", "p"), (103, "C", " X", "P "), (104, "D", "x", "p"),
+    (105, "E", "y", "q"), (106, "F", "y", "q"), (107, "G", "x", ""),
+]
+
+
+def hand_feed(spark, **options):
+    return feeds.type2_hybrid_feed(
+        source(spark, HAND_SOURCE), history(spark, HAND_TARGET), SPEC2, LOAD, **options
+    )
+
+
+def test_type2_hand_case(spark):
+    rows = hand_feed(spark).collect()
+    shown = sorted(
+        (r.action_flag, r.CURRENT_IND, r.sid, r.dim, r.a, r.b) for r in rows
+    )
+    assert shown == sorted(
+        [
+            ("I", "Y", 101, "A", "x", "q"),
+            ("I", "Y", 104, "D", "x", "p"),
+            ("I", "Y", 106, "F", "y", "q"),
+            ("U", "N", 1, "A", "x", "p"),
+            ("U", "N", 7, "F", "y", "p"),
+            ("U", "N", 2, "B", "y", "o"),
+            ("U", "Y", 3, "B", "y", "p"),
+            ("U", "N", 5, "E", "y", "p"),
+            ("U", "N", 6, "F", "y", "o"),
+        ]
+    )
+    by_sid = {r.sid: r for r in rows}
+    opened, closed, overwritten = by_sid[101], by_sid[1], by_sid[2]
+    assert (opened.EFFECTIVE_DATETIME, opened.EXPIRATION_DATETIME) == (OPENED, None)
+    assert opened[C.INSERTED_BY] == "ETL" and opened[C.UPDATED_BY] is None
+    assert opened[C.INSERTED_AT] == datetime(2024, 1, 15, 6, 30)
+    assert (closed.EFFECTIVE_DATETIME, closed.EXPIRATION_DATETIME) == (STARTED, LOCAL)
+    assert closed[C.INSERTED_BY] == "SEED" and closed[C.UPDATED_BY] == "ETL"
+    assert (overwritten.EFFECTIVE_DATETIME, overwritten.EXPIRATION_DATETIME) == (STARTED, None)
+    assert {r[C.BATCH_SID] for r in rows} == {9}
+    assert hand_feed(spark).columns == [
+        "sid", "dim", C.EFFECTIVE, C.EXPIRATION, C.CURRENT, "a", "b", *C.AUDIT, C.ACTION,
+    ]
+
+
+def test_type2_branches_add_up(spark):
+    whole = Counter(hand_feed(spark).collect())
+    parts = Counter()
+    for name in feeds.BRANCHES:
+        parts += Counter(hand_feed(spark, branches=[name]).collect())
+    assert parts == whole
+    with pytest.raises(ValueError):
+        hand_feed(spark, branches=["reopen"])
+
+
+def test_type2_reopens_only_on_request(spark):
+    opened = {r.dim for r in hand_feed(spark, reopen=True).collect() if r.action_flag == "I"}
+    assert opened == {"A", "D", "E", "F"}
+
+
+def test_local_time_follows_daylight_saving(spark):
+    src, tgt = source(spark, [(1, "Z", "x", "p")]), history(spark, [])
+    for utc, local in (
+        ("2024-03-10 07:59:59", datetime(2024, 3, 10, 2, 0, 0)),
+        ("2024-03-10 08:00:00", datetime(2024, 3, 10, 3, 0, 1)),
+        ("2024-11-03 06:59:59", datetime(2024, 11, 3, 2, 0, 0)),
+        ("2024-11-03 07:00:00", datetime(2024, 11, 3, 1, 0, 1)),
+    ):
+        (row,) = feeds.type2_hybrid_feed(src, tgt, SPEC2, utc).collect()
+        assert row[C.EFFECTIVE] == local
+
+
+def test_load_time_ignores_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        (row,) = feeds.type2_hybrid_feed(
+            source(spark, [(1, "Z", "x", "p")]), history(spark, []), SPEC2, LOAD
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (row[C.EFFECTIVE], row[C.INSERTED_AT]) == (OPENED, datetime(2024, 1, 15, 6, 30))
+
+
+def test_empty_attribute_list_never_changes(spark):
+    spec = LoadSpec("DIM", "Type2", "sid", "dim")
+    rows = feeds.type2_hybrid_feed(
+        source(spark, [(101, "A", "x", "q")]), history(spark, [(1, "A", "Y", "x", "p")]), spec, LOAD
+    ).collect()
+    assert [(r.sid, r.b, r.action_flag) for r in rows] == [(1, "q", "U")]
+
+
+def test_roles_ignore_case(spark):
+    lower = history(spark, HAND_TARGET).toDF(
+        *[c.lower() for c in history(spark, HAND_TARGET).columns]
+    )
+    spec = LoadSpec("DIM", "Type2", "SID", "DIM", scd_type2_attributes=("B",))
+    rows = feeds.type2_hybrid_feed(source(spark, HAND_SOURCE), lower, spec, LOAD).collect()
+    assert len(rows) == 9
+
+
+keys = st.one_of(st.none(), st.sampled_from("ABCD"))
+values = st.one_of(st.none(), st.sampled_from(["", "x", " X", "y", "y ", "x*#*"]))
+CHECKED = settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+@CHECKED
+@given(
+    st.lists(st.tuples(keys, values, values), max_size=8),
+    st.lists(st.tuples(keys, st.sampled_from(["Y", "N", None]), values, values), max_size=8),
+)
+def test_type2_equals_model(spark, src_rows, tgt_rows):
+    """Repeated keys, several current versions and NULLs included."""
+    src_rows = [(100 + i, *r) for i, r in enumerate(src_rows)]
+    tgt_rows = [(i, *r) for i, r in enumerate(tgt_rows)]
+    src, tgt = source(spark, src_rows), history(spark, tgt_rows)
+    got = Counter(
+        (r.action_flag, r.sid, r.dim, r.CURRENT_IND, r.a, r.b)
+        for r in feeds.type2_hybrid_feed(src, tgt, SPEC2, LOAD).collect()
+    )
+    want = Counter()
+    for branch, s, t in models.type2(src.collect(), tgt.collect(), "dim", ["a"], ["b"]):
+        if branch == "open":
+            want[("I", s.sid, s.dim, "Y", s.a, s.b)] += 1
+        elif branch == "close":
+            want[("U", t.sid, t.dim, "N", s.a, t.b)] += 1
+        else:
+            want[("U", t.sid, t.dim, t.CURRENT_IND, s.a, t.b)] += 1
+    assert got == want
+
+
+sids = st.one_of(st.none(), st.integers(1, 4))
+
+
+@CHECKED
+@given(
+    st.lists(st.tuples(sids, keys, values, values), max_size=8),
+    st.lists(st.tuples(sids, keys, values, values), max_size=8),
+)
+def test_type1_equals_model(spark, src_rows, tgt_rows):
+    src, tgt = source(spark, src_rows), plain_target(spark, tgt_rows)
+    got = Counter(
+        (r.action_flag, r.sid, r.dim, r.a, r.b, r[C.INSERTED_BY], r[C.UPDATED_BY])
+        for r in feeds.type1_upsert_feed(src, tgt, SPEC1, LOAD).collect()
+    )
+    want = Counter(
+        (action, s.sid, s.dim, s.a, s.b, *(("ETL", None) if t is None else ("SEED", "ETL")))
+        for action, s, t in models.type1(src.collect(), tgt.collect(), "sid", ["a", "b"])
+    )
+    assert got == want
+
+
+def test_upsert_all_matched_drops_copies(spark):
+    src = source(spark, [(1, "A", "x", "p")] * 5 + [(2, "B", "x", "p")] * 3 + [(None, "C", "x", "p")])
+    tgt = plain_target(spark, [(1, "A", "x", "p")] * 2)
+    rows = feeds.upsert_all_matched_feed(src, tgt, SPEC1, LOAD).collect()
+    assert sorted((r.dim, r[C.INSERTED_BY], r[C.UPDATED_BY], r[C.BATCH_SID]) for r in rows) == [
+        ("A", "SEED", "ETL", 1), ("B", "ETL", None, 1), ("C", "ETL", None, 1),
+    ]
+
+
+def test_type1_hybrid_compares_raw_values(spark):
+    tgt = history(
+        spark,
+        [(1, "A", "N", "x", "p"), (2, "A", "Y", "y", "p"), (3, "B", "Y", None, "p"),
+         (4, "C", "Y", "X", "p"), (5, "D", "Y", "x", "p")],
+    )
+    src = source(
+        spark,
+        [(9, "A", "y", "p"), (9, "B", "y", "p"), (9, "C", "x", "p"), (9, "D", "x", "p"),
+         (9, "E", "x", "p"), (9, "A", "y", "other")],
+    )
+    rows = feeds.type1_hybrid_feed(src, tgt, SPEC2, LOAD).collect()
+    assert sorted((r.dim, r.a) for r in rows) == [("A", "y"), ("C", "x")]
+
+
+def test_fact_feed_slices_and_stamps(spark):
+    src = source(spark, [(1, "A", "x", "p"), (2, "B", "x", "q")])
+    target = ["dim", "a", "b", *C.AUDIT, C.BATCH_EPOCH]
+    (row,) = feeds.fact_insert_feed(src, target, LOAD, 77, "b = 'q'").collect()
+    assert row.asDict() == {
+        "dim": "B", "a": "x", "b": "q", C.INSERTED_BY: "ETL",
+        C.INSERTED_AT: datetime(2024, 1, 15, 6, 30), C.UPDATED_BY: "ETL",
+        C.UPDATED_AT: datetime(2024, 1, 15, 6, 30), C.BATCH_SID: 9, C.BATCH_EPOCH: 77,
+        C.ACTION: "I",
+    }
+
+
+def test_load_on_its_own_result_is_empty(spark):
+    """A second run with the same source finds nothing, and one current row per key is left."""
+    src, tgt = source(spark, HAND_SOURCE), history(spark, HAND_TARGET)
+    once = load.run_load(SPEC2, src, tgt, LOAD, staged=False).snapshot
+    assert feeds.type2_hybrid_feed(src, once, SPEC2, "2024-01-16 06:30:00").count() == 0
+    current = Counter(r.dim for r in joins.current_slice(once).collect())
+    assert set(current.values()) == {1}
+    assert once.count() == len(HAND_TARGET) + 3
+
+    tgt1 = plain_target(spark, [(1, "A", "x", "p"), (2, "B", "x", "p")])
+    src1 = source(spark, [(1, "A", "z", "p"), (3, "C", "x", "p")])
+    next1 = load.run_load(SPEC1, src1, tgt1, LOAD, staged=False).snapshot
+    assert sorted((r.sid, r.a) for r in next1.collect()) == [(1, "z"), (2, "x"), (3, "x")]
+    assert feeds.type1_upsert_feed(src1, next1, SPEC1, LOAD).count() == 0
+
+
+def test_staged_load_equals_lazy_load(spark, tmp_path):
+    src, tgt = source(spark, HAND_SOURCE), history(spark, HAND_TARGET)
+    lazy = load.run_load(SPEC2, src, tgt, LOAD, staged=False)
+    staged = load.run_load(SPEC2, src, tgt, LOAD, stage_dir=str(tmp_path), batch_id=5)
+    assert Counter(staged.feed.collect()) == Counter(lazy.feed.collect())
+    assert Counter(staged.snapshot.collect()) == Counter(lazy.snapshot.collect())
+    assert (tmp_path / "TMP_type2_5").is_dir()
+
+
+def test_staging_folder_comes_from_the_session(spark, tmp_path, monkeypatch):
+    cluster = SimpleNamespace(conf={"spark.checkpoint.dir": str(tmp_path)})
+    assert files.staging_dir(cluster) == str(tmp_path)
+    assert files.staging_dir(SimpleNamespace(conf={})) is None
+    monkeypatch.setattr(load, "staging_dir", lambda session: str(tmp_path))
+    load.run_load(SPEC2, source(spark, HAND_SOURCE), history(spark, HAND_TARGET), LOAD)
+    assert [p.name[:9] for p in tmp_path.iterdir()] == ["TMP_type2"]
+
+
+def test_repeated_source_keys_are_refused(spark):
+    src = source(spark, [(1, "A", "x", "p"), (2, "A", "y", "p"), (3, None, "x", "p")] * 1)
+    with pytest.raises(DuplicateKeyError, match="'dim': 'A'"):
+        load.run_load(SPEC2, src, history(spark, HAND_TARGET), LOAD)
+    require_unique(source(spark, [(None, "A", "x", "p"), (None, "B", "x", "p")]), "sid")
+
+
+def test_feed_that_reuses_a_version_key_is_refused(spark, tmp_path):
+    """The source gives the new version the surrogate key of the one it closes."""
+    src, tgt = source(spark, [(1, "A", "x", "q")]), history(spark, [(1, "A", "Y", "x", "p")])
+    with pytest.raises(DuplicateKeyError, match="feed"):
+        load.run_load(SPEC2, src, tgt, LOAD, stage_dir=str(tmp_path))
+
+
+def test_unknown_loads_are_refused():
+    for spec in (LoadSpec("DIM", "Type3"), LoadSpec("BRIDGE"), LoadSpec("DIM")):
+        with pytest.raises(ValueError):
+            _ = spec.kind
+
+
+def test_spec_from_metadata():
+    spec = LoadSpec.from_metadata(
+        '{"logicalEntity": "DIM", "scdType": "Type2", "sidKey": "s", "dimKey": "d",'
+        ' "scdType2Attributes": ["b"], "primaryKey": ["s"], "processSQL": "x", "more": 1}'
+    )
+    assert spec == LoadSpec(
+        "DIM", "Type2", "s", "d", primary_key=("s",), scd_type2_attributes=("b",)
+    )
+    assert spec.kind == "type2"
+
+
+def test_publish_adds_epoch_and_lengths(spark):
+    from pyspark.sql.types import StructType
+
+    tgt = plain_target(spark, [(1, "A", "x", "p")]).selectExpr(
+        "*", "cast(1 as bigint) AS BATCH_LOAD_EPOCH"
+    )
+    src = source(spark, [(1, "A", "long text", "p")])
+    feed = feeds.type1_upsert_feed(src, tgt, SPEC1, LOAD)
+    with pytest.raises(ValueError, match="epoch"):
+        apply.apply_type1(tgt, feed, SPEC1)
+    schema = StructType.fromDDL(
+        f"sid bigint, dim string, a varchar(4), b char(3), {AUDIT_DDL}, BATCH_LOAD_EPOCH bigint"
+    )
+    (row,) = load.publish(feed, tgt, SPEC1, 33, schema).collect()
+    assert (row.a, row.b, row.BATCH_LOAD_EPOCH) == ("long", "p  ", 33)
+
+
+# --- cleanup --------------------------------------------------------------------------------------
+
+cell = st.one_of(st.none(), st.integers(0, 2))
+
+
+@CHECKED
+@given(st.lists(st.tuples(cell, cell, st.one_of(st.none(), st.integers(0, 3))), max_size=14))
+def test_cleanup_equals_model(spark, tmp_path_factory, rows):
+    df = spark.createDataFrame(
+        [(*r, i) for i, r in enumerate(rows)], "k int, j int, BATCH_LOAD_EPOCH int, n int"
+    )
+    key = ["k", "J", "BATCH_LOAD_EPOCH"]
+    kept, stale = models.newest(df.collect(), ["k", "j"], "BATCH_LOAD_EPOCH")
+    assert Counter(cleanup.keep_latest_batch(df, key).collect()) == Counter(kept)
+    assert Counter(cleanup.stale_rows(df, key).collect()) == Counter(stale)
+    lazy = load.run_cleanup(df, key, staged=False)
+    assert Counter(lazy.kept.collect()) == Counter(kept)
+    staged = load.run_cleanup(df, key, stage_dir=str(tmp_path_factory.mktemp("stage")))
+    assert Counter(staged.kept.collect()) == Counter(kept)
+    assert Counter(staged.stale.collect()) == Counter(stale)
+
+
+def test_cleanup_is_idempotent(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, 1, "d")], "k int, e int, v string")
+    once = cleanup.keep_latest_batch(df, ["k"], "e")
+    assert sorted(r.v for r in once.collect()) == ["a", "b", "d"]
+    assert Counter(cleanup.keep_latest_batch(once, ["k"], "e").collect()) == Counter(once.collect())
+    assert cleanup.stale_rows(once, ["k"], "e").count() == 0
+    with pytest.raises(ValueError):
+        cleanup.latest_epoch(df, ["e"], "e")
