@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,8 +61,11 @@ def row_hash(cols: Sequence[str | Column]) -> Column:
 def surrogate_key(cols: Sequence[str | Column], separator: str = VALUE_DELIMITER) -> Column:
     """64-bit key: the low 8 bytes of SHA-1 read as a signed long, 0 when all values are blank."""
     values = [F.coalesce(c.cast("string"), F.lit("")) for c in _columns(cols)]
-    blank = F.concat(*values) == ""
-    low_half = F.substring(F.sha1(F.concat_ws(separator, *values)), 25, 16)
+    if not values:
+        raise ValueError("a surrogate key needs a column")
+    text = values[0] if len(values) == 1 else F.concat_ws(separator, *values)
+    blank = reduce(lambda a, b: a & b, [value == "" for value in values])
+    low_half = F.substring(F.sha1(text), 25, 16)
     return F.when(blank, F.lit(0).cast("bigint")).otherwise(
         F.conv(low_half, 16, -10).cast("bigint")
     )

@@ -1,12 +1,15 @@
 """Batch cleanup: the newest load of every primary key stays, older ones are superseded.
 
-The newest epoch per key is one small row per key, aggregated before its shuffle. Rows then meet it
-on key and epoch together, which spreads the loads of a hot key over many tasks and lets adaptive
-execution split what is still too large; a window over the key would sort each key in one task.
+``keep_latest_batch`` and ``stale_rows`` compare each row with its key's newest epoch in a window:
+one shuffle, no join. A window keeps a key in one task, so hot keys take another way: their newest
+epochs are aggregated before the shuffle and met by key and epoch in a semi or anti join, which
+adaptive execution can split. Both ways give the same rows.
 
-Most keys were loaded once. ``superseded_keys`` names the others, and once that list is written its
-size is known: a short one is broadcast and the table is scanned without a shuffle
-(``plans.load.run_cleanup``).
+Most tables hold few keys with more than one load. ``superseded_keys`` names these, and once that
+list is written its size is known: a short one is broadcast and the table is scanned without any
+shuffle (``plans.load.run_cleanup``).
+
+A row with a NULL in its key or epoch matches nothing: it is never kept and always stale.
 """
 
 from __future__ import annotations
@@ -14,13 +17,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimweave.columns import BATCH_EPOCH
 from dimweave.functions.hashing import quoted
 from dimweave.operators.joins import TARGET, t
 from dimweave.operators.roles import without
+from dimweave.operators.skew import hot_buckets, key_bucket
 
 OLDEST = "oldest_epoch"
 NEWEST = "newest_epoch"
@@ -33,6 +37,10 @@ def _key(primary_key: Sequence[str], epoch_col: str) -> list[str]:
     return key
 
 
+def _unmatched(key: Sequence[str], epoch_col: str) -> Column:
+    return reduce(lambda a, b: a | b, [quoted(c).isNull() for c in [*key, epoch_col]])
+
+
 def latest_epoch(
     df: DataFrame, primary_key: Sequence[str], epoch_col: str = BATCH_EPOCH
 ) -> DataFrame:
@@ -41,13 +49,48 @@ def latest_epoch(
     return df.groupBy(*map(quoted, key)).agg(F.max(quoted(epoch_col)).alias(epoch_col))
 
 
+def _compare(
+    df: DataFrame, key: list[str], epoch_col: str, kept: bool, hot: Sequence[int] | None
+) -> DataFrame:
+    """Rows without NULLs that are, or are not, of their key's newest epoch."""
+    rows = df.where(~_unmatched(key, epoch_col))
+    if hot is None:
+        hot = hot_buckets(rows, key)
+    cold_rows = rows.where(~key_bucket(key).isin(*hot)) if hot else rows
+    newest = F.max(quoted(epoch_col)).over(Window.partitionBy(*map(quoted, key)))
+    wanted = quoted(epoch_col) == F.col(NEWEST) if kept else quoted(epoch_col) < F.col(NEWEST)
+    compared = cold_rows.withColumn(NEWEST, newest).where(wanted).drop(NEWEST)
+    if not hot:
+        return compared
+    hot_rows = rows.where(key_bucket(key).isin(*hot))
+    how = "left_semi" if kept else "left_anti"
+    matched = hot_rows.join(latest_epoch(hot_rows, key, epoch_col), [*key, epoch_col], how)
+    return compared.unionByName(matched)
+
+
 def keep_latest_batch(
-    df: DataFrame, primary_key: Sequence[str], epoch_col: str = BATCH_EPOCH
+    df: DataFrame,
+    primary_key: Sequence[str],
+    epoch_col: str = BATCH_EPOCH,
+    hot: Sequence[int] | None = None,
+) -> DataFrame:
+    """Rows of their key's newest epoch, ties included.
+
+    ``hot`` lists the hot key buckets; without it they are counted first (``skew.hot_buckets``).
+    """
+    return _compare(df, _key(primary_key, epoch_col), epoch_col, True, hot)
+
+
+def stale_rows(
+    df: DataFrame,
+    primary_key: Sequence[str],
+    epoch_col: str = BATCH_EPOCH,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Rows of their key's newest epoch, ties included. A NULL in key or epoch matches nothing."""
+    """The rows ``keep_latest_batch`` leaves out. Those with a NULL need no comparison."""
     key = _key(primary_key, epoch_col)
-    newest = latest_epoch(df, primary_key, epoch_col)
-    return df.join(newest, [*key, epoch_col], "left_semi").select(*map(quoted, df.columns))
+    older = _compare(df, key, epoch_col, False, hot)
+    return older.unionByName(df.where(_unmatched(key, epoch_col)))
 
 
 def superseded_keys(
@@ -79,21 +122,3 @@ def split_by_superseded(
     kept = comparable.join(renamed, older, "left_anti")
     stale = comparable.join(renamed, older, "left_semi").unionByName(df.where(unmatched))
     return kept, stale
-
-
-def _unmatched(key: Sequence[str], epoch_col: str) -> Column:
-    return reduce(lambda a, b: a | b, [quoted(c).isNull() for c in [*key, epoch_col]])
-
-
-def stale_rows(
-    df: DataFrame, primary_key: Sequence[str], epoch_col: str = BATCH_EPOCH
-) -> DataFrame:
-    """The rows ``keep_latest_batch`` leaves out, those with a NULL in key or epoch among them.
-
-    The latter need no match and skip the join, where they would all meet in one task.
-    """
-    key = _key(primary_key, epoch_col)
-    unmatched = _unmatched(key, epoch_col)
-    newest = latest_epoch(df, primary_key, epoch_col)
-    older = df.where(~unmatched).join(newest, [*key, epoch_col], "left_anti")
-    return older.select(*map(quoted, df.columns)).unionByName(df.where(unmatched))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dimweave.columns import BATCH_EPOCH
@@ -26,6 +27,9 @@ from dimweave.operators.joins import Keys
 from dimweave.sources.files import stage, staging_dir
 from dimweave.spec import FACT, TYPE1, TYPE2, LoadSpec
 
+# Superseded keys that may be broadcast once they are counted: some ten megabytes.
+BROADCAST_KEYS = 200_000
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -101,21 +105,22 @@ def run_load(
     """Feed and next snapshot of one load.
 
     ``check_keys`` refuses a dimension source that repeats a key (it would fan out) and a staged
-    feed that holds a surrogate key twice (the apply could not tell its rows apart). The feed is
-    staged under ``stage_dir`` or, without one, the folder in ``spark.checkpoint.dir``; with neither,
+    Type 2 feed that holds a surrogate key twice (the apply could not tell its rows apart). The feed
+    is staged under ``stage_dir`` or, without one, the folder in ``spark.checkpoint.dir``; with neither,
     or with ``staged=False``, it stays a lazy plan that the apply evaluates again.
     """
     kind = spec.kind
+    directory = _directory(src, staged, stage_dir)
     if check_keys and kind != FACT:
         checked = src if predicate is None else src.where(predicate)
-        require_unique(checked, spec.sid_key, "source")
         if kind == TYPE2:
             require_unique(checked, spec.dim_key, "source")
+        if kind == TYPE1 or not directory:
+            require_unique(checked, spec.sid_key, "source")
     feed = build_feed(spec, src, tgt, load_ts, epoch, predicate, zone)
-    directory = _directory(src, staged, stage_dir)
     if directory and kind != FACT:
         feed = stage(feed, directory, spec.target_table or kind, _batch(batch_id))
-        if check_keys:
+        if check_keys and kind == TYPE2:
             require_unique(feed, spec.sid_key, "feed")
     return LoadResult(feed, publish(feed, tgt, spec, epoch, schema, on_overflow))
 
@@ -155,16 +160,19 @@ def run_cleanup(
 ) -> CleanupResult:
     """Split a table into each key's newest load and the loads it supersedes.
 
-    With a staging folder the keys loaded more than once are written first. Their size then decides
-    whether the table is shuffled at all; without one the lazy form is returned.
+    With a staging folder the keys loaded more than once are written and counted first. Up to
+    ``BROADCAST_KEYS`` of them are broadcast, and the table is scanned without a shuffle; beyond
+    that, or without a folder, rows are compared by ``keep_latest_batch`` and ``stale_rows``.
     """
     directory = _directory(df, staged, stage_dir)
-    if not directory:
-        return CleanupResult(
-            keep_latest_batch(df, primary_key, epoch_col), stale_rows(df, primary_key, epoch_col)
+    if directory:
+        superseded = stage(
+            superseded_keys(df, primary_key, epoch_col), directory, "superseded", _batch(batch_id)
         )
-    batch = _batch(batch_id)
-    superseded = stage(
-        superseded_keys(df, primary_key, epoch_col), directory, "superseded", batch
+        if superseded.count() <= BROADCAST_KEYS:
+            return CleanupResult(
+                *split_by_superseded(df, F.broadcast(superseded), primary_key, epoch_col)
+            )
+    return CleanupResult(
+        keep_latest_batch(df, primary_key, epoch_col), stale_rows(df, primary_key, epoch_col)
     )
-    return CleanupResult(*split_by_superseded(df, superseded, primary_key, epoch_col))

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from dimweave import LoadSpec
 from dimweave import columns as C
-from dimweave.operators import apply, cleanup, feeds, joins
+from dimweave.operators import apply, cleanup, feeds, joins, skew
 from dimweave.operators.checks import DuplicateKeyError, require_unique
 from dimweave.plans import load
 from dimweave.sources import files
@@ -344,11 +344,25 @@ def test_cleanup_equals_model(spark, tmp_path_factory, rows):
     kept, stale = models.newest(df.collect(), ["k", "j"], "BATCH_LOAD_EPOCH")
     assert Counter(cleanup.keep_latest_batch(df, key).collect()) == Counter(kept)
     assert Counter(cleanup.stale_rows(df, key).collect()) == Counter(stale)
+    hot = [r[0] for r in df.where("k = 1").select(skew.key_bucket(["k", "j"])).distinct().collect()]
+    assert Counter(cleanup.keep_latest_batch(df, key, hot=hot).collect()) == Counter(kept)
+    assert Counter(cleanup.stale_rows(df, key, hot=hot).collect()) == Counter(stale)
     lazy = load.run_cleanup(df, key, staged=False)
     assert Counter(lazy.kept.collect()) == Counter(kept)
     staged = load.run_cleanup(df, key, stage_dir=str(tmp_path_factory.mktemp("stage")))
     assert Counter(staged.kept.collect()) == Counter(kept)
     assert Counter(staged.stale.collect()) == Counter(stale)
+    monkeypatch_size(load, 0)
+    try:
+        large = load.run_cleanup(df, key, stage_dir=str(tmp_path_factory.mktemp("stage")))
+    finally:
+        monkeypatch_size(load, 200_000)
+    assert Counter(large.kept.collect()) == Counter(kept)
+    assert Counter(large.stale.collect()) == Counter(stale)
+
+
+def monkeypatch_size(module, keys):
+    module.BROADCAST_KEYS = keys
 
 
 def test_cleanup_is_idempotent(spark):
@@ -359,3 +373,11 @@ def test_cleanup_is_idempotent(spark):
     assert cleanup.stale_rows(once, ["k"], "e").count() == 0
     with pytest.raises(ValueError):
         cleanup.latest_epoch(df, ["e"], "e")
+
+
+def test_hot_buckets_are_those_of_hot_keys(spark):
+    df = spark.range(0, 9000, 1, 4).selectExpr("if(id % 3 = 0, 0, id) AS k")
+    hot = skew.hot_buckets(df, ["k"], hot_rows=1000)
+    expected = spark.sql("SELECT CAST(0 AS BIGINT) AS k").select(skew.key_bucket(["k"])).first()[0]
+    assert hot == [expected]
+    assert skew.hot_buckets(df, ["k"]) == []
