@@ -1,7 +1,7 @@
 """Source to target matching.
 
-No side is ever hinted as broadcast: Spark broadcasts a side only when its measured size is below
-``spark.sql.autoBroadcastJoinThreshold``. Beyond it the joins are written so that adaptive execution
+No side is hinted as broadcast here: Spark broadcasts a side only when its size is below
+``spark.sql.autoBroadcastJoinThreshold`` (``checks.held_by`` does so after weighing). Beyond it the joins are written so that adaptive execution
 can split a hot key. It can split either side of an inner join but only the left side of a left, semi
 or anti join, so the side that may hold many rows per key is never the right side of those; where
 only the keys of such a side matter they are reduced to one row per key before the shuffle.

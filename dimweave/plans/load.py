@@ -12,8 +12,9 @@ from pyspark.sql.types import StructType
 
 from dimweave.columns import BATCH_EPOCH
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
+from dimweave.operators import checks
 from dimweave.operators.apply import apply_fact, apply_scd2_hash, apply_type1, apply_type2
-from dimweave.operators.checks import require_unique
+from dimweave.operators.checks import held_by, measured_bytes, require_unique
 from dimweave.operators.cleanup import (
     keep_latest_batch,
     split_by_superseded,
@@ -24,12 +25,11 @@ from dimweave.operators.conform import RAISE
 from dimweave.operators.feeds import fact_insert_feed, type1_upsert_feed, type2_hybrid_feed
 from dimweave.operators.hash_scd2 import scd2_hash_changed, scd2_hash_feed
 from dimweave.operators.joins import Keys
+from dimweave.operators.roles import without
+from dimweave.operators.skew import hot_buckets
 from dimweave.sources.files import stage, staging_dir
 from dimweave.spec import FACT, TYPE1, TYPE2, LoadSpec
 
-# Superseded keys that may be broadcast once they are counted: some ten megabytes.
-BROADCAST_KEYS = 200_000
-
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -105,20 +105,28 @@ def run_load(
     """Feed and next snapshot of one load.
 
     ``check_keys`` refuses a dimension source that repeats a key (it would fan out) and a staged
-    Type 2 feed that holds a surrogate key twice (the apply could not tell its rows apart). The feed
-    is staged under ``stage_dir`` or, without one, the folder in ``spark.checkpoint.dir``; with neither,
-    or with ``staged=False``, it stays a lazy plan that the apply evaluates again.
+    Type 2 feed that holds a surrogate key twice (the apply could not tell its rows apart). The same
+    aggregate measures the source's keys; few of them are broadcast to thin the target out before
+    the feed is built.
+
+    The feed is staged under ``stage_dir`` or, without one, the folder in ``spark.checkpoint.dir``;
+    with neither, or with ``staged=False``, it stays a lazy plan that the apply evaluates again.
     """
     kind = spec.kind
+    if kind == FACT:
+        feed = build_feed(spec, src, tgt, load_ts, epoch, predicate, zone)
+        return LoadResult(feed, publish(feed, tgt, spec, epoch, schema, on_overflow))
     directory = _directory(src, staged, stage_dir)
-    if check_keys and kind != FACT:
+    join_key = spec.dim_key if kind == TYPE2 else spec.sid_key
+    concerned = tgt
+    if check_keys:
         checked = src if predicate is None else src.where(predicate)
-        if kind == TYPE2:
-            require_unique(checked, spec.dim_key, "source")
-        if kind == TYPE1 or not directory:
+        profile = require_unique(checked, join_key, "source")
+        if kind == TYPE2 and not directory:
             require_unique(checked, spec.sid_key, "source")
-    feed = build_feed(spec, src, tgt, load_ts, epoch, predicate, zone)
-    if directory and kind != FACT:
+        concerned = held_by(tgt, checked, join_key, profile)
+    feed = build_feed(spec, src, concerned, load_ts, epoch, predicate, zone)
+    if directory:
         feed = stage(feed, directory, spec.target_table or kind, _batch(batch_id))
         if check_keys and kind == TYPE2:
             require_unique(feed, spec.sid_key, "feed")
@@ -137,14 +145,15 @@ def run_scd2_hash(
     batch_id: str | int | None = None,
 ) -> LoadResult:
     """Hash-based history load: changed rows, expire/insert feed, next snapshot."""
+    concerned = tgt
     if check_keys:
-        require_unique(src, keys, "source")
+        concerned = held_by(tgt, src, keys, require_unique(src, keys, "source"))
     directory = _directory(src, staged, stage_dir)
     batch = _batch(batch_id)
-    changed = scd2_hash_changed(src, tgt, keys, attributes, load_ts)
+    changed = scd2_hash_changed(src, concerned, keys, attributes, load_ts)
     if directory:
         changed = stage(changed, directory, "changed", batch)
-    feed = scd2_hash_feed(changed, tgt, keys, attributes, load_ts)
+    feed = scd2_hash_feed(changed, concerned, keys, attributes, load_ts)
     if directory:
         feed = stage(feed, directory, "feed", batch)
     return LoadResult(feed, apply_scd2_hash(tgt, feed, keys))
@@ -160,8 +169,8 @@ def run_cleanup(
 ) -> CleanupResult:
     """Split a table into each key's newest load and the loads it supersedes.
 
-    With a staging folder the keys loaded more than once are written and counted first. Up to
-    ``BROADCAST_KEYS`` of them are broadcast, and the table is scanned without a shuffle; beyond
+    With a staging folder the keys loaded more than once are written and weighed first. Up to
+    ``BROADCAST_BYTES`` of them are broadcast, and the table is scanned without a shuffle; beyond
     that, or without a folder, rows are compared by ``keep_latest_batch`` and ``stale_rows``.
     """
     directory = _directory(df, staged, stage_dir)
@@ -169,10 +178,12 @@ def run_cleanup(
         superseded = stage(
             superseded_keys(df, primary_key, epoch_col), directory, "superseded", _batch(batch_id)
         )
-        if superseded.count() <= BROADCAST_KEYS:
+        if measured_bytes(superseded) <= checks.BROADCAST_BYTES:
             return CleanupResult(
                 *split_by_superseded(df, F.broadcast(superseded), primary_key, epoch_col)
             )
+    hot = hot_buckets(df, without(primary_key, [epoch_col]))
     return CleanupResult(
-        keep_latest_batch(df, primary_key, epoch_col), stale_rows(df, primary_key, epoch_col)
+        keep_latest_batch(df, primary_key, epoch_col, hot),
+        stale_rows(df, primary_key, epoch_col, hot),
     )

@@ -1,6 +1,7 @@
 """Feeds against hand cases and row-by-row models."""
 
 from collections import Counter
+from contextlib import contextmanager
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 
 from dimweave import LoadSpec
 from dimweave import columns as C
-from dimweave.operators import apply, cleanup, feeds, joins, skew
+from dimweave.operators import apply, checks, cleanup, feeds, joins, skew
 from dimweave.operators.checks import DuplicateKeyError, require_unique
 from dimweave.plans import load
 from dimweave.sources import files
@@ -352,17 +353,19 @@ def test_cleanup_equals_model(spark, tmp_path_factory, rows):
     staged = load.run_cleanup(df, key, stage_dir=str(tmp_path_factory.mktemp("stage")))
     assert Counter(staged.kept.collect()) == Counter(kept)
     assert Counter(staged.stale.collect()) == Counter(stale)
-    monkeypatch_size(load, 0)
-    try:
+    with limit_broadcast(-1):
         large = load.run_cleanup(df, key, stage_dir=str(tmp_path_factory.mktemp("stage")))
-    finally:
-        monkeypatch_size(load, 200_000)
     assert Counter(large.kept.collect()) == Counter(kept)
     assert Counter(large.stale.collect()) == Counter(stale)
 
 
-def monkeypatch_size(module, keys):
-    module.BROADCAST_KEYS = keys
+@contextmanager
+def limit_broadcast(limit):
+    before, checks.BROADCAST_BYTES = checks.BROADCAST_BYTES, limit
+    try:
+        yield
+    finally:
+        checks.BROADCAST_BYTES = before
 
 
 def test_cleanup_is_idempotent(spark):
@@ -381,3 +384,29 @@ def test_hot_buckets_are_those_of_hot_keys(spark):
     expected = spark.sql("SELECT CAST(0 AS BIGINT) AS k").select(skew.key_bucket(["k"])).first()[0]
     assert hot == [expected]
     assert skew.hot_buckets(df, ["k"]) == []
+
+
+@pytest.mark.parametrize("spec", [SPEC1, SPEC2])
+def test_small_source_thins_the_target_out(spark, spec):
+    """Same feed and snapshot whether or not the source's keys may be broadcast."""
+    src = source(spark, HAND_SOURCE)
+    if spec is SPEC1:
+        tgt = plain_target(spark, [(101, "A", "z", "q"), (102, "B", "y", "p"), (8, "C", "x", "p")])
+    else:
+        tgt = history(spark, HAND_TARGET)
+    thin = load.run_load(spec, src, tgt, LOAD, staged=False)
+    with limit_broadcast(-1):
+        full = load.run_load(spec, src, tgt, LOAD, staged=False)
+    assert Counter(thin.feed.collect()) == Counter(full.feed.collect())
+    assert Counter(thin.snapshot.collect()) == Counter(full.snapshot.collect())
+    semi = "LeftSemi"
+    assert semi in thin.feed._jdf.queryExecution().optimizedPlan().toString()
+    assert semi not in full.feed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_key_profile(spark):
+    df = spark.createDataFrame([(1, "ab"), (1, "ab"), (2, "c"), (None, "d")], "k int, t string")
+    profile = checks.key_profile(df, ["k", "t"])
+    assert profile == checks.KeyProfile(2, 2 * 32 + 3 + 2)
+    assert checks.key_profile(df.limit(0), "k") == checks.KeyProfile(0, 0)
+    assert checks.measured_bytes(df.limit(0)) == 0
