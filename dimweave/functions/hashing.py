@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 VALUE_DELIMITER = "*#*"
 ROW_HASH_SEPARATOR = "|"
 
+SHA256 = "sha256"
+MD5 = "md5"
+XXH64 = "xxh64"
+
 
 def quoted(name: str) -> Column:
     """Column by its exact name, dots and blanks included."""
@@ -52,10 +56,21 @@ def hash_raw(cols: Sequence[str | Column]) -> Column:
     return F.md5(_delimited([c.cast("string") for c in _columns(cols)]))
 
 
-def row_hash(cols: Sequence[str | Column]) -> Column:
-    """SHA-256 over the attribute values; case matters, NULL equals ''."""
+def row_hash(cols: Sequence[str | Column], algorithm: str = SHA256) -> Column:
+    """Text hash over the attribute values; case matters, NULL equals ''.
+
+    SHA-256 unless told otherwise. MD5 costs less to compute and store, XXH64 least of all; neither
+    withstands values made to collide. A table keeps one algorithm for life.
+    """
     values = [F.coalesce(c.cast("string"), F.lit("")) for c in _columns(cols)]
-    return F.sha2(F.concat_ws(ROW_HASH_SEPARATOR, *values), 256)
+    text = F.concat_ws(ROW_HASH_SEPARATOR, *values)
+    if algorithm == SHA256:
+        return F.sha2(text, 256)
+    if algorithm == MD5:
+        return F.md5(text)
+    if algorithm == XXH64:
+        return F.lower(F.hex(F.xxhash64(text)))
+    raise ValueError(f"unknown row hash {algorithm!r}")
 
 
 def surrogate_key(cols: Sequence[str | Column], separator: str = VALUE_DELIMITER) -> Column:

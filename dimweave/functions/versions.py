@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dimweave import columns as C
 from dimweave.functions.audit import no_time
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime, local_time, utc_time
-from dimweave.functions.hashing import row_hash
+from dimweave.functions.hashing import SHA256, row_hash
 
 
 def open_block(load_ts: LoadTime, zone: str = DEFAULT_ZONE) -> dict[str, Column]:
@@ -41,11 +41,13 @@ def close_version(df: DataFrame, load_ts: LoadTime, zone: str = DEFAULT_ZONE) ->
     return df.withColumns(close_block(F.col(C.EFFECTIVE), load_ts, zone))
 
 
-def prepare_scd2(src: DataFrame, attributes: Sequence[str], load_ts: LoadTime) -> DataFrame:
+def prepare_scd2(
+    src: DataFrame, attributes: Sequence[str], load_ts: LoadTime, algorithm: str = SHA256
+) -> DataFrame:
     """Source rows as first versions of a hash-versioned dimension."""
     return src.withColumns(
         {
-            C.ROW_HASH: row_hash(attributes),
+            C.ROW_HASH: row_hash(attributes, algorithm),
             C.EFFECTIVE_DATE: utc_time(load_ts),
             C.END_DATE: no_time(),
             C.IS_CURRENT: F.lit(True),

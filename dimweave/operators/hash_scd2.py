@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dimweave import columns as C
 from dimweave.functions.clock import LoadTime, utc_time
-from dimweave.functions.hashing import changed_sha2, quoted
+from dimweave.functions.hashing import SHA256, changed_sha2, quoted
 from dimweave.functions.versions import prepare_scd2
 from dimweave.operators.joins import (
     SOURCE,
@@ -26,10 +26,15 @@ VERSION_COLUMNS = (C.ROW_HASH, C.EFFECTIVE_DATE, C.END_DATE, C.IS_CURRENT, C.VER
 
 
 def scd2_hash_changed(
-    src: DataFrame, tgt: DataFrame, keys: Keys, attributes: Sequence[str], load_ts: LoadTime
+    src: DataFrame,
+    tgt: DataFrame,
+    keys: Keys,
+    attributes: Sequence[str],
+    load_ts: LoadTime,
+    algorithm: str = SHA256,
 ) -> DataFrame:
     """Prepared source rows whose key has no current version or one with another hash."""
-    prepared = prepare_scd2(src, attributes, load_ts)
+    prepared = prepare_scd2(src, attributes, load_ts, algorithm)
     joined = join_current(prepared, tgt, keys, [C.ROW_HASH])
     changed = joined.where(changed_sha2(SOURCE + C.ROW_HASH, TARGET + C.ROW_HASH))
     return changed.select(*[s(c).alias(c) for c in prepared.columns])

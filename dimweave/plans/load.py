@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from dimweave.columns import BATCH_EPOCH
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
+from dimweave.functions.hashing import SHA256
 from dimweave.operators import checks
 from dimweave.operators.apply import apply_fact, apply_scd2_hash, apply_type1, apply_type2
 from dimweave.operators.checks import held_by, measured_bytes, require_unique
@@ -139,6 +140,7 @@ def run_scd2_hash(
     keys: Keys,
     attributes: Sequence[str],
     load_ts: LoadTime,
+    algorithm: str = SHA256,
     check_keys: bool = True,
     staged: bool = True,
     stage_dir: str | None = None,
@@ -150,7 +152,7 @@ def run_scd2_hash(
         concerned = held_by(tgt, src, keys, require_unique(src, keys, "source"))
     directory = _directory(src, staged, stage_dir)
     batch = _batch(batch_id)
-    changed = scd2_hash_changed(src, concerned, keys, attributes, load_ts)
+    changed = scd2_hash_changed(src, concerned, keys, attributes, load_ts, algorithm)
     if directory:
         changed = stage(changed, directory, "changed", batch)
     feed = scd2_hash_feed(changed, concerned, keys, attributes, load_ts)

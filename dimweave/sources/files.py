@@ -58,21 +58,24 @@ def write_scd_table(
     path: str,
     keys: Keys,
     flag_col: str = C.CURRENT,
+    date_cols: Sequence[str] = (),
     fmt: str = DEFAULT_FORMAT,
     mode: str = "errorifexists",
 ) -> None:
-    """Write a history table partitioned by its current flag and clustered by business key.
+    """Write a history table partitioned by its current flag, below dates if given, sorted by key.
 
     Rebalancing, unlike a repartition by key, lets adaptive execution size the files and split a key
-    with a very long history. Sorting by flag first is the order the partitioned writer needs, so it
-    adds no sort of its own; sorting by key gives narrow key ranges per row group.
+    with a very long history. With dates rows gather by partition, lest every task write a file per
+    date. Sorting by partition first is the order the partitioned writer needs, so it adds no sort
+    of its own; sorting by key gives narrow key ranges per row group.
     """
-    names = key_list(keys)
+    names, parts = key_list(keys), [*date_cols, flag_col]
+    spread = parts if date_cols else [*parts, *names]
     (
-        df.hint("rebalance", *names)
-        .sortWithinPartitions(flag_col, *names)
+        df.hint("rebalance", *spread)
+        .sortWithinPartitions(*parts, *names)
         .write.format(fmt)
         .mode(mode)
-        .partitionBy(flag_col)
+        .partitionBy(*parts)
         .save(path)
     )

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import models
 import pytest
+import xxhash
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException, ArithmeticException
@@ -42,6 +43,17 @@ def test_row_hash(spark):
     assert got == hashlib.sha256(b"a||2").hexdigest()
 
 
+def test_row_hash_algorithms(spark):
+    df = spark.createDataFrame([("a",)], "x string")
+    md5, xxh64 = df.select(
+        hashing.row_hash(["x"], hashing.MD5), hashing.row_hash(["x"], hashing.XXH64)
+    ).first()
+    assert md5 == hashlib.md5(b"a").hexdigest()
+    assert xxh64 == xxhash.xxh64(b"a", seed=42).hexdigest()
+    with pytest.raises(ValueError):
+        hashing.row_hash(["x"], "crc32")
+
+
 def test_columns_with_odd_names(spark):
     df = spark.createDataFrame([("a",)], "`x.y z` string")
     assert df.select(hashing.row_hash(["x.y z"])).first()[0] == hashlib.sha256(b"a").hexdigest()

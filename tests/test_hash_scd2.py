@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimweave import columns as C
+from dimweave.functions import hashing
 from dimweave.functions.versions import prepare_scd2
 from dimweave.operators import apply, hash_scd2, joins
 from dimweave.plans import load
@@ -63,6 +64,14 @@ def test_null_hash_of_a_current_row_is_a_change(spark):
     assert changed.count() == 1
 
 
+def test_other_hash_algorithm_finds_the_same_changes(spark):
+    tgt = target(spark, ROWS).withColumn(C.ROW_HASH, hashing.row_hash(["a", "b"], hashing.XXH64))
+    changed = hash_scd2.scd2_hash_changed(
+        source(spark, SOURCE), tgt, KEYS, ["a", "b"], LOAD, hashing.XXH64
+    )
+    assert changed.count() == 3
+
+
 def test_feed_expires_whole_keys_only(spark):
     """Key parts of the changed rows also occur in unchanged keys; those stay open."""
     tgt = target(spark, ROWS)

@@ -73,6 +73,18 @@ def test_history_table_layout(spark, tmp_path):
         files.write_scd_table(df, path, "dim")
 
 
+def test_history_table_by_date_and_flag(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    df = spark.range(60).selectExpr(
+        "id AS dim", "if(id % 2 = 0, 'Y', 'N') AS CURRENT_IND", "date'2024-01-01' + int(id % 3) AS day"
+    )
+    files.write_scd_table(df, path, "dim", date_cols=["day"])
+    assert len(list((tmp_path / "dim").rglob("*.parquet"))) == 6
+    back = spark.read.parquet(path).where("day = '2024-01-02' AND CURRENT_IND = 'Y'")
+    assert back.count() == 10
+    assert (tmp_path / "dim" / "day=2024-01-02" / "CURRENT_IND=Y").is_dir()
+
+
 def test_long_history_is_written_by_many_tasks(spark, tmp_path):
     """One key holds a third of the rows; its file is split all the same."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
