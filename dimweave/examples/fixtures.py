@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from dimweave import LoadSpec
 from dimweave import columns as C
@@ -40,160 +39,147 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def moment(text: str | None) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
+def moment(text: str) -> str:
+    return f"timestamp_ntz'{text}'"
 
 
-def seed_audit(epoch: bool = True) -> list[Column]:
-    block = [
-        F.lit("SEED").alias(C.INSERTED_BY),
-        moment(SEED_TS).alias(C.INSERTED_AT),
-        F.lit(None).cast("string").alias(C.UPDATED_BY),
-        moment(None).alias(C.UPDATED_AT),
-        F.lit(SEED_BATCH).alias(C.BATCH_SID),
-    ]
-    return block + [F.lit(SEED_EPOCH).cast("bigint").alias(C.BATCH_EPOCH)] if epoch else block
+NO_MOMENT = "CAST(NULL AS timestamp_ntz)"
+SEED_AUDIT = [
+    f"'SEED' AS {C.INSERTED_BY}",
+    f"{moment(SEED_TS)} AS {C.INSERTED_AT}",
+    f"CAST(NULL AS string) AS {C.UPDATED_BY}",
+    f"{NO_MOMENT} AS {C.UPDATED_AT}",
+    f"{SEED_BATCH} AS {C.BATCH_SID}",
+]
+SEED_EPOCH_COLUMN = f"CAST({SEED_EPOCH} AS bigint) AS {C.BATCH_EPOCH}"
 
-
-def _revised_segment() -> Column:
-    """A fifth really changed, a fifth changed in case and outer blanks only."""
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
-    return (
-        F.when(key % 5 == 1, "REVISED")
-        .when(key % 5 == 2, F.concat(F.lit(" "), F.lower(segment), F.lit(" ")))
-        .otherwise(segment)
-    )
+# A fifth really changed, a fifth changed in case and outer blanks only.
+REVISED_SEGMENT = (
+    "CASE c_custkey % 5 WHEN 1 THEN 'REVISED' WHEN 2 THEN concat(' ', lower(c_mktsegment), ' ')"
+    " ELSE c_mktsegment END"
+)
 
 
 def type1_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        (F.col("c_custkey") * 10 + 1).alias("cust_sid"),
-        F.col("c_custkey").alias("cust_id"),
-        F.col("c_name").alias("name"),
-        _revised_segment().alias("segment"),
-        F.col("c_nationkey").alias("nation"),
-        F.lit(BATCH).alias(C.BATCH_SID),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey * 10 + 1 AS cust_sid",
+        "c_custkey AS cust_id",
+        "c_name AS name",
+        f"{REVISED_SEGMENT} AS segment",
+        "c_nationkey AS nation",
+        f"{BATCH} AS {C.BATCH_SID}",
     )
 
 
 def type1_target(spark: SparkSession, sf_dir: str, epoch: bool = True) -> DataFrame:
     customer = table(spark, sf_dir, "customer").where("c_custkey % 10 <> 9")
-    return customer.select(
-        (F.col("c_custkey") * 10 + 1).alias("cust_sid"),
-        F.col("c_custkey").alias("cust_id"),
-        F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("segment"),
-        F.col("c_nationkey").alias("nation"),
-        *seed_audit(epoch),
+    return customer.selectExpr(
+        "c_custkey * 10 + 1 AS cust_sid",
+        "c_custkey AS cust_id",
+        "c_name AS name",
+        "c_mktsegment AS segment",
+        "c_nationkey AS nation",
+        *SEED_AUDIT,
+        *([SEED_EPOCH_COLUMN] if epoch else []),
     )
 
 
 def type2_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    moved = F.when(F.col("c_custkey") % 7 == 3, F.col("c_nationkey") + 100)
-    return table(spark, sf_dir, "customer").select(
-        (F.col("c_custkey") * 10 + 2).alias("cust_sid"),
-        F.col("c_custkey").alias("cust_id"),
-        F.col("c_name").alias("name"),
-        _revised_segment().alias("segment"),
-        moved.otherwise(F.col("c_nationkey")).alias("nation"),
-        F.lit(BATCH).alias(C.BATCH_SID),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey * 10 + 2 AS cust_sid",
+        "c_custkey AS cust_id",
+        "c_name AS name",
+        f"{REVISED_SEGMENT} AS segment",
+        "if(c_custkey % 7 = 3, c_nationkey + 100, c_nationkey) AS nation",
+        f"{BATCH} AS {C.BATCH_SID}",
     )
 
 
-def _versions(flag_when_current: Column, flag_when_past: Column) -> Column:
-    """A customer's versions: nine in ten have a current one, one in four a past one."""
-    key = F.col("c_custkey")
-    is_current, has_past = key % 10 != 9, key % 4 == 0
-    return F.explode(
-        F.when(is_current & has_past, F.array(flag_when_current, flag_when_past))
-        .when(is_current, F.array(flag_when_current))
-        .when(has_past, F.array(flag_when_past))
+def _versions(spark: SparkSession, sf_dir: str, current: str, past: str, name: str) -> DataFrame:
+    """Customers by version: nine in ten have a current one, one in four a past one."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "*",
+        f"explode(CASE WHEN c_custkey % 10 <> 9 AND c_custkey % 4 = 0 THEN array({current}, {past})"
+        f" WHEN c_custkey % 10 <> 9 THEN array({current})"
+        f" WHEN c_custkey % 4 = 0 THEN array({past}) END) AS {name}",
     )
 
 
 def type2_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flag = F.col(C.CURRENT)
-    is_current = flag == C.YES
-    past_nation = F.col("c_nationkey") + 1
-    customer = table(spark, sf_dir, "customer")
-    return customer.withColumn(C.CURRENT, _versions(F.lit(C.YES), F.lit(C.NO))).select(
-        (F.col("c_custkey") * 10 + F.when(is_current, 1).otherwise(0)).alias("cust_sid"),
-        F.col("c_custkey").alias("cust_id"),
-        F.when(is_current, moment("2023-07-01 00:00:00"))
-        .otherwise(moment("2023-01-01 00:00:00"))
-        .alias(C.EFFECTIVE),
-        F.when(~is_current, moment("2023-06-30 23:59:59")).alias(C.EXPIRATION),
-        flag,
-        F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("segment"),
-        F.when(is_current, F.col("c_nationkey")).otherwise(past_nation).alias("nation"),
-        *seed_audit(),
+    is_current = f"{C.CURRENT} = 'Y'"
+    started, restarted = moment("2023-01-01 00:00:00"), moment("2023-07-01 00:00:00")
+    return _versions(spark, sf_dir, "'Y'", "'N'", C.CURRENT).selectExpr(
+        f"c_custkey * 10 + if({is_current}, 1, 0) AS cust_sid",
+        "c_custkey AS cust_id",
+        f"if({is_current}, {restarted}, {started}) AS {C.EFFECTIVE}",
+        f"if({is_current}, NULL, {moment('2023-06-30 23:59:59')}) AS {C.EXPIRATION}",
+        C.CURRENT,
+        "c_name AS name",
+        "c_mktsegment AS segment",
+        f"if({is_current}, c_nationkey, c_nationkey + 1) AS nation",
+        *SEED_AUDIT,
+        SEED_EPOCH_COLUMN,
     )
 
 
 def hash_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    segment = F.when(F.col("c_custkey") % 5 == 1, "REVISED").otherwise(F.col("c_mktsegment"))
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("cust_id"),
-        F.col("c_name").alias("name"),
-        segment.alias("segment"),
-        F.col("c_nationkey").alias("nation"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS cust_id",
+        "c_name AS name",
+        "if(c_custkey % 5 = 1, 'REVISED', c_mktsegment) AS segment",
+        "c_nationkey AS nation",
     )
 
 
 def hash_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
-    flag = F.col(C.IS_CURRENT)
-    has_past = F.col("c_custkey") % 4 == 0
-    rows = customer.withColumn(C.IS_CURRENT, _versions(F.lit(True), F.lit(False))).select(
-        F.col("c_custkey").alias("cust_id"),
-        F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("segment"),
-        F.when(flag, F.col("c_nationkey")).otherwise(F.col("c_nationkey") + 1).alias("nation"),
-        F.when(flag & has_past, moment("2023-07-01 00:00:00"))
-        .otherwise(moment("2023-01-01 00:00:00"))
-        .alias(C.EFFECTIVE_DATE),
-        F.when(~flag, moment("2023-07-01 00:00:00")).alias(C.END_DATE),
-        flag,
-        F.when(flag & has_past, 2).otherwise(1).alias(C.VERSION),
+    second = f"{C.IS_CURRENT} AND c_custkey % 4 = 0"
+    started, restarted = moment("2023-01-01 00:00:00"), moment("2023-07-01 00:00:00")
+    rows = _versions(spark, sf_dir, "true", "false", C.IS_CURRENT).selectExpr(
+        "c_custkey AS cust_id",
+        "c_name AS name",
+        "c_mktsegment AS segment",
+        f"if({C.IS_CURRENT}, c_nationkey, c_nationkey + 1) AS nation",
+        f"if({second}, {restarted}, {started}) AS {C.EFFECTIVE_DATE}",
+        f"if({C.IS_CURRENT}, NULL, {restarted}) AS {C.END_DATE}",
+        C.IS_CURRENT,
+        f"if({second}, 2, 1) AS {C.VERSION}",
     )
     return rows.withColumn(C.ROW_HASH, row_hash(HASH_ATTRIBUTES))
 
 
 def part_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.when(F.col("p_partkey") % 6 == 2, F.col("p_size") + 50).otherwise(F.col("p_size"))
-    return table(spark, sf_dir, "part").select(
-        F.col("p_brand").alias("brand"),
-        F.col("p_partkey").alias("part_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("kind"),
-        size.alias("size"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_brand AS brand",
+        "p_partkey AS part_id",
+        "p_name AS name",
+        "p_type AS kind",
+        "if(p_partkey % 6 = 2, p_size + 50, p_size) AS size",
     )
 
 
 def part_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").where("p_partkey % 8 <> 5").select(
-        F.col("p_brand").alias("brand"),
-        F.col("p_partkey").alias("part_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("kind"),
-        F.col("p_size").alias("size"),
-        moment("2023-01-01 00:00:00").alias(C.EFFECTIVE_DATE),
-        moment(None).alias(C.END_DATE),
-        F.lit(True).alias(C.IS_CURRENT),
-        (F.col("p_partkey") % 3 + 1).cast("int").alias(C.VERSION),
+    rows = table(spark, sf_dir, "part").where("p_partkey % 8 <> 5").selectExpr(
+        "p_brand AS brand",
+        "p_partkey AS part_id",
+        "p_name AS name",
+        "p_type AS kind",
+        "p_size AS size",
+        f"{moment('2023-01-01 00:00:00')} AS {C.EFFECTIVE_DATE}",
+        f"{NO_MOMENT} AS {C.END_DATE}",
+        f"true AS {C.IS_CURRENT}",
+        f"CAST(p_partkey % 3 + 1 AS int) AS {C.VERSION}",
     )
     return rows.withColumn(C.ROW_HASH, row_hash(PART_ATTRIBUTES))
 
 
 def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("cust_id"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").alias("total"),
-        F.col("o_orderdate").alias("ordered_at"),
-        F.lit(BATCH).alias(C.BATCH_SID),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS cust_id",
+        "o_orderstatus AS status",
+        "o_totalprice AS total",
+        "o_orderdate AS ordered_at",
+        f"{BATCH} AS {C.BATCH_SID}",
     )
 
 
@@ -207,22 +193,19 @@ ORDER_FACT_DDL = (
 
 
 def order_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'O'")
-    return orders.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("cust_id"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("total"),
-        F.col("o_orderdate").alias("ordered_at"),
-        *seed_audit(),
+    return table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS cust_id",
+        "o_orderstatus AS status",
+        "CAST(o_totalprice AS decimal(12,2)) AS total",
+        "o_orderdate AS ordered_at",
+        *SEED_AUDIT,
+        SEED_EPOCH_COLUMN,
     )
 
 
 def order_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two orders in three, a fifth of them with another status than the source has."""
-    status = F.when(F.col("o_orderkey") % 5 == 0, "P").otherwise(F.col("o_orderstatus"))
-    return (
-        table(spark, sf_dir, "orders")
-        .where("o_orderkey % 3 <> 0")
-        .select(F.col("o_orderkey").alias("order_id"), status.alias("status"))
+    return table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").selectExpr(
+        "o_orderkey AS order_id", "if(o_orderkey % 5 = 0, 'P', o_orderstatus) AS status"
     )

@@ -17,9 +17,14 @@ MD5 = "md5"
 XXH64 = "xxh64"
 
 
+def sql_name(name: str) -> str:
+    """An exact name as SQL text, dots and blanks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column by its exact name, dots and blanks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by its exact name."""
+    return F.col(sql_name(name))
 
 
 def _columns(cols: Sequence[str | Column]) -> list[Column]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dimweave import columns as C
-from dimweave.functions.hashing import quoted
+from dimweave.functions.hashing import quoted, sql_name
 from dimweave.operators.conform import RAISE, conform
 from dimweave.operators.feeds import with_epoch_of
 from dimweave.operators.hash_scd2 import VERSION_COLUMNS
@@ -138,7 +138,7 @@ def merge_type1(feed: DataFrame, table: str, spec: LoadSpec) -> None:
 
     The feed must already be conformed and carry exactly the table's columns.
     """
-    sid = quoted_sql(spec.sid_key)
+    sid = sql_name(spec.sid_key)
     source = feed.alias("src")
     (
         source.mergeInto(table, F.expr(f"{table}.{sid} = src.{sid}"))
@@ -155,7 +155,7 @@ def merge_scd2_hash(
 ) -> None:
     """The hash-history apply as one MERGE, for catalogs that support row-level operations."""
     same_key = " AND ".join(
-        f"{table}.{quoted_sql(k)} = src.{quoted_sql(k)}" for k in key_list(keys)
+        f"{table}.{sql_name(k)} = src.{sql_name(k)}" for k in key_list(keys)
     )
     expiring = f"src.{C.MERGE_ACTION} = '{C.MERGE_EXPIRE}'"
     inserted = [*key_list(keys), *attributes, *VERSION_COLUMNS]
@@ -165,10 +165,6 @@ def merge_scd2_hash(
         .whenMatched()
         .update({c: F.col(f"src.{c}") for c in (C.END_DATE, C.IS_CURRENT)})
         .whenNotMatched(F.expr(f"src.{C.MERGE_ACTION} = '{C.MERGE_INSERT}'"))
-        .insert({c: F.col(f"src.{quoted_sql(c)}") for c in inserted})
+        .insert({c: F.col(f"src.{sql_name(c)}") for c in inserted})
         .merge()
     )
-
-
-def quoted_sql(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

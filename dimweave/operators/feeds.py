@@ -11,7 +11,7 @@ from dimweave import columns as C
 from dimweave.functions import audit, versions
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
 from dimweave.functions.hashing import digest_norm, hash_raw, quoted
-from dimweave.operators.joins import SOURCE, TARGET, pair, prefixed, s, slice_both, t
+from dimweave.operators.joins import SOURCE, TARGET, pair, prefixed, s, slice_both, t, unprefixed
 from dimweave.operators.roles import has, roles, spelled, without
 from dimweave.spec import LoadSpec
 
@@ -79,7 +79,7 @@ def type1_upsert_feed(
         audit.update_block(s(C.BATCH_SID), load_ts, t(C.INSERTED_BY), t(C.INSERTED_AT)),
     )
     return joined.where(is_new | (s("digest") != t("digest"))).select(
-        *[s(c).alias(c) for c in role.business],
+        *unprefixed(SOURCE, role.business),
         *_named(stamps),
         F.when(is_new, C.INSERT).otherwise(C.UPDATE).alias(C.ACTION),
     )
@@ -108,7 +108,7 @@ def upsert_all_matched_feed(
         audit.insert_block(F.lit(1), load_ts),
         audit.update_block(F.lit(1), load_ts, t(C.INSERTED_BY), t(C.INSERTED_AT)),
     )
-    return joined.select(*[s(c).alias(c) for c in business], *_named(stamps))
+    return joined.select(*unprefixed(SOURCE, business), *_named(stamps))
 
 
 def type1_hybrid_feed(
@@ -128,7 +128,7 @@ def type1_hybrid_feed(
     differs = (s(dim) == t(dim)) & (s("digest") != t("digest"))
     return source.join(versions_seen, differs, "left_semi").select(
         s(dim).cast(tgt.schema[dim].dataType).alias(dim),
-        *[s(c).alias(c) for c in attributes],
+        *unprefixed(SOURCE, attributes),
         F.lit(C.ETL_USER).alias(C.UPDATED_BY),
         audit.utc_time(load_ts).alias(C.UPDATED_AT),
         s(C.BATCH_SID).alias(C.BATCH_SID),
@@ -215,7 +215,7 @@ def type2_hybrid_feed(
             F.when(is_open, opened[c]).when(is_close, closed[c]).otherwise(t(c)).alias(c)
             for c in (C.EFFECTIVE, C.EXPIRATION, C.CURRENT)
         ],
-        *[s(c).alias(c) for c in role.type1],
+        *unprefixed(SOURCE, role.type1),
         *[F.when(is_open, s(c)).otherwise(t(c)).alias(c) for c in role.type2],
         *_named(stamps),
         F.when(is_open, C.INSERT).otherwise(C.UPDATE).alias(C.ACTION),

@@ -19,7 +19,7 @@ from dimweave.operators.joins import (
     key_list,
     next_version,
     rows_to_expire,
-    s,
+    unprefixed,
 )
 
 VERSION_COLUMNS = (C.ROW_HASH, C.EFFECTIVE_DATE, C.END_DATE, C.IS_CURRENT, C.VERSION)
@@ -37,7 +37,7 @@ def scd2_hash_changed(
     prepared = prepare_scd2(src, attributes, load_ts, algorithm)
     joined = join_current(prepared, tgt, keys, [C.ROW_HASH])
     changed = joined.where(changed_sha2(SOURCE + C.ROW_HASH, TARGET + C.ROW_HASH))
-    return changed.select(*[s(c).alias(c) for c in prepared.columns])
+    return changed.select(*unprefixed(SOURCE, prepared.columns))
 
 
 def scd2_hash_expire(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave import columns as C
-from dimweave.functions.hashing import quoted
+from dimweave.functions.hashing import quoted, sql_name
 
 SOURCE = "s__"
 TARGET = "t__"
@@ -29,8 +29,14 @@ def key_list(keys: Keys) -> list[str]:
 
 def prefixed(df: DataFrame, prefix: str, columns: Sequence[str], **extra: Column) -> DataFrame:
     """The given columns and extra expressions under one side's prefix; everything else is pruned."""
-    named = [quoted(c).alias(prefix + c) for c in columns]
-    return df.select(*named, *[expr.alias(prefix + name) for name, expr in extra.items()])
+    extra = {prefix + name: expr for name, expr in extra.items()}
+    named = [f"{sql_name(c)} AS {sql_name(prefix + c)}" for c in columns]
+    return (df.withColumns(extra) if extra else df).selectExpr(*named, *map(sql_name, extra))
+
+
+def unprefixed(prefix: str, columns: Sequence[str]) -> list[Column]:
+    """One side's columns under their own names."""
+    return [quoted(prefix + c).alias(c) for c in columns]
 
 
 def s(name: str) -> Column:
@@ -132,6 +138,6 @@ def next_version(changed: DataFrame, tgt: DataFrame, keys: Keys) -> DataFrame:
     rest = [c for c in changed.columns if c.lower() != C.VERSION]
     joined = pair(prefixed(changed, SOURCE, rest), newest, names, "left")
     return joined.select(
-        *[s(c).alias(c) for c in rest],
+        *unprefixed(SOURCE, rest),
         F.coalesce(t("newest") + 1, F.lit(1)).cast("int").alias(C.VERSION),
     )

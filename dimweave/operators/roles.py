@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from dimweave import columns as C
-from dimweave.functions.hashing import quoted
+from dimweave.functions.hashing import sql_name
 from dimweave.spec import LoadSpec
 
 
@@ -56,4 +56,4 @@ def roles(columns: Sequence[str], spec: LoadSpec) -> RoleSet:
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[quoted(c).alias(c) for c in columns])
+    return df.selectExpr(*[f"{sql_name(c)} AS {sql_name(c)}" for c in columns])
