@@ -153,7 +153,8 @@ def type2_hybrid_feed(
     any version that stays as it is but has other Type 1 values is overwritten. An inner join can be
     split by adaptive execution when one key has a very long history and can broadcast a small
     source, neither of which a left join from the source could. Source rows with a key the target
-    lacks come from an anti join against the target's keys, one row per key.
+    lacks come from an anti join against the target's keys, one row per key; rows without a key are
+    always new and skip it, lest they all meet in one task.
 
     A key that has history but no current version is not opened again unless ``reopen`` is set.
     """
@@ -193,7 +194,8 @@ def type2_hybrid_feed(
     rows = pairs.withColumn("kind", F.explode(kinds))
     if OPEN in branches:
         held = target.where(current | ~known) if reopen else target
-        fresh = pair(source, held.select(t(dim)).distinct(), dim, "left_anti")
+        keyed, keyless = source.where(s(dim).isNotNull()), source.where(s(dim).isNull())
+        fresh = pair(keyed, held.select(t(dim)).distinct(), dim, "left_anti").unionByName(keyless)
         rows = rows.unionByName(fresh.withColumn("kind", F.lit(OPEN)), allowMissingColumns=True)
 
     is_open, is_close = F.col("kind") == OPEN, F.col("kind") == CLOSE

@@ -10,6 +10,7 @@ only the keys of such a side matter they are reduced to one row per key before t
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,7 +128,7 @@ def next_version(changed: DataFrame, tgt: DataFrame, keys: Keys) -> DataFrame:
     """Changed rows with the version that follows the newest one of their key, 1 for a new key.
 
     The target's versions are reduced to one row per key before the shuffle, so a key with a long
-    history costs no more than any other.
+    history costs no more than any other. Rows with a NULL in the key are new and skip the join.
     """
     names = key_list(keys)
     newest = (
@@ -136,8 +137,12 @@ def next_version(changed: DataFrame, tgt: DataFrame, keys: Keys) -> DataFrame:
         .agg(F.max(t(C.VERSION)).alias(TARGET + "newest"))
     )
     rest = [c for c in changed.columns if c.lower() != C.VERSION]
-    joined = pair(prefixed(changed, SOURCE, rest), newest, names, "left")
-    return joined.select(
+    keyless = reduce(lambda a, b: a | b, [quoted(n).isNull() for n in names])
+    joined = pair(prefixed(changed.where(~keyless), SOURCE, rest), newest, names, "left")
+    numbered = joined.select(
         *unprefixed(SOURCE, rest),
         F.coalesce(t("newest") + 1, F.lit(1)).cast("int").alias(C.VERSION),
     )
+    return numbered.unionByName(
+        changed.where(keyless).select(*map(quoted, rest), F.lit(1).alias(C.VERSION))
+    )

@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,7 +15,13 @@ from dimweave.columns import BATCH_EPOCH
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
 from dimweave.functions.hashing import SHA256
 from dimweave.operators import checks
-from dimweave.operators.apply import apply_fact, apply_scd2_hash, apply_type1, apply_type2
+from dimweave.operators.apply import (
+    apply_fact,
+    apply_scd2_hash,
+    apply_type1,
+    apply_type2,
+    fact_rows,
+)
 from dimweave.operators.checks import held_by, measured_bytes, require_unique
 from dimweave.operators.cleanup import (
     keep_latest_batch,
@@ -28,7 +35,7 @@ from dimweave.operators.hash_scd2 import scd2_hash_changed, scd2_hash_feed
 from dimweave.operators.joins import Keys
 from dimweave.operators.roles import without
 from dimweave.operators.skew import hot_buckets
-from dimweave.sources.files import stage, staging_dir
+from dimweave.sources.files import stage, staging_dir, write_result, write_scd_table
 from dimweave.spec import FACT, TYPE1, TYPE2, LoadSpec
 
 
@@ -134,6 +141,37 @@ def run_load(
     return LoadResult(feed, publish(feed, tgt, spec, epoch, schema, on_overflow))
 
 
+def load_table(
+    spark: SparkSession,
+    spec: LoadSpec,
+    load_ts: LoadTime,
+    epoch: int | None = None,
+    snapshot_path: str | None = None,
+    **options: Any,
+) -> None:
+    """Load the spec's source table into its target table.
+
+    Facts are appended in place: only the new rows are written. A dimension's next snapshot goes to
+    ``snapshot_path``, because the table it replaces is read meanwhile; Type 2 snapshots get the
+    history layout. ``options`` are those of ``run_load``.
+    """
+    src, tgt = spark.table(spec.source_table), spark.table(spec.target_table)
+    kind = spec.kind
+    options = {"schema": tgt.schema, **options}
+    if kind == FACT:
+        feed = build_feed(spec, src, tgt, load_ts, epoch, options.get("predicate"))
+        rows = fact_rows(feed, options["schema"], epoch, options.get("on_overflow", RAISE))
+        rows.write.insertInto(spec.target_table)
+        return
+    if not snapshot_path:
+        raise ValueError("a dimension load needs a snapshot_path")
+    snapshot = run_load(spec, src, tgt, load_ts, epoch, **options).snapshot
+    if kind == TYPE2:
+        write_scd_table(snapshot, snapshot_path, spec.dim_key)
+    else:
+        write_result(snapshot, snapshot_path, mode="errorifexists")
+
+
 def run_scd2_hash(
     src: DataFrame,
     tgt: DataFrame,

@@ -59,3 +59,25 @@ def sid64(text):
     if not text:
         return 0
     return int.from_bytes(hashlib.sha1(text.encode()).digest()[-8:], "big", signed=True)
+
+
+def hash_history(source, target, key, attributes):
+    """Next (key, attributes, version, current) rows; source keys are unique."""
+
+    def values(row):
+        return "|".join("" if row[c] is None else str(row[c]) for c in attributes)
+
+    out, ended = [], set()
+    for s in source:
+        mine = [t for t in target if s[key] is not None and t[key] == s[key]]
+        live = [t for t in mine if t["is_current"]]
+        differing = [t for t in live if values(t) != values(s)]
+        for _ in differing if live else [None]:
+            version = max((t["version"] for t in mine), default=0) + 1
+            out.append((s[key], values(s), version, True))
+        if differing:
+            ended.add(s[key])
+    for t in target:
+        current = t["is_current"] and t[key] not in ended
+        out.append((t[key], values(t), t["version"], current))
+    return out

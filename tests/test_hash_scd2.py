@@ -3,7 +3,10 @@
 from collections import Counter
 from datetime import datetime
 
+import models
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dimweave import columns as C
@@ -127,3 +130,25 @@ def test_two_current_rows_of_a_key_both_end(spark):
     assert sorted((r.a, r.is_current, r.version) for r in snapshot) == [
         ("a", False, 1), ("b", False, 2), ("c", True, 3),
     ]
+
+
+cell = st.one_of(st.none(), st.sampled_from(["", "a", "A"]))
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), cell), max_size=5, unique_by=lambda r: r[0]),
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), cell, st.booleans()), max_size=8),
+)
+def test_snapshot_equals_model(spark, src_rows, tgt_rows):
+    """Several current versions of a key, history only, and rows without a key included."""
+    src = spark.createDataFrame(src_rows, "k int, a string")
+    numbered = [(*r, i + 1) for i, r in enumerate(tgt_rows)]
+    tgt = spark.createDataFrame(numbered, "k int, a string, c boolean, v int")
+    tgt = prepare_scd2(tgt, ["a"], OLD).withColumns({C.IS_CURRENT: F.col("c"), C.VERSION: F.col("v")})
+    tgt = tgt.drop("c", "v")
+    got = load.run_scd2_hash(src, tgt, "k", ["a"], LOAD, staged=False).snapshot.collect()
+    want = models.hash_history(src.collect(), tgt.collect(), "k", ["a"])
+    assert Counter((r.k, r.a or "", r.version, r.is_current) for r in got) == Counter(want)
