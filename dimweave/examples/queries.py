@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -296,6 +298,40 @@ def scd2_hash_snapshot_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).snapshot
 
 
+# --- written and read back ------------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder in the cluster's shared one; a local session without one gets its own."""
+    shared = files.staging_dir(spark)
+    if shared:
+        return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("a cluster must name a shared folder in spark.checkpoint.dir")
+    return tempfile.mkdtemp(prefix="dimweave-")
+
+
+def write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A script's result, persisted."""
+    out = f"{_scratch(spark)}/totals"
+    for name in ("customer", "nation"):
+        X.table(spark, sf_dir, name).createOrReplaceTempView(f"script_{name}")
+    catalog.run_sql_script(spark, SCRIPT, out, params={"min_balance": 0})
+    return files.read_source(spark, out)
+
+
+def stage_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = type1_upsert_feed(spark, sf_dir)
+    return files.stage(feed, _scratch(spark), X.CUSTOMER_TYPE1.target_table, X.BATCH)
+
+
+def history_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current slice of a written history table: one partition is read."""
+    path = f"{_scratch(spark)}/history"
+    files.write_scd_table(X.type2_target(spark, sf_dir), path, "cust_id")
+    return joins.current_slice(files.read_source(spark, path)).select("cust_sid", "nation")
+
+
 # --- apply, load, cleanup -------------------------------------------------------------------------
 
 
@@ -409,6 +445,9 @@ def queries() -> dict[str, Query]:
         "scd2_hash_feed": scd2_hash_feed,
         "scd2_hash_snapshot": scd2_hash_snapshot,
         "scd2_hash_snapshot_composite": scd2_hash_snapshot_composite,
+        "write_result": write_result,
+        "stage_feed": stage_feed,
+        "history_layout": history_layout,
         "type1_apply": type1_apply,
         "type2_apply": type2_apply,
         "fact_apply": fact_apply,
