@@ -341,6 +341,12 @@ def type1_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def upsert_all_matched_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed replaces the rows it matches; appending it would repeat them."""
+    target = X.type1_target(spark, sf_dir, epoch=False)
+    return apply.apply_type1(target, upsert_all_matched_feed(spark, sf_dir), X.CUSTOMER_TYPE1)
+
+
 def type2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _type2(*feeds.BRANCHES)(spark, sf_dir)
     return apply.apply_type2(X.type2_target(spark, sf_dir), feed, X.CUSTOMER_TYPE2, X.EPOCH)
@@ -449,6 +455,7 @@ def queries() -> dict[str, Query]:
         "stage_feed": stage_feed,
         "history_layout": history_layout,
         "type1_apply": type1_apply,
+        "upsert_all_matched_apply": upsert_all_matched_apply,
         "type2_apply": type2_apply,
         "fact_apply": fact_apply,
         "run_load_type1": run_load_type1,
