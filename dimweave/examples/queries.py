@@ -332,6 +332,28 @@ def history_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.current_slice(files.read_source(spark, path)).select("cust_sid", "nation")
 
 
+def add_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of two registered directories; a third one is left out.
+
+    The table only lives while its rows are copied out, so that no catalog keeps it.
+    """
+    scratch, name = _scratch(spark), f"orders_{uuid.uuid4().hex}"
+    orders = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    orders.write.partitionBy("o_orderstatus").parquet(f"{scratch}/loads")
+    spark.sql(
+        f"CREATE TABLE {name} (o_orderkey bigint, o_custkey bigint, o_orderstatus string)"
+        f" USING parquet PARTITIONED BY (o_orderstatus) LOCATION '{scratch}/table'"
+    )
+    try:
+        for status in ("F", "O", "F"):
+            location = f"{scratch}/loads/o_orderstatus={status}"
+            catalog.add_partition(spark, name, {"o_orderstatus": status}, location)
+        files.write_result(spark.table(name), f"{scratch}/copy")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return files.read_source(spark, f"{scratch}/copy")
+
+
 # --- apply, load, cleanup -------------------------------------------------------------------------
 
 
@@ -454,6 +476,7 @@ def queries() -> dict[str, Query]:
         "write_result": write_result,
         "stage_feed": stage_feed,
         "history_layout": history_layout,
+        "add_partition": add_partition,
         "type1_apply": type1_apply,
         "upsert_all_matched_apply": upsert_all_matched_apply,
         "type2_apply": type2_apply,
