@@ -24,7 +24,7 @@ from dimweave.operators.joins import (
     Keys,
     current_slice,
     key_list,
-    pair,
+    pair_reduced,
     prefixed,
     s,
     t,
@@ -119,7 +119,7 @@ def apply_scd2_hash(target: DataFrame, feed: DataFrame, keys: Keys) -> DataFrame
         .agg(F.max(t(C.END_DATE)).alias(TARGET + C.END_DATE), F.lit(True).alias(TARGET + "hit"))
     )
     current = prefixed(current_slice(target, C.IS_CURRENT), SOURCE, target.columns)
-    joined = pair(current, expires, names, "left")
+    joined = pair_reduced(current, expires, names, "left")
     hit = t("hit").isNotNull()
     ended = {
         C.END_DATE: F.when(hit, t(C.END_DATE)).otherwise(s(C.END_DATE)),

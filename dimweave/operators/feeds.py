@@ -11,7 +11,17 @@ from dimweave import columns as C
 from dimweave.functions import audit, versions
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
 from dimweave.functions.hashing import digest_norm, hash_raw, quoted
-from dimweave.operators.joins import SOURCE, TARGET, pair, prefixed, s, slice_both, t, unprefixed
+from dimweave.operators.joins import (
+    SOURCE,
+    TARGET,
+    pair,
+    pair_reduced,
+    prefixed,
+    s,
+    slice_both,
+    t,
+    unprefixed,
+)
 from dimweave.operators.roles import has, roles, spelled, without
 from dimweave.spec import LoadSpec
 
@@ -195,7 +205,8 @@ def type2_hybrid_feed(
     if OPEN in branches:
         held = target.where(current | ~known) if reopen else target
         keyed, keyless = source.where(s(dim).isNotNull()), source.where(s(dim).isNull())
-        fresh = pair(keyed, held.select(t(dim)).distinct(), dim, "left_anti").unionByName(keyless)
+        fresh = pair_reduced(keyed, held.select(t(dim)).distinct(), dim, "left_anti")
+        fresh = fresh.unionByName(keyless)
         rows = rows.unionByName(fresh.withColumn("kind", F.lit(OPEN)), allowMissingColumns=True)
 
     is_open, is_close = F.col("kind") == OPEN, F.col("kind") == CLOSE

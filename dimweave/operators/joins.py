@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from dimweave import columns as C
 from dimweave.functions.hashing import quoted, sql_name
+from dimweave.operators.skew import hashes_as_it_compares, key_bucket
 
 SOURCE = "s__"
 TARGET = "t__"
+BUCKET = "key_bucket"
 
 Keys = str | Sequence[str]
 
@@ -57,6 +59,23 @@ def pair(left: DataFrame, right: DataFrame, keys: Keys, how: str) -> DataFrame:
     return left.join(right, condition, how)
 
 
+def pair_reduced(left: DataFrame, reduced: DataFrame, keys: Keys, how: str) -> DataFrame:
+    """``pair`` with a target side that an aggregate has reduced to one row per key.
+
+    Spark would join right on the aggregate's partitioning, a form adaptive execution cannot split
+    when the left side has a hot key. The key's bucket as a further join key changes no match but
+    puts a shuffle of the reduced rows below the join.
+    """
+    names = key_list(keys)
+    kinds = left.select(*map(s, names)).schema, reduced.select(*map(t, names)).schema
+    for a, b in zip(*kinds, strict=True):
+        if a.dataType != b.dataType or not hashes_as_it_compares(a.dataType):
+            return pair(left, reduced, names, how)
+    left = left.withColumn(SOURCE + BUCKET, key_bucket([SOURCE + n for n in names]))
+    reduced = reduced.withColumn(TARGET + BUCKET, key_bucket([TARGET + n for n in names]))
+    return pair(left, reduced, [*names, BUCKET], how).drop(SOURCE + BUCKET, TARGET + BUCKET)
+
+
 def slice_both(
     src: DataFrame, tgt: DataFrame, predicate: str | Column | None
 ) -> tuple[DataFrame, DataFrame]:
@@ -138,7 +157,7 @@ def next_version(changed: DataFrame, tgt: DataFrame, keys: Keys) -> DataFrame:
     )
     rest = [c for c in changed.columns if c.lower() != C.VERSION]
     keyless = reduce(lambda a, b: a | b, [quoted(n).isNull() for n in names])
-    joined = pair(prefixed(changed.where(~keyless), SOURCE, rest), newest, names, "left")
+    joined = pair_reduced(prefixed(changed.where(~keyless), SOURCE, rest), newest, names, "left")
     numbered = joined.select(
         *unprefixed(SOURCE, rest),
         F.coalesce(t("newest") + 1, F.lit(1)).cast("int").alias(C.VERSION),

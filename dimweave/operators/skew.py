@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimweave.functions.hashing import quoted
 
@@ -16,17 +17,38 @@ HOT_ROWS = 1_000_000
 HOT_FACTOR = 8
 
 
+BINARY_COLLATION = "UTF8_BINARY"
+PLAIN_TYPES = (
+    T.IntegralType,
+    T.DecimalType,
+    T.BooleanType,
+    T.BinaryType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
+
+
+def hashes_as_it_compares(kind: T.DataType) -> bool:
+    """Whether equal values of a type always share a hash: not so under a looser collation."""
+    if isinstance(kind, T.StringType):
+        return kind.collation == BINARY_COLLATION
+    return isinstance(kind, PLAIN_TYPES)
+
+
 def key_bucket(keys: Sequence[str]) -> Column:
     """Hash bucket of a key; all rows of a key share one."""
     return F.pmod(F.xxhash64(*map(quoted, keys)), F.lit(BUCKETS)).cast("int")
 
 
 def hot_buckets(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Buckets that hold far more rows than the average one.
+    """Buckets that hold far more rows than the average one; none for keys no bucket can hold.
 
     One scan of the key columns and a count per bucket, aggregated before the shuffle; at most
     ``BUCKETS`` pairs of integers reach the driver, whatever the size of the table.
     """
+    if not all(hashes_as_it_compares(f.dataType) for f in df.select(*map(quoted, keys)).schema):
+        return []
     counts = df.groupBy(key_bucket(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     found = counts.collect()
     limit = max(hot_rows, HOT_FACTOR * sum(row.n for row in found) / BUCKETS)

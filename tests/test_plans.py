@@ -151,6 +151,32 @@ def test_hot_source_key_is_split(spark, small_skew):
     assert "SortMergeJoin(skew=true)" in plan and rows == ROWS
 
 
+def test_hot_source_key_meets_reduced_targets(spark, small_skew):
+    """Anti and left joins against one row per key: the left side is split all the same."""
+    source = spark.range(0, ROWS, 1, 16).select(
+        third(-1).alias("s__dim"), F.md5(F.col("id").cast("string")).alias("s__a")
+    )
+    held = spark.range(0, ROWS, 1, 16).select((F.col("id") % 1000).alias("t__dim")).distinct()
+    rows, plan = final_plan(joins.pair_reduced(source, held, "dim", "left_anti"))
+    assert "SortMergeJoin(skew=true)" in plan and rows == ROWS - 666
+    changed = source.select(F.col("s__dim").alias("dim"), F.col("s__a").alias("a"))
+    target = spark.range(0, ROWS, 1, 16).select(third(-1).alias("dim"), F.lit(2).alias("version"))
+    numbered = joins.next_version(changed, target, "dim")
+    rows, plan = final_plan(numbered)
+    assert "SortMergeJoin(skew=true)" in plan and rows == ROWS
+    assert numbered.where("version = 3").count() == ROWS
+
+
+def test_keys_of_unlike_types_still_match(spark):
+    source = spark.createDataFrame([(1,), (3,)], "s__dim int")
+    reduced = spark.sql("SELECT CAST(id AS decimal(10,2)) AS t__dim FROM range(1, 3)")
+    assert joins.pair_reduced(source, reduced, "dim", "left_anti").collect() == [(3,)]
+    loose = spark.createDataFrame([("A",), ("b",)], "s__dim string collate utf8_lcase")
+    held = spark.createDataFrame([("a",)], "t__dim string collate utf8_lcase")
+    assert joins.pair_reduced(loose, held, "dim", "left_anti").collect() == [("b",)]
+    assert skew.hot_buckets(loose, ["s__dim"], hot_rows=0) == []
+
+
 @pytest.mark.parametrize("kept", [True, False])
 def test_hot_key_of_a_cleanup_is_split(spark, small_skew, kept):
     """Half of the hot key's rows tie at its newest epoch."""
