@@ -32,6 +32,9 @@ from dimweave.operators.joins import (
 from dimweave.operators.roles import project, spelled
 from dimweave.spec import LoadSpec
 
+# A name no table column has.
+HIT = "#hit"
+
 
 def _replace_by_sid(
     target: DataFrame,
@@ -116,11 +119,11 @@ def apply_scd2_hash(target: DataFrame, feed: DataFrame, keys: Keys) -> DataFrame
             feed.where(F.col(C.MERGE_ACTION) == C.MERGE_EXPIRE), TARGET, [*names, C.END_DATE]
         )
         .groupBy(*[TARGET + n for n in names])
-        .agg(F.max(t(C.END_DATE)).alias(TARGET + C.END_DATE), F.lit(True).alias(TARGET + "hit"))
+        .agg(F.max(t(C.END_DATE)).alias(TARGET + C.END_DATE), F.lit(True).alias(TARGET + HIT))
     )
     current = prefixed(current_slice(target, C.IS_CURRENT), SOURCE, target.columns)
     joined = pair_reduced(current, expires, names, "left")
-    hit = t("hit").isNotNull()
+    hit = t(HIT).isNotNull()
     ended = {
         C.END_DATE: F.when(hit, t(C.END_DATE)).otherwise(s(C.END_DATE)),
         C.IS_CURRENT: F.when(hit, F.lit(False)).otherwise(s(C.IS_CURRENT)),

@@ -28,6 +28,8 @@ from dimweave.operators.skew import hot_buckets, key_bucket
 
 OLDEST = "oldest_epoch"
 NEWEST = "newest_epoch"
+# A name no table column has.
+OF_KEY = "#newest"
 
 
 def _key(primary_key: Sequence[str], epoch_col: str) -> list[str]:
@@ -58,8 +60,9 @@ def _compare(
         hot = hot_buckets(rows, key)
     cold_rows = rows.where(~key_bucket(key).isin(*hot)) if hot else rows
     newest = F.max(quoted(epoch_col)).over(Window.partitionBy(*map(quoted, key)))
-    wanted = quoted(epoch_col) == F.col(NEWEST) if kept else quoted(epoch_col) < F.col(NEWEST)
-    compared = cold_rows.withColumn(NEWEST, newest).where(wanted).drop(NEWEST)
+    of_key = quoted(OF_KEY)
+    wanted = quoted(epoch_col) == of_key if kept else quoted(epoch_col) < of_key
+    compared = cold_rows.withColumn(OF_KEY, newest).where(wanted).drop(OF_KEY)
     if not hot:
         return compared
     hot_rows = rows.where(key_bucket(key).isin(*hot))

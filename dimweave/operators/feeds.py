@@ -30,6 +30,11 @@ CLOSE = "close"
 OVERWRITE = "overwrite"
 BRANCHES = (OPEN, CLOSE, OVERWRITE)
 
+# Names no table column has.
+DIGEST = "#digest"
+DIGEST1 = "#digest1"
+DIGEST2 = "#digest2"
+
 
 def _named(block: dict[str, Column]) -> list[Column]:
     return [expr.alias(name) for name, expr in block.items()]
@@ -74,11 +79,11 @@ def type1_upsert_feed(
     """
     src, tgt = slice_both(src, tgt, predicate)
     role = roles(tgt.columns, spec)
-    digest = digest_norm(role.type1_upsert)
+    digest = {DIGEST: digest_norm(role.type1_upsert)}
     sid = spelled(tgt.columns, spec.sid_key)
     joined = pair(
-        prefixed(src, SOURCE, [*role.business, C.BATCH_SID], digest=digest),
-        prefixed(tgt, TARGET, [sid, C.INSERTED_BY, C.INSERTED_AT], digest=digest),
+        prefixed(src, SOURCE, [*role.business, C.BATCH_SID], digest),
+        prefixed(tgt, TARGET, [sid, C.INSERTED_BY, C.INSERTED_AT], digest),
         sid,
         "left",
     )
@@ -88,7 +93,7 @@ def type1_upsert_feed(
         audit.insert_block(s(C.BATCH_SID), load_ts),
         audit.update_block(s(C.BATCH_SID), load_ts, t(C.INSERTED_BY), t(C.INSERTED_AT)),
     )
-    return joined.where(is_new | (s("digest") != t("digest"))).select(
+    return joined.where(is_new | (s(DIGEST) != t(DIGEST))).select(
         *unprefixed(SOURCE, role.business),
         *_named(stamps),
         F.when(is_new, C.INSERT).otherwise(C.UPDATE).alias(C.ACTION),
@@ -131,11 +136,11 @@ def type1_hybrid_feed(
     """
     dim = spelled(tgt.columns, spec.dim_key)
     attributes = [spelled(tgt.columns, c) for c in spec.scd_type1_attributes]
-    digest = F.unhex(hash_raw(attributes))
-    source = prefixed(src, SOURCE, [dim, *attributes, C.BATCH_SID], digest=digest).distinct()
+    digest = {DIGEST: F.unhex(hash_raw(attributes))}
+    source = prefixed(src, SOURCE, [dim, *attributes, C.BATCH_SID], digest).distinct()
     known = tgt.where(quoted(spec.sid_key).isNotNull())
-    versions_seen = prefixed(known, TARGET, [dim], digest=digest).distinct()
-    differs = (s(dim) == t(dim)) & (s("digest") != t("digest"))
+    versions_seen = prefixed(known, TARGET, [dim], digest).distinct()
+    differs = (s(dim) == t(dim)) & (s(DIGEST) != t(DIGEST))
     return source.join(versions_seen, differs, "left_semi").select(
         s(dim).cast(tgt.schema[dim].dataType).alias(dim),
         *unprefixed(SOURCE, attributes),
@@ -174,22 +179,22 @@ def type2_hybrid_feed(
     src, tgt = slice_both(src, tgt, predicate)
     role = roles(tgt.columns, spec)
     sid, dim = spelled(tgt.columns, spec.sid_key), spelled(tgt.columns, spec.dim_key)
-    digests = {"digest1": digest_norm(role.type1), "digest2": digest_norm(role.type2)}
+    digests = {DIGEST1: digest_norm(role.type1), DIGEST2: digest_norm(role.type2)}
     from_source = [sid, dim, *role.type1, *role.type2, C.BATCH_SID]
     from_target = [
         sid, dim, C.EFFECTIVE, C.EXPIRATION, C.CURRENT, *role.type2, C.INSERTED_BY, C.INSERTED_AT,
     ]
-    source = prefixed(src, SOURCE, from_source, **digests)
-    target = prefixed(tgt, TARGET, from_target, **digests)
+    source = prefixed(src, SOURCE, from_source, digests)
+    target = prefixed(tgt, TARGET, from_target, digests)
 
     known = t(sid).isNotNull()
     current = t(C.CURRENT) == C.YES
-    new_version = s("digest2") != t("digest2")
+    new_version = s(DIGEST2) != t(DIGEST2)
     opens = ~known | (current & new_version)
     closes = known & current & new_version
     overwrites = (
         known
-        & (s("digest1") != t("digest1"))
+        & (s(DIGEST1) != t(DIGEST1))
         & ((t(C.CURRENT) == C.NO) | (current & ~new_version))
     )
     wanted = {OPEN: opens, CLOSE: closes, OVERWRITE: overwrites}

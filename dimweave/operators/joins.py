@@ -1,15 +1,16 @@
 """Source to target matching.
 
 No side is hinted as broadcast here: Spark broadcasts a side only when its size is below
-``spark.sql.autoBroadcastJoinThreshold`` (``checks.held_by`` does so after weighing). Beyond it the joins are written so that adaptive execution
-can split a hot key. It can split either side of an inner join but only the left side of a left, semi
-or anti join, so the side that may hold many rows per key is never the right side of those; where
-only the keys of such a side matter they are reduced to one row per key before the shuffle.
+``spark.sql.autoBroadcastJoinThreshold`` (``checks.held_by`` does so after weighing). Beyond it the
+joins are written so that adaptive execution can split a hot key. It can split either side of an
+inner join but only the left side of a left, semi or anti join, so a side that may hold many rows
+per key is no right side of those; where only the keys of such a side matter they are reduced to one
+row per key before the shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,9 @@ from dimweave.operators.skew import hashes_as_it_compares, key_bucket
 
 SOURCE = "s__"
 TARGET = "t__"
-BUCKET = "key_bucket"
+# Names no table column has.
+BUCKET = "#bucket"
+NEWEST = "#newest"
 
 Keys = str | Sequence[str]
 
@@ -30,9 +33,14 @@ def key_list(keys: Keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def prefixed(df: DataFrame, prefix: str, columns: Sequence[str], **extra: Column) -> DataFrame:
-    """The given columns and extra expressions under one side's prefix; everything else is pruned."""
-    extra = {prefix + name: expr for name, expr in extra.items()}
+def prefixed(
+    df: DataFrame,
+    prefix: str,
+    columns: Sequence[str],
+    expressions: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """The given columns and expressions under one side's prefix; everything else is pruned."""
+    extra = {prefix + name: expr for name, expr in (expressions or {}).items()}
     named = [f"{sql_name(c)} AS {sql_name(prefix + c)}" for c in columns]
     return (df.withColumns(extra) if extra else df).selectExpr(*named, *map(sql_name, extra))
 
@@ -153,14 +161,14 @@ def next_version(changed: DataFrame, tgt: DataFrame, keys: Keys) -> DataFrame:
     newest = (
         prefixed(tgt, TARGET, [*names, C.VERSION])
         .groupBy(*[TARGET + n for n in names])
-        .agg(F.max(t(C.VERSION)).alias(TARGET + "newest"))
+        .agg(F.max(t(C.VERSION)).alias(TARGET + NEWEST))
     )
     rest = [c for c in changed.columns if c.lower() != C.VERSION]
     keyless = reduce(lambda a, b: a | b, [quoted(n).isNull() for n in names])
     joined = pair_reduced(prefixed(changed.where(~keyless), SOURCE, rest), newest, names, "left")
     numbered = joined.select(
         *unprefixed(SOURCE, rest),
-        F.coalesce(t("newest") + 1, F.lit(1)).cast("int").alias(C.VERSION),
+        F.coalesce(t(NEWEST) + 1, F.lit(1)).cast("int").alias(C.VERSION),
     )
     return numbered.unionByName(
         changed.where(keyless).select(*map(quoted, rest), F.lit(1).alias(C.VERSION))

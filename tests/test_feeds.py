@@ -369,7 +369,8 @@ def limit_broadcast(limit):
 
 
 def test_cleanup_is_idempotent(spark):
-    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, 1, "d")], "k int, e int, v string")
+    rows = [(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, 1, "d")]
+    df = spark.createDataFrame(rows, "k int, e int, v string")
     once = cleanup.keep_latest_batch(df, ["k"], "e")
     assert sorted(r.v for r in once.collect()) == ["a", "b", "d"]
     assert Counter(cleanup.keep_latest_batch(once, ["k"], "e").collect()) == Counter(once.collect())

@@ -76,7 +76,9 @@ def test_surrogate_key_of_blank_parts_is_zero(spark):
 
 
 def test_conform_cuts_pads_and_orders(spark):
-    df = spark.createDataFrame([("abcdef", "ab", 1.127, "7", 1)], "v string, c string, d double, i string, x int")
+    df = spark.createDataFrame(
+        [("abcdef", "ab", 1.127, "7", 1)], "v string, c string, d double, i string, x int"
+    )
     row = conform(df, "i int, v varchar(3), c char(4), d decimal(5,2)").first()
     assert row.asDict() == {"i": 7, "v": "abc", "c": "ab  ", "d": Decimal("1.13")}
     assert list(row.asDict()) == ["i", "v", "c", "d"]

@@ -132,6 +132,7 @@ def test_two_current_rows_of_a_key_both_end(spark):
     ]
 
 
+keys = st.one_of(st.none(), st.integers(0, 4))
 cell = st.one_of(st.none(), st.sampled_from(["", "a", "A"]))
 
 
@@ -139,8 +140,8 @@ cell = st.one_of(st.none(), st.sampled_from(["", "a", "A"]))
     max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
-    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), cell), max_size=5, unique_by=lambda r: r[0]),
-    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), cell, st.booleans()), max_size=8),
+    st.lists(st.tuples(keys, cell), max_size=5, unique_by=lambda r: r[0]),
+    st.lists(st.tuples(keys, cell, st.booleans()), max_size=8),
 )
 def test_snapshot_equals_model(spark, src_rows, tgt_rows):
     """Several current versions of a key, history only, and rows without a key included."""

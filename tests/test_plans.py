@@ -60,7 +60,7 @@ def test_target_is_reduced_before_its_shuffle(spark):
         X.type2_source(spark, SF_DIR), X.type2_target(spark, SF_DIR), X.CUSTOMER_TYPE2, LOAD
     )
     plan = physical(feed)
-    assert "t__digest1" in plan and "t__name" not in plan and "t__segment" not in plan
+    assert "t__#digest1" in plan and "t__name" not in plan and "t__segment" not in plan
 
 
 @pytest.fixture

@@ -142,7 +142,8 @@ def test_merge_is_left_to_capable_catalogs(spark):
     spark.sql("CREATE TABLE plain_dim (sid bigint) USING parquet")
     try:
         with pytest.raises(Exception, match="MERGE"):
-            apply.merge_type1(spark.range(2).toDF("sid"), "plain_dim", LoadSpec("DIM", "Type1", "sid", "sid"))
+            spec = LoadSpec("DIM", "Type1", "sid", "sid")
+            apply.merge_type1(spark.range(2).toDF("sid"), "plain_dim", spec)
         feed = spark.sql("SELECT 1 AS sid, 'x' AS a, 'h' AS row_hash, now() AS effective_date,"
                          " now() AS end_date, true AS is_current, 1 AS version,"
                          " 'INSERT' AS merge_action")
