@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +14,8 @@ from dimweave.functions.hashing import digest_norm, hash_raw, quoted
 from dimweave.operators.joins import (
     SOURCE,
     TARGET,
+    join_versions,
     pair,
-    pair_reduced,
     prefixed,
     s,
     slice_both,
@@ -160,16 +160,15 @@ def type2_hybrid_feed(
     predicate: str | Column | None = None,
     branches: Collection[str] = BRANCHES,
     reopen: bool = False,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Versions to open, close and overwrite in a dimension with Type 1 and Type 2 attributes.
 
-    Source rows meet every version of their business key once, in an inner join, and each pair names
-    the branches it feeds: a current version with a Type 2 change is closed and its successor opened;
-    any version that stays as it is but has other Type 1 values is overwritten. An inner join can be
-    split by adaptive execution when one key has a very long history and can broadcast a small
-    source, neither of which a left join from the source could. Source rows with a key the target
-    lacks come from an anti join against the target's keys, one row per key; rows without a key are
-    always new and skip it, lest they all meet in one task.
+    Source rows meet every version of their business key in one join, and each pair names the
+    branches it feeds: a current version with a Type 2 change is closed and its successor opened; any
+    version that stays as it is but has other Type 1 values is overwritten; a source row without a
+    version is opened. ``hot`` lists key buckets with very long histories; without it they are
+    counted first (``joins.join_versions``).
 
     A key that has history but no current version is not opened again unless ``reopen`` is set.
     """
@@ -205,14 +204,12 @@ def type2_hybrid_feed(
     kinds = F.when(F.lit(both) & opens & closes, F.array(F.lit(OPEN), F.lit(CLOSE)))
     for name in branches:
         kinds = kinds.when(wanted[name], F.array(F.lit(name)))
-    pairs = pair(source, target, dim, "inner").where(either)
-    rows = pairs.withColumn("kind", F.explode(kinds))
     if OPEN in branches:
-        held = target.where(current | ~known) if reopen else target
-        keyed, keyless = source.where(s(dim).isNotNull()), source.where(s(dim).isNull())
-        fresh = pair_reduced(keyed, held.select(t(dim)).distinct(), dim, "left_anti")
-        fresh = fresh.unionByName(keyless)
-        rows = rows.unionByName(fresh.withColumn("kind", F.lit(OPEN)), allowMissingColumns=True)
+        held = current | ~known if reopen else None
+        joined = join_versions(source, target, dim, hot, held)
+    else:
+        joined = pair(source, target, dim, "inner")
+    rows = joined.where(either).withColumn("kind", F.explode(kinds))
 
     is_open, is_close = F.col("kind") == OPEN, F.col("kind") == CLOSE
     opened = versions.open_block(load_ts, zone)

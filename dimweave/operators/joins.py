@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from dimweave import columns as C
 from dimweave.functions.hashing import quoted, sql_name
-from dimweave.operators.skew import hashes_as_it_compares, key_bucket
+from dimweave.operators.skew import hashes_as_it_compares, hot_buckets, key_bucket
 
 SOURCE = "s__"
 TARGET = "t__"
@@ -67,6 +67,16 @@ def pair(left: DataFrame, right: DataFrame, keys: Keys, how: str) -> DataFrame:
     return left.join(right, condition, how)
 
 
+def comparable_buckets(left: DataFrame, right: DataFrame, keys: Keys) -> bool:
+    """Whether equal keys of a source-prefixed and a target-prefixed side share a bucket."""
+    names = key_list(keys)
+    kinds = left.select(*map(s, names)).schema, right.select(*map(t, names)).schema
+    return all(
+        a.dataType == b.dataType and hashes_as_it_compares(a.dataType)
+        for a, b in zip(*kinds, strict=True)
+    )
+
+
 def pair_reduced(left: DataFrame, reduced: DataFrame, keys: Keys, how: str) -> DataFrame:
     """``pair`` with a target side that an aggregate has reduced to one row per key.
 
@@ -75,15 +85,52 @@ def pair_reduced(left: DataFrame, reduced: DataFrame, keys: Keys, how: str) -> D
     puts a shuffle of the reduced rows below the join.
     """
     names = key_list(keys)
-    kinds = left.select(*map(s, names)).schema, reduced.select(*map(t, names)).schema
-    for a, b in zip(*kinds, strict=True):
-        if a.dataType != b.dataType or not hashes_as_it_compares(a.dataType):
-            return pair(left, reduced, names, how)
+    if not comparable_buckets(left, reduced, names):
+        return pair(left, reduced, names, how)
     left = left.withColumn(SOURCE + BUCKET, key_bucket([SOURCE + n for n in names]))
     reduced = reduced.withColumn(TARGET + BUCKET, key_bucket([TARGET + n for n in names]))
     return pair(left, reduced, [*names, BUCKET], how).drop(SOURCE + BUCKET, TARGET + BUCKET)
 
 
+def join_versions(
+    source: DataFrame,
+    target: DataFrame,
+    key: str,
+    hot: Sequence[int] | None = None,
+    held: Column | None = None,
+) -> DataFrame:
+    """Each source row with every version of its key, or with NULLs when the target lacks the key.
+
+    One left join does it, but cannot be split when a key has a very long history: the target is its
+    right side. Keys in hot buckets, counted first unless ``hot`` lists them, therefore go through
+    an inner join, which can, and an anti join against the target's distinct keys.
+
+    ``held`` narrows down which target rows count as holding a key; a source row then comes with its
+    versions and, when none of them counts, once more with NULLs.
+    """
+    if held is not None or not comparable_buckets(source, target, key):
+        return _join_apart(source, target, key, held)
+    if hot is None:
+        hot = hot_buckets(target, [TARGET + key])
+    if not hot:
+        return pair(source, target, key, "left")
+    hot_source, hot_target = (key_bucket([side + key]).isin(*hot) for side in (SOURCE, TARGET))
+    together = pair(source.where(~hot_source), target.where(~hot_target), key, "left")
+    apart = _join_apart(source.where(hot_source), target.where(hot_target), key, None)
+    return together.unionByName(apart)
+
+
+def _join_apart(
+    source: DataFrame, target: DataFrame, key: str, held: Column | None
+) -> DataFrame:
+    """Matches by an inner join, the rest by an anti join; rows without a key need neither."""
+    holders = target if held is None else target.where(held)
+    keyed, keyless = source.where(s(key).isNotNull()), source.where(s(key).isNull())
+    alone = pair_reduced(keyed, holders.select(t(key)).distinct(), key, "left_anti")
+    matched = pair(source, target, key, "inner")
+    return matched.unionByName(alone.unionByName(keyless), allowMissingColumns=True)
+
+
 def slice_both(
     src: DataFrame, tgt: DataFrame, predicate: str | Column | None
 ) -> tuple[DataFrame, DataFrame]:

@@ -176,10 +176,16 @@ def test_type2_equals_model(spark, src_rows, tgt_rows):
     src_rows = [(100 + i, *r) for i, r in enumerate(src_rows)]
     tgt_rows = [(i, *r) for i, r in enumerate(tgt_rows)]
     src, tgt = source(spark, src_rows), history(spark, tgt_rows)
-    got = Counter(
-        (r.action_flag, r.sid, r.dim, r.CURRENT_IND, r.a, r.b)
-        for r in feeds.type2_hybrid_feed(src, tgt, SPEC2, LOAD).collect()
+    bucket = spark.sql("SELECT 'A' AS dim UNION ALL SELECT NULL").select(skew.key_bucket(["dim"]))
+    hot = [r[0] for r in bucket.collect()]
+    got, split = (
+        Counter(
+            (r.action_flag, r.sid, r.dim, r.CURRENT_IND, r.a, r.b)
+            for r in feeds.type2_hybrid_feed(src, tgt, SPEC2, LOAD, hot=buckets).collect()
+        )
+        for buckets in (None, hot)
     )
+    assert split == got
     want = Counter()
     for branch, s, t in models.type2(src.collect(), tgt.collect(), "dim", ["a"], ["b"]):
         if branch == "open":
