@@ -183,8 +183,12 @@ def run_scd2_hash(
     staged: bool = True,
     stage_dir: str | None = None,
     batch_id: str | int | None = None,
+    target_name: str = "history",
 ) -> LoadResult:
-    """Hash-based history load: changed rows, expire/insert feed, next snapshot."""
+    """Hash-based history load: changed rows, expire/insert feed, next snapshot.
+
+    ``target_name`` keeps the staged folders of several targets in one batch apart.
+    """
     concerned = tgt
     if check_keys:
         concerned = held_by(tgt, src, keys, require_unique(src, keys, "source"))
@@ -192,10 +196,10 @@ def run_scd2_hash(
     batch = _batch(batch_id)
     changed = scd2_hash_changed(src, concerned, keys, attributes, load_ts, algorithm)
     if directory:
-        changed = stage(changed, directory, "changed", batch)
+        changed = stage(changed, directory, f"{target_name}_changed", batch)
     feed = scd2_hash_feed(changed, concerned, keys, attributes, load_ts)
     if directory:
-        feed = stage(feed, directory, "feed", batch)
+        feed = stage(feed, directory, f"{target_name}_feed", batch)
     return LoadResult(feed, apply_scd2_hash(tgt, feed, keys))
 
 
@@ -206,6 +210,7 @@ def run_cleanup(
     staged: bool = True,
     stage_dir: str | None = None,
     batch_id: str | int | None = None,
+    target_name: str = "table",
 ) -> CleanupResult:
     """Split a table into each key's newest load and the loads it supersedes.
 
@@ -215,9 +220,8 @@ def run_cleanup(
     """
     directory = _directory(df, staged, stage_dir)
     if directory:
-        superseded = stage(
-            superseded_keys(df, primary_key, epoch_col), directory, "superseded", _batch(batch_id)
-        )
+        found = superseded_keys(df, primary_key, epoch_col)
+        superseded = stage(found, directory, f"{target_name}_superseded", _batch(batch_id))
         if measured_bytes(superseded) <= checks.BROADCAST_BYTES:
             return CleanupResult(
                 *split_by_superseded(df, F.broadcast(superseded), primary_key, epoch_col)
