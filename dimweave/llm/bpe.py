@@ -172,11 +172,12 @@ def encode(
     perfect = PerfectHash.build(tokens)
     by_slot = np.empty(len(tokens), np.int64)
     by_slot[perfect.slots(tokens)] = np.arange(len(tokens))
-    shared = df.sparkSession.sparkContext.broadcast((tokens, perfect, by_slot))
+    shared = df.sparkSession.sparkContext.broadcast((tokens, perfect.seeds, by_slot))  # plain values
     rest = hide(df, ids).columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*shared.value, pattern)
+        words, seeds, slots = shared.value
+        encoder = Encoder(words, PerfectHash(len(words), seeds), slots, pattern)
         for batch in slices(batches, text):
             packed = [encoder.encode(t) if t else b"" for t in column_of(batch, text).to_pylist()]
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)

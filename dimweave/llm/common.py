@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         if values.nbytes <= SLICE_BYTES:
             yield batch
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(values), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(values), 0), dtype=np.int64)
         piece = np.cumsum(sizes) // SLICE_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimweave.llm import bpe, mixing, quality_rules
+from dimweave.llm import bpe, mixing, quality_rules, token_files
 
 QUERIES = (
     bpe.op3_byte_level_bpe,
     quality_rules.op4_quality_rules,
+    token_files.op5_token_files,
     mixing.op10_mixing_to_weights,
 )
 
