@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimweave.llm import bpe, mixing, quality_rules, token_files
+from dimweave.llm import bpe, chat, mixing, quality_rules, token_files, warc
 
 QUERIES = (
+    chat.op1_chat_formatting,
     bpe.op3_byte_level_bpe,
     quality_rules.op4_quality_rules,
     token_files.op5_token_files,
+    warc.op7_warc,
     mixing.op10_mixing_to_weights,
 )
 

@@ -80,7 +80,7 @@ def shared_file(uri: str, mode: str) -> BinaryIO:
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = f"file://{uri[5:]}"
     store, path = fs.FileSystem.from_uri(uri)
-    return store.open_output_stream(path) if mode == "w" else store.open_input_file(path)
+    return store.open_output_stream(path, compression=None) if mode == "w" else store.open_input_file(path)
 
 
 class FileWriter:
