@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimweave.llm import bpe, chat, mixing, quality_rules, token_files, warc, wrapper
+from dimweave.llm import bpe, chat, mixing, quality_rules, token_files, warc, weak_labels, wrapper
 
 QUERIES = (
     chat.op1_chat_formatting,
@@ -14,6 +14,7 @@ QUERIES = (
     quality_rules.op4_quality_rules,
     token_files.op5_token_files,
     warc.op7_warc,
+    weak_labels.op8_quality_classifier,
     wrapper.op9_html_extraction,
     mixing.op10_mixing_to_weights,
 )
