@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimweave.llm import bpe, chat, mixing, quality_rules, token_files, warc, weak_labels, wrapper
+from dimweave.llm import bpe, chat, mixing, quality_rules, token_files, topk, warc, weak_labels, wrapper
 
 QUERIES = (
     chat.op1_chat_formatting,
     bpe.op3_byte_level_bpe,
     quality_rules.op4_quality_rules,
     token_files.op5_token_files,
+    topk.op6_exact_top_k,
     warc.op7_warc,
     weak_labels.op8_quality_classifier,
     wrapper.op9_html_extraction,
@@ -25,4 +26,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": quality_rules.ORACLE_SQL}
+    return {"op4_quality_rules": quality_rules.ORACLE_SQL, "op6_exact_top_k": topk.ORACLE_SQL}
