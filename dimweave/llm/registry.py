@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimweave.llm import bpe, chat, mixing, quality_rules, token_files, topk, warc, weak_labels, wrapper
+from dimweave.llm import bpe, chat, mixing, ngram_join, quality_rules, token_files, topk, warc, weak_labels, wrapper
 
 QUERIES = (
     chat.op1_chat_formatting,
+    ngram_join.op2_ngram_jaccard_join,
     bpe.op3_byte_level_bpe,
     quality_rules.op4_quality_rules,
     token_files.op5_token_files,
