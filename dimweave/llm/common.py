@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,15 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that may be broadcast, once counted. Beyond it the same join shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written narrow table, marked for broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -118,6 +129,14 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+def per_worker(name: str, make: Callable):
+    """What `make` returns, made once in a Python worker and kept for its later tasks."""
+    kept = sys.modules.setdefault("dimweave_kept", types.ModuleType("dimweave_kept")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
