@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import WordHashes, column_of, mix, slices, table, windows, work_folder, written
+from dimweave.llm.common import WordHashes, column_of, mix, slices, small, table, windows, work_folder, written
 
 #: Words in a shingle; two sets link when 100 * intersection >= SIMILARITY * union. The bounds below are for 75.
 WIDTH, SIMILARITY = 5, 75
@@ -18,9 +18,6 @@ WIDTH, SIMILARITY = 5, 75
 #: Bits of a set's signature, children of a tree's node, sets in a tree.
 BITS, FANOUT, LEAF = 2048, 8, 64
 
-#: Rows of three numbers that may be broadcast, once counted. Beyond it the same join shuffles.
-BROADCAST_ROWS = 1_000_000
-
 #: Shingles that the order of prefixes puts last, the commonest; any number gives the same links.
 COMMON = 65_536
 
@@ -252,11 +249,6 @@ def sets_and_shared(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
     return found.where("n IS NOT NULL").drop("shared"), found.where("shared IS NOT NULL").select("key", "shared")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if it has few rows."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def sets_with_partners(docs: DataFrame, keys: DataFrame, shared: DataFrame, folder: str) -> DataFrame:
     """(key, n, tokens, least) of the sets of which three in four shingles are found in another set.
 

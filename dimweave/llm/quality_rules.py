@@ -10,9 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from dimweave.llm.common import WordHashes, column_of, hide, slices, table, windows, work_folder, written
+from dimweave.llm.common import WordHashes, column_of, hide, slices, small, table, windows, work_folder, written
 
 #: Characters that prose hardly has.
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -123,7 +123,7 @@ def frequent_lines(measured: DataFrame, host: str, line_docs: int, line_share: i
     copies of one document count once: a popular text must not lose its own lines, while a footer
     under many different texts is counted with each.
     """
-    named = F.col(host).alias("_host")
+    named = F.col(f"`{host}`").alias("_host")
     docs = measured.groupBy(named).agg(F.count(F.lit(1)).alias("n_docs"))
     each = measured.select(named, F.explode("_lines").alias("l")).select("_host", "l.hash", "l.other")
     counted = each.distinct().groupBy("_host", "hash").agg(F.count(F.lit(1)).alias("n"))
@@ -135,6 +135,30 @@ def frequent_lines(measured: DataFrame, host: str, line_docs: int, line_share: i
     )
 
 
+def judge(
+    measured: DataFrame, folder: str, host: str, line_docs: int, line_share: int, min_remaining: int
+) -> DataFrame:
+    """Rows of statistics() with n_removed_words, removed (hashes of lines above the limits), base_failed, kept."""
+    lines = written(frequent_lines(measured, host, line_docs, line_share), f"{folder}/lines")
+    own = measured.select("_row", F.col(f"`{host}`").alias("_host"), F.explode("_lines").alias("l")).alias("o")
+    same = (F.col("o.l.hash") == F.col("f.hash")) & F.col("o._host").eqNullSafe(F.col("f._host"))
+    removed = own.join(small(lines).alias("f"), same).groupBy("_row")
+    removed = removed.agg(F.sum("o.l.words").alias("n_removed_words"), F.collect_list("o.l.hash").alias("removed"))
+    few = F.col("n_words") < MIN_WORDS
+    base = few | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+    remaining = F.col("n_words") - F.col("n_removed_words")
+    return (
+        measured.drop("_lines")
+        .join(removed, "_row", "left")
+        .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long")))
+        .withColumn("base_failed", base)
+        .withColumn("kept", ~F.col("base_failed") & (100 * remaining >= min_remaining * F.col("n_words")))
+    )
+
+
+RESULTS = (*STATS, "_lines", "_row", "n_removed_words", "removed", "base_failed", "kept")
+
+
 def apply_rules(
     df: DataFrame,
     folder: str,
@@ -143,9 +167,8 @@ def apply_rules(
     line_docs: int = LINE_DOCS,
     line_share: int = LINE_SHARE,
     min_remaining: int = MIN_REMAINING,
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of `df` (without `text`) with statistics, n_removed_words, base_failed and kept; and the
-    (host, hash) of removed lines.
+) -> DataFrame:
+    """Rows of `df` (without `text`) with statistics, n_removed_words, base_failed and kept.
 
     base_failed: fewer than MIN_WORDS words, or over MAX_REPEATED % of them in 3-word windows that
     repeat. A document is depleted when lines above the limits (see frequent_lines) hold all but
@@ -156,35 +179,57 @@ def apply_rules(
     once. Shuffled are hashes only; the count of a line that a third of all documents have is summed
     in each task first, and the join back to such lines can be split by adaptive execution.
     """
-    out = ("n_removed_words", "base_failed", "kept", "_row")
-    measured = written(
-        statistics(hide(df, *out), text).withColumn("_row", F.monotonically_increasing_id()), f"{folder}/measured"
-    )
-    lines = written(frequent_lines(measured, host, line_docs, line_share), f"{folder}/lines")
-    own = measured.select("_row", F.col(host).alias("_host"), F.explode("_lines").alias("l")).alias("o")
-    hit = own.join(
-        lines.alias("f"),
-        (F.col("o.l.hash") == F.col("f.hash")) & F.col("o._host").eqNullSafe(F.col("f._host")),
-    )
-    removed = hit.groupBy("_row").agg(F.sum("o.l.words").alias("n_removed_words"))
-    few = F.col("n_words") < MIN_WORDS
-    base = (few | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))).alias("base_failed")
-    remaining = F.col("n_words") - F.col("n_removed_words")
-    result = (
-        measured.drop("_lines")
-        .join(removed, "_row", "left")
-        .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long")))
-        .withColumn("base_failed", base)
-        .withColumn("kept", ~F.col("base_failed") & (100 * remaining >= min_remaining * F.col("n_words")))
-        .drop("_row")
-    )
-    return result, lines
+    measured = statistics(hide(df, *RESULTS), text).withColumn("_row", F.monotonically_increasing_id())
+    measured = written(measured, f"{folder}/measured")
+    return judge(measured, folder, host, line_docs, line_share, min_remaining).drop("_row", "removed")
+
+
+def without_lines(text: str, removed: set[int]) -> str:
+    """A text without the lines whose normal form has one of these hashes."""
+    lines = text.split("\n")
+    kept = [x for x in lines if not (own := x.encode("utf-8", "replace").split()) or line_hash(line_key(own)) not in removed]
+    return "\n".join(kept)
+
+
+def clean(
+    df: DataFrame,
+    folder: str,
+    line_docs: int = LINE_DOCS,
+    line_share: int = LINE_SHARE,
+    min_remaining: int = MIN_REMAINING,
+) -> DataFrame:
+    """The rows of `df` (doc_id, text, source, ...) that are kept, without lines above the limits.
+
+    Columns are those of `df`; n_chars, if it is one, follows the text. The rows are written to `folder`
+    with a number each, by which verdicts find them again.
+    """
+    names = [f"_{i}" for i in range(len(df.columns))]
+    at = dict(zip(df.columns, names))
+    rows = written(df.toDF(*names).withColumn("_row", F.monotonically_increasing_id()), f"{folder}/rows")
+    measured = statistics(rows.select("_row", F.col(at["source"]).alias("source"), at["text"]), at["text"])
+    measured = written(measured, f"{folder}/measured")
+    judged = judge(measured, folder, "source", line_docs, line_share, min_remaining)
+    bad = small(written(judged.where(~F.col("kept")).select("_row"), f"{folder}/bad"))
+    less = small(written(judged.where(F.col("kept") & F.col("removed").isNotNull()).select("_row", "removed"), f"{folder}/less"))
+    kept = rows.join(bad, "_row", "left_anti").join(less, "_row", "left").drop("_row")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, at["text"]):
+            pairs = zip(column_of(batch, at["text"]).to_pylist(), column_of(batch, "removed").to_pylist())
+            texts = pa.array([t if r is None else without_lines(t, set(r)) for t, r in pairs], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if c == at["text"] else column_of(batch, c) for c in names], names)
+
+    cleaned = kept.mapInArrow(run, StructType([kept.schema[c] for c in names]))
+    if "n_chars" in at:
+        kind = kept.schema[at["n_chars"]].dataType
+        cleaned = cleaned.withColumn(at["n_chars"], F.length(at["text"]).cast(kind))
+    return cleaned.toDF(*df.columns)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return apply_rules(docs, work_folder(spark, "rules"))[0].drop("source")
+    return apply_rules(docs, work_folder(spark, "rules")).drop("source")
 
 
 #: The same in DuckDB, with whole MD5 values for hashes.
