@@ -64,11 +64,11 @@ def best_paths(
     `messages` has tree, node (any types; node unique in the whole table) and parent (null: a root).
     Branches rank by mean score of their messages, then length, then node of the leaf.
 
-    Self-joins by pointer doubling: round k joins each node with the one 2**k above it, so paths of n
-    messages take log2(n) rounds on columns of ids. The rounds' tables are written, which ends their
-    lineage; expanding the chosen leaves replays them, and its size is that of the chosen paths. A
-    parent that is missing makes its child a root; nodes on or under a cycle reach no root and belong
-    to no path.
+    Self-joins by pointer doubling: round k joins each node that has one 2**k above it with that one, so
+    paths of n messages take log2(n) rounds on columns of ids, and short ones drop out early. The rounds'
+    tables are written, which ends their lineage; expanding the chosen leaves replays them, and its size
+    is that of the chosen paths. A parent that is missing makes its child a root; nodes on or under a
+    cycle reach no root and belong to no path.
     """
     value = F.lit(0.0) if score is None else score.cast("double")
     nodes = written(messages.select("tree", "node", "parent", value.alias("total")), f"{folder}/nodes")
@@ -76,20 +76,20 @@ def best_paths(
     state = nodes.join(known, F.col("parent") == F.col("known"), "left").select(
         "node", F.col("known").alias("up"), "total", F.lit(1).cast("long").alias("depth")
     )
-    state = written(state, f"{folder}/up0")
-    ups, most = [], nodes.count()
-    while state.where("up IS NOT NULL").limit(1).count() and 1 << len(ups) <= most:
-        ups.append(state.where("up IS NOT NULL").select("node", "up"))
+    state = reached = written(state, f"{folder}/up0")
+    ups, most, done = [], nodes.count(), []
+    while (under := reached.where("up IS NOT NULL")).limit(1).count() and 1 << len(ups) <= most:
+        ups.append(under.select("node", "up"))
+        done.append(reached.where("up IS NULL"))
         above = state.select(
             F.col("node").alias("at"), F.col("up").alias("next"), F.col("total").alias("t"), F.col("depth").alias("d")
         )
-        state = state.join(above, F.col("up") == F.col("at"), "left").select(
-            "node",
-            F.col("next").alias("up"),
-            (F.col("total") + F.coalesce("t", F.lit(0.0))).alias("total"),
-            (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
+        reached = under.join(above, F.col("up") == F.col("at")).select(
+            "node", F.col("next").alias("up"), (F.col("total") + F.col("t")).alias("total"), (F.col("depth") + F.col("d")).alias("depth")
         )
-        state = written(state, f"{folder}/up{len(ups)}")
+        reached = state = written(reached, f"{folder}/up{len(ups)}")
+        for rooted in done:
+            state = state.unionByName(rooted)
     parents = nodes.where("parent IS NOT NULL").select(F.col("parent").alias("node")).distinct()
     leaves = state.where("up IS NULL").join(parents, "node", "left_anti").drop("up")
     if branches is not None:
