@@ -44,6 +44,9 @@ ASIDE_WORDS = frozenset(
 )
 MAIN_TAGS, MAIN_WORDS = frozenset(("article", "main")), frozenset(("articlebody", "article-body", "post-content", "entry-content"))
 
+#: Elements nested deeper than this count to the node at that depth.
+DEPTH = 150
+
 #: A node is constant when one text fills it on at least this share, in percent, of SEEN pages or more.
 CONSTANT, SEEN = 60, 4
 #: A node with more of its characters in links, in percent, is no content of a page without an article.
@@ -175,6 +178,9 @@ def parse(page: str) -> tuple[str, list[tuple[int, str, int]]]:
             if name in ENDS:
                 pop(ENDS[name])
             label, parent = label_of(name, attributes), stack[-1][1]
+            if len(stack) > DEPTH:
+                stack.append((name, parent))
+                continue
             node = next((c for c in parent.children if c.label == label), None)
             if node is None:
                 node = Node(label)

@@ -106,7 +106,9 @@ def test_dual_traversal_misses_no_link(seed):
     links = {frozenset((i, j)) for i in range(len(sets)) for j in range(i) if ngram_join.linked(sets[i], sets[j])}
     assert links <= met
     half = len(sets) // 2
-    assert ngram_join.any_link(sets[:half], sets[half:]) == any(min(p) < half <= max(p) for p in links)
+    pairs = ngram_join.links_between(sets[:half], list(range(half)), sets[half:], list(range(half, len(sets))))
+    assert all(frozenset(p) in links for p in pairs)
+    assert bool(pairs) == any(min(p) < half <= max(p) for p in links)
 
 
 def test_shared_counts_are_exact_on_blobs():
