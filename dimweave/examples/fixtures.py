@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dimweave import LoadSpec
 from dimweave import columns as C
 from dimweave.functions.hashing import row_hash
+from dimweave.operators.conform import LENGTH_METADATA
 
 LOAD_TS = "2024-03-09 18:30:00"
 EPOCH = 1710009000
@@ -95,6 +96,29 @@ def type2_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances as doubles and whole segments; a quarter of the balances changed."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS cust_sid",
+        "c_custkey AS cust_id",
+        "if(c_custkey % 4 = 1, c_acctbal + 1, c_acctbal) AS balance",
+        "c_mktsegment AS segment",
+        f"{BATCH} AS {C.BATCH_SID}",
+    )
+
+
+def stored_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target that keeps balances as decimals and five characters of a segment."""
+    rows = table(spark, sf_dir, "customer").where("c_custkey % 10 <> 9").selectExpr(
+        "c_custkey AS cust_sid",
+        "c_custkey AS cust_id",
+        "CAST(c_acctbal AS decimal(12,2)) AS balance",
+        "substr(c_mktsegment, 1, 5) AS segment",
+        *SEED_AUDIT,
+    )
+    return rows.withMetadata("segment", {LENGTH_METADATA: "varchar(5)"})
+
+
 def _versions(spark: SparkSession, sf_dir: str, current: str, past: str, name: str) -> DataFrame:
     """Customers by version: nine in ten have a current one, one in four a past one."""
     return table(spark, sf_dir, "customer").selectExpr(

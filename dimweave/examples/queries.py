@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -301,19 +301,9 @@ def scd2_hash_snapshot_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- written and read back ------------------------------------------------------------------------
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared one; a local session without one gets its own."""
-    shared = files.staging_dir(spark)
-    if shared:
-        return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("a cluster must name a shared folder in spark.checkpoint.dir")
-    return tempfile.mkdtemp(prefix="dimweave-")
-
-
 def write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A script's result, persisted."""
-    out = f"{_scratch(spark)}/totals"
+    out = f"{files.scratch_dir(spark)}/totals"
     for name in ("customer", "nation"):
         X.table(spark, sf_dir, name).createOrReplaceTempView(f"script_{name}")
     catalog.run_sql_script(spark, SCRIPT, out, params={"min_balance": 0})
@@ -322,12 +312,12 @@ def write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = type1_upsert_feed(spark, sf_dir)
-    return files.stage(feed, _scratch(spark), X.CUSTOMER_TYPE1.target_table, X.BATCH)
+    return files.stage(feed, files.scratch_dir(spark), X.CUSTOMER_TYPE1.target_table, X.BATCH)
 
 
 def history_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current slice of a written history table: one partition is read."""
-    path = f"{_scratch(spark)}/history"
+    path = f"{files.scratch_dir(spark)}/history"
     files.write_scd_table(X.type2_target(spark, sf_dir), path, "cust_id")
     return joins.current_slice(files.read_source(spark, path)).select("cust_sid", "nation")
 
@@ -337,7 +327,7 @@ def add_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The table only lives while its rows are copied out, so that no catalog keeps it.
     """
-    scratch, name = _scratch(spark), f"orders_{uuid.uuid4().hex}"
+    scratch, name = files.scratch_dir(spark), f"orders_{uuid.uuid4().hex}"
     orders = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     orders.write.partitionBy("o_orderstatus").parquet(f"{scratch}/loads")
     spark.sql(
@@ -402,6 +392,47 @@ def run_load_type2(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).snapshot
 
 
+def run_load_type2_generated_sid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with surrogate keys made of the business key and the batch."""
+    return load.run_load(
+        X.CUSTOMER_TYPE2,
+        X.type2_source(spark, sf_dir).drop("cust_sid"),
+        X.type2_target(spark, sf_dir),
+        X.LOAD_TS,
+        X.EPOCH,
+        sid_from=["cust_id", C.BATCH_SID],
+    ).snapshot
+
+
+def type1_feed_as_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes against a target with narrower types, as it would store them."""
+    target = X.stored_target(spark, sf_dir)
+    feed = feeds.type1_upsert_feed(
+        X.stored_source(spark, sf_dir), target, X.CUSTOMER_TYPE1, X.LOAD_TS
+    )
+    return conform.conform(feed, target.schema)
+
+
+def load_table_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table after two loads of the same source: the second finds nothing to change.
+
+    The table only lives while its rows are copied out, so that no catalog keeps it.
+    """
+    scratch, tag = files.scratch_dir(spark), uuid.uuid4().hex
+    source, target = f"customer_source_{tag}", f"customer_dim_{tag}"
+    spec = replace(X.CUSTOMER_TYPE1, source_table=source, target_table=target)
+    X.type1_source(spark, sf_dir).createOrReplaceTempView(source)
+    X.type1_target(spark, sf_dir).write.option("path", f"{scratch}/{target}").saveAsTable(target)
+    try:
+        for _ in range(2):
+            load.load_table(spark, spec, X.LOAD_TS, X.EPOCH)
+        files.write_result(spark.table(target), f"{scratch}/copy")
+    finally:
+        spark.sql(f"DROP TABLE {target}")
+        spark.catalog.dropTempView(source)
+    return files.read_source(spark, f"{scratch}/copy")
+
+
 def run_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.run_load(
         X.ORDER_FACT,
@@ -435,6 +466,11 @@ def run_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.run_cleanup(X.table(spark, sf_dir, "events"), EVENT_KEY, "ts").stale
 
 
+def run_cleanup_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of the same cleanup."""
+    return load.run_cleanup(X.table(spark, sf_dir, "events"), EVENT_KEY, "ts").kept
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_source": scan_source,
@@ -483,10 +519,14 @@ def queries() -> dict[str, Query]:
         "fact_apply": fact_apply,
         "run_load_type1": run_load_type1,
         "run_load_type2": run_load_type2,
+        "run_load_type2_generated_sid": run_load_type2_generated_sid,
+        "type1_feed_as_stored": type1_feed_as_stored,
+        "load_table_twice": load_table_twice,
         "run_load_fact": run_load_fact,
         "cleanup_keep_latest": cleanup_keep_latest,
         "cleanup_stale_rows": cleanup_stale_rows,
         "cleanup_keep_latest_events": cleanup_keep_latest_events,
         "superseded_keys": superseded_keys,
         "run_cleanup": run_cleanup,
+        "run_cleanup_kept": run_cleanup_kept,
     }

@@ -61,10 +61,6 @@ def audit_insert(df: DataFrame, load_ts: LoadTime) -> DataFrame:
     return df.withColumns(insert_block(F.col(C.BATCH_SID), load_ts))
 
 
-def audit_fact(df: DataFrame, load_ts: LoadTime) -> DataFrame:
-    return df.withColumns(fact_block(F.col(C.BATCH_SID), load_ts))
-
-
 def audit_update(
     df: DataFrame, load_ts: LoadTime, inserted_by: str, inserted_at: str
 ) -> DataFrame:
@@ -75,7 +71,3 @@ def audit_update(
 
 def with_batch_epoch(df: DataFrame, epoch: int) -> DataFrame:
     return df.withColumn(C.BATCH_EPOCH, F.lit(epoch).cast("bigint"))
-
-
-def tag(df: DataFrame, flag: str) -> DataFrame:
-    return df.withColumn(C.ACTION, F.lit(flag))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dimweave import columns as C
+from dimweave.functions.clock import DEFAULT_ZONE
 from dimweave.functions.hashing import quoted, sql_name
 from dimweave.operators.conform import RAISE, conform
 from dimweave.operators.feeds import with_epoch_of
@@ -29,11 +30,12 @@ from dimweave.operators.joins import (
     s,
     t,
 )
-from dimweave.operators.roles import project, spelled
+from dimweave.operators.roles import has, project, spelled
 from dimweave.spec import LoadSpec
 
-# A name no table column has.
+# Names no table column has.
 HIT = "#hit"
+SID = "#sid"
 
 
 def _replace_by_sid(
@@ -43,13 +45,39 @@ def _replace_by_sid(
     epoch: int | None,
     schema: StructType | None,
     on_overflow: str,
+    zone: str,
 ) -> DataFrame:
+    """Rows that the feed updates give way, its other rows are added.
+
+    A feed that repeats a surrogate key, or inserts one the target holds, would leave two rows under
+    it or drop one of another key: the join that finds the rows to replace raises instead, so the
+    rule needs no scan of its own and holds whether the feed is staged or not. A feed without action
+    tags replaces what it meets.
+    """
     sid = spelled(target.columns, spec.sid_key)
     rows = conform(
-        with_epoch_of(feed, target.columns, epoch), schema or target.schema, on_overflow
+        with_epoch_of(feed, target.columns, epoch), schema or target.schema, on_overflow, zone
     )
-    kept = target.join(rows.select(quoted(sid)), [sid], "left_anti")
-    return project(kept, target.columns).unionByName(rows)
+    tagged = has(feed.columns, C.ACTION)
+    action = quoted(C.ACTION) if tagged else F.lit(C.UPDATE)
+    text = F.coalesce(quoted(sid).cast("string"), F.lit(""))
+    repeated = F.raise_error(F.concat(F.lit("the feed repeats surrogate key "), text))
+    hits = (
+        feed.select(quoted(sid).cast(target.schema[sid].dataType).alias(sid), action.alias(HIT))
+        .where(quoted(sid).isNotNull())
+        .groupBy(quoted(sid))
+        .agg(F.count(F.lit(1)).alias("#rows"), F.max(HIT).alias(HIT))
+        .select(
+            quoted(sid).alias(SID),
+            F.when((quoted("#rows") > 1) & F.lit(tagged), repeated.cast("string"))
+            .otherwise(quoted(HIT))
+            .alias(HIT),
+        )
+    )
+    held = F.raise_error(F.concat(F.lit("the target already holds surrogate key "), text))
+    replaced = F.when(quoted(HIT) == C.INSERT, held.cast("boolean")).otherwise(quoted(HIT).isNotNull())
+    joined = target.join(hits, quoted(sid) == quoted(SID), "left")
+    return project(joined.where(~replaced), target.columns).unionByName(rows)
 
 
 def apply_type1(
@@ -59,12 +87,13 @@ def apply_type1(
     epoch: int | None = None,
     schema: StructType | None = None,
     on_overflow: str = RAISE,
+    zone: str = DEFAULT_ZONE,
 ) -> DataFrame:
     """Feed rows replace the target row with their surrogate key or are added.
 
     ``schema`` carries char/varchar lengths where the target DataFrame's own schema has none.
     """
-    return _replace_by_sid(target, feed, spec, epoch, schema, on_overflow)
+    return _replace_by_sid(target, feed, spec, epoch, schema, on_overflow, zone)
 
 
 def apply_type2(
@@ -74,12 +103,13 @@ def apply_type2(
     epoch: int | None = None,
     schema: StructType | None = None,
     on_overflow: str = RAISE,
+    zone: str = DEFAULT_ZONE,
 ) -> DataFrame:
     """Closed and overwritten versions replace their row, opened versions are added.
 
     Rows match on the surrogate key, so that key must differ from version to version.
     """
-    return _replace_by_sid(target, feed, spec, epoch, schema, on_overflow)
+    return _replace_by_sid(target, feed, spec, epoch, schema, on_overflow, zone)
 
 
 def fact_rows(
@@ -102,14 +132,17 @@ def apply_fact(
     epoch: int | None = None,
     schema: StructType | None = None,
     on_overflow: str = RAISE,
+    zone: str = DEFAULT_ZONE,
 ) -> DataFrame:
-    """Target plus the appended rows."""
+    """Target plus the appended rows; ``zone`` is that of validity columns, if it has any."""
     return target.unionByName(fact_rows(feed, schema or target.schema, epoch, on_overflow))
 
 
 def apply_scd2_hash(target: DataFrame, feed: DataFrame, keys: Keys) -> DataFrame:
     """End the current versions named by expire rows and add the insert rows.
 
+    Target columns the feed doesn't have are NULL in inserted rows.
+
     Only the current slice takes part in the join; history passes through, and with a table
     partitioned by the current flag its partition is scanned but never shuffled.
     """
@@ -132,7 +165,10 @@ def apply_scd2_hash(target: DataFrame, feed: DataFrame, keys: Keys) -> DataFrame
         *[ended.get(c.lower(), s(c)).alias(c) for c in target.columns]
     )
     history = target.where(~F.coalesce(quoted(C.IS_CURRENT), F.lit(False)))
-    inserts = conform(feed.where(F.col(C.MERGE_ACTION) == C.MERGE_INSERT), target.schema)
+    inserted = feed.where(F.col(C.MERGE_ACTION) == C.MERGE_INSERT)
+    missing = [f for f in target.schema.fields if not has(inserted.columns, f.name)]
+    inserted = inserted.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    inserts = conform(inserted, target.schema)
     return history.unionByName(current_next).unionByName(inserts)
 
 

@@ -24,7 +24,7 @@ from dimweave.columns import BATCH_EPOCH
 from dimweave.functions.hashing import quoted
 from dimweave.operators.joins import TARGET, t
 from dimweave.operators.roles import without
-from dimweave.operators.skew import hot_buckets, key_bucket
+from dimweave.operators.skew import hot_keys, key_hash
 
 OLDEST = "oldest_epoch"
 NEWEST = "newest_epoch"
@@ -54,18 +54,28 @@ def latest_epoch(
 def _compare(
     df: DataFrame, key: list[str], epoch_col: str, kept: bool, hot: Sequence[int] | None
 ) -> DataFrame:
-    """Rows without NULLs that are, or are not, of their key's newest epoch."""
-    rows = df.where(~_unmatched(key, epoch_col))
+    """Rows that are of their key's newest epoch, or the others, those with a NULL among them.
+
+    Rows with a NULL pass the same window, spread by a hash of the row as groups of their own.
+    """
+    unmatched = _unmatched(key, epoch_col)
     if hot is None:
-        hot = hot_buckets(rows, key)
-    cold_rows = rows.where(~key_bucket(key).isin(*hot)) if hot else rows
-    newest = F.max(quoted(epoch_col)).over(Window.partitionBy(*map(quoted, key)))
-    of_key = quoted(OF_KEY)
-    wanted = quoted(epoch_col) == of_key if kept else quoted(epoch_col) < of_key
+        hot = hot_keys(df.where(~unmatched), key)
+    of_hot = key_hash(key).isin(*hot) & ~unmatched if hot else F.lit(False)
+    cold_rows = df.where(~of_hot) if hot else df
+    if kept:
+        cold_rows = cold_rows.where(~unmatched)
+        spread = Window.partitionBy(*map(quoted, key))
+        wanted = quoted(epoch_col) == quoted(OF_KEY)
+    else:
+        row = F.when(unmatched, F.xxhash64(*map(quoted, df.columns)))
+        spread = Window.partitionBy(*map(quoted, key), row)
+        wanted = unmatched | (quoted(epoch_col) < quoted(OF_KEY))
+    newest = F.max(quoted(epoch_col)).over(spread)
     compared = cold_rows.withColumn(OF_KEY, newest).where(wanted).drop(OF_KEY)
     if not hot:
         return compared
-    hot_rows = rows.where(key_bucket(key).isin(*hot))
+    hot_rows = df.where(of_hot)
     how = "left_semi" if kept else "left_anti"
     matched = hot_rows.join(latest_epoch(hot_rows, key, epoch_col), [*key, epoch_col], how)
     return compared.unionByName(matched)
@@ -79,7 +89,7 @@ def keep_latest_batch(
 ) -> DataFrame:
     """Rows of their key's newest epoch, ties included.
 
-    ``hot`` lists the hot key buckets; without it they are counted first (``skew.hot_buckets``).
+    ``hot`` lists the hashes of hot keys; without it they are counted first (``skew.hot_keys``).
     """
     return _compare(df, _key(primary_key, epoch_col), epoch_col, True, hot)
 
@@ -90,10 +100,8 @@ def stale_rows(
     epoch_col: str = BATCH_EPOCH,
     hot: Sequence[int] | None = None,
 ) -> DataFrame:
-    """The rows ``keep_latest_batch`` leaves out. Those with a NULL need no comparison."""
-    key = _key(primary_key, epoch_col)
-    older = _compare(df, key, epoch_col, False, hot)
-    return older.unionByName(df.where(_unmatched(key, epoch_col)))
+    """The rows ``keep_latest_batch`` leaves out, those with a NULL in key or epoch among them."""
+    return _compare(df, _key(primary_key, epoch_col), epoch_col, False, hot)
 
 
 def superseded_keys(

@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import CharType, DataType, StructField, StructType, VarcharType
+from pyspark.sql.types import (
+    CharType,
+    DataType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+    VarcharType,
+)
 
+from dimweave import columns as C
+from dimweave.functions.clock import DEFAULT_ZONE, instant_of, utc_wall
 from dimweave.functions.hashing import quoted
 
 RAISE = "raise"
@@ -30,21 +40,51 @@ def fit(value: Column, wanted: DataType, on_overflow: str = RAISE) -> Column:
     return value.cast(wanted) if on_overflow == RAISE else value.try_cast(wanted)
 
 
+# Stamps that feeds carry as wall clocks: of UTC, and of the zone of the validity columns.
+UTC_STAMPS = {c.lower() for c in (C.INSERTED_AT, C.UPDATED_AT, C.EFFECTIVE_DATE, C.END_DATE)}
+LOCAL_STAMPS = {c.lower() for c in (C.EFFECTIVE, C.EXPIRATION)}
+
+
+def stamp_zone(name: str, zone: str) -> str | None:
+    """Whose wall clock a stamp column shows; None for other columns."""
+    if name.lower() in UTC_STAMPS:
+        return "UTC"
+    return zone if name.lower() in LOCAL_STAMPS else None
+
+
+def wall_stamps(df: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
+    """A target whose ``timestamp`` stamps are told as the wall clocks that feeds carry."""
+    told = {}
+    for f in df.schema.fields:
+        of = stamp_zone(f.name, zone)
+        if of and isinstance(f.dataType, TimestampType):
+            utc = utc_wall(quoted(f.name))
+            told[f.name] = utc if of == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(of), utc)
+    return df.withColumns(told) if told else df
+
+
 def conform(
-    df: DataFrame, target_schema: StructType | str, on_overflow: str = RAISE
+    df: DataFrame,
+    target_schema: StructType | str,
+    on_overflow: str = RAISE,
+    zone: str = DEFAULT_ZONE,
 ) -> DataFrame:
     """The target's columns, in its order and types. Other columns are dropped, missing ones raise.
 
     A value that does not fit its type raises under ANSI mode, or becomes NULL with
-    ``on_overflow='null'``.
+    ``on_overflow='null'``. Audit and validity stamps that go into ``timestamp`` columns are read as
+    the wall clock they show, UTC or that of ``zone``, whatever the session's zone.
     """
     if on_overflow not in (RAISE, NULL):
         raise ValueError(f"on_overflow must be {RAISE!r} or {NULL!r}, not {on_overflow!r}")
     if isinstance(target_schema, str):
         target_schema = StructType.fromDDL(target_schema)
-    return df.select(
-        *[
-            fit(quoted(f.name), declared_type(f), on_overflow).alias(f.name)
-            for f in target_schema.fields
-        ]
-    )
+    walls = {f.name.lower() for f in df.schema.fields if isinstance(f.dataType, TimestampNTZType)}
+
+    def value(f: StructField) -> Column:
+        of = stamp_zone(f.name, zone)
+        if of and isinstance(f.dataType, TimestampType) and f.name.lower() in walls:
+            return instant_of(quoted(f.name), of)
+        return fit(quoted(f.name), declared_type(f), on_overflow)
+
+    return df.select(*[value(f).alias(f.name) for f in target_schema.fields])

@@ -6,16 +6,19 @@ from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimweave import columns as C
 from dimweave.functions import audit, versions
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
 from dimweave.functions.hashing import digest_norm, hash_raw, quoted
+from dimweave.operators.conform import NULL, declared_type, fit, wall_stamps
 from dimweave.operators.joins import (
     SOURCE,
     TARGET,
     join_versions,
     pair,
+    pair_reduced,
     prefixed,
     s,
     slice_both,
@@ -36,6 +39,32 @@ DIGEST1 = "#digest1"
 DIGEST2 = "#digest2"
 
 
+def as_stored(src: DataFrame, tgt: DataFrame, names: Sequence[str]) -> list[str | Column]:
+    """Source columns as the target would store them, to be compared with what it holds.
+
+    A value its type can't hold is NULL here and so differs; whether it may be loaded is for the apply.
+    """
+    fields, found = {f.name: f for f in tgt.schema.fields}, []
+    for name in names:
+        wanted = declared_type(fields[name])
+        given = declared_type(src.schema[spelled(src.columns, name)])
+        found.append(name if given == wanted else fit(quoted(name), wanted, NULL))
+    return found
+
+
+# Whole-number types, each of which holds all values of those before it.
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def key_as_in(src: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
+    """The source with its key in the target's type, where that is a wider whole number."""
+    name = spelled(src.columns, key)
+    given, wanted = type(src.schema[name].dataType), type(tgt.schema[key].dataType)
+    if given in WHOLE and wanted in WHOLE and WHOLE.index(given) < WHOLE.index(wanted):
+        return src.withColumn(name, quoted(name).cast(tgt.schema[key].dataType))
+    return src
+
+
 def _named(block: dict[str, Column]) -> list[Column]:
     return [expr.alias(name) for name, expr in block.items()]
 
@@ -77,13 +106,15 @@ def type1_upsert_feed(
     One left join on the surrogate key serves both branches. The target side is reduced to its key,
     insert stamp and a 16-byte digest before it is shuffled.
     """
-    src, tgt = slice_both(src, tgt, predicate)
+    src, tgt = slice_both(src, wall_stamps(tgt), predicate)
     role = roles(tgt.columns, spec)
-    digest = {DIGEST: digest_norm(role.type1_upsert)}
     sid = spelled(tgt.columns, spec.sid_key)
+    src = key_as_in(src, tgt, sid)
+    digest = {DIGEST: digest_norm(as_stored(src, tgt, role.type1_upsert))}
+    held = {DIGEST: digest_norm(role.type1_upsert)}
     joined = pair(
         prefixed(src, SOURCE, [*role.business, C.BATCH_SID], digest),
-        prefixed(tgt, TARGET, [sid, C.INSERTED_BY, C.INSERTED_AT], digest),
+        prefixed(tgt, TARGET, [sid, C.INSERTED_BY, C.INSERTED_AT], held),
         sid,
         "left",
     )
@@ -105,14 +136,16 @@ def upsert_all_matched_feed(
 ) -> DataFrame:
     """New rows and every known row, without change detection, tag or exact copies.
 
-    Here the batch epoch, when the target has one, is an ordinary column and the batch id is 1. Each
-    side drops its copies before the join: an output row names its source and target row, so copies
-    cannot arise later, and a large group of copies shrinks before it is shuffled.
+    Here the batch epoch, when the target has one, is an ordinary column and the batch id is 1. The
+    target's copies of key and stamps are dropped before the join, which is narrow; the source's are
+    dropped after it, where rows of a key are together already.
     """
+    tgt = wall_stamps(tgt)
     sid = spelled(tgt.columns, spec.sid_key)
+    src = key_as_in(src, tgt, sid)
     business = without(tgt.columns, C.AUDIT)
     joined = pair(
-        prefixed(src, SOURCE, business).distinct(),
+        prefixed(src, SOURCE, business),
         prefixed(tgt, TARGET, [sid, C.INSERTED_BY, C.INSERTED_AT]).distinct(),
         sid,
         "left",
@@ -123,7 +156,7 @@ def upsert_all_matched_feed(
         audit.insert_block(F.lit(1), load_ts),
         audit.update_block(F.lit(1), load_ts, t(C.INSERTED_BY), t(C.INSERTED_AT)),
     )
-    return joined.select(*unprefixed(SOURCE, business), *_named(stamps))
+    return joined.select(*unprefixed(SOURCE, business), *_named(stamps)).distinct()
 
 
 def type1_hybrid_feed(
@@ -131,17 +164,20 @@ def type1_hybrid_feed(
 ) -> DataFrame:
     """Type 1 values of business keys that differ, as they stand, from some version of the key.
 
-    A NULL on either side hides a change. The result carries source values only, so the target is
-    reduced to one row per key and hash, and a semi join finds the keys without multiplying rows.
+    A NULL on either side hides a change. A value differs from some version when it differs from the
+    smallest or the largest of them, so the target is reduced to these two hashes per key: however
+    long a history is, it is one row in the join.
     """
     dim = spelled(tgt.columns, spec.dim_key)
+    src = key_as_in(src, tgt, dim)
     attributes = [spelled(tgt.columns, c) for c in spec.scd_type1_attributes]
-    digest = {DIGEST: F.unhex(hash_raw(attributes))}
+    digest = {DIGEST: F.unhex(hash_raw(as_stored(src, tgt, attributes)))}
     source = prefixed(src, SOURCE, [dim, *attributes, C.BATCH_SID], digest).distinct()
     known = tgt.where(quoted(spec.sid_key).isNotNull())
-    versions_seen = prefixed(known, TARGET, [dim], digest).distinct()
-    differs = (s(dim) == t(dim)) & (s(DIGEST) != t(DIGEST))
-    return source.join(versions_seen, differs, "left_semi").select(
+    seen = prefixed(known, TARGET, [dim], {DIGEST: F.unhex(hash_raw(attributes))}).groupBy(t(dim))
+    seen = seen.agg(F.min(t(DIGEST)).alias(TARGET + DIGEST1), F.max(t(DIGEST)).alias(TARGET + DIGEST2))
+    differs = (s(DIGEST) != t(DIGEST1)) | (s(DIGEST) != t(DIGEST2))
+    return pair_reduced(source, seen, dim, "inner").where(differs).select(
         s(dim).cast(tgt.schema[dim].dataType).alias(dim),
         *unprefixed(SOURCE, attributes),
         F.lit(C.ETL_USER).alias(C.UPDATED_BY),
@@ -167,7 +203,7 @@ def type2_hybrid_feed(
     Source rows meet every version of their business key in one join, and each pair names the
     branches it feeds: a current version with a Type 2 change is closed and its successor opened; any
     version that stays as it is but has other Type 1 values is overwritten; a source row without a
-    version is opened. ``hot`` lists key buckets with very long histories; without it they are
+    version is opened. ``hot`` lists the hashes of keys with very long histories; without it they are
     counted first (``joins.join_versions``).
 
     A key that has history but no current version is not opened again unless ``reopen`` is set.
@@ -175,16 +211,21 @@ def type2_hybrid_feed(
     unknown = set(branches) - set(BRANCHES)
     if unknown:
         raise ValueError(f"unknown branches {sorted(unknown)}")
-    src, tgt = slice_both(src, tgt, predicate)
+    src, tgt = slice_both(src, wall_stamps(tgt, zone), predicate)
     role = roles(tgt.columns, spec)
     sid, dim = spelled(tgt.columns, spec.sid_key), spelled(tgt.columns, spec.dim_key)
-    digests = {DIGEST1: digest_norm(role.type1), DIGEST2: digest_norm(role.type2)}
+    src = key_as_in(src, tgt, dim)
+    held_digests = {DIGEST1: digest_norm(role.type1), DIGEST2: digest_norm(role.type2)}
+    digests = {
+        DIGEST1: digest_norm(as_stored(src, tgt, role.type1)),
+        DIGEST2: digest_norm(as_stored(src, tgt, role.type2)),
+    }
     from_source = [sid, dim, *role.type1, *role.type2, C.BATCH_SID]
     from_target = [
         sid, dim, C.EFFECTIVE, C.EXPIRATION, C.CURRENT, *role.type2, C.INSERTED_BY, C.INSERTED_AT,
     ]
     source = prefixed(src, SOURCE, from_source, digests)
-    target = prefixed(tgt, TARGET, from_target, digests)
+    target = prefixed(tgt, TARGET, from_target, held_digests)
 
     known = t(sid).isNotNull()
     current = t(C.CURRENT) == C.YES

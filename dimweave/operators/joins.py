@@ -11,14 +11,13 @@ row per key before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave import columns as C
 from dimweave.functions.hashing import quoted, sql_name
-from dimweave.operators.skew import hashes_as_it_compares, hot_buckets, key_bucket
+from dimweave.operators.skew import hashes_as_it_compares, hot_keys, key_bucket, key_hash
 
 SOURCE = "s__"
 TARGET = "t__"
@@ -102,8 +101,8 @@ def join_versions(
     """Each source row with every version of its key, or with NULLs when the target lacks the key.
 
     One left join does it, but cannot be split when a key has a very long history: the target is its
-    right side. Keys in hot buckets, counted first unless ``hot`` lists them, therefore go through
-    an inner join, which can, and an anti join against the target's distinct keys.
+    right side. Hot keys, counted first unless ``hot`` lists their hashes, therefore go through an
+    inner join, which can, and an anti join against the target's distinct keys.
 
     ``held`` narrows down which target rows count as holding a key; a source row then comes with its
     versions and, when none of them counts, once more with NULLs.
@@ -111,10 +110,12 @@ def join_versions(
     if held is not None or not comparable_buckets(source, target, key):
         return _join_apart(source, target, key, held)
     if hot is None:
-        hot = hot_buckets(target, [TARGET + key])
+        hot = hot_keys(target, [TARGET + key])
     if not hot:
         return pair(source, target, key, "left")
-    hot_source, hot_target = (key_bucket([side + key]).isin(*hot) for side in (SOURCE, TARGET))
+    hot_source, hot_target = (
+        F.coalesce(key_hash([side + key]).isin(*hot), F.lit(False)) for side in (SOURCE, TARGET)
+    )
     together = pair(source.where(~hot_source), target.where(~hot_target), key, "left")
     apart = _join_apart(source.where(hot_source), target.where(hot_target), key, None)
     return together.unionByName(apart)
@@ -123,12 +124,11 @@ def join_versions(
 def _join_apart(
     source: DataFrame, target: DataFrame, key: str, held: Column | None
 ) -> DataFrame:
-    """Matches by an inner join, the rest by an anti join; rows without a key need neither."""
+    """Matches by an inner join, the rest by an anti join, in which rows without a key meet nothing."""
     holders = target if held is None else target.where(held)
-    keyed, keyless = source.where(s(key).isNotNull()), source.where(s(key).isNull())
-    alone = pair_reduced(keyed, holders.select(t(key)).distinct(), key, "left_anti")
+    alone = pair_reduced(source, holders.select(t(key)).distinct(), key, "left_anti")
     matched = pair(source, target, key, "inner")
-    return matched.unionByName(alone.unionByName(keyless), allowMissingColumns=True)
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def slice_both(
@@ -144,14 +144,14 @@ def slice_both(
 
 
 def current_slice(tgt: DataFrame, flag_col: str = C.CURRENT) -> DataFrame:
-    return tgt.where(_flag(tgt, flag_col, True))
+    return tgt.where(flag_is(tgt, flag_col, True))
 
 
 def history_slice(tgt: DataFrame, flag_col: str = C.CURRENT) -> DataFrame:
-    return tgt.where(_flag(tgt, flag_col, False))
+    return tgt.where(flag_is(tgt, flag_col, False))
 
 
-def _flag(tgt: DataFrame, flag_col: str, current: bool) -> Column:
+def flag_is(tgt: DataFrame, flag_col: str, current: bool) -> Column:
     """Test of a boolean or a 'Y'/'N' flag column."""
     if dict((n.lower(), d) for n, d in tgt.dtypes)[flag_col.lower()] == "boolean":
         return quoted(flag_col) == F.lit(current)
@@ -159,8 +159,11 @@ def _flag(tgt: DataFrame, flag_col: str, current: bool) -> Column:
 
 
 def new_keys(src: DataFrame, tgt: DataFrame, keys: Keys) -> DataFrame:
-    """Source rows whose key the target does not hold."""
-    return src.join(tgt.select(*map(quoted, key_list(keys))), key_list(keys), "left_anti")
+    """Source rows whose key the target does not hold; the target is reduced to its keys first."""
+    names = key_list(keys)
+    held = prefixed(tgt, TARGET, names).distinct()
+    alone = pair_reduced(prefixed(src, SOURCE, src.columns), held, names, "left_anti")
+    return alone.select(*unprefixed(SOURCE, src.columns))
 
 
 def matched_keys(src: DataFrame, tgt: DataFrame, keys: Keys) -> DataFrame:
@@ -202,7 +205,7 @@ def next_version(changed: DataFrame, tgt: DataFrame, keys: Keys) -> DataFrame:
     """Changed rows with the version that follows the newest one of their key, 1 for a new key.
 
     The target's versions are reduced to one row per key before the shuffle, so a key with a long
-    history costs no more than any other. Rows with a NULL in the key are new and skip the join.
+    history costs no more than any other. A NULL in the key meets nothing, so such rows are new.
     """
     names = key_list(keys)
     newest = (
@@ -211,12 +214,8 @@ def next_version(changed: DataFrame, tgt: DataFrame, keys: Keys) -> DataFrame:
         .agg(F.max(t(C.VERSION)).alias(TARGET + NEWEST))
     )
     rest = [c for c in changed.columns if c.lower() != C.VERSION]
-    keyless = reduce(lambda a, b: a | b, [quoted(n).isNull() for n in names])
-    joined = pair_reduced(prefixed(changed.where(~keyless), SOURCE, rest), newest, names, "left")
-    numbered = joined.select(
+    joined = pair_reduced(prefixed(changed, SOURCE, rest), newest, names, "left")
+    return joined.select(
         *unprefixed(SOURCE, rest),
         F.coalesce(t(NEWEST) + 1, F.lit(1)).cast("int").alias(C.VERSION),
     )
-    return numbered.unionByName(
-        changed.where(keyless).select(*map(quoted, rest), F.lit(1).alias(C.VERSION))
-    )

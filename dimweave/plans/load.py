@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from dimweave.columns import BATCH_EPOCH
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
-from dimweave.functions.hashing import SHA256
+from dimweave.functions.hashing import SHA256, quoted
 from dimweave.operators import checks
 from dimweave.operators.apply import (
     apply_fact,
@@ -21,6 +21,8 @@ from dimweave.operators.apply import (
     apply_type1,
     apply_type2,
     fact_rows,
+    merge_scd2_hash,
+    merge_type1,
 )
 from dimweave.operators.checks import held_by, measured_bytes, require_unique
 from dimweave.operators.cleanup import (
@@ -29,24 +31,49 @@ from dimweave.operators.cleanup import (
     stale_rows,
     superseded_keys,
 )
-from dimweave.operators.conform import RAISE
-from dimweave.operators.feeds import fact_insert_feed, type1_upsert_feed, type2_hybrid_feed
+from dimweave.operators.conform import RAISE, conform
+from dimweave.operators.feeds import (
+    fact_insert_feed,
+    type1_upsert_feed,
+    type2_hybrid_feed,
+    upsert_all_matched_feed,
+    with_epoch_of,
+)
 from dimweave.operators.hash_scd2 import scd2_hash_changed, scd2_hash_feed
-from dimweave.operators.joins import Keys
+from dimweave.operators.joins import Keys, slice_both
+from dimweave.operators.keys import with_surrogate_key
 from dimweave.operators.roles import without
-from dimweave.operators.skew import hot_buckets
-from dimweave.sources.files import stage, staging_dir, write_result, write_scd_table
+from dimweave.operators.skew import hot_keys
+from dimweave.sources.files import (
+    remove,
+    stage,
+    staged_path,
+    staging_dir,
+    write_result,
+    write_scd_table,
+)
 from dimweave.spec import FACT, TYPE1, TYPE2, LoadSpec
 
 
 @dataclass(frozen=True)
-class LoadResult:
+class Staged:
+    """Folders a load has written, which its results read until ``release`` removes them."""
+
+    staged: tuple[str, ...] = field(default=(), kw_only=True)
+
+    def release(self, spark: SparkSession) -> None:
+        for path in self.staged:
+            remove(spark, path)
+
+
+@dataclass(frozen=True)
+class LoadResult(Staged):
     feed: DataFrame
     snapshot: DataFrame
 
 
 @dataclass(frozen=True)
-class CleanupResult:
+class CleanupResult(Staged):
     kept: DataFrame
     stale: DataFrame
 
@@ -55,6 +82,11 @@ def _batch(batch_id: str | int | None) -> str | int:
     return uuid.uuid4().hex if batch_id is None else batch_id
 
 
+def _stage_name(target: str | None, kind: str) -> str:
+    """A target's own name; without one a name that no other load has."""
+    return target or f"{kind}_{uuid.uuid4().hex}"
+
+
 def build_feed(
     spec: LoadSpec,
     src: DataFrame,
@@ -63,11 +95,22 @@ def build_feed(
     epoch: int | None = None,
     predicate: str | Column | None = None,
     zone: str = DEFAULT_ZONE,
+    reopen: bool = False,
+    hot: Sequence[int] | None = None,
+    every_match: bool = False,
 ) -> DataFrame:
-    """The change feed the spec asks for."""
+    """The change feed the spec asks for.
+
+    ``reopen`` and ``hot`` are those of the Type 2 feed; ``every_match`` updates all known rows of a
+    Type 1 target, changed or not.
+    """
     kind = spec.kind
     if kind == TYPE2:
-        return type2_hybrid_feed(src, tgt, spec, load_ts, zone, predicate)
+        return type2_hybrid_feed(
+            src, tgt, spec, load_ts, zone, predicate, reopen=reopen, hot=hot
+        )
+    if kind == TYPE1 and every_match:
+        return upsert_all_matched_feed(*slice_both(src, tgt, predicate), spec, load_ts)
     if kind == TYPE1:
         return type1_upsert_feed(src, tgt, spec, load_ts, predicate)
     if epoch is None:
@@ -82,13 +125,14 @@ def publish(
     epoch: int | None = None,
     schema: StructType | None = None,
     on_overflow: str = RAISE,
+    zone: str = DEFAULT_ZONE,
 ) -> DataFrame:
     """Conform a feed to the target and return the target's next snapshot."""
     kind = spec.kind
     if kind == FACT:
-        return apply_fact(target, feed, epoch, schema, on_overflow)
+        return apply_fact(target, feed, epoch, schema, on_overflow, zone)
     apply = apply_type1 if kind == TYPE1 else apply_type2
-    return apply(target, feed, spec, epoch, schema, on_overflow)
+    return apply(target, feed, spec, epoch, schema, on_overflow, zone)
 
 
 def _directory(df: DataFrame, staged: bool, stage_dir: str | None) -> str | None:
@@ -109,36 +153,88 @@ def run_load(
     staged: bool = True,
     stage_dir: str | None = None,
     batch_id: str | int | None = None,
+    reopen: bool = False,
+    hot: Sequence[int] | None = None,
+    every_match: bool = False,
+    sid_from: Sequence[str] = (),
 ) -> LoadResult:
     """Feed and next snapshot of one load.
 
-    ``check_keys`` refuses a dimension source that repeats a key (it would fan out) and a staged
-    Type 2 feed that holds a surrogate key twice (the apply could not tell its rows apart). The same
+    ``check_keys`` refuses a dimension source that repeats a key (it would fan out). The same
     aggregate measures the source's keys; few of them are broadcast to thin the target out before
-    the feed is built.
+    the feed is built. A feed that repeats a surrogate key or inserts one that the target holds makes
+    the snapshot raise, staged or not (``operators.apply``).
+
+    ``sid_from`` names source columns of which the surrogate key is made; for a Type 2 target they
+    are the business key and something that differs from load to load.
 
     The feed is staged under ``stage_dir`` or, without one, the folder in ``spark.checkpoint.dir``;
     with neither, or with ``staged=False``, it stays a lazy plan that the apply evaluates again.
+    ``LoadResult.release`` removes what was staged.
     """
     kind = spec.kind
+    if sid_from:
+        src = with_surrogate_key(src, sid_from, spec.sid_key)
+    options = {"zone": zone, "reopen": reopen, "hot": hot, "every_match": every_match}
     if kind == FACT:
-        feed = build_feed(spec, src, tgt, load_ts, epoch, predicate, zone)
-        return LoadResult(feed, publish(feed, tgt, spec, epoch, schema, on_overflow))
+        feed = build_feed(spec, src, tgt, load_ts, epoch, predicate)
+        return LoadResult(feed, publish(feed, tgt, spec, epoch, schema, on_overflow, zone))
     directory = _directory(src, staged, stage_dir)
     join_key = spec.dim_key if kind == TYPE2 else spec.sid_key
     concerned = tgt
     if check_keys:
         checked = src if predicate is None else src.where(predicate)
         profile = require_unique(checked, join_key, "source")
-        if kind == TYPE2 and not directory:
-            require_unique(checked, spec.sid_key, "source")
         concerned = held_by(tgt, checked, join_key, profile)
-    feed = build_feed(spec, src, concerned, load_ts, epoch, predicate, zone)
+    feed = build_feed(spec, src, concerned, load_ts, epoch, predicate, **options)
+    paths = ()
     if directory:
-        feed = stage(feed, directory, spec.target_table or kind, _batch(batch_id))
-        if check_keys and kind == TYPE2:
-            require_unique(feed, spec.sid_key, "feed")
-    return LoadResult(feed, publish(feed, tgt, spec, epoch, schema, on_overflow))
+        name, batch = _stage_name(spec.target_table, kind), _batch(batch_id)
+        feed = stage(feed, directory, name, batch)
+        paths = (staged_path(directory, name, batch),)
+    snapshot = publish(feed, tgt, spec, epoch, schema, on_overflow, zone)
+    return LoadResult(feed, snapshot, staged=paths)
+
+
+# Providers whose tables take MERGE.
+ROW_LEVEL = ("delta", "iceberg", "hudi")
+
+
+def _details(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return {r["col_name"].lower(): r["data_type"] for r in rows}
+
+
+def takes_merge(spark: SparkSession, table: str) -> bool:
+    return _details(spark, table).get("provider", "").lower() in ROW_LEVEL
+
+
+def switch_table(spark: SparkSession, snapshot: DataFrame, table: str) -> str:
+    """Make a table of files consist of ``snapshot``, which may read the table; returns its old location.
+
+    The rows are written beside the present ones, then the table's location changes: readers see the
+    old or the new rows, a failed write leaves the table as it was, and the old files stay until the
+    caller removes them. Of a partitioned table the catalog's partitions are registered anew after
+    that, which is no single step.
+    """
+    details = _details(spark, table)
+    old = details["location"].rstrip("/")
+    new = f"{old.rsplit('#', 1)[0]}#{uuid.uuid4().hex}"
+    parts = [f.name for f in spark.catalog.listColumns(table) if f.isPartition]
+    columns = spark.table(table).columns
+    writer = snapshot.select(*map(quoted, columns)).write.format(details.get("provider", "parquet"))
+    (writer.partitionBy(*parts) if parts else writer).save(new)
+    if not parts:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    else:
+        registered = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+        for spec in registered:
+            values = ", ".join(f"`{k}`='{v}'" for k, v in (p.split("=", 1) for p in spec.split("/")))
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({values})")
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    return old
 
 
 def load_table(
@@ -148,12 +244,13 @@ def load_table(
     epoch: int | None = None,
     snapshot_path: str | None = None,
     **options: Any,
-) -> None:
+) -> str | None:
     """Load the spec's source table into its target table.
 
-    Facts are appended in place: only the new rows are written. A dimension's next snapshot goes to
-    ``snapshot_path``, because the table it replaces is read meanwhile; Type 2 snapshots get the
-    history layout. ``options`` are those of ``run_load``.
+    Facts are appended in place: only the new rows are written. A dimension's feed is merged where the
+    table's format takes MERGE; a table of plain files is switched to the next snapshot, and the old
+    location returned (``switch_table``). With ``snapshot_path`` the snapshot goes there and the table
+    stays; Type 2 snapshots then get the history layout. ``options`` are those of ``run_load``.
     """
     src, tgt = spark.table(spec.source_table), spark.table(spec.target_table)
     kind = spec.kind
@@ -162,14 +259,60 @@ def load_table(
         feed = build_feed(spec, src, tgt, load_ts, epoch, options.get("predicate"))
         rows = fact_rows(feed, options["schema"], epoch, options.get("on_overflow", RAISE))
         rows.write.insertInto(spec.target_table)
-        return
-    if not snapshot_path:
-        raise ValueError("a dimension load needs a snapshot_path")
-    snapshot = run_load(spec, src, tgt, load_ts, epoch, **options).snapshot
-    if kind == TYPE2:
-        write_scd_table(snapshot, snapshot_path, spec.dim_key)
+        return None
+    result = run_load(spec, src, tgt, load_ts, epoch, **options)
+    old = None
+    if not snapshot_path and takes_merge(spark, spec.target_table):
+        zone = options.get("zone", DEFAULT_ZONE)
+        feed = with_epoch_of(result.feed, tgt.columns, epoch)
+        rows = conform(feed, options["schema"], options.get("on_overflow", RAISE), zone)
+        result.snapshot.write.format("noop").mode("overwrite").save()  # raises where keys clash
+        merge_type1(rows, spec.target_table, spec)
+    elif not snapshot_path:
+        old = switch_table(spark, result.snapshot, spec.target_table)
+    elif kind == TYPE2:
+        write_scd_table(result.snapshot, snapshot_path, spec.dim_key)
+    else:
+        write_result(result.snapshot, snapshot_path, mode="errorifexists")
+    result.release(spark)
+    return old
+
+
+def load_history_table(
+    spark: SparkSession,
+    source: DataFrame,
+    table: str,
+    keys: Keys,
+    attributes: Sequence[str],
+    load_ts: LoadTime,
+    **options: Any,
+) -> str | None:
+    """``run_scd2_hash`` into a table, merged or switched as ``load_table`` does it."""
+    result = run_scd2_hash(
+        source, spark.table(table), keys, attributes, load_ts, target_name=table, **options
+    )
+    old = None
+    if takes_merge(spark, table):
+        merge_scd2_hash(result.feed, table, keys, attributes)
     else:
-        write_result(snapshot, snapshot_path, mode="errorifexists")
+        old = switch_table(spark, result.snapshot, table)
+    result.release(spark)
+    return old
+
+
+def cleanup_table(
+    spark: SparkSession, spec: LoadSpec, epoch_col: str = BATCH_EPOCH, **options: Any
+) -> str:
+    """Reduce the spec's target table to the newest load of each primary key; returns the old location."""
+    if not spec.primary_key:
+        raise ValueError("a cleanup needs the spec's primary key")
+    table = spec.target_table
+    result = run_cleanup(
+        spark.table(table), spec.primary_key, epoch_col, target_name=table, **options
+    )
+    old = switch_table(spark, result.kept, table)
+    result.release(spark)
+    return old
 
 
 def run_scd2_hash(
@@ -183,24 +326,26 @@ def run_scd2_hash(
     staged: bool = True,
     stage_dir: str | None = None,
     batch_id: str | int | None = None,
-    target_name: str = "history",
+    target_name: str | None = None,
 ) -> LoadResult:
     """Hash-based history load: changed rows, expire/insert feed, next snapshot.
 
-    ``target_name`` keeps the staged folders of several targets in one batch apart.
+    ``target_name`` names the staged folders; without it they get names of their own.
     """
     concerned = tgt
     if check_keys:
         concerned = held_by(tgt, src, keys, require_unique(src, keys, "source"))
     directory = _directory(src, staged, stage_dir)
-    batch = _batch(batch_id)
+    batch, name, paths = _batch(batch_id), _stage_name(target_name, "history"), []
     changed = scd2_hash_changed(src, concerned, keys, attributes, load_ts, algorithm)
     if directory:
-        changed = stage(changed, directory, f"{target_name}_changed", batch)
+        changed = stage(changed, directory, f"{name}_changed", batch)
+        paths.append(staged_path(directory, f"{name}_changed", batch))
     feed = scd2_hash_feed(changed, concerned, keys, attributes, load_ts)
     if directory:
-        feed = stage(feed, directory, f"{target_name}_feed", batch)
-    return LoadResult(feed, apply_scd2_hash(tgt, feed, keys))
+        feed = stage(feed, directory, f"{name}_feed", batch)
+        paths.append(staged_path(directory, f"{name}_feed", batch))
+    return LoadResult(feed, apply_scd2_hash(tgt, feed, keys), staged=tuple(paths))
 
 
 def run_cleanup(
@@ -210,7 +355,7 @@ def run_cleanup(
     staged: bool = True,
     stage_dir: str | None = None,
     batch_id: str | int | None = None,
-    target_name: str = "table",
+    target_name: str | None = None,
 ) -> CleanupResult:
     """Split a table into each key's newest load and the loads it supersedes.
 
@@ -221,12 +366,14 @@ def run_cleanup(
     directory = _directory(df, staged, stage_dir)
     if directory:
         found = superseded_keys(df, primary_key, epoch_col)
-        superseded = stage(found, directory, f"{target_name}_superseded", _batch(batch_id))
+        name, batch = f"{_stage_name(target_name, 'table')}_superseded", _batch(batch_id)
+        superseded = stage(found, directory, name, batch)
+        paths = (staged_path(directory, name, batch),)
         if measured_bytes(superseded) <= checks.BROADCAST_BYTES:
-            return CleanupResult(
-                *split_by_superseded(df, F.broadcast(superseded), primary_key, epoch_col)
-            )
-    hot = hot_buckets(df, without(primary_key, [epoch_col]))
+            split = split_by_superseded(df, F.broadcast(superseded), primary_key, epoch_col)
+            return CleanupResult(*split, staged=paths)
+        remove(df.sparkSession, paths[0])
+    hot = hot_keys(df, without(primary_key, [epoch_col]))
     return CleanupResult(
         keep_latest_batch(df, primary_key, epoch_col, hot),
         stale_rows(df, primary_key, epoch_col, hot),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,25 @@ def staging_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder in the place all executors share, removed when the driver ends.
+
+    That is the folder in ``spark.checkpoint.dir``, or the warehouse where none is named.
+    """
+    base = staging_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{uuid.uuid4().hex}")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return str(store.makeQualified(path).toString())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged_path(directory: str, target: str, batch_id: str | int) -> str:
     return f"{directory.rstrip('/')}/TMP_{target}_{batch_id}"
 

@@ -21,14 +21,18 @@ def read_jdbc(
     lower_bound: int | str | None = None,
     upper_bound: int | str | None = None,
     num_partitions: int | None = None,
+    single_task: bool = False,
 ) -> DataFrame:
-    """Read a table, in parallel ranges of ``partition_column`` when one is named.
+    """Read a table in parallel ranges of ``partition_column``, or by one task if ``single_task`` says so.
 
-    Missing bounds are asked from the database in one aggregate query.
+    Missing bounds are asked from the database in one aggregate query. A table whose partition column
+    is NULL throughout, or that is empty, has no ranges and is read by one task.
     """
     props = {"fetchsize": FETCH_SIZE, **(properties or {})}
-    if partition_column is None:
+    if single_task:
         return spark.read.jdbc(url, table, properties=props)
+    if partition_column is None:
+        raise ValueError("name a partition_column, or pass single_task=True to read by one task")
     if not num_partitions:
         raise ValueError("a partitioned read needs num_partitions")
     if lower_bound is None or upper_bound is None:

@@ -7,6 +7,7 @@ from types import SimpleNamespace
 
 import models
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -176,7 +177,7 @@ def test_type2_equals_model(spark, src_rows, tgt_rows):
     src_rows = [(100 + i, *r) for i, r in enumerate(src_rows)]
     tgt_rows = [(i, *r) for i, r in enumerate(tgt_rows)]
     src, tgt = source(spark, src_rows), history(spark, tgt_rows)
-    bucket = spark.sql("SELECT 'A' AS dim UNION ALL SELECT NULL").select(skew.key_bucket(["dim"]))
+    bucket = spark.sql("SELECT 'A' AS dim UNION ALL SELECT NULL").select(skew.key_hash(["dim"]))
     hot = [r[0] for r in bucket.collect()]
     got, split = (
         Counter(
@@ -276,7 +277,19 @@ def test_staged_load_equals_lazy_load(spark, tmp_path):
     staged = load.run_load(SPEC2, src, tgt, LOAD, stage_dir=str(tmp_path), batch_id=5)
     assert Counter(staged.feed.collect()) == Counter(lazy.feed.collect())
     assert Counter(staged.snapshot.collect()) == Counter(lazy.snapshot.collect())
-    assert (tmp_path / "TMP_type2_5").is_dir()
+    (folder,) = tmp_path.iterdir()
+    assert folder.name.startswith("TMP_type2_") and folder.name.endswith("_5")
+    staged.release(spark)
+    assert not folder.exists()
+
+
+def test_loads_of_one_batch_keep_their_own_feeds(spark, tmp_path):
+    tgt = plain_target(spark, [(1, "A", "x", "p")])
+    options = {"stage_dir": str(tmp_path), "batch_id": 5}
+    first = load.run_load(SPEC1, source(spark, [(1, "A", "y", "p")]), tgt, LOAD, **options)
+    second = load.run_load(SPEC1, source(spark, [(2, "B", "z", "p")]), tgt, LOAD, **options)
+    assert sorted(r.a for r in first.snapshot.collect()) == ["y"]
+    assert sorted(r.a for r in second.snapshot.collect()) == ["x", "z"]
 
 
 def test_staging_folder_comes_from_the_session(spark, tmp_path, monkeypatch):
@@ -295,11 +308,32 @@ def test_repeated_source_keys_are_refused(spark):
     require_unique(source(spark, [(None, "A", "x", "p"), (None, "B", "x", "p")]), "sid")
 
 
-def test_feed_that_reuses_a_version_key_is_refused(spark, tmp_path):
-    """The source gives the new version the surrogate key of the one it closes."""
-    src, tgt = source(spark, [(1, "A", "x", "q")]), history(spark, [(1, "A", "Y", "x", "p")])
-    with pytest.raises(DuplicateKeyError, match="feed"):
-        load.run_load(SPEC2, src, tgt, LOAD, stage_dir=str(tmp_path))
+@pytest.mark.parametrize("staged", [True, False])
+@pytest.mark.parametrize(
+    "new, held",
+    [
+        ([(1, "A", "x", "q")], [(1, "A", "Y", "x", "p")]),  # the key of the version it closes
+        ([(2, "A", "x", "q")], [(2, "A", "N", "x", "o"), (1, "A", "Y", "x", "p")]),  # of an older one
+        ([(1, "Z", "x", "q")], [(1, "A", "Y", "x", "p")]),  # of another business key
+        ([(7, "Y", "x", "q"), (7, "Z", "x", "q")], [(1, "A", "Y", "x", "p")]),  # twice in the feed
+    ],
+)
+def test_surrogate_key_that_is_taken_is_refused(spark, tmp_path, staged, new, held):
+    src, tgt = source(spark, new), history(spark, [*held, (9, "K", "Y", "x", "p")])
+    result = load.run_load(SPEC2, src, tgt, LOAD, staged=staged, stage_dir=str(tmp_path))
+    with pytest.raises(Exception, match="surrogate key"):
+        result.snapshot.collect()
+
+
+def test_values_are_compared_as_the_target_stores_them(spark):
+    ddl = f"sid bigint, dim int, a int, b string, {AUDIT_DDL}"
+    tgt = spark.createDataFrame([(1, 5, 12, "abcd", *SEEDED)], ddl).withColumn("a", F.lit("12.50").cast("decimal(12,2)"))
+    tgt = tgt.withMetadata("b", {"__CHAR_VARCHAR_TYPE_STRING": "varchar(4)"})
+    src = spark.createDataFrame([(1, 5, 12.5, "abcdefg", 9)], "sid int, dim int, a double, b string, ETL_BATCH_SID int")
+    assert feeds.type1_upsert_feed(src, tgt, SPEC1, LOAD).count() == 0
+    plan = feeds.type1_upsert_feed(src, tgt, SPEC1, LOAD)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and "Union" not in plan
+    assert feeds.type1_upsert_feed(src.withColumn("a", F.lit(12.51)), tgt, SPEC1, LOAD).count() == 1
 
 
 def test_unknown_loads_are_refused():
@@ -351,7 +385,7 @@ def test_cleanup_equals_model(spark, tmp_path_factory, rows):
     kept, stale = models.newest(df.collect(), ["k", "j"], "BATCH_LOAD_EPOCH")
     assert Counter(cleanup.keep_latest_batch(df, key).collect()) == Counter(kept)
     assert Counter(cleanup.stale_rows(df, key).collect()) == Counter(stale)
-    hot = [r[0] for r in df.where("k = 1").select(skew.key_bucket(["k", "j"])).distinct().collect()]
+    hot = [r[0] for r in df.where("k = 1").select(skew.key_hash(["k", "j"])).distinct().collect()]
     assert Counter(cleanup.keep_latest_batch(df, key, hot=hot).collect()) == Counter(kept)
     assert Counter(cleanup.stale_rows(df, key, hot=hot).collect()) == Counter(stale)
     lazy = load.run_cleanup(df, key, staged=False)
@@ -385,12 +419,12 @@ def test_cleanup_is_idempotent(spark):
         cleanup.latest_epoch(df, ["e"], "e")
 
 
-def test_hot_buckets_are_those_of_hot_keys(spark):
+def test_hot_keys_are_listed_by_hash(spark):
     df = spark.range(0, 9000, 1, 4).selectExpr("if(id % 3 = 0, 0, id) AS k")
-    hot = skew.hot_buckets(df, ["k"], hot_rows=1000)
-    expected = spark.sql("SELECT CAST(0 AS BIGINT) AS k").select(skew.key_bucket(["k"])).first()[0]
+    hot = skew.hot_keys(df, ["k"], hot_rows=1000)
+    expected = spark.sql("SELECT CAST(0 AS BIGINT) AS k").select(skew.key_hash(["k"])).first()[0]
     assert hot == [expected]
-    assert skew.hot_buckets(df, ["k"]) == []
+    assert skew.hot_keys(df, ["k"]) == []
 
 
 @pytest.mark.parametrize("spec", [SPEC1, SPEC2])

@@ -1,6 +1,7 @@
 """Hashes, keys, casts."""
 
 import hashlib
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import models
@@ -127,3 +128,35 @@ def test_digest_is_the_hash_in_bytes(spark):
     )
     first = row.first()
     assert bytes(first.d).hex() == first.h
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_load_time_and_stamps_in_any_session_zone(spark, zone):
+    from dimweave.functions.clock import instant_of, utc_time
+    from dimweave.operators.conform import conform, wall_stamps
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        wanted = datetime(2024, 3, 9, 23, 30)
+        aware = datetime(2024, 3, 9, 18, 30, tzinfo=timezone(timedelta(hours=-5)))
+        column = F.timestamp_seconds(F.lit(1710027000))
+        given = [
+            "2024-03-09 23:30:00", "2024-03-09T18:30:00-05:00", aware, column, F.lit("2024-03-09T23:30:00Z"),
+            F.lit("2024-03-10 05:00:00 +05:30"), F.lit("2024-03-09 23:30:00"), F.lit("2024-03-09 23:30:00").cast("timestamp_ntz"),
+        ]
+        row = spark.range(1).select(*[utc_time(x).alias(f"c{i}") for i, x in enumerate(given)]).first()
+        assert set(row) == {wanted}
+        # in the hour that New York's clocks show twice, too
+        odd = spark.range(1).select(F.timestamp_micros(F.lit(1730611800123456)).alias("t"))
+        back = odd.select(F.unix_micros(instant_of(utc_time(F.col("t")))).alias("m")).first()
+        assert back.m == 1730611800123456
+        stamps = spark.range(1).select(
+            utc_time(wanted.isoformat(" ")).alias("INSERTED_UTC_DATETIME"), F.lit("2024-03-09 17:30:00").cast("timestamp_ntz").alias("EXPIRATION_DATETIME")
+        )
+        stored = conform(stamps, "INSERTED_UTC_DATETIME timestamp, EXPIRATION_DATETIME timestamp")
+        seconds = stored.select(F.unix_timestamp("INSERTED_UTC_DATETIME"), F.unix_timestamp("EXPIRATION_DATETIME")).first()
+        assert tuple(seconds) == (1710027000, 1710027000)
+        assert wall_stamps(stored).first() == stamps.first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

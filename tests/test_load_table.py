@@ -45,8 +45,6 @@ def test_fact_is_appended_in_place(spark, tables):
 
 def test_type1_snapshot(spark, tables, tmp_path):
     spec = LoadSpec("DIM", "Type1", "sid", "dim", source_table="src", target_table="plain")
-    with pytest.raises(ValueError, match="snapshot_path"):
-        load_table(spark, spec, LOAD, 77)
     path = str(tmp_path / "next")
     load_table(spark, spec, LOAD, 77, path, stage_dir=str(tmp_path))
     rows = spark.read.parquet(path).collect()
@@ -67,4 +65,51 @@ def test_type2_snapshot(spark, tables, tmp_path):
         (10, "N", "long text", "p", "SEED"),
     ]
     closed = next(r for r in rows if r.sid == 10)
-    assert closed.EXPIRATION_DATETIME == datetime(2024, 1, 15, 0, 30)
+    assert closed.EXPIRATION_DATETIME == datetime(2024, 1, 15, 6, 30)  # half past midnight in Chicago
+
+
+def test_dimension_is_loaded_into_its_table(spark, tables, tmp_path):
+    spec = LoadSpec("DIM", "Type1", "sid", "dim", source_table="src", target_table="plain")
+    old = load_table(spark, spec, LOAD, 77, stage_dir=str(tmp_path))
+    rows = spark.table("plain").collect()
+    assert sorted((r.sid, r.a, r.BATCH_LOAD_EPOCH) for r in rows) == [(1, "long", 77), (2, "x", 77)]
+    assert old and not list(tmp_path.iterdir())  # what was staged is gone
+    load_table(spark, spec, "2024-02-01 00:00:00", 78)
+    assert sorted(spark.table("plain").collect()) == sorted(rows)
+
+
+def test_partitioned_history_is_switched(spark, tables):
+    from dimweave.plans.load import switch_table
+
+    spark.sql("CREATE TABLE parted (k int, p string) USING parquet PARTITIONED BY (p)")
+    try:
+        spark.sql("INSERT INTO parted VALUES (1, 'a'), (2, 'b')")
+        following = spark.table("parted").selectExpr("k + 10 AS k", "if(k = 1, 'c', p) AS p")
+        switch_table(spark, following, "parted")
+        assert sorted(map(tuple, spark.table("parted").collect())) == [(11, "c"), (12, "b")]
+        spark.sql("INSERT INTO parted VALUES (3, 'd')")
+        assert spark.table("parted").where("p = 'd'").count() == 1
+    finally:
+        spark.sql("DROP TABLE parted")
+
+
+def test_cleanup_and_hash_history_end_in_their_tables(spark, tables):
+    from dimweave.plans.load import cleanup_table, load_history_table
+
+    spark.sql("CREATE TABLE loads (k int, v string, BATCH_LOAD_EPOCH bigint) USING parquet")
+    spark.sql("CREATE TABLE hist (dim string, a string, row_hash string, effective_date timestamp_ntz,"
+              " end_date timestamp_ntz, is_current boolean, version int, note string) USING parquet")
+    try:
+        spark.sql("INSERT INTO loads VALUES (1, 'old', 1), (1, 'new', 2), (2, 'only', 1)")
+        cleanup_table(spark, LoadSpec("FACT", primary_key=("k",), target_table="loads"))
+        assert sorted(r.v for r in spark.table("loads").collect()) == ["new", "only"]
+        for text in ("x", "x", "y"):
+            source = spark.createDataFrame([("A", text)], "dim string, a string")
+            load_history_table(spark, source, "hist", "dim", ["a"], LOAD)
+        rows = spark.table("hist").collect()
+        assert sorted((r.a, r.version, r.is_current, r.note) for r in rows) == [
+            ("x", 1, False, None), ("y", 2, True, None),
+        ]
+    finally:
+        for name in ("loads", "hist"):
+            spark.sql(f"DROP TABLE {name}")

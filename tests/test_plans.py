@@ -9,6 +9,7 @@ import __spark_entry__ as contract
 from dimweave import LoadSpec
 from dimweave import columns as C
 from dimweave.examples import fixtures as X
+from dimweave.examples import queries as registered
 from dimweave.operators import cleanup, feeds, hash_scd2, joins, skew
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -25,7 +26,7 @@ def initial(df):
     return re.findall(r"(?:HashJoin|SortMergeJoin) .*?(Inner|LeftOuter|LeftAnti|LeftSemi)", physical(df))
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_no_python_and_no_pairing_of_all_rows(spark, name):
     plan = physical(contract.queries()[name](spark, SF_DIR))
     for node in ("Python", "CartesianProduct", "NestedLoop", "Pandas"):
@@ -122,7 +123,7 @@ def test_long_history_is_split(spark, small_skew):
         F.lit("b").alias("b"),
         F.lit(1).alias(C.BATCH_SID),
     )
-    hot = skew.hot_buckets(target, ["dim"], hot_rows=ROWS // 10)
+    hot = skew.hot_keys(target, ["dim"], hot_rows=ROWS // 10)
     assert len(hot) == 1
     rows, plan = final_plan(feeds.type2_hybrid_feed(source, target, spec, LOAD, hot=hot))
     assert "SortMergeJoin(skew=true)" in plan
@@ -176,7 +177,7 @@ def test_keys_of_unlike_types_still_match(spark):
     loose = spark.createDataFrame([("A",), ("b",)], "s__dim string collate utf8_lcase")
     held = spark.createDataFrame([("a",)], "t__dim string collate utf8_lcase")
     assert joins.pair_reduced(loose, held, "dim", "left_anti").collect() == [("b",)]
-    assert skew.hot_buckets(loose, ["s__dim"], hot_rows=0) == []
+    assert skew.hot_keys(loose, ["s__dim"], hot_rows=0) == []
 
 
 @pytest.mark.parametrize("kept", [True, False])
@@ -187,7 +188,7 @@ def test_hot_key_of_a_cleanup_is_split(spark, small_skew, kept):
         F.when(F.col("id") % 6 == 0, 9).otherwise(F.col("id") % 7).alias("e"),
         F.sha2(F.col("id").cast("string"), 256).alias("payload"),
     )
-    hot = skew.hot_buckets(df, ["k"], hot_rows=ROWS // 10)
+    hot = skew.hot_keys(df, ["k"], hot_rows=ROWS // 10)
     assert len(hot) == 1
     run = cleanup.keep_latest_batch if kept else cleanup.stale_rows
     rows, plan = final_plan(run(df, ["k"], "e", hot=hot))
@@ -203,3 +204,40 @@ def test_writer_adds_no_sort(spark, tmp_path):
     wanted = df.hint("rebalance", "dim").sortWithinPartitions("CURRENT_IND", "dim")
     assert physical(wanted).count("Sort ") == 1
     files.write_scd_table(df, str(tmp_path / "t"), "dim")
+
+
+def scans_and_shuffles(df):
+    plan = physical(df)
+    return len(re.findall(r"Scan parquet|FileScan parquet", plan)), plan.count("Exchange hashpartitioning")
+
+
+def test_inputs_are_read_once(spark, monkeypatch):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        queries = registered.queries()
+        assert scans_and_shuffles(queries["next_version"](spark, SF_DIR))[0] <= 3
+        assert scans_and_shuffles(queries["scd2_hash_feed"](spark, SF_DIR))[0] <= 5
+        assert scans_and_shuffles(queries["cleanup_stale_rows"](spark, SF_DIR))[0] == 1
+        assert scans_and_shuffles(queries["upsert_all_matched_feed"](spark, SF_DIR))[1] <= 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_limit_does_not_rise_with_the_table(spark):
+    few = spark.range(0, 4000).select(F.when(F.col("id") < 2000, -1).otherwise(F.col("id")).alias("k"))
+    many = spark.range(0, 400_000).select(F.when(F.col("id") < 2000, -1).otherwise(F.col("id")).alias("k"))
+    found = [skew.hot_keys(df, ["k"], hot_rows=1500) for df in (few, many)]
+    assert found[0] == found[1] and len(found[0]) == 1
+
+
+def test_long_history_is_one_row_in_the_type1_hybrid_feed(spark, small_skew):
+    spec = LoadSpec("DIM", "Type2", "sid", "dim", scd_type1_attributes=("a",))
+    source = spark.range(0, ROWS, 1, 16).select(
+        F.col("id").alias("sid"), third(-1).alias("dim"), F.md5(F.col("id").cast("string")).alias("a"), F.lit(1).alias(C.BATCH_SID)
+    )
+    target = spark.range(0, ROWS, 1, 16).select(F.col("id").alias("sid"), third(-1).alias("dim"), F.lit("x").alias("a"))
+    rows, plan = final_plan(feeds.type1_hybrid_feed(source, target, spec, LOAD))
+    assert "SortMergeJoin(skew=true)" in plan and rows == ROWS
+    rows, plan = final_plan(joins.new_keys(source.drop("sid"), target.select("dim").where("dim > 0"), "dim"))
+    assert "SortMergeJoin(skew=true)" in plan

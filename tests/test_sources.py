@@ -105,7 +105,9 @@ def test_long_history_is_written_by_many_tasks(spark, tmp_path):
 
 def test_jdbc_read_calls():
     spark = MagicMock()
-    jdbc.read_jdbc(spark, "jdbc:x", "t", {"user": "u"})
+    with pytest.raises(ValueError, match="single_task"):
+        jdbc.read_jdbc(spark, "jdbc:x", "t", {"user": "u"})
+    jdbc.read_jdbc(spark, "jdbc:x", "t", {"user": "u"}, single_task=True)
     spark.read.jdbc.assert_called_with(
         "jdbc:x", "t", properties={"fetchsize": "10000", "user": "u"}
     )
