@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from dimweave.llm.common import column_of, table, work_folder, written
 
 #: Pivots, and the rows (of smallest hash) from which they are chosen.
-PIVOTS, PIVOT_SAMPLE = 24, 2000
+PIVOTS, PIVOT_SAMPLE = 16, 2000
 
 #: Rows, and queries, that meet in one task.
-ROWS, QUERIES = 32_768, 2_048
+ROWS, QUERIES = 8_192, 2_048
 
 #: Candidates scored at a time in order of their bounds.
-STEP = 128
+STEP = 1024
 
 
 def integer_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -65,23 +65,29 @@ def search_block(
     are scored from the best bound on, until k scores are above the next bound; the rest can't be among
     the best, ties included.
     """
-    big = max(abs(queries).max(initial=0), abs(rows).max(initial=0)) > 1 << 24  # products could leave 64 bits
-    if big:
-        queries, rows = queries.astype(object), rows.astype(object)
+    exact = longest < 1 << 52 and (queries.astype(float) ** 2).sum(axis=1).max(initial=0) < 1 << 52
+    kind = np.float64 if exact else object  # sums of products are whole numbers that doubles hold, or Python's
+    queries, rows = queries.astype(kind), rows.astype(kind)
     found = []
     for i, query in enumerate(queries):
         gap = np.abs(to_pivots - of_queries[i]).max(axis=1) if to_pivots.shape[1] else np.zeros(len(rows))
-        length = float((query * query).sum())
+        length = float(query @ query)
         bound = (length + longest - gap * gap) / 2
         bound += 1 + 1e-9 * (length + longest)  # for what rounding may take
+        bound[row_ids[:, 1] == own[i]] = -np.inf  # a query is no candidate of its own
         order = np.argsort(-bound, kind="stable")
-        order = order[row_ids[order, 1] != own[i]]
-        at, best, scores = 0, np.empty(0, np.int64), np.empty(0, rows.dtype)
+        order = order[: len(order) - int((row_ids[:, 1] == own[i]).sum())]
+        at, best, scores = 0, np.empty(0, np.int64), np.empty(0, kind)
         while at < len(order) and (len(best) < k or bound[order[at]] >= scores[-1]):
             part = order[at : at + STEP]
             at += STEP
-            best, scores = np.concatenate((best, part)), np.concatenate((scores, rows[part] @ query))
-            rank = np.array(sorted(range(len(best)), key=lambda j: (-scores[j], row_ids[best[j], 0]))[:k], np.int64)
+            new = rows[part] @ query
+            if len(best) == k:
+                part, new = part[new >= scores[-1]], new[new >= scores[-1]]
+            best, scores = np.concatenate((best, part)), np.concatenate((scores, new))
+            rank = np.lexsort((row_ids[best, 0], -scores))[:k] if exact else np.array(
+                sorted(range(len(best)), key=lambda j: (-scores[j], row_ids[best[j], 0]))[:k], np.int64
+            )
             best, scores = best[rank], scores[rank]
         found.append((best, scores))
     return found
