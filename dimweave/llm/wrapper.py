@@ -61,6 +61,8 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORDS = re.compile(r"[a-z]+")
+#: Headers of a page; those inside an article hold its heading.
+_HEADER = re.compile(r"(?:^|[.\W_])header\b")
 
 
 @dataclass
@@ -300,7 +302,7 @@ def induce(shapes: list[tuple[str, int, dict[int, tuple[int, int, int, int]]]])
         outside: list[int] = []
 
         def visit(node: Node, main: bool, i: int = i, inside: list = inside, outside: list = outside) -> None:
-            if node.label.endswith("!") or (node.label.startswith("header") and not main):
+            if node.label.endswith("!") or (not main and _HEADER.search(node.label)):
                 return
             main = main or node.label.endswith("*")
             (inside if main else outside).append(node.at)
