@@ -38,12 +38,6 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return str(files.makeQualified(path).toString())
 
 
-def release(spark: SparkSession, folder: str) -> None:
-    """Remove a work folder whose tables nothing reads any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def written(df: DataFrame, path: str) -> DataFrame:
     """The frame as a table in a shared folder: lineage ends here and outlives lost executors."""
     df.write.mode("overwrite").parquet(path)
@@ -96,7 +90,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, kept for the words met last; emptied when it holds `limit` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 250_000):
         super().__init__()
         self.limit = limit
 
@@ -129,12 +123,17 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-def per_worker(name: str, make: Callable):
-    """What `make` returns, made once in a Python worker and kept for its later tasks."""
+def per_worker(name: str, make: Callable, version: str = ""):
+    """What `make` returns, made once in a Python worker and kept for its later tasks.
+
+    Only what was asked for last is kept: what earlier stages used goes.
+    """
     kept = sys.modules.setdefault("dimweave_kept", types.ModuleType("dimweave_kept")).__dict__
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
+    if kept.get("key") != (name, version):
+        kept.pop("value", None)
+        kept["key"], kept["value"] = None, make()
+        kept["key"] = name, version
+    return kept["value"]
 
 
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -7,16 +7,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import WordHashes, column_of, mix, slices, small, table, windows, work_folder, written
+from dimweave.llm.common import WordHashes, column_of, mix, per_worker, slices, small, table, windows, work_folder, written
 
 #: Words in a shingle; two sets link when 100 * intersection >= SIMILARITY * union. The bounds below are for 75.
 WIDTH, SIMILARITY = 5, 75
 
 #: Bits of a set's signature, children of a tree's node, sets in a tree.
-BITS, FANOUT, LEAF = 2048, 8, 64
+BITS, FANOUT, LEAF = 2048, 8, 512
+
+#: Shingles of smaller nodes that come to one task.
+PARTNERS = 4 << 20
 
 #: Shingles that the order of prefixes puts last, the commonest; any number gives the same links.
 COMMON = 65_536
@@ -47,12 +51,12 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 class SignatureTree:
-    """Sets in a tree whose nodes hold OR-combined bitmaps, size ranges and the overlap their sets need.
+    """Sets in a tree whose nodes hold OR-combined bitmaps, size ranges and what their sets' bitmaps can spare.
 
-    Of a set of n shingles a partner may miss n / 4 at most, and so may its bitmap miss that many bits:
-    a partner's bitmap shares at least need = bits - n // 4 of them. For two nodes no pair links if the
-    bits their bitmaps share are fewer than the smallest need in either, or if no two sizes of their
-    ranges are within the ratio.
+    Sets of a and b shingles that link share at least 3 (a + b) / 7. What the first has beyond that may
+    set bits of its own, no more than one each: 7 shared bits >= 7 bits - 4 a + 3 b. For two nodes no pair
+    links if the bits that their bitmaps share are too few for the least demanding set of either and the
+    smallest size in the other, or if no two sizes of their ranges are within the ratio 3 / 4.
     """
 
     def __init__(self, sets: list[np.ndarray]):
@@ -63,7 +67,7 @@ class SignatureTree:
             row[(s % np.uint64(BITS)).astype(np.int64)] = True
         size = np.array([len(s) for s in self.sets], np.int64)
         maps = np.packbits(bits, axis=1).view(np.uint64)
-        need = bits.sum(axis=1) - size // 4
+        need = 7 * bits.sum(axis=1) - 4 * size
         self.levels = [(maps, size, size, need)]
         while len(self.levels[-1][0]) > 1:
             maps, low, high, need = self.levels[-1]
@@ -82,7 +86,7 @@ class SignatureTree:
         maps2, low2, high2, need2 = (x[theirs.start : theirs.stop] for x in other.levels[other_level])
         sizes = (4 * high[:, None] >= 3 * low2) & (4 * high2 >= 3 * low[:, None])
         shared = np.bitwise_count(maps[:, None, :] & maps2[None, :, :]).sum(axis=2, dtype=np.int64)
-        return sizes & (shared >= np.maximum(need[:, None], need2))
+        return sizes & (7 * shared >= np.maximum(need[:, None] + 3 * low2, need2 + 3 * low[:, None]))
 
     def children(self, level: int, node: int) -> range:
         return range(node * FANOUT, min((node + 1) * FANOUT, len(self.levels[level - 1][0])))
@@ -132,9 +136,23 @@ def link_all(sets: list[np.ndarray]) -> list[int]:
     return [find(i) for i in range(len(sets))]
 
 
-def any_link(a: list[np.ndarray], b: list[np.ndarray]) -> bool:
-    left, right = SignatureTree(a), SignatureTree(b)
-    return any(linked(left.sets[i], right.sets[j]) for i, j in left.candidates(right))
+def links_between(
+    left: SignatureTree, roots: list[int], right: SignatureTree, other_roots: list[int]
+) -> list[tuple[int, int]]:
+    """Pairs of roots that links between the sets of two trees connect; what is connected already is not compared."""
+    found, joined = [], {}
+
+    def find(x: int) -> int:
+        while (up := joined.get(x, x)) != x:
+            x = up
+        return x
+
+    for i, j in left.candidates(right):
+        x, y = roots[left.order[i]], other_roots[right.order[j]]
+        if find(x) != find(y) and linked(left.sets[i], right.sets[j]):
+            joined[find(x)] = find(y)
+            found.append((x, y))
+    return found
 
 
 # --- which sets can have a partner at all ---------------------------------------------------------
@@ -201,7 +219,7 @@ def sets_and_shared(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
     names = ["part", "doc_id", "key", "n", "blob"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = per_worker("hashes", WordHashes)
         for batch in slices(batches, "text"):
             sets = [shingles(t or "", hashes) for t in column_of(batch, "text").to_pylist()]
             keys = [set_key(s) for s in sets]
@@ -250,10 +268,10 @@ def sets_and_shared(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
 
 
 def sets_with_partners(docs: DataFrame, keys: DataFrame, shared: DataFrame, folder: str) -> DataFrame:
-    """(key, n, tokens, least) of the sets of which three in four shingles are found in another set.
+    """(key, n, tokens) of the sets of which three in four shingles are found in another set.
 
     Others can't link: the intersection alone has to be that large. One document stands for a key, and
-    its shingles are made anew from its text. `least` is the smallest of them after mixing.
+    its shingles are made anew from its text.
     """
     total = shared.groupBy("key").agg(F.sum("shared").alias("shared"))
     able = keys.join(total, "key").where(4 * F.col("shared") >= 3 * F.col("n")).select("first")
@@ -261,7 +279,7 @@ def sets_with_partners(docs: DataFrame, keys: DataFrame, shared: DataFrame, fold
     texts = docs.select("doc_id", "text").alias("d").join(able, F.col("d.doc_id").eqNullSafe(F.col("a.first")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = per_worker("hashes", WordHashes)
         for batch in slices(batches, "text"):
             sets = [s for t in column_of(batch, "text").to_pylist() if len(s := shingles(t or "", hashes))]
             yield pa.RecordBatch.from_arrays(
@@ -269,12 +287,11 @@ def sets_with_partners(docs: DataFrame, keys: DataFrame, shared: DataFrame, fold
                     pa.array([set_key(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([int(mix(s).min().astype(np.int64)) for s in sets], pa.int64()),
                 ],
-                ["key", "n", "tokens", "least"],
+                ["key", "n", "tokens"],
             )
 
-    return written(texts.mapInArrow(run, "key long, n long, tokens binary, least long"), f"{folder}/sets")
+    return written(texts.mapInArrow(run, "key long, n long, tokens binary"), f"{folder}/sets")
 
 
 # --- links ----------------------------------------------------------------------------------------
@@ -284,149 +301,193 @@ def unpack(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
 
 
-def trees(items: DataFrame, folder: str) -> DataFrame:
+def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The COMMON shingles found most often twice in a slice of sets, ascending, and how often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "tokens"):
+            tokens, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *unpack(column_of(batch, "tokens"))]), return_counts=True)
+            often = counts > 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens[often].view(np.int64)), pa.array(counts[often], pa.int64())], ["token", "n"]
+            )
+
+    counted = sets.select("tokens").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = counted.orderBy(F.desc("n"), "token").limit(COMMON).collect()
+    tokens = np.array([r["token"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], np.array([r["n"] for r in rows], np.int64)[order]
+
+
+def ranks(own: np.ndarray, common: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """How common shingles are; 0 for those not listed."""
+    if not len(common):
+        return np.zeros(len(own), np.int64)
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    return np.where(common[at] == own, often[at], 0)
+
+
+def leaves(sets: DataFrame, shared: Broadcast, folder: str) -> DataFrame:
+    """(key, least, c, node): leaves of about LEAF sets for signature trees.
+
+    `least` is a set's smallest shingle after mixing, of its common ones if it has any: near copies share
+    those, whatever else was changed in them. `c` sets share it and are cut into nodes by hash.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, often = shared.value
+        for batch in slices(batches, "tokens"):
+            least = []
+            for own in unpack(column_of(batch, "tokens")):
+                listed = own[ranks(own, common, often) > 0]
+                least.append(int(mix(listed if len(listed) else own).min().astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([column_of(batch, "key"), pa.array(least, pa.int64())], ["key", "least"])
+
+    least = written(sets.select("key", "tokens").mapInArrow(run, "key long, least long").distinct(), f"{folder}/least")
+    sizes = written(least.groupBy("least").agg(F.count(F.lit(1)).alias("c")), f"{folder}/sizes")
+    chunk = F.pmod(F.xxhash64("key"), F.ceil(F.col("c") / LEAF))
+    return written(least.join(small(sizes), "least").select("key", "least", "c", F.xxhash64("least", chunk).alias("node")), f"{folder}/leaves")
+
+
+def trees(sets: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
     """(key, root): components within signature trees, built over each other.
 
-    Sets with the same smallest shingle, as near copies mostly have, form trees of LEAF sets or so. Of
-    each component in a tree one set goes on to the next round, in which those of one smallest shingle
-    meet again, until a tree holds them all or rounds no longer help. All links are exact; links between
-    trees are left to `between`.
+    The sets of a node form a tree. Of each component in it one set goes on to the next round, in which
+    those of one smallest shingle meet again, until a tree holds them all or rounds no longer help. All
+    links are exact; links between trees are left to `between`.
     """
-    labels, level = None, 0
+    items = sets.join(small(nodes.where("c > 1")), "key").select("key", "tokens", "least", "c", "node")
+    labels, level, before = None, 0, items.count()
     while True:
-        sizes = items.groupBy("least").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-        sizes = written(sizes, f"{folder}/sizes{level}")
-        chunk = F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("c") / LEAF)).alias("chunk")
-        grouped = items.join(small(sizes), "least").select("key", "n", "tokens", "least", "c", chunk)
 
         def run(group: pa.Table) -> pa.Table:
             keys, first = np.unique(group["key"].to_numpy(), return_index=True)
             group = group.take(first)
             sets = unpack(group["tokens"].combine_chunks())
             at = link_all(sets)
-            more = group["c"][0].as_py() > LEAF if len(keys) else False
+            more = len(keys) and group["c"][0].as_py() > LEAF
             return pa.table({
                 "key": keys,
                 "root": keys[at] if len(keys) else keys,
-                "n": group["n"],
                 "tokens": pa.array([s.tobytes() if more and at[i] == i else None for i, s in enumerate(sets)], pa.binary()),
                 "least": group["least"],
             })
 
-        schema = "key long, root long, n long, tokens binary, least long"
-        made = written(grouped.groupBy("least", "chunk").applyInArrow(run, schema), f"{folder}/level{level}")
-        found = made.select("key", "root")
+        made = items.groupBy("node").applyInArrow(run, "key long, root long, tokens binary, least long")
+        made = written(made, f"{folder}/level{level}")
         if labels is None:
-            labels = found
+            labels = made.select("key", "root")
         else:
-            further = found.select(F.col("key").alias("root"), F.col("root").alias("next"))
-            labels = labels.join(small(written(further, f"{folder}/next{level}")), "root", "left").select(
-                "key", F.coalesce("next", "root").alias("root")
-            )
+            further = made.select(F.col("key").alias("root"), F.col("root").alias("next"))
+            labels = labels.join(small(further), "root", "left").select("key", F.coalesce("next", "root").alias("root"))
         labels = written(labels, f"{folder}/labels{level}")
-        before, items = items, made.where("tokens IS NOT NULL").select("key", "n", "tokens", "least")
-        left = items.count()
-        if not left or 2 * left > before.count():
+        going = made.where("tokens IS NOT NULL").select("key", "tokens", "least")
+        left = going.count()
+        if not left or 2 * left > before:
             return labels
-        level += 1
-
-
-def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The COMMON shingles found most often twice in a slice of sets, ascending, and how often."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "tokens"):
-            tokens, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *unpack(column_of(batch, "tokens"))]), return_counts=True)
-            often = counts > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens[often].view(np.int64)), pa.array(counts[often], pa.int64())], ["token", "n"]
-            )
-
-    counted = sets.select("tokens").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "token").limit(COMMON).collect()
-    tokens = np.array([r["token"] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(tokens)
-    return tokens[order], np.array([r["n"] for r in rows], np.int64)[order]
+        level, before = level + 1, left
+        sizes = written(going.groupBy("least").agg(F.count(F.lit(1)).alias("c")), f"{folder}/sizes{level}")
+        chunk = F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("c") / LEAF))
+        items = going.join(small(sizes), "least").select("key", "tokens", "least", "c", F.xxhash64("least", chunk).alias("node"))
 
 
-def prefixes(sets: DataFrame) -> DataFrame:
-    """(token, key, n): the shingles of each set of which two sets that link share at least one.
+def prefixes(sets: DataFrame, shared: Broadcast) -> DataFrame:
+    """(token, key, n, rest): the shingles of each set of which two sets that link share at least one.
 
     In any fixed order of all shingles, sets that share three quarters of each share one among their
     first n - ceil(3 n / 4) + 1. The order puts common shingles last, so that a passage that very many
-    documents quote is in a prefix only where a set has little else.
+    documents quote is in a prefix only where a set has little else. `rest` is how many of the set's
+    shingles come from there on: the first shingle two sets share leaves no more for their intersection.
     """
-    shared = sets.sparkSession.sparkContext.broadcast(common_shingles(sets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, often = shared.value
         for batch in slices(batches, "tokens"):
-            keys, tokens = [], []
+            keys, tokens, sizes, rest = ([np.empty(0, np.int64)] for _ in range(4))
             for key, own in zip(column_of(batch, "key").to_pylist(), unpack(column_of(batch, "tokens"))):
-                rank = np.zeros(len(own), np.int64)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-                    rank = np.where(common[at] == own, often[at], 0)
-                first = own[np.argsort(rank, kind="stable")[: len(own) + (-3 * len(own)) // 4 + 1]]
-                tokens.append(first)
+                n = len(own)
+                first = own[np.argsort(ranks(own, common, often), kind="stable")[: n + (-3 * n) // 4 + 1]]
+                tokens.append(first.view(np.int64))
                 keys.append(np.full(len(first), key, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.empty(0, np.uint64), *tokens]).view(np.int64)), pa.array(np.concatenate([np.empty(0, np.int64), *keys]))],
-                ["token", "key"],
-            )
+                sizes.append(np.full(len(first), n))
+                rest.append(n - np.arange(len(first)))
+            columns = [pa.array(np.concatenate(x)) for x in (tokens, keys, sizes, rest)]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "key", "n", "rest"])
 
-    return sets.select("key", "tokens").mapInArrow(run, "token long, key long")
+    return sets.select("key", "tokens").mapInArrow(run, "token long, key long, n long, rest long")
 
 
-def between(sets: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
-    """(a, b): components of `labels` with a link between them.
+def between(sets: DataFrame, nodes: DataFrame, shared: Broadcast, folder: str) -> DataFrame:
+    """(a, b): roots with a link between sets of different nodes; `nodes` is (key, root, node).
 
-    Components are cut into nodes of about LEAF sets. Nodes of different components that share a
-    shingle of their prefixes, and whose size ranges meet, are compared as signature trees until one
-    link is found; shingles whose sets are all in one component already drop out before they are paired.
+    Nodes whose sets share a shingle of their prefixes, unless all of them have one root, whose size
+    ranges meet and of which enough is left from that shingle on, are compared as signature trees.
+    Shingles all of whose sets have one root drop out before nodes are paired.
     """
-    sizes = written(labels.groupBy("root").agg(F.count(F.lit(1)).alias("c")), f"{folder}/roots")
-    chunk = F.pmod(F.xxhash64("key"), F.ceil(F.col("c") / LEAF))
-    nodes = labels.join(small(sizes), "root").select("key", "root", F.xxhash64("root", chunk).alias("node"))
-    nodes = written(nodes, f"{folder}/nodes")
-    entries = prefixes(sets).join(small(nodes), "key").join(small(written(sets.select("key", "n").distinct(), f"{folder}/ns")), "key")
-    entries = written(
-        entries.groupBy("token", "root", "node").agg(F.min("n").alias("low"), F.max("n").alias("high")), f"{folder}/entries"
-    )
-    several = entries.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-    several = written(several, f"{folder}/several")
+    entries = prefixes(sets, shared).join(small(nodes), "key").groupBy("token", "node")
+    entries = entries.agg(
+        F.min("root").alias("x"), F.max("root").alias("y"),
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"),
+    )
+    entries = written(entries, f"{folder}/entries")
+    several = entries.groupBy("token").agg(F.min("x").alias("x"), F.max("y").alias("y"), F.count(F.lit(1)).alias("c"))
+    several = written(several.where("x <> y AND c > 1").select("token"), f"{folder}/several")
     met = written(entries.join(small(several), "token", "left_semi"), f"{folder}/met")
     a, b = met.alias("a"), met.alias("b")
+    apart = (F.least("a.x", "b.x") < F.greatest("a.y", "b.y")) & (F.col("a.node") < F.col("b.node"))
     sizes_meet = (4 * F.col("a.high") >= 3 * F.col("b.low")) & (4 * F.col("b.high") >= 3 * F.col("a.low"))
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.root") < F.col("b.root")) & sizes_meet)
-    pairs = written(
-        pairs.select(F.col("a.node").alias("left"), F.col("b.node").alias("right"), F.col("a.root").alias("a"), F.col("b.root").alias("b")).distinct(),
-        f"{folder}/pairs",
+    enough = 7 * F.least("a.rest", "b.rest") >= 3 * (F.col("a.low") + F.col("b.low"))
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & apart & sizes_meet & enough)
+    pairs = pairs.select(F.col("a.node").alias("left"), F.col("b.node").alias("right")).distinct()
+    pairs = written(pairs, f"{folder}/pairs")
+    quoting = prefixes(sets, shared).join(small(several), "token", "left_semi").select("key").distinct()
+    wanted = pairs.select(F.col("left").alias("node")).union(pairs.select("right")).distinct()
+    own = nodes.join(small(written(wanted, f"{folder}/wanted")), "node", "left_semi")
+    own = written(own.join(small(written(quoting, f"{folder}/quoting")), "key", "left_semi"), f"{folder}/own")
+    held = sets.select("key", "n", "tokens").join(small(own), "key").groupBy("node")
+    held = held.agg(F.collect_list("root").alias("roots"), F.collect_list("tokens").alias("sets"), F.sum("n").alias("w"))
+    return compare(pairs, written(held, f"{folder}/held"), folder)
+
+
+def compare(pairs: DataFrame, held: DataFrame, folder: str) -> DataFrame:
+    """(a, b): roots connected by links between the sets of paired nodes; held is (node, roots, sets, w).
+
+    The larger node of each pair is sent once to a task, which all its smaller partners come to; where
+    these are more than PARTNERS shingles, it is sent to several tasks that share them.
+    """
+    weights = small(written(held.select("node", "w"), f"{folder}/weights"))
+    sized = pairs.join(weights.select(F.col("node").alias("left"), F.col("w").alias("x")), "left")
+    sized = sized.join(weights.select(F.col("node").alias("right"), F.col("w").alias("y")), "right")
+    first = F.col("x") >= F.col("y")
+    sized = sized.select(
+        F.when(first, F.col("left")).otherwise(F.col("right")).alias("big"),
+        F.when(first, F.col("right")).otherwise(F.col("left")).alias("node"),
+        F.least("x", "y").alias("w"),
     )
-    wanted = written(pairs.select(F.col("left").alias("node")).union(pairs.select("right")).distinct(), f"{folder}/wanted")
-    own = nodes.join(small(wanted), "node", "left_semi").select("key", "node")
-    held = sets.join(small(written(own, f"{folder}/own")), "key").groupBy("node").agg(F.collect_list("tokens").alias("sets"))
-    held = written(held, f"{folder}/held")
-    both = pairs.join(held.select(F.col("node").alias("left"), F.col("sets").alias("x")), "left")
-    both = both.join(held.select(F.col("node").alias("right"), F.col("sets").alias("y")), "right").select("a", "b", "x", "y")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = column_of(batch, "a"), column_of(batch, "b")
-            done = set()
-            hit = []
-            for i in range(batch.num_rows):
-                pair = a[i].as_py(), b[i].as_py()
-                if pair in done:
-                    continue
-                x = [np.frombuffer(s, np.uint64) for s in column_of(batch, "x")[i].as_py()]
-                y = [np.frombuffer(s, np.uint64) for s in column_of(batch, "y")[i].as_py()]
-                if any_link(x, y):
-                    hit.append(pair)
-                    done.add(pair)
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in hit], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    return written(both.mapInArrow(run, "a long, b long").distinct(), f"{folder}/links")
+    sized = written(sized, f"{folder}/sized")
+    tasks = sized.groupBy("big").agg(F.ceil(F.sum("w") / PARTNERS).cast("int").alias("tasks"))
+    tasks = small(written(tasks, f"{folder}/tasks"))
+    part = F.pmod(F.xxhash64("node"), F.col("tasks")).cast("int").alias("part")
+    partners = sized.select("big", "node").join(tasks, "big").select("big", "node", part)
+    partners = partners.join(held.select("node", "roots", "sets"), "node")
+    every = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("part")
+    own = held.select(F.col("node").alias("big"), F.col("roots").alias("own_roots"), F.col("sets").alias("own"))
+    bigs = tasks.select("big", every).join(own, "big")
+
+    def run(big: pa.Table, others: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if big.num_rows:
+            roots = big["own_roots"][0].as_py()
+            sets = [np.frombuffer(s, np.uint64) for s in big["own"][0].as_py()]
+            tree = SignatureTree(sets)
+            for i in range(others.num_rows):
+                partner = [np.frombuffer(s, np.uint64) for s in others["sets"][i].as_py()]
+                found += links_between(tree, roots, SignatureTree(partner), others["roots"][i].as_py())
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    together = bigs.groupBy("big", "part").cogroup(partners.groupBy("big", "part"))
+    links = together.applyInArrow(run, "a long, b long").distinct()
+    return written(links, f"{folder}/links")
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
@@ -466,13 +527,13 @@ def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
         rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), f"{folder}/keys"
     )
     sets = sets_with_partners(docs, keys, shared, folder)
-    inside = trees(sets, folder)
-    alone = sets.select("key").distinct().join(inside, "key", "left").select("key", F.coalesce("root", "key").alias("root"))
-    labels = written(alone, f"{folder}/labels")
-    joined = components(between(sets, labels, folder), folder)
-    whole = labels.join(small(written(joined, f"{folder}/joined")), F.col("root") == F.col("node"), "left").select(
-        "key", F.coalesce("component", "root").alias("component")
-    )
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(sets))  # COMMON numbers at most
+    nodes = leaves(sets, common, folder)
+    rooted = nodes.join(small(trees(sets, nodes, folder)), "key", "left")
+    labels = written(rooted.select("key", F.coalesce("root", "key").alias("root"), "node"), f"{folder}/labels")
+    joined = components(between(sets, labels, common, folder), folder)
+    joined = written(joined.withColumnRenamed("node", "root"), f"{folder}/joined")
+    whole = labels.join(small(joined), "root", "left").select("key", F.coalesce("component", "root").alias("component"))
     whole = whole.join(keys, "key")
     named = whole.groupBy("component").agg(F.min("first").alias("component_id"))
     renamed = written(whole.join(named, "component").select("key", "component_id"), f"{folder}/renamed")

@@ -62,7 +62,10 @@ def test_groups_of_near_copies(spark, documents):
     assert answered(spark, documents(rows)) == brute(rows)
 
 
-def test_one_large_group(spark, documents):
+@pytest.mark.parametrize("leaf, partners", [(512, 4 << 20), (4, 100)])
+def test_one_large_group(spark, documents, monkeypatch, leaf, partners):
+    monkeypatch.setattr(ngram_join, "LEAF", leaf)
+    monkeypatch.setattr(ngram_join, "PARTNERS", partners)
     rng = random.Random(6)
     rows = near_copies(rng, 1, 1, 80, 0)
     base = rows[0][1].split()
@@ -106,7 +109,8 @@ def test_dual_traversal_misses_no_link(seed):
     links = {frozenset((i, j)) for i in range(len(sets)) for j in range(i) if ngram_join.linked(sets[i], sets[j])}
     assert links <= met
     half = len(sets) // 2
-    pairs = ngram_join.links_between(sets[:half], list(range(half)), sets[half:], list(range(half, len(sets))))
+    left, right = ngram_join.SignatureTree(sets[:half]), ngram_join.SignatureTree(sets[half:])
+    pairs = ngram_join.links_between(left, list(range(half)), right, list(range(half, len(sets))))
     assert all(frozenset(p) in links for p in pairs)
     assert bool(pairs) == any(min(p) < half <= max(p) for p in links)
 
