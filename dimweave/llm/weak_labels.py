@@ -4,14 +4,18 @@ linear scorer trained on the posterior labels."""
 from __future__ import annotations
 
 import re
+import uuid
+from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from dimweave.llm.common import column_of, hide, slices, table, work_folder, written
+from dimweave.llm.common import column_of, hide, per_worker, slices, table, work_folder, written
 
 #: Labelled documents the model is fitted on at most (those of smallest hash), and hashed features.
 SAMPLE, FEATURES = 16_000, 1 << 20
@@ -20,7 +24,7 @@ SAMPLE, FEATURES = 16_000, 1 << 20
 EM_ROUNDS, ROUNDS, STEP, PENALTY = 50, 150, 0.3, 1e-4
 
 #: First letters of a word that are features besides it: inflected words share them.
-STEMS = (4, 5, 6, 7)
+STEMS = (4, 5, 7)
 
 #: Rows that must have a feature before it gets a weight, and how telling it must be.
 SUPPORT, DEVIATION = 3, 4.0
@@ -35,63 +39,54 @@ REJECT = 0.4
 INSULTS = frozenset("loser idiot pathetic scum worthless moron trash clown disgusting stupid".split())
 
 BAD, GOOD, ABSTAIN = 1, 0, -1
+SYMBOLS = "#*$%&|<>!?"
 _WORD = re.compile(r"\w+")
-_SYMBOL = re.compile(r"[#*$%&|<>!?]")
-_END = re.compile(r"[^\W\d_][.,;:]?(?:\s|\Z)")
+_LOWER, _UPPER, _DIGIT = re.compile(r"[^\W\d_A-ZÀ-Þ]+"), re.compile(r"[A-ZÀ-Þ]+"), re.compile(r"\d+")
+#: Shapes of words as prose has them, with the signs that may follow them.
+PLAIN = frozenset(w + sign for w in ("x", "X", "Xx") for sign in ("", ".", ",", ";", ":"))
+
+
+def shapes_of(text: str) -> Counter[str]:
+    """How often a text's tokens have each shape: runs of capitals as X, of other letters as x, of digits as 0."""
+    return Counter(_DIGIT.sub("0", _UPPER.sub("X", _LOWER.sub("x", text))).split())
 
 
-def labels_of(text: str, words: list[str]) -> list[int]:
+def labels_of(text: str, words: list[str], distinct: set[str], shapes: Counter[str]) -> list[int]:
     """Votes on low quality (BAD) of the labellers that look at the text: symbols, capitals, repetition,
     variety, cells, prose; then that of the insults on toxic text."""
-    n, chars = len(words), max(1, len(text))
+    n, tokens = len(words), max(1, shapes.total())
     if not n:
-        return [ABSTAIN] * 6 + [ABSTAIN]
-    symbols = len(_SYMBOL.findall(text)) / n
-    capitals = sum(map(len, re.findall(r"[A-ZÀ-Þ]{2,}", text))) / chars
-    grams = len({*zip(words, words[1:], words[2:])}) / (n - 2) if n > 2 else 1.0
-    variety = len(set(words)) / n
+        return [ABSTAIN] * 7
+    symbols = sum(map(text.count, SYMBOLS)) / n
+    capitals = sum(k for s, k in shapes.items() if s[0] == "X" and "x" not in s) / tokens
+    repeats = sum(map(eq, words, words[1:])) / n
+    variety = len(distinct) / n
     cells = text.count(" | ") / n
-    prose = len(_END.findall(text)) / n
+    prose = sum(k for s, k in shapes.items() if s in PLAIN) / tokens
     return [
         BAD if symbols > 0.5 else GOOD if symbols < 0.1 else ABSTAIN,
-        BAD if capitals > 0.3 else GOOD if capitals < 0.05 else ABSTAIN,
-        ABSTAIN if n < 20 else BAD if grams < 0.5 else GOOD if grams > 0.9 else ABSTAIN,
+        ABSTAIN if n < 3 else BAD if capitals > 0.6 else GOOD if capitals < 0.2 else ABSTAIN,
+        ABSTAIN if n < 3 else BAD if repeats > 0.4 else GOOD if repeats < 0.1 else ABSTAIN,
         ABSTAIN if n < 50 else BAD if variety < 0.1 else GOOD if variety > 0.3 else ABSTAIN,
         BAD if cells > 0.2 else GOOD if cells < 0.02 else ABSTAIN,
-        ABSTAIN if n < 20 else GOOD if prose > 0.9 and symbols < 0.1 else BAD if prose < 0.3 else ABSTAIN,
-        BAD if not INSULTS.isdisjoint(words) else ABSTAIN,
+        ABSTAIN if n < 20 else GOOD if prose > 0.8 and symbols < 0.1 else BAD if prose < 0.3 else ABSTAIN,
+        BAD if not INSULTS.isdisjoint(distinct) else ABSTAIN,
     ]
 
 
-VOTES = 7
-
-
-_LOWER, _UPPER, _DIGIT = re.compile(r"[^\W\d_A-ZÀ-Þ]+"), re.compile(r"[A-ZÀ-Þ]+"), re.compile(r"\d+")
-
-
-def shape(token: str) -> str:
-    """Runs of capitals as X, of other letters as x, of digits as 0; the rest as it is, 12 characters of it."""
-    return _DIGIT.sub("0", _UPPER.sub("X", _LOWER.sub("x", token)))[:12]
-
-
 def feature(name: str) -> int:
-    from xxhash import xxh3_64_intdigest
-
     return xxh3_64_intdigest(name.encode("utf-8", "replace")) % FEATURES
 
 
-def word_features(word: str) -> list[int]:
-    return [feature(f"w {word}"), *(feature(f"{n} {word[:n]}") for n in STEMS)]
-
-
-def vote_features(votes: list[int]) -> list[int]:
-    return [feature(f"v {i} {v}") for i, v in enumerate(votes[:-1])]
+def word_names(word: str) -> list[str]:
+    """Names of a word's features; the first is its own, others it shares."""
+    return [f"w {word}", *[f"{n} {word[:n]}" for n in STEMS]]
 
 
 class Memo(dict):
     """A function's values for the arguments met last; emptied at `limit`."""
 
-    def __init__(self, value, limit: int = 300_000):
+    def __init__(self, value, limit: int = 250_000):
         super().__init__()
         self.value, self.limit = value, limit
 
@@ -105,15 +100,14 @@ class Memo(dict):
 class Document:
     """What the model sees of a text: distinct words, distinct shapes of tokens, votes."""
 
-    def __init__(self, text: str, shapes: Memo):
-        words = _WORD.findall(text.lower())
-        self.votes = labels_of(text, words)
-        self.words = set(words)
-        self.shapes = set(map(shapes.__getitem__, set(text.split())))
-
+    def __init__(self, text: str):
+        words, shapes = _WORD.findall(text.lower()), shapes_of(text)
+        self.words, self.shapes = set(words), shapes.keys()
+        self.votes = labels_of(text, words, self.words, shapes)
 
-def shape_feature(token: str) -> int:
-    return feature(f"s {shape(token)}")
+    def style(self) -> list[str]:
+        """Names of the features of its style."""
+        return [*[f"s {x[:12]}" for x in self.shapes], *[f"v {i} {v}" for i, v in enumerate(self.votes[:-1])]]
 
 
 def posteriors(votes: np.ndarray) -> np.ndarray:
@@ -132,8 +126,9 @@ def posteriors(votes: np.ndarray) -> np.ndarray:
     known = votes[:, 0] != ABSTAIN
     bad = np.where(np.where(known, votes[:, 0] == BAD, lean > 0), 0.95, 0.05)
     prior = np.full((2, m, 3), 0.1)
-    prior[0, 0] += n * np.array([0.99, 0.01, 0.0]) * known.mean()
-    prior[1, 0] += n * np.array([0.01, 0.99, 0.0]) * known.mean()
+    share_known = known.mean()
+    prior[0, 0] += n * np.array([0.99 * share_known, 0.01 * share_known, 1 - share_known])
+    prior[1, 0] += n * np.array([0.01 * share_known, 0.99 * share_known, 1 - share_known])
     for _ in range(EM_ROUNDS):
         share = np.clip(bad.mean(), 1e-6, 1 - 1e-6)
         chances = []
@@ -145,38 +140,46 @@ def posteriors(votes: np.ndarray) -> np.ndarray:
     return bad
 
 
-def fit_linear(ids: np.ndarray, ends: np.ndarray, truth: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic scorer of rows with present features ids[ends[i - 1]:ends[i]].
+def sums(rows: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """For each feature the summed weights of the rows that have it, some rows at a time."""
+    total = np.zeros(FEATURES)
+    for at in range(0, len(rows), 500):
+        part = rows[at : at + 500]
+        each = np.repeat(weights[at : at + 500], [len(x) for x in part]).astype(float)
+        total += np.bincount(np.concatenate(part), weights=each, minlength=FEATURES)
+    return total
+
+
+def fit_linear(rows: list[np.ndarray], truth: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic scorer of rows with these present features.
 
     Full-batch descent with a step of each weight's own (AdaGrad), over the features that SUPPORT rows
     have and whose share of bad rows is DEVIATION standard deviations off the usual one.
     """
-    n = len(ends)
-    weights, bias = np.zeros(FEATURES, np.float64), 0.0
+    n = len(rows)
+    weights, bias = np.zeros(FEATURES), 0.0
     if not n:
-        return weights.astype(np.float32), bias
-    squares, bias_square = np.full(FEATURES, 1e-8), 1e-8
-    row = np.repeat(np.arange(n), np.diff(ends, prepend=0))
+        return weights, bias
     share = np.clip(truth.mean(), 0.01, 0.99)
-    seen = np.bincount(ids, minlength=FEATURES)
-    excess = np.bincount(ids, weights=truth[row], minlength=FEATURES) - share * seen
-    telling = (seen >= SUPPORT) & (np.abs(excess) > DEVIATION * np.sqrt(seen * share * (1 - share)))
-    kept = telling[ids]
-    ids, row = ids[kept], row[kept]
+    seen = sums(rows, np.ones(n))
+    excess = sums(rows, truth) - share * seen
+    telling = np.flatnonzero((seen >= SUPPORT) & (np.abs(excess) > DEVIATION * np.sqrt(seen * share * (1 - share))))
+    place = np.full(FEATURES, -1, np.int32)
+    place[telling] = np.arange(len(telling))
+    found = [p[p >= 0] for p in (place[x] for x in rows)]
+    ids, row = np.concatenate(found), np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in found])
+    own = np.zeros(len(telling))
+    squares, bias_square = np.full(len(telling), 1e-8), 1e-8
     for _ in range(ROUNDS):
-        z = bias + np.bincount(row, weights=weights[ids], minlength=n)
+        z = bias + np.bincount(row, weights=own[ids], minlength=n)
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - truth) / n
-        slope = np.bincount(ids, weights=error[row], minlength=FEATURES) + PENALTY * weights
+        slope = np.bincount(ids, weights=error[row], minlength=len(telling)) + PENALTY * own
         squares += slope**2
-        weights -= STEP * slope / np.sqrt(squares)
-        weights[np.abs(weights) < 1e-12] = 0
+        own -= STEP * slope / np.sqrt(squares)
         bias_square += error.sum() ** 2
         bias -= STEP * error.sum() / np.sqrt(bias_square)
-    return weights.astype(np.float32), float(bias)
-
-
-def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.concatenate([np.empty(0, np.uint32), *rows]), np.cumsum([len(x) for x in rows], dtype=np.int64)
+    weights[telling] = own
+    return weights, float(bias)
 
 
 def fit(
@@ -187,16 +190,13 @@ def fit(
     quality and toxic are the labels (1, 0, or -1: unknown). They vote like the other labellers do, and
     so does the presence of words that are mined as signs of toxic text.
     """
-    ids, ends = flat(words)
-    row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    seen = np.bincount(ids, weights=(toxic >= 0)[row], minlength=FEATURES)
-    of_toxic = np.bincount(ids, weights=(toxic == 1)[row], minlength=FEATURES)
-    mined = (of_toxic >= MINED) & (of_toxic >= MINED_SHARE * seen)
-    hits = np.bincount(row, weights=mined[ids], minlength=len(ends))
+    of_toxic = sums(words, toxic == 1)
+    mined = (of_toxic >= MINED) & (of_toxic >= MINED_SHARE * sums(words, toxic >= 0))
+    hits = np.array([mined[x].sum() for x in words])
     signs = np.where(hits > 2, BAD, np.where(hits == 0, GOOD, ABSTAIN))
     poor = posteriors(np.column_stack([np.where(quality < 0, ABSTAIN, 1 - quality), votes[:, :-1]]))
     hurt = posteriors(np.column_stack([np.where(toxic < 0, ABSTAIN, toxic), votes[:, -1], signs]))
-    return fit_linear(*flat(style), poor), fit_linear(ids, ends, hurt)
+    return fit_linear(style, poor), fit_linear(words, hurt)
 
 
 FEATURE_ROWS = "quality long, toxic long, words binary, style binary, votes array<int>"
@@ -216,19 +216,25 @@ def training_rows(df: DataFrame, labels: DataFrame, folder: str, sample: int) ->
     )
     picked = written(picked, f"{folder}/picked")
     rows = df.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # `sample` rows of three numbers
-    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"), F.first("toxic").alias("toxic"))
+    labelled = [F.first(c).alias(c) for c in ("quality", "toxic")]
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), *labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, shapes = Memo(lambda w: np.array(word_features(w), np.uint32).tobytes()), Memo(shape_feature)
+        memo = Memo(lambda w: np.array([feature(x) for x in word_names(w)], np.uint32).tobytes())
         for batch in slices(batches, "text"):
-            found = [Document(t or "", shapes) for t in column_of(batch, "text").to_pylist()]
+            words, style, votes = [], [], []
+            for text in column_of(batch, "text").to_pylist():
+                found = Document(text or "")
+                words.append(b"".join([memo[w] for w in found.words]))
+                style.append(np.array([feature(x) for x in found.style()], np.uint32).tobytes())
+                votes.append(found.votes)
             yield pa.RecordBatch.from_arrays(
                 [
                     column_of(batch, "quality"),
                     column_of(batch, "toxic"),
-                    pa.array([b"".join(memo[w] for w in d.words) for d in found], pa.binary()),
-                    pa.array([np.array([*d.shapes, *vote_features(d.votes)], np.uint32).tobytes() for d in found], pa.binary()),
-                    pa.array([d.votes for d in found], pa.list_(pa.int32())),
+                    pa.array(words, pa.binary()),
+                    pa.array(style, pa.binary()),
+                    pa.array(votes, pa.list_(pa.int32())),
                 ],
                 ["quality", "toxic", "words", "style", "votes"],
             )
@@ -256,7 +262,8 @@ def fit_model(df: DataFrame, labels: DataFrame, folder: str, sample: int = SAMPL
             toxic += column_of(batch, "toxic").fill_null(-1).to_pylist()
         if not votes:
             return
-        for scorer, (weights, bias) in enumerate(fit(words, style, np.array(votes), np.array(quality), np.array(toxic))):
+        fitted = fit(words, style, np.array(votes), np.array(quality), np.array(toxic))
+        for scorer, (weights, bias) in enumerate(fitted):
             ids = np.flatnonzero(weights)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -268,7 +275,8 @@ def fit_model(df: DataFrame, labels: DataFrame, folder: str, sample: int = SAMPL
             )
 
     rows = training_rows(df, labels, folder, sample)
-    found = rows.coalesce(1).mapInArrow(run, "scorer long, feature long, weight double").collect()  # 2 * FEATURES at most
+    fitted = rows.coalesce(1).mapInArrow(run, "scorer long, feature long, weight double")
+    found = fitted.collect()  # 2 * FEATURES at most
     model: Model = [(0.0, {}), (0.0, {})]
     for scorer in (0, 1):
         weights = {r.feature: r.weight for r in found if r.scorer == scorer}
@@ -282,27 +290,46 @@ def score(df: DataFrame, model: Model, text: str = "text", reject: float = REJEC
     Each row is judged by itself over its whole text. Null and empty texts are not kept, repeated rows
     are judged alike, columns with the name of a result are replaced.
     """
+    number = uuid.uuid4().hex
     shared = df.sparkSession.sparkContext.broadcast(model)  # features with a weight, FEATURES of each scorer at most
     others = hide(df, "low_quality", "toxicity", "kept").schema
     rest = others.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (bias, style), (toxic_bias, toxic) = shared.value
-        memo, shapes = Memo(lambda w: sum(toxic.get(f, 0.0) for f in word_features(w))), Memo(shape_feature)
+        fitted = bool(bias or style or toxic_bias or toxic)  # if not, nothing is known against a text
+        styles = Memo(lambda name: style.get(feature(name), 0.0))
+
+        def scores() -> Memo:
+            """Weights of words; stems, which many words share, have a memo of their own."""
+            stems = Memo(lambda name: toxic.get(feature(name), 0.0))
+
+            def weigh(word: str) -> float:
+                own, *names = word_names(word)
+                return toxic.get(feature(own), 0.0) + sum([stems[n] for n in names])
+
+            return Memo(weigh)
+
+        memo = per_worker("weights", scores, number)
         for batch in slices(batches, text):
-            found = [Document(t or "", shapes) for t in column_of(batch, text).to_pylist()]
-            poor = np.array([bias + sum(style.get(f, 0.0) for f in (*d.shapes, *vote_features(d.votes))) for d in found])
-            hurt = np.array([toxic_bias + sum(map(memo.__getitem__, d.words)) for d in found])
+            rows = []
+            for value in column_of(batch, text).to_pylist():
+                found = Document(value or "")
+                rows.append((
+                    bias + sum([styles[n] for n in found.style()]),
+                    toxic_bias + sum(map(memo.__getitem__, found.words)),
+                    bool(found.words),
+                ))
+            poor, hurt, some = (np.array(x) for x in zip(*rows))
             poor, hurt = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (poor, hurt))
-            kept = (poor <= reject) & (hurt <= reject) & np.array([bool(d.words) for d in found])
-            if not shared.value[0][1] and not shared.value[1][1] and not bias and not toxic_bias:
-                kept = np.array([bool(d.words) for d in found])  # nothing was fitted: nothing is known against a text
+            kept = some & ((poor <= reject) & (hurt <= reject) if fitted else True)
             yield pa.RecordBatch.from_arrays(
                 [*(column_of(batch, c) for c in rest), pa.array(poor), pa.array(hurt), pa.array(kept, pa.bool_())],
                 [*rest, "low_quality", "toxicity", "kept"],
             )
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), "low_quality double, toxicity double, kept boolean"])
+    held = [f"`{f.name}` {f.dataType.simpleString()}" for f in others]
+    schema = ", ".join([*held, "low_quality double, toxicity double, kept boolean"])
     return df.mapInArrow(run, schema)
 
 
