@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from dimweave.llm.common import column_of, hide, mix, slices, table
+from dimweave.llm.common import column_of, hide, mix, per_worker, slices, table
 
 #: Pre-tokens a worker keeps ids of, tier above both others; emptied when full.
-MEMO = 500_000
+MEMO = 400_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -134,8 +134,6 @@ class Encoder:
         self.memo: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
-        if len(self.memo) + len(words) > MEMO:
-            self.memo.clear()
         raw = [w.encode("utf-8", "replace") for w in words]
         found = self.ids[self.perfect.slots(raw)].tolist()
         for word, key, i in zip(words, raw, found):
@@ -148,10 +146,12 @@ class Encoder:
         try:
             return b"".join(map(memo.__getitem__, words))
         except KeyError:
-            self.learn([w for w in dict.fromkeys(words) if w not in memo])
-            memo = self.memo
-            if len(memo) >= MEMO // 2:  # it may just have been emptied
-                self.learn([w for w in dict.fromkeys(words) if w not in memo])
+            distinct = dict.fromkeys(words)
+            new = [w for w in distinct if w not in memo]
+            if len(memo) + len(new) > MEMO:
+                memo.clear()
+                new = list(distinct)
+            self.learn(new)
             return b"".join(map(memo.__getitem__, words))
 
 
@@ -176,8 +176,11 @@ def encode(
     rest = hide(df, ids).columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seeds, slots = shared.value
-        encoder = Encoder(words, PerfectHash(len(words), seeds), slots, pattern)
+        def build() -> Encoder:
+            words, seeds, slots = shared.value
+            return Encoder(words, PerfectHash(len(words), seeds), slots, pattern)
+
+        encoder = per_worker("bpe", build, f"{vocabulary} {pattern}")
         for batch in slices(batches, text):
             packed = [encoder.encode(t) if t else b"" for t in column_of(batch, text).to_pylist()]
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)

@@ -249,7 +249,7 @@ def write_token_files(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_worker(f"words {tokenizer}", lambda: WordEncoder(tokenizer))
+        encoder = per_worker("words", lambda: WordEncoder(tokenizer), tokenizer)
         part, files, writer = TaskContext.get().partitionId(), [], None
         end = np.array([end_id], "<u4")
         for batch in slices(batches, text):
