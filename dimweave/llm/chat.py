@@ -85,7 +85,10 @@ def best_paths(
             F.col("node").alias("at"), F.col("up").alias("next"), F.col("total").alias("t"), F.col("depth").alias("d")
         )
         reached = under.join(above, F.col("up") == F.col("at")).select(
-            "node", F.col("next").alias("up"), (F.col("total") + F.col("t")).alias("total"), (F.col("depth") + F.col("d")).alias("depth")
+            "node",
+            F.col("next").alias("up"),
+            (F.col("total") + F.col("t")).alias("total"),
+            (F.col("depth") + F.col("d")).alias("depth"),
         )
         reached = state = written(reached, f"{folder}/up{len(ups)}")
         for rooted in done:
@@ -129,7 +132,12 @@ def format_paths(messages: DataFrame, paths: DataFrame, learned: str = "assistan
                 done = [render(list(zip(r, t)), learned) for r, t in turns]
                 spans = [[{"start": a, "end": b} for a, b in s] for _, s in done]
                 yield pa.RecordBatch.from_arrays(
-                    [column_of(part, "tree"), column_of(part, "leaf"), pa.array([f for f, _ in done], pa.string()), pa.array(spans, span)],
+                    [
+                        column_of(part, "tree"),
+                        column_of(part, "leaf"),
+                        pa.array([f for f, _ in done], pa.string()),
+                        pa.array(spans, span),
+                    ],
                     ["tree", "leaf", "formatted", "loss"],
                 )
 
@@ -151,7 +159,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 for role, said in turns:
                     whole.update(f"{role}\n{said}\n".encode())
                 loss = "".join(unescape(text[s["start"] : s["end"]]) for s in spans)
-                rows.append((len(turns), whole.hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
+                learned = hashlib.sha256(loss.encode()).hexdigest()
+                rows.append((len(turns), whole.hexdigest(), len(loss), learned, len(text)))
             columns = list(zip(*rows)) or [()] * 5
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -160,9 +169,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
             )
 
     kind = dict(formatted.dtypes)["tree"]
-    return formatted.mapInArrow(
-        run, f"tree {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    )
+    digests = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return formatted.mapInArrow(run, f"tree {kind}, {digests}")
 
 
 def linear_trees(rows: DataFrame) -> DataFrame:
@@ -176,7 +184,11 @@ def linear_trees(rows: DataFrame) -> DataFrame:
     node = F.struct("conv_id", "place")
     before = F.struct("conv_id", (F.col("place") - 1).alias("place"))
     return placed.select(
-        F.col("conv_id").alias("tree"), node.alias("node"), F.when(F.col("place") > 1, before).alias("parent"), "role", "text"
+        F.col("conv_id").alias("tree"),
+        node.alias("node"),
+        F.when(F.col("place") > 1, before).alias("parent"),
+        "role",
+        "text",
     )
 
 

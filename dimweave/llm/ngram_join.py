@@ -177,7 +177,8 @@ def _blobs(sets: dict[int, np.ndarray], parts: int) -> Iterator[tuple[int, bytes
             present = np.flatnonzero(np.bincount(own, minlength=len(keys)))
             short = np.zeros(len(keys), "<u2")
             short[present] = np.arange(len(present))
-            yield p, struct.pack("<I", len(present)) + keys[present].tobytes() + short[own].tobytes() + high[start:end].tobytes()
+            head = struct.pack("<I", len(present)) + keys[present].tobytes()
+            yield p, head + short[own].tobytes() + high[start:end].tobytes()
             start = end
 
 
@@ -235,9 +236,9 @@ def sets_and_shared(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
                 names,
             )
             for part, blob in _blobs({k: s for k, s in zip(keys, sets) if len(s)}, parts):
+                nothing = [pa.nulls(1, arrow), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.nulls(1, arrow), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([blob], pa.binary())],
-                    names,
+                    [pa.array([part], pa.int32()), *nothing, pa.array([blob], pa.binary())], names
                 )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +277,8 @@ def sets_with_partners(docs: DataFrame, keys: DataFrame, shared: DataFrame, fold
     total = shared.groupBy("key").agg(F.sum("shared").alias("shared"))
     able = keys.join(total, "key").where(4 * F.col("shared") >= 3 * F.col("n")).select("first")
     able = small(written(able, f"{folder}/able")).alias("a")
-    texts = docs.select("doc_id", "text").alias("d").join(able, F.col("d.doc_id").eqNullSafe(F.col("a.first")), "left_semi")
+    same = F.col("d.doc_id").eqNullSafe(F.col("a.first"))
+    texts = docs.select("doc_id", "text").alias("d").join(able, same, "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("hashes", WordHashes)
@@ -306,7 +308,8 @@ def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "tokens"):
-            tokens, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *unpack(column_of(batch, "tokens"))]), return_counts=True)
+            together = np.concatenate([np.empty(0, np.uint64), *unpack(column_of(batch, "tokens"))])
+            tokens, counts = np.unique(together, return_counts=True)
             often = counts > 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(tokens[often].view(np.int64)), pa.array(counts[often], pa.int64())], ["token", "n"]
@@ -343,10 +346,12 @@ def leaves(sets: DataFrame, shared: Broadcast, folder: str) -> DataFrame:
                 least.append(int(mix(listed if len(listed) else own).min().astype(np.int64)))
             yield pa.RecordBatch.from_arrays([column_of(batch, "key"), pa.array(least, pa.int64())], ["key", "least"])
 
-    least = written(sets.select("key", "tokens").mapInArrow(run, "key long, least long").distinct(), f"{folder}/least")
+    least = sets.select("key", "tokens").mapInArrow(run, "key long, least long").distinct()
+    least = written(least, f"{folder}/least")
     sizes = written(least.groupBy("least").agg(F.count(F.lit(1)).alias("c")), f"{folder}/sizes")
     chunk = F.pmod(F.xxhash64("key"), F.ceil(F.col("c") / LEAF))
-    return written(least.join(small(sizes), "least").select("key", "least", "c", F.xxhash64("least", chunk).alias("node")), f"{folder}/leaves")
+    node = F.xxhash64("least", chunk).alias("node")
+    return written(least.join(small(sizes), "least").select("key", "least", "c", node), f"{folder}/leaves")
 
 
 def trees(sets: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
@@ -366,10 +371,11 @@ def trees(sets: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
             sets = unpack(group["tokens"].combine_chunks())
             at = link_all(sets)
             more = len(keys) and group["c"][0].as_py() > LEAF
+            going = [s.tobytes() if more and at[i] == i else None for i, s in enumerate(sets)]
             return pa.table({
                 "key": keys,
                 "root": keys[at] if len(keys) else keys,
-                "tokens": pa.array([s.tobytes() if more and at[i] == i else None for i, s in enumerate(sets)], pa.binary()),
+                "tokens": pa.array(going, pa.binary()),
                 "least": group["least"],
             })
 
@@ -379,7 +385,8 @@ def trees(sets: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
             labels = made.select("key", "root")
         else:
             further = made.select(F.col("key").alias("root"), F.col("root").alias("next"))
-            labels = labels.join(small(further), "root", "left").select("key", F.coalesce("next", "root").alias("root"))
+            last = F.coalesce("next", "root").alias("root")
+            labels = labels.join(small(further), "root", "left").select("key", last)
         labels = written(labels, f"{folder}/labels{level}")
         going = made.where("tokens IS NOT NULL").select("key", "tokens", "least")
         left = going.count()
@@ -388,7 +395,8 @@ def trees(sets: DataFrame, nodes: DataFrame, folder: str) -> DataFrame:
         level, before = level + 1, left
         sizes = written(going.groupBy("least").agg(F.count(F.lit(1)).alias("c")), f"{folder}/sizes{level}")
         chunk = F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("c") / LEAF))
-        items = going.join(small(sizes), "least").select("key", "tokens", "least", "c", F.xxhash64("least", chunk).alias("node"))
+        node = F.xxhash64("least", chunk).alias("node")
+        items = going.join(small(sizes), "least").select("key", "tokens", "least", "c", node)
 
 
 def prefixes(sets: DataFrame, shared: Broadcast) -> DataFrame:
@@ -483,7 +491,7 @@ def compare(pairs: DataFrame, held: DataFrame, folder: str) -> DataFrame:
             for i in range(others.num_rows):
                 partner = [np.frombuffer(s, np.uint64) for s in others["sets"][i].as_py()]
                 found += links_between(tree, roots, SignatureTree(partner), others["roots"][i].as_py())
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        return pa.table({name: pa.array([x[k] for x in found], pa.int64()) for k, name in enumerate("ab")})
 
     together = bigs.groupBy("big", "part").cogroup(partners.groupBy("big", "part"))
     links = together.applyInArrow(run, "a long, b long").distinct()
@@ -501,14 +509,15 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     state = written(state, f"{folder}/edges0")
     mark, step = None, 0
     while True:
-        facts = state.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
+        total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")
+        facts = state.agg(F.count(F.lit(1)).alias("n"), total).first()
         if mark == (facts["n"], facts["s"]) or not facts["n"]:
             return state.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
         mark, step = (facts["n"], facts["s"]), step + 1
         both = state.union(state.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = written(large, f"{folder}/large{step}")
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = written(large.where("u <> v").distinct(), f"{folder}/large{step}")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         little = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         state = written(little.union(least.select("u", F.col("m").alias("v"))).distinct(), f"{folder}/edges{step}")
@@ -523,9 +532,8 @@ def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
     different sets or shingles count as one with a chance of 2 ** -64.
     """
     rows, shared = sets_and_shared(docs, folder)
-    keys = written(
-        rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), f"{folder}/keys"
-    )
+    keys = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
+    keys = written(keys, f"{folder}/keys")
     sets = sets_with_partners(docs, keys, shared, folder)
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(sets))  # COMMON numbers at most
     nodes = leaves(sets, common, folder)
@@ -533,14 +541,16 @@ def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
     labels = written(rooted.select("key", F.coalesce("root", "key").alias("root"), "node"), f"{folder}/labels")
     joined = components(between(sets, labels, common, folder), folder)
     joined = written(joined.withColumnRenamed("node", "root"), f"{folder}/joined")
-    whole = labels.join(small(joined), "root", "left").select("key", F.coalesce("component", "root").alias("component"))
+    component = F.coalesce("component", "root").alias("component")
+    whole = labels.join(small(joined), "root", "left").select("key", component)
     whole = whole.join(keys, "key")
     named = whole.groupBy("component").agg(F.min("first").alias("component_id"))
     renamed = written(whole.join(named, "component").select("key", "component_id"), f"{folder}/renamed")
-    final = keys.join(small(renamed), "key", "left").select("key", F.coalesce("component_id", "first").alias("component_id"))
-    final = written(final, f"{folder}/final")
+    named = F.coalesce("component_id", "first").alias("component_id")
+    final = written(keys.join(small(renamed), "key", "left").select("key", named), f"{folder}/final")
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.join(final, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")
     )
 
 

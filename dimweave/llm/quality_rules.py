@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from dimweave.llm.common import WordHashes, column_of, hide, slices, small, table, windows, work_folder, written
+from dimweave.llm.common import WordHashes, column_of, hide, per_worker, slices, small, table, windows, work_folder, written
 
 #: Characters that prose hardly has.
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -89,10 +89,11 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     lines = StructType([StructField(n, LongType()) for n in ("hash", "words", "other")])
     others = hide(df, text, *STATS, "_lines").schema
     rest = others.names
-    schema = StructType([*others.fields, *(StructField(n, LongType()) for n in STATS), StructField("_lines", ArrayType(lines))])
+    numbers = [StructField(n, LongType()) for n in STATS]
+    schema = StructType([*others.fields, *numbers, StructField("_lines", ArrayType(lines))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = per_worker("hashes", WordHashes)
         for batch in slices(batches, text):
             found = [measure(t or "", hashes) for t in column_of(batch, text).to_pylist()]
             ends = np.cumsum([0, *(len(x) for _, x in found)]).astype(np.int32)
@@ -186,9 +187,12 @@ def apply_rules(
 
 def without_lines(text: str, removed: set[int]) -> str:
     """A text without the lines whose normal form has one of these hashes."""
-    lines = text.split("\n")
-    kept = [x for x in lines if not (own := x.encode("utf-8", "replace").split()) or line_hash(line_key(own)) not in removed]
-    return "\n".join(kept)
+
+    def stays(line: str) -> bool:
+        words = line.encode("utf-8", "replace").split()
+        return not words or line_hash(line_key(words)) not in removed
+
+    return "\n".join(filter(stays, text.split("\n")))
 
 
 def clean(
@@ -210,7 +214,8 @@ def clean(
     measured = written(measured, f"{folder}/measured")
     judged = judge(measured, folder, "source", line_docs, line_share, min_remaining)
     bad = small(written(judged.where(~F.col("kept")).select("_row"), f"{folder}/bad"))
-    less = small(written(judged.where(F.col("kept") & F.col("removed").isNotNull()).select("_row", "removed"), f"{folder}/less"))
+    less = judged.where(F.col("kept") & F.col("removed").isNotNull()).select("_row", "removed")
+    less = small(written(less, f"{folder}/less"))
     kept = rows.join(bad, "_row", "left_anti").join(less, "_row", "left").drop("_row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

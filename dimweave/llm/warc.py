@@ -132,7 +132,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         for batch in slices(batches, "html"):
             rows = zip(*(column_of(batch, c).to_pylist() for c in ("page_id", "url", "html", "refers_to")))
             for page, url, html, refers_to in rows:
-                for i, record in enumerate(page_records(page, url, (html or "").encode("utf-8", "replace"), refers_to)):
+                payload = (html or "").encode("utf-8", "replace")
+                for i, record in enumerate(page_records(page, url, payload, refers_to)):
                     at = min(i, 1)
                     files[at] = files[at] or shared_file(paths[at], "w")
                     files[at].write(record)
@@ -203,6 +204,11 @@ FIELDS = (
 )
 
 
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
 def read_archives(manifest: DataFrame) -> DataFrame:
     """A row per record: whole ones decoded, segments with their block, origin and number."""
 
@@ -222,14 +228,15 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                             row += (*payload_of(block, stated, kind == "revisit"), None, None, None, None)
                         else:
                             origin = headers.get("warc-segment-origin-id", headers["warc-record-id"])
-                            row += (None, None, None, origin, number, _number(headers, "warc-segment-total-length"), block)
+                            total = _number(headers, "warc-segment-total-length")
+                            row += (None, None, None, origin, number, total, block)
                             held += len(block)
                         rows.append(row)
                         if len(rows) == 5000 or held > 4 << 20:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                            yield batch_of(rows, schema)
                             rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    yield batch_of(rows, schema)
 
     return manifest.select("path").repartition(max(1, manifest.count())).mapInArrow(run, FIELDS)
 
@@ -275,7 +282,8 @@ def read_pages(manifest: DataFrame, folder: str) -> DataFrame:
     """(page_id, record_type, refers_to, payload_bytes, payload_digest, error) of every record of the archives."""
     records = written(read_archives(manifest), f"{folder}/records")
     columns = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "error"]
-    return records.where("origin IS NULL").select(columns).unionByName(reassemble(records.where("origin IS NOT NULL")))
+    whole = records.where("origin IS NULL").select(columns)
+    return whole.unionByName(reassemble(records.where("origin IS NOT NULL")))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -321,7 +321,8 @@ def induce(shapes: list[tuple[str, int, dict[int, tuple[int, int, int, int]]]])
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, skeleton, blocks) of (page_id, url, html); null html has no blocks."""
-    host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+    name = F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    host = F.coalesce(F.lower(name), F.lit(""))
     kind = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string()), ("links", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,12 +330,17 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
             done = [parse(h or "") for h in column_of(batch, "html").to_pylist()]
             blocks = [[{"node": n, "text": t, "links": k} for n, t, k in b] for _, b in done]
             yield pa.RecordBatch.from_arrays(
-                [*(column_of(batch, c) for c in ("page_id", "url", "host")), pa.array([s for s, _ in done], pa.string()), pa.array(blocks, kind)],
+                [
+                    *(column_of(batch, c) for c in ("page_id", "url", "host")),
+                    pa.array([s for s, _ in done], pa.string()),
+                    pa.array(blocks, kind),
+                ],
                 ["page_id", "url", "host", "skeleton", "blocks"],
             )
 
     ids = {f.name: f.dataType.simpleString() for f in pages.schema}
-    schema = f"page_id {ids['page_id']}, url string, host string, skeleton string, blocks array<struct<node: int, text: string, links: long>>"
+    block = "struct<node: int, text: string, links: long>"
+    schema = f"page_id {ids['page_id']}, url string, host string, skeleton string, blocks array<{block}>"
     return pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(run, schema)
 
 
@@ -354,11 +360,8 @@ def wrappers(parsed: DataFrame) -> DataFrame:
     nodes = same.groupBy("host", "skeleton", "node").agg(
         F.sum("n").alias("n"), F.max("n").alias("same"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
     )
-    shape = shapes.join(
-        nodes.groupBy("host", "skeleton").agg(F.collect_list(F.struct("node", "n", "same", "chars", "links")).alias("nodes")),
-        ["host", "skeleton"],
-        "left",
-    )
+    facts = F.collect_list(F.struct("node", "n", "same", "chars", "links")).alias("nodes")
+    shape = shapes.join(nodes.groupBy("host", "skeleton").agg(facts), ["host", "skeleton"], "left")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         found = [
@@ -380,7 +383,8 @@ def main_texts(pages: DataFrame, folder: str) -> DataFrame:
     found = written(wrappers(parsed), f"{folder}/wrappers")
     kept = F.filter("blocks", lambda b: F.array_contains("content", b["node"]))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
-    joined = parsed.join(found, ["host", "skeleton"], "left").select("page_id", "url", F.coalesce(text, F.lit("")).alias("text"))
+    joined = parsed.join(found, ["host", "skeleton"], "left")
+    joined = joined.select("page_id", "url", F.coalesce(text, F.lit("")).alias("text"))
     return joined.withColumn("n_chars", F.length("text").cast("long"))
 
 
