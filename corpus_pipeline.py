@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.llm import bpe, mixing, ngram_join, quality_rules, weak_labels
 from dimweave.llm.common import small, table, work_folder, written
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are neither of low quality nor toxic."""
@@ -51,12 +55,23 @@ def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return bpe.encoded_documents(docs)
 
 
+def lean(stage: Stage) -> Stage:
+    """A stage whose Arrow batches hold 4 MB: stages follow each other in the same executors, whose memory
+    would else hold the largest batches of all of them."""
+
+    def run_lean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+        return stage(spark, docs, sf_dir)
+
+    return run_lean
+
+
 STAGES = [
-    ("quality_classifier", quality_classifier),
-    ("quality_rules", rules),
-    ("ngram_jaccard_join", near_duplicates),
-    ("mixing_to_weights", mixing_to_weights),
-    ("byte_level_bpe", byte_level_bpe),
+    ("quality_classifier", lean(quality_classifier)),
+    ("quality_rules", lean(rules)),
+    ("ngram_jaccard_join", lean(near_duplicates)),
+    ("mixing_to_weights", lean(mixing_to_weights)),
+    ("byte_level_bpe", lean(byte_level_bpe)),
 ]
 
 #: SQL expresses neither the classifier nor the encoder; the stages are tested against brute force.

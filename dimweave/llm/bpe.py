@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from dimweave.llm.common import column_of, hide, mix, per_worker, slices, table
+from dimweave.llm.common import column_of, hide, mix, per_worker, slices, table, trim
 
 #: Pre-tokens a worker keeps ids of, tier above both others; emptied when full.
-MEMO = 400_000
+MEMO = 500_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -186,6 +186,7 @@ def encode(
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
             yield pa.RecordBatch.from_arrays([*(column_of(batch, c) for c in rest), lists], [*rest, ids])
+        trim()
 
     return df.mapInArrow(run, _with(df, ids, ArrayType(IntegerType())))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text a task works on at once, whatever the size of the batches Spark hands over.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,7 +92,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, kept for the words met last; emptied when it holds `limit` words."""
 
-    def __init__(self, limit: int = 250_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
@@ -136,6 +138,16 @@ def per_worker(name: str, make: Callable, version: str = ""):
     return kept["value"]
 
 
+def trim() -> None:
+    """Give memory that a task no longer needs back: its worker waits for later tasks beside others."""
+    pa.default_memory_pool().release_unused()
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps what it has
+        return
+
+
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -11,7 +11,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import WordHashes, column_of, mix, per_worker, slices, small, table, windows, work_folder, written
+from dimweave.llm.common import WordHashes, column_of, mix, per_worker, slices, small, table, trim, windows, work_folder, written
 
 #: Words in a shingle; two sets link when 100 * intersection >= SIMILARITY * union. The bounds below are for 75.
 WIDTH, SIMILARITY = 5, 75
@@ -20,7 +20,7 @@ WIDTH, SIMILARITY = 5, 75
 BITS, FANOUT, LEAF = 2048, 8, 512
 
 #: Shingles of smaller nodes that come to one task.
-PARTNERS = 4 << 20
+PARTNERS = 1 << 20
 
 #: Shingles that the order of prefixes puts last, the commonest; any number gives the same links.
 COMMON = 65_536
@@ -189,18 +189,24 @@ def _shared(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         (n,) = struct.unpack_from("<I", blob)
         rest = (len(blob) - 4 - 8 * n) // 6
         keys.append(np.frombuffer(blob, "<i8", n, 4))
-        places.append(np.frombuffer(blob, "<u2", rest, 4 + 8 * n).astype(np.int64) + offset)
+        places.append(np.frombuffer(blob, "<u2", rest, 4 + 8 * n).astype(np.uint32) + np.uint32(offset))
         highs.append(np.frombuffer(blob, "<u4", rest, 4 + 8 * n + 2 * rest))
         offset += n
     own, number = np.unique(np.concatenate(keys), return_inverse=True)
-    both = np.concatenate(highs).astype(np.uint64) << np.uint64(32)
-    both |= number[np.concatenate(places)].astype(np.uint64)
-    both = np.unique(both)
-    high = both >> np.uint64(32)
+    number = number.astype(np.uint32)
+    both = np.concatenate(highs).astype(np.uint64)
+    both <<= np.uint64(32)
+    both |= number[np.concatenate(places)]
+    both.sort()  # by shingle, then key
+    first = np.ones(len(both), bool)
+    first[1:] = both[1:] != both[:-1]
+    both = both[first]
+    places = (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    both >>= np.uint64(32)
     again = np.zeros(len(both), bool)
-    again[1:] = high[1:] == high[:-1]
+    again[1:] = both[1:] == both[:-1]
     again[:-1] |= again[1:]
-    counts = np.bincount((both[again] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(own))
+    counts = np.bincount(places[again], minlength=len(own))
     some = np.flatnonzero(counts)
     return own[some], counts[some]
 
@@ -240,6 +246,7 @@ def sets_and_shared(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part], pa.int32()), *nothing, pa.array([blob], pa.binary())], names
                 )
+        trim()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: dict[int, list[bytes]] = {}
@@ -261,6 +268,7 @@ def sets_and_shared(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(n, arrow), pa.array(keys), pa.nulls(n, pa.int64()), pa.array(shared, pa.int64())], out
                 )
+        trim()
 
     packed = docs.select("doc_id", "text").mapInArrow(pack, f"part int, doc_id {kind}, key long, n long, blob binary")
     found = packed.repartition(parts, "part").mapInArrow(count, f"doc_id {kind}, key long, n long, shared long")

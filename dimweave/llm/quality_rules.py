@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from dimweave.llm.common import WordHashes, column_of, hide, per_worker, slices, small, table, windows, work_folder, written
+from dimweave.llm.common import WordHashes, column_of, hide, per_worker, slices, small, table, trim, windows, work_folder, written
 
 #: Characters that prose hardly has.
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -113,6 +113,7 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
                 ],
                 [*rest, *STATS, "_lines"],
             )
+        trim()
 
     return df.mapInArrow(run, schema)
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from dimweave.llm.common import column_of, hide, per_worker, slices, table, work_folder, written
+from dimweave.llm.common import column_of, hide, per_worker, slices, table, trim, work_folder, written
 
 #: Labelled documents the model is fitted on at most (those of smallest hash), and hashed features.
 SAMPLE, FEATURES = 16_000, 1 << 20
@@ -273,6 +273,8 @@ def fit_model(df: DataFrame, labels: DataFrame, folder: str, sample: int = SAMPL
                 ],
                 ["scorer", "feature", "weight"],
             )
+        words = style = None
+        trim()
 
     rows = training_rows(df, labels, folder, sample)
     fitted = rows.coalesce(1).mapInArrow(run, "scorer long, feature long, weight double")
@@ -327,6 +329,7 @@ def score(df: DataFrame, model: Model, text: str = "text", reject: float = REJEC
                 [*(column_of(batch, c) for c in rest), pa.array(poor), pa.array(hurt), pa.array(kept, pa.bool_())],
                 [*rest, "low_quality", "toxicity", "kept"],
             )
+        trim()
 
     held = [f"`{f.name}` {f.dataType.simpleString()}" for f in others]
     schema = ", ".join([*held, "low_quality double, toxicity double, kept boolean"])
