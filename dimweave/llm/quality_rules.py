@@ -23,6 +23,9 @@ MIN_WORDS, MAX_REPEATED = 50, 50
 #: A line is boilerplate of its host when more than LINE_DOCS documents and 1 in LINE_SHARE have it.
 LINE_DOCS, LINE_SHARE = 30, 200
 
+#: Documents of a host are copies when the same lines stay without the shortest ones of up to this share of words, in percent.
+COPY_SLACK = 5
+
 #: A document is depleted when less than this share of its words, in percent, remains.
 MIN_REMAINING = 20
 
@@ -78,18 +81,26 @@ def measure(text: str, hashes: WordHashes) -> tuple[tuple[int, ...], dict[int, i
     return stats, by_line
 
 
-def _seen_from(lines: dict[int, int]) -> list[int]:
-    """For each line the smallest hash among the document's other lines (0: none)."""
-    least = sorted(lines)[:2]
-    return [(least[1] if len(least) > 1 else 0) if key == least[0] else least[0] for key in lines]
+def copy_hash(lines: dict[int, int]) -> int:
+    """A hash that copies of a document share: that of its lines without the shortest ones.
+
+    Lines are left out, shortest first, while they hold COPY_SLACK % of the words at most. Equal hashes
+    thus have at least the rest of their words in the same lines.
+    """
+    order = sorted(lines, key=lambda key: (lines[key], key))
+    left, start = COPY_SLACK * sum(lines.values()), 0
+    while start < len(order) and 100 * lines[order[start]] <= left:
+        left -= 100 * lines[order[start]]
+        start += 1
+    return line_hash(b"".join(key.to_bytes(8, "big") for key in sorted(order[start:])))
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """Other columns of `df` with the statistics and `_lines`: (hash, words, other) of each distinct line."""
-    lines = StructType([StructField(n, LongType()) for n in ("hash", "words", "other")])
-    others = hide(df, text, *STATS, "_lines").schema
+    """Other columns of `df` with the statistics, `_copy` and `_lines`: (hash, words) of each distinct line."""
+    lines = StructType([StructField(n, LongType()) for n in ("hash", "words")])
+    others = hide(df, text, *STATS, "_copy", "_lines").schema
     rest = others.names
-    numbers = [StructField(n, LongType()) for n in STATS]
+    numbers = [StructField(n, LongType()) for n in (*STATS, "_copy")]
     schema = StructType([*others.fields, *numbers, StructField("_lines", ArrayType(lines))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,17 +112,17 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
                 [
                     pa.array([k for _, x in found for k in x], pa.int64()),
                     pa.array([n for _, x in found for n in x.values()], pa.int64()),
-                    pa.array([o for _, x in found for o in _seen_from(x)], pa.int64()),
                 ],
-                ["hash", "words", "other"],
+                ["hash", "words"],
             )
             yield pa.RecordBatch.from_arrays(
                 [
                     *(column_of(batch, c) for c in rest),
                     *(pa.array([s[i] for s, _ in found], pa.int64()) for i in range(len(STATS))),
+                    pa.array([copy_hash(x) for _, x in found], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), flat),
                 ],
-                [*rest, *STATS, "_lines"],
+                [*rest, *STATS, "_copy", "_lines"],
             )
         trim()
 
@@ -121,13 +132,13 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
 def frequent_lines(measured: DataFrame, host: str, line_docs: int, line_share: int) -> DataFrame:
     """(host, hash) of the lines that more documents of the host have than the limits allow.
 
-    Documents are told apart by the smallest hash among their *other* lines, so that copies and near
-    copies of one document count once: a popular text must not lose its own lines, while a footer
-    under many different texts is counted with each.
+    Counted are distinct documents, those with the line and those of the host alike: copies, by
+    copy_hash(), count once. A popular text must not lose its own lines, while a footer under many
+    different texts is counted with each, however many lines they share besides.
     """
     named = F.col(f"`{host}`").alias("_host")
-    docs = measured.groupBy(named).agg(F.count(F.lit(1)).alias("n_docs"))
-    each = measured.select(named, F.explode("_lines").alias("l")).select("_host", "l.hash", "l.other")
+    docs = measured.select(named, "_copy").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("n_docs"))
+    each = measured.select(named, "_copy", F.explode("_lines").alias("l")).select("_host", "l.hash", "_copy")
     counted = each.distinct().groupBy("_host", "hash").agg(F.count(F.lit(1)).alias("n"))
     over = counted.where(F.col("n") > line_docs).alias("c")
     return (
@@ -150,7 +161,7 @@ def judge(
     base = few | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     remaining = F.col("n_words") - F.col("n_removed_words")
     return (
-        measured.drop("_lines")
+        measured.drop("_lines", "_copy")
         .join(removed, "_row", "left")
         .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long")))
         .withColumn("base_failed", base)
@@ -158,7 +169,7 @@ def judge(
     )
 
 
-RESULTS = (*STATS, "_lines", "_row", "n_removed_words", "removed", "base_failed", "kept")
+RESULTS = (*STATS, "_copy", "_lines", "_row", "n_removed_words", "removed", "base_failed", "kept")
 
 
 def apply_rules(
@@ -238,7 +249,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, work_folder(spark, "rules")).drop("source")
 
 
-#: The same in DuckDB, with whole MD5 values for hashes.
+#: The same in DuckDB, with whole MD5 values for hashes. It tells documents apart by the smallest hash among
+#: their other lines, which counts too few where documents share several lines: there the two differ.
 ORACLE_SQL = """
 WITH words AS (
   SELECT doc_id, source, coalesce(text, '') AS text,

@@ -73,6 +73,22 @@ def test_copies_do_not_lose_their_own_lines(spark, documents):
     assert all(r.kept for r in quality_rules.op4_quality_rules(spark, documents(rows)).collect())
 
 
+@pytest.mark.parametrize("shared", [20, 40])
+def test_documents_that_share_many_lines_are_each_counted(spark, documents, shared):
+    rng = random.Random(3)
+    same = [" ".join(name(100 * i + j) for j in range(12)) for i in range(shared)]
+    rows = [(i, "\n".join([*same, " ".join(name(rng.randrange(10_000)) for _ in range(2 * shared))]), "a") for i in range(500)]
+    found = quality_rules.op4_quality_rules(spark, documents(rows)).collect()
+    assert all(r.n_removed_words == 12 * shared and not r.kept for r in found)
+
+
+def test_different_documents_of_shared_lines_only(spark, documents):
+    pool = [" ".join(name(100 * i + j) for j in range(12)) for i in range(12)]
+    rng = random.Random(4)
+    rows = [(i, "\n".join(rng.sample(pool, 6)), "a") for i in range(300)]
+    assert not any(r.kept for r in quality_rules.op4_quality_rules(spark, documents(rows)).collect())
+
+
 def test_no_documents(spark, documents):
     assert quality_rules.op4_quality_rules(spark, documents([])).collect() == []
 
