@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -59,8 +59,10 @@ _TAG = re.compile(
         |[!?/][^>]*+(?:>|\Z))""",
     re.S | re.X,
 )
-_ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s"'>][^\s>]*+)))?""")
 _WORDS = re.compile(r"[a-z]+")
+#: Words by which a class says what an element has or lacks, not what it is.
+_OTHERS = frozenset("no not non has have with without".split())
 #: Headers of a page; those inside an article hold its heading.
 _HEADER = re.compile(r"(?:^|[.\W_])header\b")
 
@@ -74,24 +76,63 @@ class Node:
     at: int = 0
 
 
+def says_aside(token: str) -> bool:
+    """Whether a class or id names an aside: by its first or last word, as cookie-notice and site-footer do."""
+    words = _WORDS.findall(token)
+    return bool(words) and not _OTHERS & set(words) and (words[0] in ASIDE_WORDS or words[-1] in ASIDE_WORDS)
+
+
 def label_of(name: str, attributes: str) -> str:
-    """Element, role of main or aside, first class without digits."""
-    if not attributes.strip(" /"):
-        return name + ("!" if name in ASIDE_TAGS else "*" if name in MAIN_TAGS else "")
-    values = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
-    shown = f"{values.get('class', '')} {values.get('id', '')}"
-    words, role = set(_WORDS.findall(shown)), values.get("role", "")
-    first = re.sub(r"[^a-z_-]+", "", shown.split()[0]) if shown.split() else ""
-    names = set(shown.split())
-    if name in MAIN_TAGS or role == "main" or values.get("itemprop") == "articlebody" or names & MAIN_WORDS:
-        mark = "*" if not words & ASIDE_WORDS else "!"
-    elif name in ASIDE_TAGS or role in ASIDE_ROLES or words & ASIDE_WORDS or "hidden" in values:
-        mark = "!"
+    """Element, first class without digits, and a mark: * article, + main, ~ either that says aside, ! aside."""
+    values: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        values.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    names = f"{values.get('class', '')} {values.get('id', '')}".split()
+    role = values.get("role", "")
+    first = re.sub(r"[^a-z_-]+", "", names[0]) if names else ""
+    aside = name in ASIDE_TAGS or role in ASIDE_ROLES or "hidden" in values or any(map(says_aside, names))
+    if name == "main" or role == "main":
+        mark = "~" if aside else "+"
+    elif name in MAIN_TAGS or values.get("itemprop") == "articlebody" or MAIN_WORDS & set(names):
+        mark = "~" if aside else "*"
     else:
-        mark = ""
+        mark = "!" if aside else ""
     return name + (f".{first}" if first else "") + mark
 
 
+def regions(root: Node, texts: Container[int]) -> tuple[list[int], list[int]]:
+    """Nodes with text inside the articles and main elements of a page, and outside of them, without asides.
+
+    A mark of an aside on an article or main, or above it, hides that element only where the page has
+    another article, without such a mark, that has text. An aside inside an article is hidden whole.
+    """
+    clean: list[int] = []
+    marked: list[int] = []
+    outside: list[int] = []
+    found = False
+
+    def visit(node: Node, place: list[int] | None, hidden: bool, article: bool) -> None:
+        nonlocal found
+        mark = node.label[-1]
+        if mark in "*+~" and (hidden or place is outside or not article):
+            if mark == "~" and place is clean and article:
+                return
+            place = marked if hidden or mark == "~" or place is marked else clean
+            hidden, article = False, article or mark != "+"
+        elif mark in "!~" or (place is outside and _HEADER.search(node.label)):
+            if article:
+                return
+            hidden = True
+        if not hidden and node.at in texts:
+            place.append(node.at)
+            found |= article and place is clean
+        for child in node.children:
+            visit(child, place, hidden, article)
+
+    visit(root, outside, False, False)
+    return sorted(clean if found else clean + marked), outside
+
+
 def parse(page: str) -> tuple[str, list[tuple[int, str, int]]]:
     """A page's skeleton and its blocks in order: (node in preorder, text, characters of it in links).
 
@@ -298,22 +339,10 @@ def induce(shapes: list[tuple[str, int, dict[int, tuple[int, int, int, int]]]])
     no_links = {t for t, (_, _, chars, links) in sums.items() if 100 * links <= LINKS * chars}
     results: list[list[int]] = [[] for _ in shapes]
     for i in order:
-        inside: list[int] = []
-        outside: list[int] = []
-
-        def visit(node: Node, main: bool, i: int = i, inside: list = inside, outside: list = outside) -> None:
-            if node.label.endswith("!") or (not main and _HEADER.search(node.label)):
-                return
-            main = main or node.label.endswith("*")
-            (inside if main else outside).append(node.at)
-            for child in node.children:
-                visit(child, main)
-
-        visit(trees[i], False)
         texts = shapes[i][2]
-        content = [n for n in inside if n in texts]
+        content, outside = regions(trees[i], texts)
         if not content:
-            free = [n for n in outside if n in texts and maps[i][n] in no_links]
+            free = [n for n in outside if maps[i][n] in no_links]
             content = [n for n in free if maps[i][n] in varying] or free
         results[i] = content
     return results

@@ -61,6 +61,22 @@ def test_copies_keep_their_article(spark, tables):
     assert set(found.values()) == {"The same text"}
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article class='post no-sidebar'><p>Kept</article>", "<main class='with-sidebar'><p>Kept</main>",
+        "<div class='layout has-sidebar'><article><p>Kept</article></div>", "<article class=sponsored><p>Kept</article>",
+        "<form id=all><article><p>Kept<section class=comments><article class=comment>no</article></section></article></form>",
+        "<article><div style='overflow:hidden'><p>Kept</div></article>", "<article aria-hidden='false'><p>Kept</article>",
+        "<main><div data-role='banner'><p>Kept</div></main>", "<main><div class=widget-area><article><p>Kept</article></div></main>",
+        "<article><p>Kept</article><div class='related'><article><p>no</article></div>", "<article title='a hidden one'><p>Kept</article>",
+    ],
+)
+def test_marks_of_asides_do_not_hide_an_article(spark, tables, page):
+    chrome = "<body><div class=top>Welcome</div>{}<div class=site-footer>no</div><p hidden>no"
+    assert texts(spark, tables, [(1, "http://a/1", chrome.format(page))]) == {1: "Kept"}
+
+
 def test_odd_pages(spark, tables):
     long = "<article>" + "<p>word &lt; " * 20_000
     rows = [
