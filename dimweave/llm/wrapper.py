@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.llm.common import column_of, slices, table, work_folder, written
@@ -47,7 +47,7 @@ MAIN_TAGS, MAIN_WORDS = frozenset(("article", "main")), frozenset(("articlebody"
 #: Elements nested deeper than this count to the node at that depth.
 DEPTH = 150
 
-#: A node is constant when one text fills it on at least this share, in percent, of SEEN pages or more.
+#: A text is template when at least this share, in percent, of the SEEN or more distinct pages with its node have it there.
 CONSTANT, SEEN = 60, 4
 #: A node with more of its characters in links, in percent, is no content of a page without an article.
 LINKS = 50
@@ -133,6 +133,23 @@ def regions(root: Node, texts: Container[int]) -> tuple[list[int], list[int]]:
     return sorted(clean if found else clean + marked), outside
 
 
+def numbered(root: Node) -> str:
+    """The text of a tree, whose nodes get their numbers in preorder."""
+    names: list[str] = []
+    walk: list[Node | None] = [root]  # None: the end of a node that has children around it
+    count = 0
+    while walk:
+        node = walk.pop()
+        if node is None:
+            names.append(")")
+            continue
+        node.at, count = count, count + 1
+        names += [node.label] if node is root else ["(", node.label]
+        walk += [None] * (node is not root)
+        walk += reversed(node.children)
+    return " ".join(names)
+
+
 def parse(page: str) -> tuple[str, list[tuple[int, str, int]]]:
     """A page's skeleton and its blocks in order: (node in preorder, text, characters of it in links).
 
@@ -231,19 +248,8 @@ def parse(page: str) -> tuple[str, list[tuple[int, str, int]]]:
             stack.append((name, node))
     close_block()
 
-    names: list[str] = []
-    walk: list[Node | None] = [root]  # None: the end of a node that has children around it
-    count = 0
-    while walk:
-        node = walk.pop()
-        if node is None:
-            names.append(")")
-            continue
-        node.at, count = count, count + 1
-        names += [node.label] if node is root else ["(", node.label]
-        walk += [None] * (node is not root)
-        walk += reversed(node.children)
-    return " ".join(names), [(n.at, text, k) for n, text, k in blocks]
+    skeleton = numbered(root)
+    return skeleton, [(n.at, text, k) for n, text, k in blocks]
 
 
 def tree_of(skeleton: str) -> Node:
@@ -289,130 +295,151 @@ def simple_tree_matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]
 
 
 class Template:
-    """A host's template: the union of its aligned skeletons, with what is known of each node."""
+    """A host's template: the union of its aligned skeletons."""
 
     def __init__(self, label: str):
-        self.root, self.size = Node(label), 1
+        self.root = Node(label)
 
-    def align(self, skeleton: Node) -> dict[int, int]:
+    def align(self, skeleton: Node) -> dict[int, Node]:
         """Merge a skeleton; returns the template's node for each of its nodes."""
         _, matched = simple_tree_matching(self.root, skeleton)
         to = {s.at: t for t, s in matched}
         to.setdefault(skeleton.at, self.root)
 
         def fill(node: Node) -> None:
-            last = 0
+            own, merged, last = to[node.at].children, [], 0
             for child in node.children:
-                own = to[node.at].children
                 if child.at in to:
-                    last = next(i for i, c in enumerate(own) if c is to[child.at]) + 1
-                else:
-                    own.insert(last, Node(child.label, at=self.size))
-                    to[child.at] = own[last]
-                    self.size += 1
+                    while own[last] is not to[child.at]:
+                        merged.append(own[last])
+                        last += 1
                     last += 1
+                else:
+                    to[child.at] = Node(child.label)
+                merged.append(to[child.at])
+            to[node.at].children = merged + own[last:]
+            for child in node.children:
                 fill(child)
 
         fill(skeleton)
-        return {s: t.at for s, t in to.items()}
-
+        return to
 
-def induce(shapes: list[tuple[str, int, dict[int, tuple[int, int, int, int]]]]) -> list[list[int]]:
-    """Nodes with content for each skeleton of a host.
 
-    A shape is (skeleton, pages, {node: (pages with text, most pages with the same text, characters,
-    characters in links)}). Shapes are aligned, commonest first. Content is what lies in the article or
-    main element, outside of asides in it; that mark is the pages' own word and holds even if their
-    texts are equal. In pages without one it is the varying nodes that are no asides or lists of links.
-    """
+def induce(shapes: list[tuple[str, int]]) -> tuple[str, list[list[int]]]:
+    """The template of (skeleton, pages), aligned commonest first, and its node for each node of each skeleton."""
     order = sorted(range(len(shapes)), key=lambda i: (-shapes[i][1], shapes[i][0]))
     trees = {i: tree_of(shapes[i][0]) for i in order}
-    template = Template(trees[order[0]].label) if order else None
+    template = Template(trees[order[0]].label)
     maps = {i: template.align(trees[i]) for i in order}
-    sums: dict[int, list[int]] = {}
-    for i in order:
-        for node, values in shapes[i][2].items():
-            held = sums.setdefault(maps[i][node], [0, 0, 0, 0])
-            for k, v in enumerate(values):
-                held[k] += v
-    varying = {t for t, (n, same, _, _) in sums.items() if n < SEEN or 100 * same < CONSTANT * n}
-    no_links = {t for t, (_, _, chars, links) in sums.items() if 100 * links <= LINKS * chars}
-    results: list[list[int]] = [[] for _ in shapes]
-    for i in order:
-        texts = shapes[i][2]
-        content, outside = regions(trees[i], texts)
-        if not content:
-            free = [n for n in outside if maps[i][n] in no_links]
-            content = [n for n in free if maps[i][n] in varying] or free
-        results[i] = content
-    return results
+    text = numbered(template.root)
+    return text, [[maps[i][k].at for k in range(len(maps[i]))] for i in range(len(shapes))]
+
+
+def hash_of(text: str) -> int:
+    """63 bits of a text's hash."""
+    from xxhash import xxh3_64_intdigest
+
+    return xxh3_64_intdigest(text.encode("utf-8", "replace")) >> 1
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, url, host, skeleton, blocks) of (page_id, url, html); null html has no blocks."""
+    """(page_id, url, host, skeleton, page, blocks) of (page_id, url, html); null html has no blocks.
+
+    A block's place is 2 in an article or main, 1 outside of them, 0 in an aside. `page` is a hash of all texts.
+    """
     name = F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)
     host = F.coalesce(F.lower(name), F.lit(""))
-    kind = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string()), ("links", pa.int64())]))
+    kind = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string()), ("links", pa.int64()), ("place", pa.int32()), ("hash", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
             done = [parse(h or "") for h in column_of(batch, "html").to_pylist()]
-            blocks = [[{"node": n, "text": t, "links": k} for n, t, k in b] for _, b in done]
+            blocks = []
+            for skeleton, b in done:
+                inside, outside = regions(tree_of(skeleton), {n for n, _, _ in b})
+                places = dict.fromkeys(outside, 1) | dict.fromkeys(inside, 2)
+                blocks.append([{"node": n, "text": t, "links": k, "place": places.get(n, 0), "hash": hash_of(t)} for n, t, k in b])
             yield pa.RecordBatch.from_arrays(
                 [
                     *(column_of(batch, c) for c in ("page_id", "url", "host")),
                     pa.array([s for s, _ in done], pa.string()),
+                    pa.array([hash_of("\n".join(t for _, t, _ in b)) for _, b in done], pa.int64()),
                     pa.array(blocks, kind),
                 ],
-                ["page_id", "url", "host", "skeleton", "blocks"],
+                ["page_id", "url", "host", "skeleton", "page", "blocks"],
             )
 
     ids = {f.name: f.dataType.simpleString() for f in pages.schema}
-    block = "struct<node: int, text: string, links: long>"
-    schema = f"page_id {ids['page_id']}, url string, host string, skeleton string, blocks array<{block}>"
+    block = "struct<node: int, text: string, links: long, place: int, hash: long>"
+    schema = f"page_id {ids['page_id']}, url string, host string, skeleton string, page long, blocks array<{block}>"
     return pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(run, schema)
 
 
-def wrappers(parsed: DataFrame) -> DataFrame:
-    """(host, skeleton, content): the nodes with content of each shape of page that a host has.
-
-    Every page counts. Texts are counted by hash within a host's shape and node, where a partial sum
-    precedes the shuffle; what meets in one task is a host's list of shapes, not its pages.
-    """
+def aligned(parsed: DataFrame, folder: str) -> DataFrame:
+    """(host, skeleton, slots): the node of the host's template for each node of each shape of page."""
     shapes = parsed.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("pages"))
-    per_block = parsed.select("host", "skeleton", F.explode("blocks").alias("b")).select(
-        "host", "skeleton", "b.node", F.xxhash64("b.text").alias("text"), F.length("b.text").alias("chars"), "b.links"
-    )
-    same = per_block.groupBy("host", "skeleton", "node", "text").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
-    )
-    nodes = same.groupBy("host", "skeleton", "node").agg(
-        F.sum("n").alias("n"), F.max("n").alias("same"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
-    )
-    facts = F.collect_list(F.struct("node", "n", "same", "chars", "links")).alias("nodes")
-    shape = shapes.join(nodes.groupBy("host", "skeleton").agg(facts), ["host", "skeleton"], "left")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        found = [
-            (s, int(n), {} if k is None else {x["node"]: (x["n"], x["same"], x["chars"], x["links"]) for x in k})
-            for s, n, k in zip(group["skeleton"], group["pages"], group["nodes"])
-        ]
-        return pd.DataFrame({"host": group["host"], "skeleton": group["skeleton"], "content": induce(found)})
+        _, slots = induce([(s, int(n)) for s, n in zip(group["skeleton"], group["pages"])])
+        return pd.DataFrame({"host": group["host"], "skeleton": group["skeleton"], "slots": slots})
+
+    found = shapes.groupBy("host").applyInPandas(run, "host string, skeleton string, slots array<int>")
+    return written(found, f"{folder}/slots")
+
 
-    return shape.groupBy("host").applyInPandas(run, "host string, skeleton string, content array<int>")
+def template_facts(parsed: DataFrame, slots: DataFrame) -> DataFrame:
+    """(host, skeleton, facts): by node, hashes of the texts that are template there, and whether it is links.
+
+    Counted are distinct pages, told apart by a hash of all their texts: copies of a page do not make
+    its text template. Texts count one by one, so a node can hold several fixed ones beside others.
+    """
+    each = parsed.select("host", "skeleton", "page", F.explode("blocks").alias("b")).where("b.place > 0")
+    each = each.select(
+        "host", "skeleton", "page", "b.node", F.col("b.hash").alias("text"), F.length("b.text").alias("chars"), "b.links"
+    )
+    sums = [F.sum("chars").alias("chars"), F.sum("links").alias("links")]
+    each = each.groupBy("host", "skeleton", "page", "node", "text").agg(*sums)
+    each = each.join(slots, ["host", "skeleton"]).withColumn("slot", F.get("slots", F.col("node")))
+    largest = [F.max("chars").alias("chars"), F.max("links").alias("links")]
+    on_page = each.groupBy("host", "slot", "page", "text").agg(*largest)
+    by_slot = on_page.groupBy("host", "slot", "page").agg(*sums)
+    by_slot = by_slot.groupBy("host", "slot").agg(F.count(F.lit(1)).alias("pages"), *sums)
+    by_text = on_page.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("n"))
+    by_text = by_text.where(100 * F.col("n") >= CONSTANT * SEEN).join(by_slot, ["host", "slot"])
+    fixed = by_text.where((F.col("pages") >= SEEN) & (100 * F.col("n") >= CONSTANT * F.col("pages")))
+    fixed = fixed.groupBy("host", "slot").agg(F.collect_list("text").alias("texts"))
+    linked = by_slot.select("host", "slot", (100 * F.col("links") > LINKS * F.col("chars")).alias("linked"))
+    known = linked.join(fixed, ["host", "slot"], "left").where(F.col("linked") | F.col("texts").isNotNull())
+    nodes = slots.select("host", "skeleton", F.posexplode("slots").alias("node", "slot")).join(known, ["host", "slot"])
+    entry = F.struct("node", F.struct("texts", "linked"))
+    return nodes.groupBy("host", "skeleton").agg(F.map_from_entries(F.collect_list(entry)).alias("facts"))
 
 
 def main_texts(pages: DataFrame, folder: str) -> DataFrame:
     """(page_id, url, text, n_chars) of (page_id, url, html): blocks of content joined by an empty line.
 
-    Pages without url form a host of their own; null or empty html and pages without content have an
-    empty text; repeated rows have equal texts. No block of content is cut or dropped.
+    Content is what lies in the article or main element, outside of asides in it; in pages without one
+    it is what lies outside of asides and lists of links, and there texts that are template of the host
+    go, unless nothing else is there. Pages without url form a host of their own; null or empty html and pages
+    without content have an empty text; repeated rows have equal texts. No block of content is cut.
     """
     parsed = written(parsed_pages(pages), f"{folder}/parsed")
-    found = written(wrappers(parsed), f"{folder}/wrappers")
-    kept = F.filter("blocks", lambda b: F.array_contains("content", b["node"]))
+    facts = written(template_facts(parsed, aligned(parsed, folder)), f"{folder}/facts")
+
+    def fact(b: Column, name: str) -> Column:
+        return F.try_element_at("facts", b["node"])[name]
+
+    def varies(b: Column) -> Column:
+        return ~F.coalesce(F.array_contains(fact(b, "texts"), b["hash"]), F.lit(False))
+
+    joined = parsed.join(facts, ["host", "skeleton"], "left")
+    inside = F.filter("blocks", lambda b: b["place"] == 2)
+    free = F.filter("blocks", lambda b: (b["place"] == 1) & ~F.coalesce(fact(b, "linked"), F.lit(False)))
+    joined = joined.withColumn("inside", inside).withColumn("free", free)
+    joined = joined.withColumn("content", F.when(F.size("inside") > 0, F.col("inside")).otherwise(F.col("free")))
+    joined = joined.withColumn("varying", F.filter("content", varies))
+    kept = F.when((F.size("inside") == 0) & (F.size("varying") > 0), F.col("varying")).otherwise(F.col("content"))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
-    joined = parsed.join(found, ["host", "skeleton"], "left")
     joined = joined.select("page_id", "url", F.coalesce(text, F.lit("")).alias("text"))
     return joined.withColumn("n_chars", F.length("text").cast("long"))
 

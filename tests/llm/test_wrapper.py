@@ -77,6 +77,15 @@ def test_marks_of_asides_do_not_hide_an_article(spark, tables, page):
     assert texts(spark, tables, [(1, "http://a/1", chrome.format(page))]) == {1: "Kept"}
 
 
+def test_several_fixed_blocks_of_one_node_are_template(spark, tables):
+    page = "<body><div class=x><p>Text {0}<p>more {0}<p>Follow us</div><div class=end><p>All rights<p>Imprint</div><ul><li>One<li>Two</ul>"
+    rows = [(i, f"http://a/{i}", page.format(i)) for i in range(8)]
+    rows += [(100 + i, f"http://b/{i}", page.format(1)) for i in range(8)]  # copies: one page
+    found = texts(spark, tables, rows)
+    assert all(found[i] == f"Text {i}\n\nmore {i}" for i in range(8))
+    assert found[100].startswith("Text 1\n\nmore 1")
+
+
 def test_odd_pages(spark, tables):
     long = "<article>" + "<p>word &lt; " * 20_000
     rows = [
