@@ -419,8 +419,8 @@ def main_texts(pages: DataFrame, folder: str) -> DataFrame:
     """(page_id, url, text, n_chars) of (page_id, url, html): blocks of content joined by an empty line.
 
     Content is what lies in the article or main element, outside of asides in it; in pages without one
-    it is what lies outside of asides and lists of links, and there texts that are template of the host
-    go, unless nothing else is there. Pages without url form a host of their own; null or empty html and pages
+    it is what lies outside of asides and lists of links. Texts that are template of the host go, unless
+    nothing else is there. Pages without url form a host of their own; null or empty html and pages
     without content have an empty text; repeated rows have equal texts. No block of content is cut.
     """
     parsed = written(parsed_pages(pages), f"{folder}/parsed")
@@ -438,7 +438,7 @@ def main_texts(pages: DataFrame, folder: str) -> DataFrame:
     joined = joined.withColumn("inside", inside).withColumn("free", free)
     joined = joined.withColumn("content", F.when(F.size("inside") > 0, F.col("inside")).otherwise(F.col("free")))
     joined = joined.withColumn("varying", F.filter("content", varies))
-    kept = F.when((F.size("inside") == 0) & (F.size("varying") > 0), F.col("varying")).otherwise(F.col("content"))
+    kept = F.when(F.size("varying") > 0, F.col("varying")).otherwise(F.col("content"))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
     joined = joined.select("page_id", "url", F.coalesce(text, F.lit("")).alias("text"))
     return joined.withColumn("n_chars", F.length("text").cast("long"))

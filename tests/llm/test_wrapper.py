@@ -86,6 +86,15 @@ def test_several_fixed_blocks_of_one_node_are_template(spark, tables):
     assert found[100].startswith("Text 1\n\nmore 1")
 
 
+def test_constant_blocks_inside_an_article_are_template(spark, tables):
+    page = "<body><{1}><h1>Head {0}</h1><p>Text {0}<p>Get our letter<div class=y><p>Follow us</div></{1}>"
+    rows = [(i, f"http://{m}/{i}", page.format(i, m)) for m, k in (("article", 0), ("main", 10)) for i in range(k, k + 8)]
+    rows += [(100 + i, "http://article/", page.format(3, "article")) for i in range(60)]  # copies of one page
+    found = texts(spark, tables, rows)
+    assert all(found[i] == f"Head {i}\n\nText {i}" for i in [*range(8), *range(10, 18)])
+    assert found[100] == "Head 3\n\nText 3"
+
+
 def test_odd_pages(spark, tables):
     long = "<article>" + "<p>word &lt; " * 20_000
     rows = [
