@@ -52,6 +52,9 @@ CONSTANT, SEEN = 60, 4
 #: A node with more of its characters in links, in percent, is no content of a page without an article.
 LINKS = 50
 
+#: Shapes of a host, or templates of such, that one task aligns.
+CHUNK = 64
+
 _TAG = re.compile(
     r"""<(?:!--(?:>|->|.*?(?:--!?>|\Z))
         |(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*+)
@@ -273,25 +276,33 @@ def simple_tree_matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]
     """Size of the largest order-preserving matching of two trees with equal labels, and its pairs."""
     if a.label != b.label:
         return 0, []
-    n, m = len(a.children), len(b.children)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    pairs = {}
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            size, found = simple_tree_matching(a.children[i - 1], b.children[j - 1])
-            pairs[i, j] = size, found
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + size)
-    matched, i, j = [(a, b)], n, m
-    while i and j:
-        size, found = pairs[i, j]
-        if size and best[i][j] == best[i - 1][j - 1] + size:
-            matched += found
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return best[n][m] + 1, matched
+    places: dict[str, list[int]] = {}
+    for j in range(len(b.children) - 1, -1, -1):
+        places.setdefault(b.children[j].label, []).append(j)
+    # Fenwick tree over b's children: the best matching that ends at or before one, as (size, (before, pairs)).
+    size = len(b.children) + 1
+    best: list[tuple] = [(0, None)] * size
+    for child in a.children:
+        for j in places.get(child.label, ()):
+            weight, found = simple_tree_matching(child, b.children[j])
+            before, k = (0, None), j
+            while k > 0:
+                before = max(before, best[k], key=lambda x: x[0])
+                k -= k & -k
+            now, k = (before[0] + weight, (before[1], found)), j + 1
+            while k < size:
+                if now[0] > best[k][0]:
+                    best[k] = now
+                k += k & -k
+    top, k = (0, None), size - 1
+    while k > 0:
+        top = max(top, best[k], key=lambda x: x[0])
+        k -= k & -k
+    matched, chain = [(a, b)], top[1]
+    while chain:
+        matched += chain[1]
+        chain = chain[0]
+    return top[0] + 1, matched
 
 
 class Template:
@@ -376,15 +387,39 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
 
 
 def aligned(parsed: DataFrame, folder: str) -> DataFrame:
-    """(host, skeleton, slots): the node of the host's template for each node of each shape of page."""
+    """(host, skeleton, slots): the node of the host's template for each node of each shape of page.
+
+    A task aligns about CHUNK shapes of a host, dealt by hash, to a template; the next round aligns these
+    templates in the same way until each host has one.
+    """
     shapes = parsed.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("pages"))
+    parts = shapes.select("host", F.xxhash64("skeleton").alias("id"), "skeleton", "pages")
+    schema = "host string, id long, chunk long, slots array<int>, skeleton string, pages long"
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        _, slots = induce([(s, int(n)) for s, n in zip(group["skeleton"], group["pages"])])
-        return pd.DataFrame({"host": group["host"], "skeleton": group["skeleton"], "slots": slots})
-
-    found = shapes.groupBy("host").applyInPandas(run, "host string, skeleton string, slots array<int>")
-    return written(found, f"{folder}/slots")
+        template, slots = induce([(s, int(n)) for s, n in zip(group["skeleton"], group["pages"])])
+        host, chunk = group["host"].iloc[0], group["chunk"].iloc[0]
+        rows = [(host, int(i), int(chunk), k, None, 0) for i, k in zip(group["id"], slots)]
+        rows.append((host, 0, int(chunk), None, template, int(group["pages"].sum())))
+        return pd.DataFrame(rows, columns=["host", "id", "chunk", "slots", "skeleton", "pages"])
+
+    total, level, most = None, 0, 2
+    while most > 1:
+        counts = parts.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+        dealt = parts.join(counts, "host").withColumn("chunk", F.expr("pmod(id, chunks)")).drop("chunks")
+        merged = written(dealt.groupBy("host", "chunk").applyInPandas(run, schema), f"{folder}/merged-{level}")
+        maps = merged.where(F.col("skeleton").isNull()).select("host", "id", "chunk", "slots")
+        if total is None:
+            total = maps
+        else:
+            upper = maps.select("host", F.col("id").alias("chunk"), F.col("chunk").alias("up"), F.col("slots").alias("to"))
+            slots = F.transform("slots", lambda k: F.get("to", k)).alias("slots")
+            total = total.join(upper, ["host", "chunk"]).select("host", "id", F.col("up").alias("chunk"), slots)
+        parts = merged.where(F.col("skeleton").isNotNull()).select("host", F.col("chunk").alias("id"), "skeleton", "pages")
+        most = parts.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+        level += 1
+    keyed = shapes.select("host", F.xxhash64("skeleton").alias("id"), "skeleton")
+    return written(keyed.join(total, ["host", "id"]).select("host", "skeleton", "slots"), f"{folder}/slots")
 
 
 def template_facts(parsed: DataFrame, slots: DataFrame) -> DataFrame:

@@ -95,6 +95,18 @@ def test_constant_blocks_inside_an_article_are_template(spark, tables):
     assert found[100] == "Head 3\n\nText 3"
 
 
+def test_shapes_of_a_host_are_aligned_in_chunks(spark, tables, folder, monkeypatch):
+    names = ["".join(chr(97 + int(d)) for d in str(i)) for i in range(60)]
+    page = "<body><div class=top>Welcome</div><div class=u{1}><p>Text {0}</div><div class=x><p>More {0}<p>Follow us</div>"
+    rows = [(i, None, page.format(i, names[i])) for i in range(60)]
+    monkeypatch.setattr(wrapper, "CHUNK", 8)
+    wrapper.main_texts(spark.createDataFrame(rows, SCHEMA), folder).collect()
+    tasks = spark.read.parquet(f"{folder}/merged-0").where("skeleton is null").groupBy("chunk").count().collect()
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 30
+    assert spark.read.parquet(f"{folder}/merged-1").where("skeleton is not null").count() == 1
+    assert texts(spark, tables, rows) == {i: f"Text {i}\n\nMore {i}" for i in range(60)}
+
+
 def test_odd_pages(spark, tables):
     long = "<article>" + "<p>word &lt; " * 20_000
     rows = [
