@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimweave.llm import bpe, chat, mixing, ngram_join, quality_rules, token_files, topk, warc, weak_labels, wrapper
+from dimweave.llm import bpe, chat, mixing, ngram_join, quality_rules, suffix_repeats, token_files, topk, warc, weak_labels, wrapper
 
 QUERIES = (
     chat.op1_chat_formatting,
@@ -19,6 +19,7 @@ QUERIES = (
     weak_labels.op8_quality_classifier,
     wrapper.op9_html_extraction,
     mixing.op10_mixing_to_weights,
+    suffix_repeats.op13_suffix_array_dedup,
 )
 
 
