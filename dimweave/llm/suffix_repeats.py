@@ -48,7 +48,7 @@ BROADCAST_BYTES = 32 << 20
 #: Positions hashed at a time, few enough to stay in the cache.
 AT_ONCE = 1 << 15
 
-_SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
 def period_of(length: int) -> int:
@@ -56,22 +56,37 @@ def period_of(length: int) -> int:
     return max(p for p in COVERS if 2 * p <= length)
 
 
-def hashes(words: np.ndarray, at: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
-    """64-bit hashes of the `length` (8 at least) bytes from each position; words holds the 8 bytes at each."""
+def hashes(words: np.ndarray, at: np.ndarray, length: int, lanes: int = 1) -> np.ndarray:
+    """`lanes` 64-bit hashes of the `length` (8 at least) bytes from each position; words holds the 8 bytes at each."""
     steps = [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]
-    odd, out = _SEEDS[seed], np.empty(len(at), np.uint64)
+    out = np.empty((lanes, len(at)), np.uint64)
     for start in range(0, len(at), AT_ONCE):
         here = at[start : start + AT_ONCE]
-        h = np.full(len(here), length + seed, np.uint64)
+        states = [np.full(len(here), length + lane, np.uint64) for lane in range(lanes)]
         for step in steps:
-            h ^= words[here + step]
-            h *= odd
-            h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        out[start : start + AT_ONCE] = h ^ (h >> np.uint64(32))
+            read = words[here + step]
+            for h, odd in zip(states, _ODD):
+                h ^= read
+                h *= odd
+                h ^= h >> np.uint64(29)
+        for lane, h in enumerate(states):
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            out[lane, start : start + AT_ONCE] = h ^ (h >> np.uint64(32))
     return out
 
 
+def packed_runs(flags: np.ndarray) -> bytes:
+    return np.flatnonzero(np.diff(flags, prepend=False, append=False)).astype("<i4").tobytes()
+
+
+def unpacked_runs(runs: bytes, n: int) -> np.ndarray:
+    edge = np.zeros(n + 1, np.int8)
+    at = np.frombuffer(runs, "<i4")
+    edge[at[::2]] = 1
+    edge[at[1::2]] = -1
+    return np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+
+
 class Ties:
     """Which of a slice's keys occur again, in the slice or, as the buckets say, in another one.
 
@@ -85,7 +100,8 @@ class Ties:
         bucket = ((spread >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
         if width < 8:
             keys = keys & np.uint64((1 << 8 * width) - 1)
-        order = np.lexsort((keys, bucket))
+        order = np.argsort(keys)
+        order = order[np.argsort(bucket[order].astype(np.min_scalar_type(buckets)), kind="stable")]
         keys, bucket = keys[order], bucket[order]
         first = np.ones(len(keys), bool)
         first[1:] = (keys[1:] != keys[:-1]) | (bucket[1:] != bucket[:-1])
@@ -137,12 +153,18 @@ def sorted_bucket(blobs: list[bytes], said: list[bytes | None], width: int) -> l
 
 
 class Slice:
-    """Some documents one after the other, and what rounds have found out about their suffixes."""
+    """Some documents one after the other, and what rounds have found out about their suffixes.
+
+    `marks` are those of the last round, `state` what earlier ones have left: nothing is worked out twice.
+    """
 
-    def __init__(self, data: bytes, sizes: np.ndarray, length: int, buckets: int, marks: list[list[tuple[int, bytes]]]):
+    def __init__(
+        self, data: bytes, sizes: np.ndarray, length: int, buckets: int, state: dict[str, bytes], marks: list[tuple[int, bytes]]
+    ):
         self.bytes = np.frombuffer(data + bytes(8), np.uint8)
-        self.words = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=self.bytes, strides=(1,))
-        self.n, self.length, self.buckets, self.marks = len(data), length, buckets, marks
+        at_each = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=self.bytes, strides=(1,))
+        self.words = np.ascontiguousarray(at_each)
+        self.n, self.length, self.buckets, self.state, self.marks = len(data), length, buckets, state, marks
         self.period = period_of(length)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
@@ -169,13 +191,19 @@ class Slice:
     @cached_property
     def short_ties(self) -> Ties:
         """Round 1: samples by their first length - period + 1 bytes."""
-        keys = hashes(self.words, self._samples[0], self.length - self.period + 1)
+        keys = hashes(self.words, self._samples[0], self.length - self.period + 1)[0]
         return Ties(keys, keys, self.buckets, 5)
 
+    @cached_property
+    def tied_flags(self) -> np.ndarray:
+        if "tied" in self.state:
+            bits = np.frombuffer(self.state["tied"], np.uint8)
+            return np.unpackbits(bits, count=len(self._samples[0])).astype(bool)
+        return self.short_ties.marked(self.marks)
+
     @cached_property
     def _tied(self) -> tuple[np.ndarray, np.ndarray]:
-        tied = self.short_ties.marked(self.marks[0])
-        return self._samples[0][tied], self._samples[1][tied]
+        return self._samples[0][self.tied_flags], self._samples[1][self.tied_flags]
 
     @cached_property
     def long_ties(self) -> Ties:
@@ -187,20 +215,21 @@ class Slice:
         short, deep = self.length - self.period + 1, self.length + self.period - 1
         whole = at + deep <= ends
         keys = np.empty((2, len(at)), np.uint64)
-        for seed in (0, 1):
-            keys[seed, whole] = hashes(self.words, at[whole], deep, seed)
-            first, last = at[~whole], ends[~whole] - short
-            key = (ends[~whole] - first).astype(np.uint64)
-            for piece in (first, np.minimum(first + short, last), last):
-                key = (key ^ hashes(self.words, piece, short, seed)) * _SEEDS[1 - seed]
-                key ^= key >> np.uint64(31)
-            keys[seed, ~whole] = key
+        keys[:, whole] = hashes(self.words, at[whole], deep, 2)
+        first, last = at[~whole], ends[~whole] - short
+        key = np.tile((ends[~whole] - first).astype(np.uint64), (2, 1))
+        for piece in (first, np.minimum(first + short, last), last):
+            key = (key ^ hashes(self.words, piece, short, 2)) * _ODD[:, None]
+            key ^= key >> np.uint64(31)
+        keys[:, ~whole] = key
         return Ties(keys[0], keys[1], self.buckets, 8)
 
     @cached_property
-    def _decided(self) -> np.ndarray:
+    def decided(self) -> np.ndarray:
         """Suffixes that tie because a sample tied for long."""
-        long = self.long_ties.marked(self.marks[1])
+        if "decided" in self.state:
+            return unpacked_runs(self.state["decided"], self.n)
+        long = self.long_ties.marked(self.marks)
         at, ends = self._tied[0][long], self._tied[1][long]
         last = np.minimum(at + self.period, ends - self.length + 1)
         return self._inside(at[at < last], last[at < last])
@@ -216,7 +245,7 @@ class Slice:
     @cached_property
     def _open(self) -> np.ndarray:
         """Suffixes that may tie: a sample among their followers does, and no long tie has decided them."""
-        return self._before(np.ones(len(self._tied[0]), bool)) & ~self._decided
+        return self._before(np.ones(len(self._tied[0]), bool)) & ~self.decided
 
     @cached_property
     def wanted_ties(self) -> Ties:
@@ -225,27 +254,28 @@ class Slice:
         begins = self.starts[np.searchsorted(self.ends, at, "right")]
         opened = np.concatenate([[0], np.cumsum(self._open)])
         said = opened[at + 1] > opened[np.maximum(at - self.period + 1, begins)]
-        keys = hashes(self.words, at, self.length - self.period + 1)
+        keys = hashes(self.words, at, self.length - self.period + 1)[0]
         return Ties(keys, keys, self.buckets, 5, said)
 
     @cached_property
-    def _sorted(self) -> np.ndarray:
+    def sorted(self) -> np.ndarray:
         """Open suffixes, and those decided ones that an open one may tie with."""
-        wanted = self.wanted_ties.marked(self.marks[2])
-        return np.flatnonzero(self._open | (self._decided & self._before(wanted)))
+        if "sorted" in self.state:
+            return unpacked_runs(self.state["sorted"], self.n)
+        return self._open | (self.decided & self._before(self.wanted_ties.marked(self.marks)))
 
     @cached_property
     def suffix_ties(self) -> Ties:
         """Round 4: these suffixes by their first `length` bytes. Keys are full; a second hash picks the bucket."""
-        at = self._sorted
-        return Ties(hashes(self.words, at, self.length), hashes(self.words, at, self.length, 1), self.buckets, 8)
+        keys, spread = hashes(self.words, np.flatnonzero(self.sorted), self.length, 2)
+        return Ties(keys, spread, self.buckets, 8)
 
     def covered(self) -> np.ndarray:
         """The bytes that some tied suffix begins with."""
-        starts = self._decided.copy()
-        starts[self._sorted[self.suffix_ties.marked(self.marks[3])]] = True
-        at = np.flatnonzero(starts)
-        return self._inside(at, at + self.length)
+        starts = self.decided.copy()
+        starts[np.flatnonzero(self.sorted)[self.suffix_ties.marked(self.marks)]] = True
+        edges = np.flatnonzero(np.diff(starts, prepend=False, append=False))
+        return self._inside(edges[::2], edges[1::2] + self.length - 1)
 
     def documents(self) -> Iterator[tuple[list[dict[str, int]], bytes]]:
         """Each document's maximal removed spans, and its other bytes."""
@@ -260,16 +290,14 @@ class Slice:
             yield spans, own[~removed].tobytes()
 
 
-ROUNDS: tuple[Callable[[Slice], Ties], ...] = (
-    lambda s: s.short_ties,
-    lambda s: s.long_ties,
-    lambda s: s.wanted_ties,
-    lambda s: s.suffix_ties,
+#: Of each round: its keys, their bytes (where a chance tie only costs work, 5 do), and what it leaves of the one before.
+ROUNDS: tuple[tuple[Callable[[Slice], Ties], int, str, Callable[[Slice], bytes]], ...] = (
+    (lambda s: s.short_ties, 5, "", lambda s: b""),
+    (lambda s: s.long_ties, 8, "tied", lambda s: np.packbits(s.tied_flags).tobytes()),
+    (lambda s: s.wanted_ties, 5, "decided", lambda s: packed_runs(s.decided)),
+    (lambda s: s.suffix_ties, 8, "sorted", lambda s: packed_runs(s.sorted)),
 )
 
-#: Bytes of a round's keys: where a chance tie only costs work, 5 do.
-WIDTHS = (5, 8, 5, 8)
-
 
 def _slices(df: DataFrame, kind: str) -> DataFrame:
     """(slice, keys, sizes, data): documents in rows of a few megabytes, null texts as empty ones."""
@@ -291,49 +319,62 @@ def _slices(df: DataFrame, kind: str) -> DataFrame:
     return df.mapInArrow(run, f"slice long, keys array<{kind}>, sizes array<long>, data binary")
 
 
-def _read(batches, length: int, buckets: int, rounds: int) -> Iterator[tuple[int, pa.RecordBatch, int, Slice]]:
-    """The slices of a task, one at a time, with the marks of the first rounds."""
+def _read(batches, length: int, buckets: int) -> Iterator[tuple[int, pa.RecordBatch, int, Slice]]:
+    """The slices of a task, one at a time, with what is known of them."""
     for batch in batches:
+        known = [n for _, _, n, _ in ROUNDS if n in batch.schema.names]
         for i in range(batch.num_rows):
-            marks = [
-                [(m["bucket"], m["bits"]) for m in column_of(batch, f"marks{r}")[i].as_py() or []] for r in range(rounds)
-            ]
+            state = {n: column_of(batch, n)[i].as_py() for n in known}
+            marks = column_of(batch, "marks")[i].as_py() if "marks" in batch.schema.names else None
             sizes = column_of(batch, "sizes")[i].values.to_numpy()
-            data = column_of(batch, "data")[i].as_py()
-            yield column_of(batch, "slice")[i].as_py(), batch, i, Slice(data, sizes, length, buckets, marks)
+            here = Slice(
+                column_of(batch, "data")[i].as_py(), sizes, length, buckets, state,
+                [(m["bucket"], m["bits"]) for m in marks or []],
+            )
+            yield column_of(batch, "slice")[i].as_py(), batch, i, here
     trim()
 
 
-def _round(docs: DataFrame, step: int, length: int, buckets: int, path: str) -> DataFrame:
-    """`docs` with the marks of one more round: keys go to their buckets, bits come back."""
-    keys_of = ROUNDS[step]
+def _joined(docs: DataFrame, facts: DataFrame, weight: int) -> DataFrame:
+    """Slices with a row of facts each, which are broadcast if they weigh little."""
+    return docs.join(F.broadcast(facts) if weight <= BROADCAST_BYTES else facts, "slice", "left")
+
+
+def _round(docs: DataFrame, step: int, length: int, buckets: int, folder: str) -> DataFrame:
+    """One more round: keys go to their buckets, bits come back as marks, beside the states so far."""
+    keys_of, width, name, state_of = ROUNDS[step]
 
     def send(batches):
-        for name, _, _, here in _read(batches, length, buckets, step):
+        for place, _, _, here in _read(batches, length, buckets):
             found = list(keys_of(here).packed())
+            if name:
+                found.append((-1, state_of(here), None))
             for start in range(0, len(found), 256):
                 at, keys, said = zip(*found[start : start + 256])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(at, pa.int64()),
-                        pa.array([name] * len(at), pa.int64()),
+                        pa.array([place] * len(at), pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(said, pa.binary()),
                     ],
                     ["bucket", "slice", "keys", "said"],
                 )
 
-    width = WIDTHS[step]
-
     def sort(group: pa.Table) -> pa.Table:
         bits = sorted_bucket(group.column("keys").to_pylist(), group.column("said").to_pylist(), width)
         return group.select(["bucket", "slice"]).append_column("bits", pa.array(bits, pa.binary()))
 
     sent = docs.mapInArrow(send, "bucket long, slice long, keys binary, said binary")
-    bits = written(sent.groupBy("bucket").applyInArrow(sort, "bucket long, slice long, bits binary"), path)
-    weight = bits.agg(F.sum(F.length("bits") + 32)).first()[0] or 0
-    marks = bits.groupBy("slice").agg(F.collect_list(F.struct("bucket", "bits")).alias(f"marks{step}"))
-    return docs.join(F.broadcast(marks) if weight <= BROADCAST_BYTES else marks, "slice", "left")
+    docs = docs.drop("marks")
+    if name:
+        sent = written(sent, f"{folder}/sent{step}")
+        state = sent.where("bucket < 0").select("slice", F.col("keys").alias(name))
+        docs = _joined(docs, state, state.agg(F.sum(F.length(name) + 32)).first()[0] or 0)
+    groups = sent.where("bucket >= 0").groupBy("bucket")
+    bits = written(groups.applyInArrow(sort, "bucket long, slice long, bits binary"), f"{folder}/bits{step}")
+    marks = bits.groupBy("slice").agg(F.collect_list(F.struct("bucket", "bits")).alias("marks"))
+    return _joined(docs, marks, bits.agg(F.sum(F.length("bits") + 32)).first()[0] or 0)
 
 
 def without_repeats(
@@ -360,10 +401,10 @@ def without_repeats(
     total = docs.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = total // bucket_bytes + 1
     for step in range(len(ROUNDS)):
-        docs = _round(docs, step, length, buckets, f"{folder}/bits{step}")
+        docs = _round(docs, step, length, buckets, folder)
 
     def finish(batches):
-        for _, batch, i, here in _read(batches, length, buckets, len(ROUNDS)):
+        for _, batch, i, here in _read(batches, length, buckets):
             spans, kept = zip(*here.documents())
             whole = pa.RecordBatch.from_arrays(
                 [
