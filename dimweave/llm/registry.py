@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimweave.llm import bpe, chat, mixing, ngram_join, quality_rules, suffix_repeats, token_files, topk, warc, weak_labels, wrapper
+from dimweave.llm import bpe, chat, mixing, ngram_join, prefix_trie, quality_rules, spelling, suffix_repeats, token_files, topk, warc, weak_labels, wrapper
 
 QUERIES = (
     chat.op1_chat_formatting,
@@ -19,6 +19,8 @@ QUERIES = (
     weak_labels.op8_quality_classifier,
     wrapper.op9_html_extraction,
     mixing.op10_mixing_to_weights,
+    spelling.op11_spelling_variants,
+    prefix_trie.op12_conversation_prefix_trie,
     suffix_repeats.op13_suffix_array_dedup,
 )
 
@@ -28,4 +30,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": quality_rules.ORACLE_SQL, "op6_exact_top_k": topk.ORACLE_SQL}
+    return {
+        "op4_quality_rules": quality_rules.ORACLE_SQL,
+        "op6_exact_top_k": topk.ORACLE_SQL,
+        "op12_conversation_prefix_trie": prefix_trie.ORACLE_SQL,
+    }
