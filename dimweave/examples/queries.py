@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimweave import LoadSpec
 from dimweave import columns as C
 from dimweave.examples import fixtures as X
 from dimweave.functions import audit, hashing, versions
@@ -413,24 +415,93 @@ def type1_feed_as_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.conform(feed, target.schema)
 
 
-def load_table_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A catalog table after two loads of the same source: the second finds nothing to change.
+@contextmanager
+def own_table(
+    spark: SparkSession, rows: DataFrame, source: DataFrame | None = None, parts: Sequence[str] = ()
+) -> Iterator[tuple[str, str, list[DataFrame]]]:
+    """A catalog table of these rows, a view of a source, and a list for the table's rows at the end.
 
-    The table only lives while its rows are copied out, so that no catalog keeps it.
+    Both only live while their rows are copied out, so that no catalog keeps them. Rows are written in the
+    tasks they come in.
     """
     scratch, tag = files.scratch_dir(spark), uuid.uuid4().hex
-    source, target = f"customer_source_{tag}", f"customer_dim_{tag}"
-    spec = replace(X.CUSTOMER_TYPE1, source_table=source, target_table=target)
-    X.type1_source(spark, sf_dir).createOrReplaceTempView(source)
-    X.type1_target(spark, sf_dir).write.option("path", f"{scratch}/{target}").saveAsTable(target)
+    view, name, found = f"source_{tag}", f"target_{tag}", []
+    writer = rows.write.partitionBy(*parts) if parts else rows.write
+    writer.option("path", f"{scratch}/{name}").saveAsTable(name)
+    if source is not None:
+        source.createOrReplaceTempView(view)
     try:
+        yield name, view, found
+        files.write_result(spark.table(name), f"{scratch}/copy")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+        if source is not None:
+            spark.catalog.dropTempView(view)
+    found.append(files.read_source(spark, f"{scratch}/copy"))
+
+
+def load_table_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table after two loads of the same source: the second finds nothing to change."""
+    with own_table(spark, X.type1_target(spark, sf_dir), X.type1_source(spark, sf_dir)) as (name, view, found):
+        spec = replace(X.CUSTOMER_TYPE1, source_table=view, target_table=name)
         for _ in range(2):
             load.load_table(spark, spec, X.LOAD_TS, X.EPOCH)
-        files.write_result(spark.table(target), f"{scratch}/copy")
-    finally:
-        spark.sql(f"DROP TABLE {target}")
-        spark.catalog.dropTempView(source)
-    return files.read_source(spark, f"{scratch}/copy")
+    return found[0]
+
+
+def load_partitioned_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension by segment after a load that moves customers to another segment's partition."""
+    target, source = X.type1_target(spark, sf_dir), X.type1_source(spark, sf_dir)
+    with own_table(spark, target, source, ["segment"]) as (name, view, found):
+        spec = replace(X.CUSTOMER_TYPE1, source_table=view, target_table=name)
+        load.load_table(spark, spec, X.LOAD_TS, X.EPOCH)
+    return found[0]
+
+
+def load_partitioned_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history by current flag, so that past versions are added to and not written again."""
+    target, source = X.type2_target(spark, sf_dir), X.type2_source(spark, sf_dir)
+    with own_table(spark, target, source, [C.CURRENT]) as (name, view, found):
+        spec = replace(X.CUSTOMER_TYPE2, source_table=view, target_table=name)
+        load.load_table(spark, spec, X.LOAD_TS, X.EPOCH)
+    return found[0]
+
+
+def load_hash_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash history in a table by current flag."""
+    with own_table(spark, X.hash_target(spark, sf_dir), parts=[C.IS_CURRENT]) as (name, _, found):
+        source = X.hash_source(spark, sf_dir)
+        load.load_history_table(spark, source, name, X.HASH_KEYS, X.HASH_ATTRIBUTES, X.LOAD_TS)
+    return found[0]
+
+
+def load_fact_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact table by epoch after two runs of one batch."""
+    target, source = X.order_target(spark, sf_dir), X.order_source(spark, sf_dir).where(SLICE)
+    with own_table(spark, target, source, [C.BATCH_EPOCH]) as (name, view, found):
+        spec = replace(X.ORDER_FACT, source_table=view, target_table=name)
+        for _ in range(2):
+            load.load_table(spark, spec, X.LOAD_TS, X.EPOCH)
+    return found[0]
+
+
+def load_fact_slices_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact table without partitions after two runs of a batch's one slice."""
+    target, source = X.order_target(spark, sf_dir), X.order_source(spark, sf_dir)
+    with own_table(spark, target, source) as (name, view, found):
+        spec = replace(X.ORDER_FACT, source_table=view, target_table=name)
+        for _ in range(2):
+            load.load_table(spark, spec, X.LOAD_TS, X.EPOCH, predicate=SLICE)
+    return found[0]
+
+
+def cleanup_table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines in a table whose files with superseded lines are rewritten."""
+    lines = X.table(spark, sf_dir, "lineitem").repartitionByRange("l_orderkey")
+    with own_table(spark, lines) as (name, _, found):
+        spec = LoadSpec("FACT", primary_key=tuple(LINE_KEY), target_table=name)
+        load.cleanup_table(spark, spec, LINE_EPOCH)
+    return found[0]
 
 
 def run_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -522,6 +593,12 @@ def queries() -> dict[str, Query]:
         "run_load_type2_generated_sid": run_load_type2_generated_sid,
         "type1_feed_as_stored": type1_feed_as_stored,
         "load_table_twice": load_table_twice,
+        "load_partitioned_dimension": load_partitioned_dimension,
+        "load_partitioned_history": load_partitioned_history,
+        "load_hash_history": load_hash_history,
+        "load_fact_twice": load_fact_twice,
+        "load_fact_slices_twice": load_fact_slices_twice,
+        "cleanup_table_files": cleanup_table_files,
         "run_load_fact": run_load_fact,
         "cleanup_keep_latest": cleanup_keep_latest,
         "cleanup_stale_rows": cleanup_stale_rows,

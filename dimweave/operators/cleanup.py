@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimweave.columns import BATCH_EPOCH
-from dimweave.functions.hashing import quoted
+from dimweave.functions.hashing import quoted, sql_name
 from dimweave.operators.joins import TARGET, t
 from dimweave.operators.roles import without
 from dimweave.operators.skew import hot_keys, key_hash
@@ -133,3 +133,21 @@ def split_by_superseded(
     kept = comparable.join(renamed, older, "left_anti")
     stale = comparable.join(renamed, older, "left_semi").unionByName(df.where(unmatched))
     return kept, stale
+
+
+def delete_superseded_statement(
+    table: str, superseded: str, primary_key: Sequence[str], epoch_col: str = BATCH_EPOCH
+) -> str:
+    """Removal of older loads as one MERGE of a view with the result of ``superseded_keys``."""
+    key = _key(primary_key, epoch_col)
+    same = " AND ".join(f"tgt.{sql_name(c)} = src.{sql_name(c)}" for c in key)
+    older = f"tgt.{sql_name(epoch_col)} < src.{sql_name(NEWEST)}"
+    return f"MERGE INTO {table} AS tgt USING {superseded} AS src ON {same} AND {older} WHEN MATCHED THEN DELETE"
+
+
+def delete_unmatched_statement(
+    table: str, primary_key: Sequence[str], epoch_col: str = BATCH_EPOCH
+) -> str:
+    """Removal of the rows with a NULL in key or epoch."""
+    nulls = " OR ".join(f"{sql_name(c)} IS NULL" for c in [*_key(primary_key, epoch_col), epoch_col])
+    return f"DELETE FROM {table} WHERE {nulls}"

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dimweave.columns import BATCH_EPOCH
+from dimweave.columns import ACTION, BATCH_EPOCH
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
 from dimweave.functions.hashing import SHA256, quoted
 from dimweave.operators import checks
@@ -20,38 +20,44 @@ from dimweave.operators.apply import (
     apply_scd2_hash,
     apply_type1,
     apply_type2,
+    delete_batch_statement,
     fact_rows,
+    feed_rows,
     merge_scd2_hash,
     merge_type1,
 )
 from dimweave.operators.checks import held_by, measured_bytes, require_unique
 from dimweave.operators.cleanup import (
+    delete_superseded_statement,
+    delete_unmatched_statement,
     keep_latest_batch,
     split_by_superseded,
     stale_rows,
     superseded_keys,
 )
-from dimweave.operators.conform import RAISE, conform
+from dimweave.operators.conform import RAISE
 from dimweave.operators.feeds import (
     fact_insert_feed,
     type1_upsert_feed,
     type2_hybrid_feed,
     upsert_all_matched_feed,
-    with_epoch_of,
 )
 from dimweave.operators.hash_scd2 import scd2_hash_changed, scd2_hash_feed
 from dimweave.operators.joins import Keys, slice_both
 from dimweave.operators.keys import with_surrogate_key
-from dimweave.operators.roles import without
+from dimweave.operators.roles import has, without
 from dimweave.operators.skew import hot_keys
+from dimweave.plans.publish import Touched, publish_dimension, publish_fact, publish_hash_history
 from dimweave.sources.files import (
     remove,
+    scratch_dir,
     stage,
     staged_path,
     staging_dir,
     write_result,
     write_scd_table,
 )
+from dimweave.sources.rewrite import FILE, append, details, drop_rows, partition_columns, recover
 from dimweave.spec import FACT, TYPE1, TYPE2, LoadSpec
 
 
@@ -200,13 +206,8 @@ def run_load(
 ROW_LEVEL = ("delta", "iceberg", "hudi")
 
 
-def _details(spark: SparkSession, table: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    return {r["col_name"].lower(): r["data_type"] for r in rows}
-
-
 def takes_merge(spark: SparkSession, table: str) -> bool:
-    return _details(spark, table).get("provider", "").lower() in ROW_LEVEL
+    return details(spark, table).get("provider", "").lower() in ROW_LEVEL
 
 
 def switch_table(spark: SparkSession, snapshot: DataFrame, table: str) -> str:
@@ -217,12 +218,12 @@ def switch_table(spark: SparkSession, snapshot: DataFrame, table: str) -> str:
     caller removes them. Of a partitioned table the catalog's partitions are registered anew after
     that, which is no single step.
     """
-    details = _details(spark, table)
-    old = details["location"].rstrip("/")
+    known = details(spark, table)
+    old = known["location"].rstrip("/")
     new = f"{old.rsplit('#', 1)[0]}#{uuid.uuid4().hex}"
-    parts = [f.name for f in spark.catalog.listColumns(table) if f.isPartition]
+    parts = partition_columns(spark, table)
     columns = spark.table(table).columns
-    writer = snapshot.select(*map(quoted, columns)).write.format(details.get("provider", "parquet"))
+    writer = snapshot.select(*map(quoted, columns)).write.format(known.get("provider", "parquet"))
     (writer.partitionBy(*parts) if parts else writer).save(new)
     if not parts:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
@@ -237,6 +238,13 @@ def switch_table(spark: SparkSession, snapshot: DataFrame, table: str) -> str:
     return old
 
 
+def _staged(spark: SparkSession, options: dict[str, Any]) -> dict[str, Any]:
+    """Options of a load that changes its own target: its feed must be on disk before."""
+    if not options.get("staged", True):
+        raise ValueError("a load into its table stages the feed")
+    return {**options, "stage_dir": options.get("stage_dir") or staging_dir(spark) or scratch_dir(spark)}
+
+
 def load_table(
     spark: SparkSession,
     spec: LoadSpec,
@@ -244,38 +252,49 @@ def load_table(
     epoch: int | None = None,
     snapshot_path: str | None = None,
     **options: Any,
-) -> str | None:
+) -> Touched | None:
     """Load the spec's source table into its target table.
 
-    Facts are appended in place: only the new rows are written. A dimension's feed is merged where the
-    table's format takes MERGE; a table of plain files is switched to the next snapshot, and the old
-    location returned (``switch_table``). With ``snapshot_path`` the snapshot goes there and the table
-    stays; Type 2 snapshots then get the history layout. ``options`` are those of ``run_load``.
+    A table whose format takes MERGE gets one. In a table of plain files only the partitions, or files, that
+    hold rows of the feed are rewritten, and what arrives elsewhere is appended; the result says which
+    (``plans.publish``). A fact batch that runs again replaces the rows of its earlier run. With
+    ``snapshot_path`` the next snapshot goes there and the table stays; Type 2 snapshots then get the
+    history layout. ``options`` are those of ``run_load``.
     """
-    src, tgt = spark.table(spec.source_table), spark.table(spec.target_table)
-    kind = spec.kind
+    kind, table = spec.kind, spec.target_table
+    in_place = takes_merge(spark, table)
+    if not in_place:
+        recover(spark, table)
+    src, tgt = spark.table(spec.source_table), spark.table(table)
     options = {"schema": tgt.schema, **options}
     if kind == FACT:
-        feed = build_feed(spec, src, tgt, load_ts, epoch, options.get("predicate"))
+        predicate = options.get("predicate")
+        feed = build_feed(spec, src, tgt, load_ts, epoch, predicate)
         rows = fact_rows(feed, options["schema"], epoch, options.get("on_overflow", RAISE))
-        rows.write.insertInto(spec.target_table)
-        return None
+        if in_place:
+            if has(tgt.columns, BATCH_EPOCH):
+                spark.sql(delete_batch_statement(table, BATCH_EPOCH, epoch, predicate))
+            append(rows, table)
+            return None
+        return publish_fact(spark, table, rows, epoch, predicate)
+    if not snapshot_path:
+        options = _staged(spark, options)
     result = run_load(spec, src, tgt, load_ts, epoch, **options)
-    old = None
-    if not snapshot_path and takes_merge(spark, spec.target_table):
-        zone = options.get("zone", DEFAULT_ZONE)
-        feed = with_epoch_of(result.feed, tgt.columns, epoch)
-        rows = conform(feed, options["schema"], options.get("on_overflow", RAISE), zone)
-        result.snapshot.write.format("noop").mode("overwrite").save()  # raises where keys clash
-        merge_type1(rows, spec.target_table, spec)
-    elif not snapshot_path:
-        old = switch_table(spark, result.snapshot, spec.target_table)
-    elif kind == TYPE2:
-        write_scd_table(result.snapshot, snapshot_path, spec.dim_key)
-    else:
-        write_result(result.snapshot, snapshot_path, mode="errorifexists")
-    result.release(spark)
-    return old
+    casts = {k: options[k] for k in ("schema", "on_overflow", "zone") if k in options}
+    try:
+        if not snapshot_path and in_place:
+            tagged = StructType([*casts["schema"].fields, *[f for f in result.feed.schema if f.name == ACTION]])
+            merge_type1(feed_rows(tgt, result.feed, epoch, **{**casts, "schema": tagged}), table, spec)
+            return None
+        if not snapshot_path:
+            return publish_dimension(spark, table, result.feed, spec, epoch, **casts)
+        if kind == TYPE2:
+            write_scd_table(result.snapshot, snapshot_path, spec.dim_key)
+        else:
+            write_result(result.snapshot, snapshot_path, mode="errorifexists")
+        return None
+    finally:
+        result.release(spark)
 
 
 def load_history_table(
@@ -286,33 +305,64 @@ def load_history_table(
     attributes: Sequence[str],
     load_ts: LoadTime,
     **options: Any,
-) -> str | None:
-    """``run_scd2_hash`` into a table, merged or switched as ``load_table`` does it."""
+) -> Touched | None:
+    """``run_scd2_hash`` into a table, merged or published as ``load_table`` does it."""
+    options, in_place = _staged(spark, options), takes_merge(spark, table)
+    if not in_place:
+        recover(spark, table)
     result = run_scd2_hash(
         source, spark.table(table), keys, attributes, load_ts, target_name=table, **options
     )
-    old = None
-    if takes_merge(spark, table):
-        merge_scd2_hash(result.feed, table, keys, attributes)
-    else:
-        old = switch_table(spark, result.snapshot, table)
-    result.release(spark)
-    return old
+    try:
+        if in_place:
+            merge_scd2_hash(result.feed, table, keys, attributes)
+            return None
+        return publish_hash_history(spark, table, result.feed, keys)
+    finally:
+        result.release(spark)
 
 
 def cleanup_table(
-    spark: SparkSession, spec: LoadSpec, epoch_col: str = BATCH_EPOCH, **options: Any
-) -> str:
-    """Reduce the spec's target table to the newest load of each primary key; returns the old location."""
+    spark: SparkSession,
+    spec: LoadSpec,
+    epoch_col: str = BATCH_EPOCH,
+    stage_dir: str | None = None,
+    batch_id: str | int | None = None,
+) -> list[str]:
+    """Reduce the spec's target table to the newest load of each primary key; returns the files replaced.
+
+    Keys loaded more than once are staged and weighed first. A table whose format has row-level operations
+    deletes the older rows in place; in a table of plain files those files are rewritten that hold stale
+    rows, the others stay as they are.
+    """
     if not spec.primary_key:
         raise ValueError("a cleanup needs the spec's primary key")
-    table = spec.target_table
-    result = run_cleanup(
-        spark.table(table), spec.primary_key, epoch_col, target_name=table, **options
-    )
-    old = switch_table(spark, result.kept, table)
-    result.release(spark)
-    return old
+    table, key = spec.target_table, spec.primary_key
+    directory = stage_dir or staging_dir(spark) or scratch_dir(spark)
+    name, batch = f"{_stage_name(table, 'table')}_superseded", _batch(batch_id)
+    recover(spark, table)
+    superseded = stage(superseded_keys(spark.table(table), key, epoch_col), directory, name, batch)
+    try:
+        if takes_merge(spark, table):
+            view = f"superseded_{uuid.uuid4().hex}"
+            superseded.createOrReplaceTempView(view)
+            spark.sql(delete_superseded_statement(table, view, key, epoch_col))
+            spark.sql(delete_unmatched_statement(table, key, epoch_col))
+            spark.catalog.dropTempView(view)
+            return []
+        if measured_bytes(superseded) <= checks.BROADCAST_BYTES:
+            superseded = F.broadcast(superseded)
+
+        def gone(target: DataFrame) -> DataFrame:
+            narrow = target.select(*map(quoted, dict.fromkeys([*key, epoch_col, FILE])))
+            return split_by_superseded(narrow, superseded, key, epoch_col)[1]
+
+        def kept(target: DataFrame) -> DataFrame:
+            return split_by_superseded(target, superseded, key, epoch_col)[0]
+
+        return drop_rows(spark, table, gone, kept)
+    finally:
+        remove(spark, staged_path(directory, name, batch))
 
 
 def run_scd2_hash(
