@@ -8,16 +8,27 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimweave import LoadSpec
 from dimweave import columns as C
 from dimweave.examples import fixtures as X
 from dimweave.functions import audit, hashing, versions
-from dimweave.operators import apply, checks, cleanup, conform, feeds, hash_scd2, joins, keys, roles
+from dimweave.operators import (
+    apply,
+    checks,
+    cleanup,
+    conform,
+    feeds,
+    hash_scd2,
+    joins,
+    key_filter,
+    keys,
+    roles,
+)
 from dimweave.plans import load
-from dimweave.sources import catalog, files
+from dimweave.sources import catalog, files, rewrite
 
 Query = Callable[[SparkSession, str], DataFrame]
 SCRIPT = os.path.join(os.path.dirname(os.path.abspath(__file__)), "segment_totals.sql")
@@ -79,6 +90,24 @@ def conform_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+NARROW_ORDER = "o_orderkey decimal(4,0), o_totalprice decimal(7,2), o_orderstatus varchar(1)"
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders for a target with narrow types: those that fit and the others."""
+    keep = lambda df: files.stage(df, files.scratch_dir(spark), "orders", "judged")
+    orders = X.table(spark, sf_dir, "orders")
+    return conform.split_fit(orders.selectExpr("o_orderkey * 3 AS o_orderkey", "o_totalprice", "o_orderstatus"), NARROW_ORDER, keep)
+
+
+def conform_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir)[0]
+
+
+def conform_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir)[1]
+
+
 def open_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = X.type2_source(spark, sf_dir).select("cust_sid", "cust_id")
     return versions.open_version(source, X.LOAD_TS)
@@ -417,7 +446,11 @@ def type1_feed_as_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @contextmanager
 def own_table(
-    spark: SparkSession, rows: DataFrame, source: DataFrame | None = None, parts: Sequence[str] = ()
+    spark: SparkSession,
+    rows: DataFrame,
+    source: DataFrame | None = None,
+    parts: Sequence[str] = (),
+    buckets: tuple[str, int] | None = None,
 ) -> Iterator[tuple[str, str, list[DataFrame]]]:
     """A catalog table of these rows, a view of a source, and a list for the table's rows at the end.
 
@@ -426,8 +459,12 @@ def own_table(
     """
     scratch, tag = files.scratch_dir(spark), uuid.uuid4().hex
     view, name, found = f"source_{tag}", f"target_{tag}", []
-    writer = rows.write.partitionBy(*parts) if parts else rows.write
-    writer.option("path", f"{scratch}/{name}").saveAsTable(name)
+    path = f"{scratch}/{name}"
+    if buckets:
+        files.write_bucketed_table(rows, name, *buckets, parts, path=path)
+    else:
+        writer = rows.write.partitionBy(*parts) if parts else rows.write
+        writer.option("path", path).saveAsTable(name)
     if source is not None:
         source.createOrReplaceTempView(view)
     try:
@@ -475,6 +512,67 @@ def load_hash_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0]
 
 
+def load_bucketed_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension in buckets of its surrogate key after two loads: its side of the joins is not shuffled."""
+    target, source = X.type1_target(spark, sf_dir), X.type1_source(spark, sf_dir)
+    with own_table(spark, target, source, buckets=("cust_sid", 8)) as (name, view, found):
+        spec = replace(X.CUSTOMER_TYPE1, source_table=view, target_table=name)
+        for _ in range(2):
+            load.load_table(spark, spec, X.LOAD_TS, X.EPOCH)
+    return found[0]
+
+
+def run_load_type2_short_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated keys of 18 bits, of which some are taken: every version still ends with one of its own."""
+    snapshot = load.run_load(
+        X.CUSTOMER_TYPE2,
+        X.type2_source(spark, sf_dir).drop("cust_sid"),
+        X.type2_target(spark, sf_dir),
+        X.LOAD_TS,
+        X.EPOCH,
+        sid_from=["cust_id", C.BATCH_SID],
+        key_generator=lambda cols: hashing.surrogate_key(cols).bitwiseAND(F.lit((1 << 18) - 1)),
+        stage_dir=files.scratch_dir(spark),
+    ).snapshot
+    alone = F.count(F.lit(1)).over(Window.partitionBy("cust_sid")) == 1
+    return snapshot.withColumn("sid_is_unique", alone).drop("cust_sid")
+
+
+def filtered_matched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of orders of one status: a filter of the orders' keys at the scan, then the join."""
+    orders = X.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").selectExpr("o_orderkey AS l_orderkey")
+    lines = X.table(spark, sf_dir, "lineitem")
+    profile = checks.key_profile(orders, "l_orderkey")
+    near = key_filter.possibly_held(lines, orders, ["l_orderkey"], profile.keys)
+    return near.join(orders, "l_orderkey", "left_semi")
+
+
+def cleanup_batch_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each minute's second half as a batch upon a cleaned table of the others."""
+    events = X.table(spark, sf_dir, "events")
+    later = F.second("ts") >= 30
+    held = cleanup.keep_latest_batch(events.where(~later), EVENT_KEY, "ts")
+    with own_table(spark, held) as (name, _, found):
+        spec, index = LoadSpec("FACT", primary_key=tuple(EVENT_KEY), target_table=name), f"{name}_index"
+        load.build_epoch_index(spark, spec, index, 8, "ts", path=f"{files.scratch_dir(spark)}/index")
+        try:
+            rewrite.append(events.where(later), name)
+            load.cleanup_batch(spark, spec, events.where(later), index, "ts")
+        finally:
+            spark.sql(f"DROP TABLE {index}")
+    return found[0]
+
+
+def slice_of_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of the nations in which some are deep in debt, from a table by nation."""
+    customers = X.table(spark, sf_dir, "customer")
+    with own_table(spark, customers, parts=["c_nationkey"]) as (name, _, _):
+        owing = customers.where("c_acctbal < -990")
+        some = joins.slice_of_source(owing, spark.table(name), "c_nationkey")
+        kept = files.stage(some, files.scratch_dir(spark), "slice", "rows")
+    return kept
+
+
 def load_fact_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fact table by epoch after two runs of one batch."""
     target, source = X.order_target(spark, sf_dir), X.order_source(spark, sf_dir).where(SLICE)
@@ -550,6 +648,8 @@ def queries() -> dict[str, Query]:
         "audit_insert": audit_insert,
         "audit_update": audit_update,
         "conform_cast": conform_cast,
+        "conform_fit": conform_fit,
+        "conform_rejected": conform_rejected,
         "open_version": open_version,
         "close_version": close_version,
         "scalar_normalise": scalar_normalise,
@@ -596,6 +696,11 @@ def queries() -> dict[str, Query]:
         "load_partitioned_dimension": load_partitioned_dimension,
         "load_partitioned_history": load_partitioned_history,
         "load_hash_history": load_hash_history,
+        "load_bucketed_dimension": load_bucketed_dimension,
+        "run_load_type2_short_keys": run_load_type2_short_keys,
+        "filtered_matched_keys": filtered_matched_keys,
+        "cleanup_batch_by_index": cleanup_batch_by_index,
+        "slice_of_source": slice_of_source,
         "load_fact_twice": load_fact_twice,
         "load_fact_slices_twice": load_fact_slices_twice,
         "cleanup_table_files": cleanup_table_files,

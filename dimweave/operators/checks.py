@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from dimweave.functions.hashing import quoted
 from dimweave.operators.joins import Keys, key_list
+from dimweave.operators.key_filter import filterable, possibly_held
+from dimweave.operators.skew import estimated_bytes
 
 # Most that a measured side may weigh to be broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# A target that Spark estimates below this is shuffled as it is.
+FILTERED_BYTES = 1024 * 1024 * 1024
 # Weight of a value besides its text: pointers, length, hash slot.
 VALUE_OVERHEAD = 16
 
@@ -29,6 +33,8 @@ class KeyProfile:
     """Rows of the key that has most of them; rows with a NULL in the key do not count."""
     key_bytes: int
     """Weight of the distinct keys."""
+    keys: int = 0
+    """Their number."""
 
     @property
     def broadcastable(self) -> bool:
@@ -60,9 +66,11 @@ def duplicate_keys(df: DataFrame, keys: Keys) -> DataFrame:
 
 def key_profile(df: DataFrame, keys: Keys) -> KeyProfile:
     names = key_list(keys)
-    summary = _rows_per_key(df, names).agg(F.max("row_count"), F.sum(_weight(names)))
-    most_rows, key_bytes = summary.first()
-    return KeyProfile(most_rows or 0, key_bytes or 0)
+    summary = _rows_per_key(df, names).agg(
+        F.max("row_count"), F.sum(_weight(names)), F.count(F.lit(1))
+    )
+    most_rows, key_bytes, n = summary.first()
+    return KeyProfile(most_rows or 0, key_bytes or 0, n)
 
 
 def require_unique(df: DataFrame, keys: Keys, what: str = "input") -> KeyProfile:
@@ -79,11 +87,14 @@ def held_by(tgt: DataFrame, src: DataFrame, keys: Keys, profile: KeyProfile) ->
     """Target rows whose key the source has, when the source's keys are few enough to broadcast.
 
     A small delta then meets a large target without a shuffle of the target: the rows that do not
-    concern it are dropped where they are read. For a source of any other size the target is
-    returned as it is.
+    concern it are dropped where they are read. For more keys a Bloom filter of them is broadcast, which
+    lets about one row in a hundred of the others pass, unless the target is small. For a source of any
+    other size the target is returned as it is.
     """
-    if not profile.broadcastable:
-        return tgt
     names = key_list(keys)
-    wanted = src.select(*map(quoted, names)).distinct()
-    return tgt.join(F.broadcast(wanted), names, "left_semi").select(*map(quoted, tgt.columns))
+    if profile.broadcastable:
+        wanted = src.select(*map(quoted, names)).distinct()
+        return tgt.join(F.broadcast(wanted), names, "left_semi").select(*map(quoted, tgt.columns))
+    if estimated_bytes(tgt) >= FILTERED_BYTES and filterable(tgt, src, names, profile.keys):
+        return possibly_held(tgt, src, names, profile.keys)
+    return tgt

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -20,6 +22,10 @@ from dimweave.functions.hashing import quoted
 
 RAISE = "raise"
 NULL = "null"
+REJECT = "reject"
+
+# The column that says why a row was rejected.
+REASON = "reject_reason"
 
 # Fixed value: the field metadata key under which a Spark table keeps a char or varchar length.
 LENGTH_METADATA = "__CHAR_VARCHAR_TYPE_STRING"
@@ -88,3 +94,40 @@ def conform(
         return fit(quoted(f.name), declared_type(f), on_overflow)
 
     return df.select(*[value(f).alias(f.name) for f in target_schema.fields])
+
+
+def misfits(df: DataFrame, target_schema: StructType | str) -> Column:
+    """Names of the target columns that can't hold a row's value, joined by commas; NULL for a row that fits.
+
+    That is a value its type can't express, or a NULL where the target takes none. Texts are cut to their
+    length as ever.
+    """
+    if isinstance(target_schema, str):
+        target_schema = StructType.fromDDL(target_schema)
+    walls = {f.name.lower() for f in df.schema.fields if isinstance(f.dataType, TimestampNTZType)}
+    reasons = []
+    for f in target_schema.fields:
+        value, wrong = quoted(f.name), F.lit(False)
+        stamp = stamp_zone(f.name, DEFAULT_ZONE) and f.name.lower() in walls
+        if not (stamp and isinstance(f.dataType, TimestampType)):
+            wrong = value.isNotNull() & fit(value, declared_type(f), NULL).isNull()
+        if not f.nullable:
+            wrong = wrong | value.isNull()
+        reasons.append(F.when(wrong, F.lit(f.name)))
+    text = F.concat_ws(", ", *reasons)
+    return F.when(text != "", text)
+
+
+def split_fit(
+    df: DataFrame,
+    target_schema: StructType | str,
+    keep: Callable[[DataFrame], DataFrame],
+    zone: str = DEFAULT_ZONE,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit the target, conformed to it, and the others as they came with ``reject_reason``.
+
+    ``keep`` writes all rows with their reasons once and reads them back; both results are scans of that.
+    """
+    told = keep(df.withColumn(REASON, misfits(df, target_schema)))
+    fitting = told.where(quoted(REASON).isNull()).drop(REASON)
+    return conform(fitting, target_schema, zone=zone), told.where(quoted(REASON).isNotNull())

@@ -143,6 +143,28 @@ def slice_both(
     return src.where(predicate), tgt.where(predicate)
 
 
+def slice_of_source(src: DataFrame, tgt: DataFrame, columns: Keys) -> DataFrame:
+    """Target rows of the partitions that the source has rows in, NULL partitions among them.
+
+    The source says which, when it is read: with a selective source Spark prunes the target's partitions
+    at run time. The list is broadcast; it has no more rows than the target has partitions that matter.
+    A key the target holds in another partition only is a new key, as with ``slice_both``.
+    """
+    names = key_list(columns)
+    wanted = F.broadcast(src.select(*[quoted(c).alias(SOURCE + c) for c in names]).distinct())
+    same = None
+    for name in names:
+        equal = quoted(name) == s(name)
+        same = equal if same is None else same & equal
+    plain = tgt.join(wanted, same, "left_semi")
+    anywhere_null = " OR ".join(f"{sql_name(c)} IS NULL" for c in names)
+    loose = None
+    for name in names:
+        equal = quoted(name).eqNullSafe(s(name))
+        loose = equal if loose is None else loose & equal
+    return plain.unionByName(tgt.where(anywhere_null).join(wanted, loose, "left_semi"))
+
+
 def current_slice(tgt: DataFrame, flag_col: str = C.CURRENT) -> DataFrame:
     return tgt.where(flag_is(tgt, flag_col, True))
 

@@ -1,18 +1,85 @@
-"""Surrogate key column."""
+"""Surrogate key column, and keys that are free."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from dimweave.functions.hashing import surrogate_key
+from dimweave import columns as C
+from dimweave.functions.hashing import quoted, surrogate_key
+from dimweave.operators import checks
 
+# Names no table column has.
+FIRST = "#first"
+ROWS = "#rows"
+HELD = "#held"
+KEY = "#key"
 
-def with_surrogate_key(df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
+# Times that a row may look for a free key. Two do for 64 bits whatever the table's size.
+ROUNDS = 16
+
+Generator = Callable[[Sequence[str | Column]], Column]
+
+
+def with_surrogate_key(
+    df: DataFrame, cols: Sequence[str], out: str, generate: Generator = surrogate_key
+) -> DataFrame:
     """Add a 64-bit key made of the given columns.
 
     For a history-keeping dimension include the version's start next to the business key, so that
     every version gets its own key.
     """
-    return df.withColumn(out, surrogate_key(cols))
+    return df.withColumn(out, generate(cols))
+
+
+def taken_keys(feed: DataFrame, target: DataFrame, sid: str, dim: str) -> DataFrame:
+    """Keys of a feed's inserts that not all of them can have: (key, who keeps it, whether the target has it).
+
+    The insert with the smallest business key keeps a key unless the target holds it. Of the target one column
+    is read; few keys are broadcast to it.
+    """
+    inserts = feed.where((quoted(C.ACTION) == C.INSERT) & quoted(sid).isNotNull())
+    keys = inserts.groupBy(quoted(sid).alias(KEY)).agg(
+        F.min(quoted(dim)).alias(FIRST), F.count(F.lit(1)).alias(ROWS)
+    )
+    wanted = keys.select(KEY)
+    if checks.measured_bytes(wanted) <= checks.BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)
+    held = target.select(quoted(sid).alias(KEY)).join(wanted, KEY, "left_semi").distinct()
+    marked = keys.join(held.withColumn(HELD, F.lit(True)), KEY, "left").na.fill(False, [HELD])
+    return marked.where((quoted(ROWS) > 1) | quoted(HELD)).select(KEY, FIRST, HELD)
+
+
+def with_free_keys(
+    feed: DataFrame,
+    target: DataFrame,
+    sid: str,
+    dim: str,
+    keep: Callable[[DataFrame, int], DataFrame],
+    generate: Generator = surrogate_key,
+) -> DataFrame:
+    """A feed whose inserts have keys of their own, free in feed and target.
+
+    An insert whose key is taken gets one made of its business key, the taken key and the round, and is
+    looked at again, so that the same feed always ends in the same keys. ``keep`` writes the feed of a round
+    and reads it back; without clashes, the usual case, there is none and the feed returns as it came.
+    A business key has one insert at most, as in a Type 2 feed.
+    """
+    kind = target.schema[sid].dataType
+    feed = feed.withColumn(sid, quoted(sid).cast(kind))
+    for number in range(ROUNDS):
+        taken = keep(taken_keys(feed, target, sid, dim), 2 * number)
+        clashes = taken.count()
+        if not clashes:
+            return feed
+        if checks.measured_bytes(taken) <= checks.BROADCAST_BYTES:
+            taken = F.broadcast(taken)
+        is_insert = quoted(C.ACTION) == C.INSERT
+        moves = is_insert & quoted(KEY).isNotNull() & (quoted(HELD) | (quoted(dim) != quoted(FIRST)))
+        again = generate([dim, quoted(sid).cast("string"), F.lit(str(number))]).cast(kind)
+        joined = feed.join(taken, quoted(sid) == quoted(KEY), "left")
+        renamed = joined.withColumn(sid, F.when(moves, again).otherwise(quoted(sid)))
+        feed = keep(renamed.select(*map(quoted, feed.columns)), 2 * number + 1)
+    raise RuntimeError(f"{clashes} surrogate keys are still taken after {ROUNDS} rounds")

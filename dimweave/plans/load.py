@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,9 +14,10 @@ from pyspark.sql.types import StructType
 
 from dimweave.columns import ACTION, BATCH_EPOCH
 from dimweave.functions.clock import DEFAULT_ZONE, LoadTime
-from dimweave.functions.hashing import SHA256, quoted
+from dimweave.functions.hashing import SHA256, quoted, sql_name, surrogate_key
 from dimweave.operators import checks
 from dimweave.operators.apply import (
+    GONE,
     apply_fact,
     apply_scd2_hash,
     apply_type1,
@@ -28,6 +30,7 @@ from dimweave.operators.apply import (
 )
 from dimweave.operators.checks import held_by, measured_bytes, require_unique
 from dimweave.operators.cleanup import (
+    NEWEST,
     delete_superseded_statement,
     delete_unmatched_statement,
     keep_latest_batch,
@@ -35,7 +38,8 @@ from dimweave.operators.cleanup import (
     stale_rows,
     superseded_keys,
 )
-from dimweave.operators.conform import RAISE
+from dimweave.operators.conform import RAISE, REASON, REJECT, misfits
+from dimweave.operators.epoch_index import batch_epochs, epoch_index
 from dimweave.operators.feeds import (
     fact_insert_feed,
     type1_upsert_feed,
@@ -43,21 +47,37 @@ from dimweave.operators.feeds import (
     upsert_all_matched_feed,
 )
 from dimweave.operators.hash_scd2 import scd2_hash_changed, scd2_hash_feed
-from dimweave.operators.joins import Keys, slice_both
-from dimweave.operators.keys import with_surrogate_key
-from dimweave.operators.roles import has, without
+from dimweave.operators.joins import Keys, slice_both, slice_of_source
+from dimweave.operators.keys import Generator, with_free_keys, with_surrogate_key
+from dimweave.operators.roles import has, spelled, without
 from dimweave.operators.skew import hot_keys
-from dimweave.plans.publish import Touched, publish_dimension, publish_fact, publish_hash_history
+from dimweave.plans.publish import (
+    Touched,
+    publish_dimension,
+    publish_fact,
+    publish_hash_history,
+    replace_rows,
+)
 from dimweave.sources.files import (
     remove,
     scratch_dir,
     stage,
     staged_path,
     staging_dir,
+    write_bucketed_table,
     write_result,
     write_scd_table,
 )
-from dimweave.sources.rewrite import FILE, append, details, drop_rows, partition_columns, recover
+from dimweave.sources.rewrite import (
+    FILE,
+    append,
+    bucketing,
+    details,
+    drop_rows,
+    gathered,
+    partition_columns,
+    recover,
+)
 from dimweave.spec import FACT, TYPE1, TYPE2, LoadSpec
 
 
@@ -76,6 +96,8 @@ class Staged:
 class LoadResult(Staged):
     feed: DataFrame
     snapshot: DataFrame
+    rejected: DataFrame | None = None
+    """Feed rows that the target can't hold, with ``on_overflow='reject'``."""
 
 
 @dataclass(frozen=True)
@@ -163,6 +185,8 @@ def run_load(
     hot: Sequence[int] | None = None,
     every_match: bool = False,
     sid_from: Sequence[str] = (),
+    key_generator: Generator = surrogate_key,
+    slice_on: Keys = (),
 ) -> LoadResult:
     """Feed and next snapshot of one load.
 
@@ -172,7 +196,12 @@ def run_load(
     the snapshot raise, staged or not (``operators.apply``).
 
     ``sid_from`` names source columns of which the surrogate key is made; for a Type 2 target they
-    are the business key and something that differs from load to load.
+    are the business key and something that differs from load to load. Such keys are looked for until
+    they are free (``operators.keys.with_free_keys``); keys that come with the source are not changed.
+
+    ``slice_on`` names partition columns of the target: only the partitions that the source has rows in
+    are read for the feed. With ``on_overflow='reject'`` feed rows that the target's types can't hold are
+    left out and returned as ``rejected``, each with the columns that it fails.
 
     The feed is staged under ``stage_dir`` or, without one, the folder in ``spark.checkpoint.dir``;
     with neither, or with ``staged=False``, it stays a lazy plan that the apply evaluates again.
@@ -180,26 +209,62 @@ def run_load(
     """
     kind = spec.kind
     if sid_from:
-        src = with_surrogate_key(src, sid_from, spec.sid_key)
+        src = with_surrogate_key(src, sid_from, spec.sid_key, key_generator)
     options = {"zone": zone, "reopen": reopen, "hot": hot, "every_match": every_match}
+    rejecting, on_overflow = on_overflow == REJECT, RAISE if on_overflow == REJECT else on_overflow
     if kind == FACT:
-        feed = build_feed(spec, src, tgt, load_ts, epoch, predicate)
-        return LoadResult(feed, publish(feed, tgt, spec, epoch, schema, on_overflow, zone))
+        feed, rejected, paths = build_feed(spec, src, tgt, load_ts, epoch, predicate), None, ()
+        if rejecting:
+            feed, rejected, paths = _without_rejected(
+                feed, schema or tgt.schema, _directory(src, staged, stage_dir), spec.target_table, batch_id
+            )
+        snapshot = publish(feed, tgt, spec, epoch, schema, on_overflow, zone)
+        return LoadResult(feed, snapshot, rejected, staged=paths)
     directory = _directory(src, staged, stage_dir)
     join_key = spec.dim_key if kind == TYPE2 else spec.sid_key
-    concerned = tgt
+    concerned = slice_of_source(src, tgt, slice_on) if slice_on else tgt
     if check_keys:
         checked = src if predicate is None else src.where(predicate)
         profile = require_unique(checked, join_key, "source")
-        concerned = held_by(tgt, checked, join_key, profile)
+        concerned = held_by(concerned, checked, join_key, profile)
     feed = build_feed(spec, src, concerned, load_ts, epoch, predicate, **options)
     paths = ()
     if directory:
         name, batch = _stage_name(spec.target_table, kind), _batch(batch_id)
         feed = stage(feed, directory, name, batch)
         paths = (staged_path(directory, name, batch),)
+    if sid_from and kind == TYPE2:
+
+        def keep(df: DataFrame, number: int) -> DataFrame:
+            nonlocal paths
+            if not directory:
+                return df
+            paths += (staged_path(directory, f"{name}_keys{number}", batch),)
+            return stage(df, directory, f"{name}_keys{number}", batch)
+
+        sid, dim = (spelled(tgt.columns, k) for k in (spec.sid_key, spec.dim_key))
+        feed = with_free_keys(feed, tgt, sid, dim, keep, key_generator)
+    rejected = None
+    if rejecting:
+        feed, rejected, more = _without_rejected(
+            feed, schema or tgt.schema, directory, spec.target_table, batch_id
+        )
+        paths += more
     snapshot = publish(feed, tgt, spec, epoch, schema, on_overflow, zone)
-    return LoadResult(feed, snapshot, staged=paths)
+    return LoadResult(feed, snapshot, rejected, staged=paths)
+
+
+def _without_rejected(
+    feed: DataFrame, schema: StructType, directory: str | None, target: str | None, batch_id: str | int | None
+) -> tuple[DataFrame, DataFrame, tuple[str, ...]]:
+    """A feed's rows that the target can hold, the others with their reason, and what was staged for it."""
+    held = StructType([f for f in schema.fields if has(feed.columns, f.name)])
+    told, paths = feed.withColumn(REASON, misfits(feed, held)), ()
+    if directory:
+        name, batch = f"{_stage_name(target, 'feed')}_judged", _batch(batch_id)
+        told, paths = stage(told, directory, name, batch), (staged_path(directory, name, batch),)
+    fitting = told.where(quoted(REASON).isNull()).drop(REASON)
+    return fitting, told.where(quoted(REASON).isNotNull()), paths
 
 
 # Providers whose tables take MERGE.
@@ -223,8 +288,17 @@ def switch_table(spark: SparkSession, snapshot: DataFrame, table: str) -> str:
     new = f"{old.rsplit('#', 1)[0]}#{uuid.uuid4().hex}"
     parts = partition_columns(spark, table)
     columns = spark.table(table).columns
-    writer = snapshot.select(*map(quoted, columns)).write.format(known.get("provider", "parquet"))
-    (writer.partitionBy(*parts) if parts else writer).save(new)
+    buckets = bucketing(spark, table)
+    writer = gathered(snapshot.select(*map(quoted, columns)), parts if buckets else [], buckets).write
+    writer = writer.format(known.get("provider", "parquet"))
+    writer = writer.partitionBy(*parts) if parts else writer
+    if buckets:  # only tables are written in buckets: one that lives until the files are there
+        draft = f"draft_{uuid.uuid4().hex}"
+        writer = writer.bucketBy(buckets.n, *buckets.columns).option("path", new)
+        (writer.sortBy(*buckets.sorted_by) if buckets.sorted_by else writer).saveAsTable(draft)
+        spark.sql(f"DROP TABLE {draft}")
+    else:
+        writer.save(new)
     if not parts:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     else:
@@ -245,12 +319,24 @@ def _staged(spark: SparkSession, options: dict[str, Any]) -> dict[str, Any]:
     return {**options, "stage_dir": options.get("stage_dir") or staging_dir(spark) or scratch_dir(spark)}
 
 
+def _load_fact(
+    spark: SparkSession, table: str, rows: DataFrame, epoch: int, predicate: str | Column | None, in_place: bool
+) -> Touched | None:
+    if not in_place:
+        return publish_fact(spark, table, rows, epoch, predicate)
+    if has(rows.columns, BATCH_EPOCH):
+        spark.sql(delete_batch_statement(table, BATCH_EPOCH, epoch, predicate))
+    append(rows, table)
+    return None
+
+
 def load_table(
     spark: SparkSession,
     spec: LoadSpec,
     load_ts: LoadTime,
     epoch: int | None = None,
     snapshot_path: str | None = None,
+    reject_path: str | None = None,
     **options: Any,
 ) -> Touched | None:
     """Load the spec's source table into its target table.
@@ -259,7 +345,8 @@ def load_table(
     hold rows of the feed are rewritten, and what arrives elsewhere is appended; the result says which
     (``plans.publish``). A fact batch that runs again replaces the rows of its earlier run. With
     ``snapshot_path`` the next snapshot goes there and the table stays; Type 2 snapshots then get the
-    history layout. ``options`` are those of ``run_load``.
+    history layout. Rows that the target can't hold are added to ``reject_path``, if there is one, before
+    the others are published. ``options`` are those of ``run_load``.
     """
     kind, table = spec.kind, spec.target_table
     in_place = takes_merge(spark, table)
@@ -267,21 +354,24 @@ def load_table(
         recover(spark, table)
     src, tgt = spark.table(spec.source_table), spark.table(table)
     options = {"schema": tgt.schema, **options}
-    if kind == FACT:
+    if reject_path:
+        options["on_overflow"] = REJECT
+    if kind == FACT and not reject_path:
         predicate = options.get("predicate")
         feed = build_feed(spec, src, tgt, load_ts, epoch, predicate)
         rows = fact_rows(feed, options["schema"], epoch, options.get("on_overflow", RAISE))
-        if in_place:
-            if has(tgt.columns, BATCH_EPOCH):
-                spark.sql(delete_batch_statement(table, BATCH_EPOCH, epoch, predicate))
-            append(rows, table)
-            return None
-        return publish_fact(spark, table, rows, epoch, predicate)
+        return _load_fact(spark, table, rows, epoch, predicate, in_place)
     if not snapshot_path:
         options = _staged(spark, options)
     result = run_load(spec, src, tgt, load_ts, epoch, **options)
     casts = {k: options[k] for k in ("schema", "on_overflow", "zone") if k in options}
+    if reject_path:
+        casts["on_overflow"] = RAISE
+        write_result(result.rejected, reject_path, mode="append")
     try:
+        if kind == FACT:
+            rows = fact_rows(result.feed, options["schema"], epoch)
+            return _load_fact(spark, table, rows, epoch, options.get("predicate"), in_place)
         if not snapshot_path and in_place:
             tagged = StructType([*casts["schema"].fields, *[f for f in result.feed.schema if f.name == ACTION]])
             merge_type1(feed_rows(tgt, result.feed, epoch, **{**casts, "schema": tagged}), table, spec)
@@ -322,6 +412,23 @@ def load_history_table(
         result.release(spark)
 
 
+def _by_superseded(
+    superseded: DataFrame, key: Sequence[str], epoch_col: str
+) -> tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]:
+    """Filters of a table's stale rows, which need key and epoch only, and of the others; few keys are broadcast."""
+    if measured_bytes(superseded) <= checks.BROADCAST_BYTES:
+        superseded = F.broadcast(superseded)
+
+    def gone(target: DataFrame) -> DataFrame:
+        narrow = target.select(*map(quoted, dict.fromkeys([*key, epoch_col, FILE])))
+        return split_by_superseded(narrow, superseded, key, epoch_col)[1]
+
+    def kept(target: DataFrame) -> DataFrame:
+        return split_by_superseded(target, superseded, key, epoch_col)[0]
+
+    return gone, kept
+
+
 def cleanup_table(
     spark: SparkSession,
     spec: LoadSpec,
@@ -350,19 +457,64 @@ def cleanup_table(
             spark.sql(delete_unmatched_statement(table, key, epoch_col))
             spark.catalog.dropTempView(view)
             return []
-        if measured_bytes(superseded) <= checks.BROADCAST_BYTES:
-            superseded = F.broadcast(superseded)
+        return drop_rows(spark, table, *_by_superseded(superseded, key, epoch_col))
+    finally:
+        remove(spark, staged_path(directory, name, batch))
+
+
+def build_epoch_index(
+    spark: SparkSession, spec: LoadSpec, index_table: str, buckets: int, epoch_col: str = BATCH_EPOCH, **options: str
+) -> None:
+    """Write the newest epoch of each key of a cleaned target table, in buckets by key.
+
+    With as many buckets as shuffle partitions, or more, only a batch's side of the join is shuffled.
+    """
+    index = epoch_index(spark.table(spec.target_table), spec.primary_key, epoch_col)
+    write_bucketed_table(index, index_table, without(spec.primary_key, [epoch_col]), buckets, **options)
 
-        def gone(target: DataFrame) -> DataFrame:
-            narrow = target.select(*map(quoted, dict.fromkeys([*key, epoch_col, FILE])))
-            return split_by_superseded(narrow, superseded, key, epoch_col)[1]
 
-        def kept(target: DataFrame) -> DataFrame:
-            return split_by_superseded(target, superseded, key, epoch_col)[0]
+def cleanup_batch(
+    spark: SparkSession,
+    spec: LoadSpec,
+    batch: DataFrame,
+    index_table: str,
+    epoch_col: str = BATCH_EPOCH,
+    stage_dir: str | None = None,
+) -> list[str]:
+    """``cleanup_table`` after a batch was added to a cleaned table, by the batch and the index alone.
 
-        return drop_rows(spark, table, gone, kept)
+    What is superseded follows from the batch's keys and their epochs in the index; the table is read to
+    find the files with rows of these keys, and only if there are some. Then the index learns the batch's
+    epochs; a run cut short before that finds the same rows again. Tables of files only.
+    """
+    table, key = spec.target_table, without(spec.primary_key, [epoch_col])
+    directory = stage_dir or staging_dir(spark) or scratch_dir(spark)
+    for changed in (table, index_table):
+        recover(spark, changed)
+    name = _stage_name(table, "table")
+    found = batch_epochs(batch, spark.table(index_table), spec.primary_key, epoch_col)
+    found = stage(found, directory, f"{name}_batch", "epochs")
+    try:
+        nulls = batch.where(" OR ".join(f"{sql_name(c)} IS NULL" for c in [*key, epoch_col]))
+        superseded = found.where("superseded").select(*map(quoted, key), NEWEST)
+        files = []
+        if not (superseded.isEmpty() and nulls.isEmpty()):
+            files = drop_rows(spark, table, *_by_superseded(superseded, spec.primary_key, epoch_col))
+        learned = found.where("NOT known").select(*map(quoted, key), NEWEST)
+        if not learned.isEmpty():
+            keys = learned.select(*[quoted(c).alias(f"#{c}") for c in key])
+            if measured_bytes(keys) <= checks.BROADCAST_BYTES:
+                keys = F.broadcast(keys)
+
+            def mark(rows: DataFrame) -> DataFrame:
+                same = [quoted(c) == quoted(f"#{c}") for c in key]
+                joined = rows.join(keys, reduce(lambda a, b: a & b, same), "left")
+                return joined.select(*map(quoted, rows.columns), quoted(f"#{key[0]}").isNotNull().alias(GONE))
+
+            replace_rows(spark, index_table, key, mark, learned)
+        return files
     finally:
-        remove(spark, staged_path(directory, name, batch))
+        remove(spark, staged_path(directory, f"{name}_batch", "epochs"))
 
 
 def run_scd2_hash(

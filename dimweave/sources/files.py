@@ -99,3 +99,24 @@ def write_scd_table(
         .partitionBy(*parts)
         .save(path)
     )
+
+
+def write_bucketed_table(
+    df: DataFrame,
+    table: str,
+    keys: Keys,
+    buckets: int,
+    parts: Sequence[str] = (),
+    fmt: str = DEFAULT_FORMAT,
+    **options: str,
+) -> None:
+    """Write a catalog table whose rows lie in ``buckets`` by their key, sorted by it.
+
+    Joins on the key then find the rows where they are: only the other side is shuffled, load after load
+    (``sources.rewrite`` keeps the layout). A bucket of a partition should fill a file. A row's bucket
+    follows from the key's type too, so the key is of one type on both sides of a join.
+    """
+    names = key_list(keys)
+    dealt = df.repartition(buckets, *map(quoted, names)).sortWithinPartitions(*parts, *map(quoted, names))
+    writer = dealt.write.format(fmt).options(**options).bucketBy(buckets, *names).sortBy(*names)
+    (writer.partitionBy(*parts) if parts else writer).saveAsTable(table)

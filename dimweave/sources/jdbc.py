@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date, datetime
+from decimal import Decimal
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimweave.functions.hashing import quoted
+
 # Rows per round trip; drivers default to as few as 10.
 FETCH_SIZE = "10000"
 BATCH_SIZE = "10000"
@@ -57,6 +62,55 @@ def read_jdbc(
     )
 
 
+def _literal(value: Any) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, bool) or not isinstance(value, int | float | Decimal):
+        raise ValueError(f"no ranges over values like {value!r}")
+    return str(value)
+
+
+def depth_predicates(rows: DataFrame, column: str, parts: int) -> list[str]:
+    """Conditions that part rows by a number, date or timestamp column into about equally many each.
+
+    The cuts are approximate percentiles. A value with more rows than a part should have gets a part of its
+    own; there are fewer parts then. Rows with a NULL are in the first.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    name, found = quoted(column), []
+    if shares:
+        found = rows.agg(F.percentile_approx(name, shares, 100 * parts)).first()[0] or []
+    cuts = [_literal(v) for v in dict.fromkeys(found)]
+    if not cuts:
+        return ["1 = 1"]
+    first = [f"{column} < {cuts[0]} OR {column} IS NULL"]
+    inner = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [*first, *inner, f"{column} >= {cuts[-1]}"]
+
+
+def read_jdbc_evenly(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    partition_column: str,
+    num_partitions: int,
+    properties: Mapping[str, str] | None = None,
+    **bounds: int | str,
+) -> DataFrame:
+    """Read a table in ranges of about equally many rows, however skewed the column.
+
+    The column alone is read first, in even ranges, to find the cuts (``depth_predicates``).
+    """
+    props = {"fetchsize": FETCH_SIZE, **(properties or {})}
+    column = read_jdbc(
+        spark, url, table, properties, partition_column, num_partitions=num_partitions, **bounds
+    ).select(quoted(partition_column))
+    predicates = depth_predicates(column, partition_column, num_partitions)
+    return spark.read.jdbc(url, table, predicates=predicates, properties=props)
+
+
 def append_jdbc(
     df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None
 ) -> None:

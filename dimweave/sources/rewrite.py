@@ -11,9 +11,11 @@ a swap a reader may see rows of both generations, never fewer than the table hol
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
@@ -42,6 +44,35 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """How a table's rows are dealt to files."""
+
+    n: int
+    columns: tuple[str, ...]
+    sorted_by: tuple[str, ...]
+
+    def of_row(self) -> Column:
+        """The bucket in which Spark looks for a row."""
+        return F.pmod(F.hash(*map(quoted, self.columns)), F.lit(self.n))
+
+
+def bucketing(spark: SparkSession, table: str) -> Buckets | None:
+    known = details(spark, table)
+    if "num buckets" not in known:
+        return None
+    columns, order = (tuple(re.findall("`([^`]+)`", known.get(k, ""))) for k in ("bucket columns", "sort columns"))
+    return Buckets(int(known["num buckets"]), columns, order)
+
+
+def gathered(rows: DataFrame, parts: Sequence[str], buckets: Buckets | None) -> DataFrame:
+    """Rows so that a write makes few files: a task per bucket, else as many as a partition fills."""
+    if buckets:
+        dealt = rows.repartition(buckets.n, *map(quoted, buckets.columns))
+        return dealt.sortWithinPartitions(*map(quoted, [*parts, *buckets.sorted_by]))
+    return rows.hint("rebalance", *parts) if parts else rows
+
+
 def is_one_of(columns: Sequence[str], found: Sequence[Sequence[Any]]) -> Column:
     """Whether the columns have one of these lists of values, NULLs among them: a filter that prunes partitions."""
     if len(columns) == 1:
@@ -76,18 +107,20 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
 
 def append(rows: DataFrame, table: str) -> None:
     """Add rows to a table, whatever the order of their columns."""
-    columns = rows.sparkSession.table(table).columns
-    rows.select(*map(quoted, columns)).write.insertInto(table)
+    spark = rows.sparkSession
+    buckets = bucketing(spark, table)
+    dealt = gathered(rows, partition_columns(spark, table), buckets) if buckets else rows
+    dealt.select(*map(quoted, spark.table(table).columns)).write.insertInto(table)
 
 
 def overwrite_partitions(rows: DataFrame, table: str) -> None:
     """Replace the partitions that ``rows`` have by them; the rows may come from the table itself.
 
-    Rows gather by partition first, in as many tasks as they fill, lest each task write a file for each.
+    Rows gather by bucket or partition first (``gathered``), lest each task write a file for each.
     """
     spark = rows.sparkSession
     columns, parts = spark.table(table).columns, partition_columns(spark, table)
-    ordered = rows.select(*map(quoted, columns)).hint("rebalance", *parts)
+    ordered = gathered(rows.select(*map(quoted, columns)), parts, bucketing(spark, table))
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         ordered.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
@@ -196,7 +229,8 @@ def drop_rows(
     ``gone`` and ``kept`` filter the table into the rows to remove and all others. The first runs over the
     whole table, but reads no more columns than it names; the second over the files concerned, without a
     shuffle of its own. Nothing else is read or moved. What the driver holds is the list of these files.
-    ``arrivals`` come in with the same swap; a table with partitions takes none here.
+    ``arrivals`` come in with the same swap; a table with partitions takes none here. Rows of a bucketed
+    table stay in their bucket, which a file's name tells.
     """
     recover(spark, table)
     parts = partition_columns(spark, table)
@@ -213,10 +247,16 @@ def drop_rows(
         return []
     pending = f"{location}/{PENDING}{uuid.uuid4().hex}"
     columns = [c for c in spark.table(table).columns if c not in parts]
+    buckets = bucketing(spark, table)
     mark = F.hex(F.xxhash64(F.regexp_replace(quoted(FILE), "/[^/]*$", "")))
-    rows = kept(target.where(quoted(FILE).isin(*files))).select(*map(quoted, columns), mark.alias(FOLDER))
+    home, fresh = F.lit(""), F.lit("")
+    if buckets:
+        home, fresh = F.regexp_extract(quoted(FILE), r"_(\d+)(?:\.[^/]*)?$", 1), F.lpad(buckets.of_row().cast("string"), 5, "0")
+    rows = kept(target.where(quoted(FILE).isin(*files)))
+    rows = rows.select(*map(quoted, columns), F.concat_ws("-", mark, home).alias(FOLDER))
     if arrivals is not None:
-        rows = rows.unionByName(arrivals.select(*map(quoted, columns), F.lit(NEW).alias(FOLDER)))
+        dealt = gathered(arrivals.select(*map(quoted, columns)), [], buckets)
+        rows = rows.unionByName(dealt.select("*", F.concat_ws("-", F.lit(NEW), fresh).alias(FOLDER)))
     writer = rows.write.format(known.get("provider", "parquet"))
     writer.partitionBy(FOLDER).save(f"{pending}/rows")
     folders = spark.createDataFrame([(f.rsplit("/", 1)[0],) for f in files], "folder string").distinct()
@@ -226,7 +266,9 @@ def drop_rows(
     for path in _files_below(spark, _path(spark, f"{pending}/rows")):
         folder = path.getParent().getName()
         if folder.startswith(f"{FOLDER}="):
-            moves.append((path.toString(), f"{goal[folder.split('=', 1)[1]]}/{path.getName()}"))
+            mark, bucket = folder.split("=", 1)[1].split("-")
+            stem, end = path.getName().split(".", 1)
+            moves.append((path.toString(), f"{goal[mark]}/{stem}{'_' + bucket if bucket else ''}.{end}"))
     journal = {"moves": moves, "gone": [_decoded(spark, f) for f in files]}
     _write_text(spark, _path(spark, f"{pending}/{JOURNAL}"), json.dumps(journal))
     _finish(spark, _path(spark, pending))

@@ -11,6 +11,7 @@ from dimweave.operators import apply, cleanup
 from dimweave.plans import load, publish
 from dimweave.plans.load import cleanup_table, load_history_table, load_table
 from dimweave.sources import rewrite
+from dimweave.sources.files import remove, write_bucketed_table
 
 AUDIT = (
     "INSERTED_BY_USER_NAME string, INSERTED_UTC_DATETIME timestamp_ntz, UPDATED_BY_USER_NAME string,"
@@ -321,3 +322,71 @@ def test_cleanup_of_row_level_tables(spark, sql, monkeypatch):
     assert cleanup_table(spark, LOADS) == []
     assert [tuple(r) for r in ran[0]] == [(1, 2)]
     assert spark.table("loads").count() == 2  # nothing was rewritten
+
+
+# --- buckets --------------------------------------------------------------------------------------
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark, monkeypatch):
+    """Joins as they are between large tables."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr("dimweave.operators.checks.BROADCAST_BYTES", 0)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def buckets_of(spark, table):
+    """Rows by the bucket in their file's name and the one their key belongs to."""
+    made = rewrite.bucketing(spark, table)
+    named = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d+)\.", 1).cast("int")
+    return {tuple(r) for r in spark.table(table).select(named, made.of_row()).distinct().collect()}
+
+
+@pytest.mark.parametrize("parts", [[], ["b"]])
+def test_a_bucketed_target_is_never_shuffled(spark, sql, no_broadcast, parts):
+    rows = spark.range(400).selectExpr(
+        "id AS sid", "concat('d', id) AS dim", "'x' AS a", "'SEED' AS INSERTED_BY_USER_NAME", "timestamp_ntz'2023-01-01' AS INSERTED_UTC_DATETIME",
+        "CAST(NULL AS string) AS UPDATED_BY_USER_NAME", "CAST(NULL AS timestamp_ntz) AS UPDATED_UTC_DATETIME", "1 AS ETL_BATCH_SID",
+        "CAST(1 AS bigint) AS BATCH_LOAD_EPOCH", "concat('p', id % 3) AS b",
+    )
+    write_bucketed_table(rows, "tgt", "sid", 4, parts)
+    sql("CREATE TABLE src (sid bigint, dim string, a string, b string, ETL_BATCH_SID int) USING parquet")
+    want = {i: "x" for i in range(400)}
+    try:
+        for n, text in enumerate(("y", "z")):
+            changed = f"id * 7 + {n}"
+            sql(f"INSERT INTO src SELECT {changed}, concat('d', {changed}), '{text}', concat('p', ({changed}) % 3), 9 FROM range(80)")
+            want |= {i * 7 + n: text for i in range(80)}
+            tgt, src = spark.table("tgt"), spark.table("src")
+            plan = plan_of(load.build_feed(TYPE1, src, tgt, LOAD))
+            assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "SortMergeJoin" in plan
+            hits = apply.sid_hits(tgt, load.build_feed(TYPE1, src, tgt, LOAD), TYPE1)
+            marked = plan_of(apply.mark_by_sid(tgt.select("sid", *parts), spark.createDataFrame(hits.collect(), hits.schema), "sid"))
+            assert marked.count("Exchange") == 1
+            load_table(spark, TYPE1, LOAD, 7)
+            spark.sql("TRUNCATE TABLE src")
+            assert all(named == own for named, own in buckets_of(spark, "tgt"))
+            assert {r.sid: r.a for r in spark.table("tgt").collect()} == want
+            assert spark.table("tgt").count() == len(want)
+        before = spark.table("tgt").count()
+        remove(spark, load.switch_table(spark, spark.table("tgt").where("sid < 100"), "tgt"))
+        assert all(named == own for named, own in buckets_of(spark, "tgt"))
+        assert spark.table("tgt").count() == 100 < before
+    finally:
+        spark.sql("DROP TABLE IF EXISTS tgt")
+
+
+def test_cleanup_keeps_buckets(spark, sql):
+    rows = spark.range(300).selectExpr("id % 100 AS k", "id AS v", "id DIV 100 AS BATCH_LOAD_EPOCH").where("k < 50 OR v < 100")
+    write_bucketed_table(rows, "loads", "k", 3)
+    try:
+        cleanup_table(spark, LOADS)
+        assert all(named == own for named, own in buckets_of(spark, "loads"))
+        assert sorted(r.v for r in spark.table("loads").collect()) == [*range(50, 100), *range(200, 250)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS loads")
