@@ -175,11 +175,11 @@ _BEYOND = re.compile(rb"[\x00-\x08\x0e-\x1f\x7f-\xc2\xc4-\xff](?<!\xc3[\x80-\x96
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space, from a memo of the runs its pattern parts.
+    """Ids of texts by a tokenizer that drops white space, from a memo of what stands between white space.
 
-    A run (letters, one digit, signs, an ending after an apostrophe) is encoded by itself and ends with
-    a token that says so. New runs are therefore encoded many at a time as one text and told apart
-    again. A text with characters beyond ASCII and the letters À to ÿ, whose classes and normal forms
+    Its pattern parts such a piece into runs, mostly one. A run (letters, one digit, signs, an ending
+    after an apostrophe) is encoded by itself and ends with a token that says so. New runs are therefore
+    encoded many at a time as one text and told apart again. A text with characters beyond ASCII and the letters À to ÿ, whose classes and normal forms
     only the tokenizer knows, or with a special token, goes to the tokenizer word by word.
     """
 
@@ -193,7 +193,7 @@ class WordEncoder:
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile(b"|".join(map(re.escape, special)) or rb"(?!)")
-        self.runs: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
 
     def _learn_runs(self, runs: list[bytes]) -> None:
@@ -204,7 +204,14 @@ class WordEncoder:
             if len(cuts) != len(part):
                 raise ValueError("the tokenizer does not end plain runs with a token of their own")
             raw, ends = ids.tobytes(), (4 * cuts).tolist()
-            self.runs.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            self.pieces.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+
+    def _learn_pieces(self, pieces: list[bytes]) -> None:
+        parted, known = list(map(_RUN.findall, pieces)), self.pieces
+        self._learn_runs(list({r for own in parted for r in own if r not in known}))
+        for piece, own in zip(pieces, parted):
+            if len(own) != 1:
+                known[piece] = b"".join([known[r] for r in own])
 
     def _learn_words(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 1000):
@@ -214,26 +221,25 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        if len(self.runs) > MEMO:
-            self.runs = {}
-        if len(self.words) > MEMO:
-            self.words = {}
-        found, new_runs, new_words = [], set(), set()
+        for memo in (self.pieces, self.words):
+            if len(memo) > MEMO:
+                memo.clear()
+        found, new_pieces, new_words = [], set(), set()
         for text in texts:
             raw = text.encode("utf-8", "replace")
             if _BEYOND.search(raw) or self.special.search(raw):
                 memo, new, own = self.words, new_words, raw.split()
             else:
-                memo, new, own = self.runs, new_runs, _RUN.findall(raw.lower())
+                memo, new, own = self.pieces, new_pieces, raw.lower().split()
             ids = list(map(memo.get, own))
             if None in ids:
                 new.update([x for x, known in zip(own, ids) if known is None])
                 found.append((memo, own))
             else:
-                found.append((None, ids))
-        self._learn_runs(list(new_runs))
+                found.append((None, b"".join(ids)))
+        self._learn_pieces(list(new_pieces))
         self._learn_words(list(new_words))
-        return [np.frombuffer(b"".join(map(memo.__getitem__, x) if memo else x), "<u4") for memo, x in found]
+        return [np.frombuffer(b"".join(map(memo.__getitem__, x)) if memo else x, "<u4") for memo, x in found]
 
 
 def write_token_files(
