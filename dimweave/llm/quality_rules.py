@@ -23,9 +23,6 @@ MIN_WORDS, MAX_REPEATED = 50, 50
 #: A line is boilerplate of its host when more than LINE_DOCS documents and 1 in LINE_SHARE have it.
 LINE_DOCS, LINE_SHARE = 30, 200
 
-#: Documents of a host are copies when the same lines stay without the shortest ones of up to this share of words, in percent.
-COPY_SLACK = 5
-
 #: A document is depleted when less than this share of its words, in percent, remains.
 MIN_REMAINING = 20
 
@@ -82,17 +79,8 @@ def measure(text: str, hashes: WordHashes) -> tuple[tuple[int, ...], dict[int, i
 
 
 def copy_hash(lines: dict[int, int]) -> int:
-    """A hash that copies of a document share: that of its lines without the shortest ones.
-
-    Lines are left out, shortest first, while they hold COPY_SLACK % of the words at most. Equal hashes
-    thus have at least the rest of their words in the same lines.
-    """
-    order = sorted(lines, key=lambda key: (lines[key], key))
-    left, start = COPY_SLACK * sum(lines.values()), 0
-    while start < len(order) and 100 * lines[order[start]] <= left:
-        left -= 100 * lines[order[start]]
-        start += 1
-    return line_hash(b"".join(key.to_bytes(8, "big") for key in sorted(order[start:])))
+    """A hash of all of a document's lines in normal form: only documents of the same lines share it."""
+    return line_hash(b"".join(key.to_bytes(8, "big") for key in sorted(lines)))
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -132,9 +120,9 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
 def frequent_lines(measured: DataFrame, host: str, line_docs: int, line_share: int) -> DataFrame:
     """(host, hash) of the lines that more documents of the host have than the limits allow.
 
-    Counted are distinct documents, those with the line and those of the host alike: copies, by
-    copy_hash(), count once. A popular text must not lose its own lines, while a footer under many
-    different texts is counted with each, however many lines they share besides.
+    Counted are distinct documents, those with the line and those of the host alike. Documents of the
+    very same lines (see copy_hash) are one document, so that a text which is often copied whole does not
+    lose its own lines; documents that differ in any line count each, however many lines they share.
     """
     named = F.col(f"`{host}`").alias("_host")
     docs = measured.select(named, "_copy").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("n_docs"))
@@ -249,8 +237,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, work_folder(spark, "rules")).drop("source")
 
 
-#: The same in DuckDB, with whole MD5 values for hashes. It tells documents apart by the smallest hash among
-#: their other lines, which counts too few where documents share several lines: there the two differ.
+#: The same in DuckDB, with whole MD5 values for hashes.
 ORACLE_SQL = """
 WITH words AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
@@ -280,12 +267,11 @@ WITH words AS (
              'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g')) AS h
   FROM lines GROUP BY ALL
 ), hashed AS (SELECT doc_id, source, h, sum(words) AS words FROM keyed GROUP BY ALL
-), least AS (
-  SELECT doc_id, min(h) AS l1, list_sort(list(h))[2] AS l2 FROM hashed GROUP BY doc_id
+), sets AS (SELECT doc_id, md5(string_agg(h, '' ORDER BY h)) AS lineset FROM hashed GROUP BY doc_id
 ), seen AS (
-  SELECT source, h, count(DISTINCT coalesce(CASE WHEN h = l1 THEN l2 ELSE l1 END, '')) AS n
-  FROM hashed JOIN least USING (doc_id) GROUP BY ALL
-), hosts AS (SELECT source, count(*) AS n_docs FROM documents GROUP BY source
+  SELECT source, h, count(DISTINCT lineset) AS n FROM hashed JOIN sets USING (doc_id) GROUP BY ALL
+), hosts AS (
+  SELECT source, count(DISTINCT coalesce(lineset, '')) AS n_docs FROM documents LEFT JOIN sets USING (doc_id) GROUP BY source
 ), removed AS (
   SELECT doc_id, sum(words) AS n_removed_words
   FROM hashed a JOIN seen b ON a.h = b.h AND a.source IS NOT DISTINCT FROM b.source

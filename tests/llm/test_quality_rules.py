@@ -68,20 +68,41 @@ def test_boilerplate_and_depleted_documents(spark, documents):
 
 
 def test_copies_do_not_lose_their_own_lines(spark, documents):
+    """Whole copies are one document; up to 30 documents may share lines besides."""
     text = "\n".join(" ".join(name(100 * i + j) for j in range(15)) for i in range(6))
-    rows = [(i, text, "a") for i in range(200)] + [(500 + i, f"{text}\nand line number {name(i)}", "a") for i in range(100)]
-    assert all(r.kept for r in quality_rules.op4_quality_rules(spark, documents(rows)).collect())
+    rows = [(i, text, "a") for i in range(200)] + [(500 + i, f"{text}\nand line number {name(i)}", "a") for i in range(29)]
+    found = run_both(spark, documents(rows))
+    assert len(found) == 229
+    assert all(r.kept and not r.n_removed_words for r in quality_rules.op4_quality_rules(spark, documents(rows)).collect())
 
 
+@pytest.mark.parametrize("own", [1, 6, 12, 40])
 @pytest.mark.parametrize("shared", [20, 40])
-def test_documents_that_share_many_lines_are_each_counted(spark, documents, shared):
+def test_documents_that_share_many_lines_are_each_counted(spark, documents, shared, own):
+    """Depleted documents: all but a line of their own is in 500 documents of the host."""
     rng = random.Random(3)
     same = [" ".join(name(100 * i + j) for j in range(12)) for i in range(shared)]
-    rows = [(i, "\n".join([*same, " ".join(name(rng.randrange(10_000)) for _ in range(2 * shared))]), "a") for i in range(500)]
+    rows = [(i, "\n".join([*same, " ".join([name(i), *(name(rng.randrange(10_000)) for _ in range(own - 1))])]), "a") for i in range(500)]
     found = quality_rules.op4_quality_rules(spark, documents(rows)).collect()
     assert all(r.n_removed_words == 12 * shared and not r.kept for r in found)
 
 
+def test_hosts_with_frequent_lines_equal_sql(spark, documents):
+    """Several shared lines, whole copies, documents of shared lines only, and hosts below the limits."""
+    rng = random.Random(8)
+    pool = [" ".join(name(100 * i + j) for j in range(12)) for i in range(12)]
+    rows = []
+    for i in range(300):
+        lines = [*rng.sample(pool, rng.randint(2, 6)), *(" ".join(name(rng.randrange(10_000)) for _ in range(8)) for _ in range(rng.randint(0, 20)))]
+        rows.append((i, "\n".join(rng.sample(lines, len(lines))), rng.choice(["a", "a", "b", None])))
+    rows += [(1000 + i, rows[rng.randrange(40)][1], rng.choice(["a", "b"])) for i in range(200)]
+    rows += [(2000 + i, "\n".join(pool[:6]), "c") for i in range(100)]
+    run_both(spark, documents(rows))
+    found = {r.doc_id: r for r in quality_rules.op4_quality_rules(spark, documents(rows)).collect()}
+    assert any(r.n_removed_words for r in found.values()) and any(r.kept for r in found.values())
+    assert all(found[2000 + i].kept for i in range(100))
+
+
 def test_different_documents_of_shared_lines_only(spark, documents):
     pool = [" ".join(name(100 * i + j) for j in range(12)) for i in range(12)]
     rng = random.Random(4)
