@@ -40,9 +40,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return str(files.makeQualified(path).toString())
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
-    """The frame as a table in a shared folder: lineage ends here and outlives lost executors."""
-    df.write.mode("overwrite").parquet(path)
+def written(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
+    """The frame as a table in a shared folder: lineage ends here and outlives lost executors.
+
+    Tables of texts may ask for `zstd`, which takes a little more time and half the room.
+    """
+    writer = df.write.mode("overwrite")
+    (writer.option("compression", compression) if compression else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -387,13 +387,13 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
 
 
 def aligned(parsed: DataFrame, folder: str) -> DataFrame:
-    """(host, skeleton, slots): the node of the host's template for each node of each shape of page.
+    """(host, shape, slots): the node of the host's template for each node of each shape of page.
 
     A task aligns about CHUNK shapes of a host, dealt by hash, to a template; the next round aligns these
     templates in the same way until each host has one.
     """
-    shapes = parsed.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("pages"))
-    parts = shapes.select("host", F.xxhash64("skeleton").alias("id"), "skeleton", "pages")
+    shapes = parsed.groupBy("host", "shape").agg(F.first("skeleton").alias("skeleton"), F.count(F.lit(1)).alias("pages"))
+    parts = shapes.withColumnRenamed("shape", "id")
     schema = "host string, id long, chunk long, slots array<int>, skeleton string, pages long"
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -418,23 +418,22 @@ def aligned(parsed: DataFrame, folder: str) -> DataFrame:
         parts = merged.where(F.col("skeleton").isNotNull()).select("host", F.col("chunk").alias("id"), "skeleton", "pages")
         most = parts.groupBy("host").count().agg(F.max("count")).first()[0] or 0
         level += 1
-    keyed = shapes.select("host", F.xxhash64("skeleton").alias("id"), "skeleton")
-    return written(keyed.join(total, ["host", "id"]).select("host", "skeleton", "slots"), f"{folder}/slots")
+    return written(total.select("host", F.col("id").alias("shape"), "slots"), f"{folder}/slots")
 
 
 def template_facts(parsed: DataFrame, slots: DataFrame) -> DataFrame:
-    """(host, skeleton, facts): by node, hashes of the texts that are template there, and whether it is links.
+    """(host, shape, facts): by node, hashes of the texts that are template there, and whether it is links.
 
     Counted are distinct pages, told apart by a hash of all their texts: copies of a page do not make
     its text template. Texts count one by one, so a node can hold several fixed ones beside others.
     """
-    each = parsed.select("host", "skeleton", "page", F.explode("blocks").alias("b")).where("b.place > 0")
+    each = parsed.select("host", "shape", "page", F.explode("blocks").alias("b")).where("b.place > 0")
     each = each.select(
-        "host", "skeleton", "page", "b.node", F.col("b.hash").alias("text"), F.length("b.text").alias("chars"), "b.links"
+        "host", "shape", "page", "b.node", F.col("b.hash").alias("text"), F.length("b.text").alias("chars"), "b.links"
     )
     sums = [F.sum("chars").alias("chars"), F.sum("links").alias("links")]
-    each = each.groupBy("host", "skeleton", "page", "node", "text").agg(*sums)
-    each = each.join(slots, ["host", "skeleton"]).withColumn("slot", F.get("slots", F.col("node")))
+    each = each.groupBy("host", "shape", "page", "node", "text").agg(*sums)
+    each = each.join(slots, ["host", "shape"]).withColumn("slot", F.get("slots", F.col("node")))
     largest = [F.max("chars").alias("chars"), F.max("links").alias("links")]
     on_page = each.groupBy("host", "slot", "page", "text").agg(*largest)
     by_slot = on_page.groupBy("host", "slot", "page").agg(*sums)
@@ -445,9 +444,9 @@ def template_facts(parsed: DataFrame, slots: DataFrame) -> DataFrame:
     fixed = fixed.groupBy("host", "slot").agg(F.collect_list("text").alias("texts"))
     linked = by_slot.select("host", "slot", (100 * F.col("links") > LINKS * F.col("chars")).alias("linked"))
     known = linked.join(fixed, ["host", "slot"], "left").where(F.col("linked") | F.col("texts").isNotNull())
-    nodes = slots.select("host", "skeleton", F.posexplode("slots").alias("node", "slot")).join(known, ["host", "slot"])
+    nodes = slots.select("host", "shape", F.posexplode("slots").alias("node", "slot")).join(known, ["host", "slot"])
     entry = F.struct("node", F.struct("texts", "linked"))
-    return nodes.groupBy("host", "skeleton").agg(F.map_from_entries(F.collect_list(entry)).alias("facts"))
+    return nodes.groupBy("host", "shape").agg(F.map_from_entries(F.collect_list(entry)).alias("facts"))
 
 
 def main_texts(pages: DataFrame, folder: str) -> DataFrame:
@@ -458,7 +457,8 @@ def main_texts(pages: DataFrame, folder: str) -> DataFrame:
     nothing else is there. Pages without url form a host of their own; null or empty html and pages
     without content have an empty text; repeated rows have equal texts. No block of content is cut.
     """
-    parsed = written(parsed_pages(pages), f"{folder}/parsed")
+    parsed = parsed_pages(pages).withColumn("shape", F.xxhash64("skeleton"))
+    parsed = written(parsed, f"{folder}/parsed", "zstd")
     facts = written(template_facts(parsed, aligned(parsed, folder)), f"{folder}/facts")
 
     def fact(b: Column, name: str) -> Column:
@@ -467,7 +467,7 @@ def main_texts(pages: DataFrame, folder: str) -> DataFrame:
     def varies(b: Column) -> Column:
         return ~F.coalesce(F.array_contains(fact(b, "texts"), b["hash"]), F.lit(False))
 
-    joined = parsed.join(facts, ["host", "skeleton"], "left")
+    joined = parsed.join(facts, ["host", "shape"], "left")
     inside = F.filter("blocks", lambda b: b["place"] == 2)
     free = F.filter("blocks", lambda b: (b["place"] == 1) & ~F.coalesce(fact(b, "linked"), F.lit(False)))
     joined = joined.withColumn("inside", inside).withColumn("free", free)
