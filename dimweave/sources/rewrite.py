@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
@@ -133,11 +133,18 @@ def _partition_text(value: Any) -> str:
     return f"'{escaped}'"
 
 
-def drop_partitions(spark: SparkSession, table: str, columns: Sequence[str], found: Iterable[Sequence[Any]]) -> None:
-    """Remove partitions, with their files where the table is managed."""
+def drop_partitions(spark: SparkSession, table: str, columns: Sequence[str], found: Sequence[Sequence[Any]]) -> None:
+    """Remove partitions with their files, which Spark leaves where a table is external."""
+    if not found:
+        return
+    inside = spark.table(table).where(is_one_of(columns, found))
+    files = [r[0] for r in inside.select(F.col("_metadata.file_path")).distinct().collect()]
     for values in found:
         spec = ", ".join(f"{sql_name(c)} = {_partition_text(v)}" for c, v in zip(columns, values))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    for file in files:
+        path = _path(spark, _decoded(spark, file))
+        _store(spark, path).delete(path, False)
     spark.catalog.refreshTable(table)
 
 

@@ -90,6 +90,16 @@ def test_null_partition_and_several_columns(spark, sql):
     assert len(before & files(spark, "tgt")) == 1
 
 
+def test_an_emptied_partition_of_an_external_table_stays_empty(spark, sql, tmp_path):
+    sql(f"CREATE TABLE tgt (sid bigint, dim string, a string, {AUDIT}, b string) USING parquet PARTITIONED BY (b) LOCATION '{tmp_path}/t'")
+    sql(f"INSERT INTO tgt VALUES (1, 'A', 'x', {SEED}, 'p')")
+    for part in ("q", "p", "q"):
+        source(sql, f"(1,'A','x','{part}',9)")
+        load_table(spark, TYPE1, LOAD, 7)
+        assert shown(spark) == [(1, "x", part)]
+        sql("DROP TABLE src")
+
+
 def history(sql):
     sql(f"CREATE TABLE tgt (sid bigint, dim string, EFFECTIVE_DATETIME timestamp_ntz, EXPIRATION_DATETIME timestamp_ntz, a string, b string, {AUDIT},"
         " CURRENT_IND string) USING parquet PARTITIONED BY (CURRENT_IND)")
