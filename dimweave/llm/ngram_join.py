@@ -22,6 +22,9 @@ BITS, FANOUT, LEAF = 2048, 8, 512
 #: Shingles of smaller nodes that come to one task.
 PARTNERS = 1 << 20
 
+#: Sets that a blob's places of 16 bits tell apart.
+PLACES = 1 << 16
+
 #: Shingles that the order of prefixes puts last, the commonest; any number gives the same links.
 COMMON = 65_536
 
@@ -233,7 +236,7 @@ def sets_and_shared(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
             count = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([k % parts for k in keys], pa.int32()),
+                    pa.array(np.arange(count) % parts, pa.int32()),  # they meet nothing there
                     column_of(batch, "doc_id"),
                     pa.array(keys, pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
@@ -241,11 +244,13 @@ def sets_and_shared(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
                 ],
                 names,
             )
-            for part, blob in _blobs({k: s for k, s in zip(keys, sets) if len(s)}, parts):
-                nothing = [pa.nulls(1, arrow), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), *nothing, pa.array([blob], pa.binary())], names
-                )
+            full = [(k, s) for k, s in zip(keys, sets) if len(s)]
+            for start in range(0, len(full), PLACES):
+                for part, blob in _blobs(dict(full[start : start + PLACES]), parts):
+                    nothing = [pa.nulls(1, arrow), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part], pa.int32()), *nothing, pa.array([blob], pa.binary())], names
+                    )
         trim()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
