@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +33,8 @@ class KeyProfile:
     """Rows of the key that has most of them; rows with a NULL in the key do not count."""
     key_bytes: int
     """Weight of the distinct keys."""
-    keys: int = 0
-    """Their number."""
+    keys: int = field(default=0, compare=False)
+    """Their number, as far as it was counted."""
 
     @property
     def broadcastable(self) -> bool:
