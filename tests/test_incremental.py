@@ -170,6 +170,21 @@ def test_no_room_for_keys(spark):
         keys.with_free_keys(feed, target, "sid", "dim", lambda df, n: spark.createDataFrame(df.collect(), df.schema), short(2))
 
 
+def test_scarce_keys_are_all_found(spark, tmp_path):
+    """As many inserts as there are free keys: the last ones are not found by one new key a round."""
+    bits, held = 8, 60
+    target = spark.range(held).selectExpr("id * 2 AS sid")
+    feed = spark.range((1 << bits) - held).selectExpr("concat('d', id) AS dim", "'I' AS action_flag", "id AS v")
+    feed = keys.with_surrogate_key(feed, ["dim"], "sid", short(bits))
+
+    def keep(df, number):
+        return files.stage(df, str(tmp_path), "feed", number)
+
+    done = keys.with_free_keys(feed, target, "sid", "dim", keep, short(bits)).collect()
+    assert sorted(r.sid for r in done) == sorted(set(range(1 << bits)) - {2 * i for i in range(held)})
+    assert sorted((r.dim, r.v) for r in done) == sorted((f"d{i}", i) for i in range((1 << bits) - held))
+
+
 def test_a_load_with_clashing_keys(spark, tmp_path):
     target = spark.sql(
         "SELECT id AS sid, concat('d', id) AS dim, timestamp_ntz'2023-01-01' AS EFFECTIVE_DATETIME, CAST(NULL AS timestamp_ntz) AS EXPIRATION_DATETIME,"
