@@ -51,8 +51,12 @@ def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what was kept."""
-    return bpe.encoded_documents(docs)
+    """Token counts and digests of what was kept.
+
+    Workers stay for later stages with what they hold, so there are no more of them than tasks at once, and each
+    remembers a quarter of the usual pre-tokens.
+    """
+    return bpe.encoded_documents(docs, bpe.MEMO // 4, work_folder(spark, "encoded"))
 
 
 def lean(stage: Stage) -> Stage:

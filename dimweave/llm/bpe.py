@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from dimweave.llm.common import column_of, hide, mix, per_worker, slices, table, trim
+from dimweave.llm.common import column_of, hide, mix, per_worker, slices, table, trim, written
 
 #: Pre-tokens a worker keeps ids of, tier above both others; emptied when full.
 MEMO = 500_000
@@ -125,13 +125,14 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Encoder:
     """One worker's encoder: recent pre-tokens, then the perfect hash, then merges."""
 
-    def __init__(self, tokens: list[bytes], perfect: PerfectHash, ids: np.ndarray, pattern: str):
+    def __init__(self, tokens: list[bytes], perfect: PerfectHash, ids: np.ndarray, pattern: str, limit: int | None = None):
         import regex
 
         self.find = regex.compile(pattern).findall
         self.tokens, self.perfect, self.ids = tokens, perfect, ids
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.memo: dict[str, bytes] = {}
+        self.limit = limit
 
     def learn(self, words: list[str]) -> None:
         raw = [w.encode("utf-8", "replace") for w in words]
@@ -148,7 +149,7 @@ class Encoder:
         except KeyError:
             distinct = dict.fromkeys(words)
             new = [w for w in distinct if w not in memo]
-            if len(memo) + len(new) > MEMO:
+            if len(memo) + len(new) > (self.limit or MEMO):
                 memo.clear()
                 new = list(distinct)
             self.learn(new)
@@ -160,13 +161,14 @@ def _with(df: DataFrame, column: str, kind) -> StructType:
 
 
 def encode(
-    df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids"
+    df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids", memo: int | None = None
 ) -> DataFrame:
     """Add `ids`, the token ids (array<int>) of the whole `text`; a column of that name is replaced.
 
     Null and empty texts have no ids. Repeated rows are encoded alike. The vocabulary (a bounded file)
     is read on the driver once and broadcast. A text is never cut; a task holds one slice of a batch,
-    and at least one text, at a time.
+    and at least one text, at a time. A worker remembers the ids of up to `memo` (MEMO) pre-tokens: fewer take less
+    memory and more time, with the same ids.
     """
     tokens = read_ranks(vocabulary)
     perfect = PerfectHash.build(tokens)
@@ -178,14 +180,15 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def build() -> Encoder:
             words, seeds, slots = shared.value
-            return Encoder(words, PerfectHash(len(words), seeds), slots, pattern)
+            return Encoder(words, PerfectHash(len(words), seeds), slots, pattern, memo)
 
-        encoder = per_worker("bpe", build, f"{vocabulary} {pattern}")
+        encoder = per_worker("bpe", build, f"{vocabulary} {pattern} {memo}")
         for batch in slices(batches, text):
             packed = [encoder.encode(t) if t else b"" for t in column_of(batch, text).to_pylist()]
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
             yield pa.RecordBatch.from_arrays([*(column_of(batch, c) for c in rest), lists], [*rest, ids])
+        batch = packed = ends = lists = None
         trim()
 
     return df.mapInArrow(run, _with(df, ids, ArrayType(IntegerType())))
@@ -238,6 +241,8 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "bytes")
                 yield pa.RecordBatch.from_arrays(
                     [*(column_of(part, c) for c in rest), pa.array(joined, pa.binary())], [*rest, out]
                 )
+        arena = batch = part = joined = None
+        trim()
 
     return df.mapInArrow(run, _with(df, out, BinaryType()))
 
@@ -258,9 +263,16 @@ def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(table(spark, sf_dir, "documents"))
 
 
-def encoded_documents(docs: DataFrame) -> DataFrame:
+def encoded_documents(docs: DataFrame, memo: int | None = None, folder: str | None = None) -> DataFrame:
+    """Ids of every document and what they decode to, as digests.
+
+    With a folder the ids are written there before they are decoded: a task then has one Python worker at a
+    time. Without, it has one that encodes and one that decodes.
+    """
     import public_tokenizers
 
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = encode(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN).drop("text")
+    ids = encode(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN, memo=memo).drop("text")
+    if folder:
+        ids = written(ids, f"{folder}/ids", "zstd")
     return digests(decode(ids, vocabulary))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from dimweave.llm.common import column_of, hide, per_worker, slices, table, trim, work_folder, written
+from dimweave.llm.common import column_of, forget, hide, per_worker, slices, table, trim, work_folder, written
 
 #: Labelled documents the model is fitted on at most (those of smallest hash), and hashed features.
 SAMPLE, FEATURES = 16_000, 1 << 20
@@ -23,6 +23,9 @@ SAMPLE, FEATURES = 16_000, 1 << 20
 #: Passes of expectation-maximisation and of the scorer's descent, its step and its penalty on weights.
 EM_ROUNDS, ROUNDS, STEP, PENALTY = 50, 150, 0.3, 1e-4
 
+#: Words whose features a task remembers while it makes training rows: as many as a small sample's texts share.
+KNOWN = 50_000
+
 #: First letters of a word that are features besides it: inflected words share them.
 STEMS = (4, 5, 7)
 
@@ -202,6 +205,31 @@ def fit(
 FEATURE_ROWS = "quality long, toxic long, words binary, style binary, votes array<int>"
 
 
+def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """FEATURE_ROWS of labelled texts. What earlier stages keep in the worker goes first, the memo at the end."""
+    forget()
+    memo = Memo(lambda w: np.array([feature(x) for x in word_names(w)], np.uint32).tobytes(), KNOWN)
+    for batch in slices(batches, "text"):
+        words, style, votes = [], [], []
+        for text in column_of(batch, "text").to_pylist():
+            found = Document(text or "")
+            words.append(b"".join([memo[w] for w in found.words]))
+            style.append(np.array([feature(x) for x in found.style()], np.uint32).tobytes())
+            votes.append(found.votes)
+        yield pa.RecordBatch.from_arrays(
+            [
+                column_of(batch, "quality"),
+                column_of(batch, "toxic"),
+                pa.array(words, pa.binary()),
+                pa.array(style, pa.binary()),
+                pa.array(votes, pa.list_(pa.int32())),
+            ],
+            ["quality", "toxic", "words", "style", "votes"],
+        )
+    batch = words = style = votes = memo = None
+    trim()
+
+
 def training_rows(df: DataFrame, labels: DataFrame, folder: str, sample: int) -> DataFrame:
     """Features, votes and labels of at most `sample` labelled documents, those of smallest hash.
 
@@ -219,27 +247,7 @@ def training_rows(df: DataFrame, labels: DataFrame, folder: str, sample: int) ->
     labelled = [F.first(c).alias(c) for c in ("quality", "toxic")]
     rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), *labelled)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(lambda w: np.array([feature(x) for x in word_names(w)], np.uint32).tobytes())
-        for batch in slices(batches, "text"):
-            words, style, votes = [], [], []
-            for text in column_of(batch, "text").to_pylist():
-                found = Document(text or "")
-                words.append(b"".join([memo[w] for w in found.words]))
-                style.append(np.array([feature(x) for x in found.style()], np.uint32).tobytes())
-                votes.append(found.votes)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    column_of(batch, "quality"),
-                    column_of(batch, "toxic"),
-                    pa.array(words, pa.binary()),
-                    pa.array(style, pa.binary()),
-                    pa.array(votes, pa.list_(pa.int32())),
-                ],
-                ["quality", "toxic", "words", "style", "votes"],
-            )
-
-    return written(rows.mapInArrow(run, FEATURE_ROWS), f"{folder}/training")
+    return written(rows.mapInArrow(feature_rows, FEATURE_ROWS), f"{folder}/training")
 
 
 Model = list[tuple[float, dict[int, float]]]
@@ -253,6 +261,7 @@ def fit_model(df: DataFrame, labels: DataFrame, folder: str, sample: int = SAMPL
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         words, style, votes, quality, toxic = [], [], [], [], []
         for batch in batches:
             words += [np.frombuffer(x, np.uint32) for x in column_of(batch, "words").to_pylist()]

@@ -50,6 +50,14 @@ def test_memo_may_overflow(encoder, monkeypatch):
     assert np.frombuffer(encoder.encode(text), np.int32).tolist() == LIBRARY.encode_ordinary(text)
 
 
+def test_a_worker_remembers_no_more_than_asked(encoder):
+    short = bpe.Encoder(TOKENS, PERFECT, encoder.ids, public_tokenizers.PATTERN, limit=10)
+    for k in range(30):
+        text = f"word{k} other{k} more{k}"
+        assert np.frombuffer(short.encode(text), np.int32).tolist() == LIBRARY.encode_ordinary(text)
+        assert len(short.memo) <= 10
+
+
 def test_every_document(spark, documents):
     rows = [(1, None), (2, ""), (3, "plain words"), (3, "plain words"), (None, "Überraschung 😀\n\n  end"), (4, "x " * 50_000), (5, "<|endoftext|>")]
     found = [(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.op3_byte_level_bpe(spark, documents(rows)).collect()]

@@ -87,3 +87,11 @@ def test_empty_tables(spark, tables):
         labels=([], "doc_id long, quality int, toxic int"),
     )
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_a_task_of_the_last_stage_has_one_python_worker(spark, documents):
+    """Encoding and decoding in one stage would keep a second worker per core in memory for the rest of the run."""
+    sf_dir = documents([(1, "some words of a text", "a"), (2, None, "b")])
+    encoded = corpus_pipeline.byte_level_bpe(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    assert encoded._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r.n_tokens for r in encoded.collect()) == [0, 5]

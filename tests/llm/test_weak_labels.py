@@ -1,9 +1,10 @@
 """The classifier: held-out accuracy, accuracies found by expectation-maximisation, odd rows."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from dimweave.llm import weak_labels
+from dimweave.llm import common, weak_labels
 from dimweave.llm.common import table, work_folder
 
 SF_DIR = "/root/testdata/sf0.1"
@@ -64,3 +65,11 @@ def test_without_labels_nothing_is_known_against_a_text(spark, tables):
     assert {r.doc_id: r.kept for r in weak_labels.op8_quality_classifier(spark, folder).collect()} == {1: True, 2: False}
     folder = tables(documents=([], schema), labels=([], LABELS))
     assert weak_labels.op8_quality_classifier(spark, folder).collect() == []
+
+
+def test_training_rows_drop_what_earlier_stages_keep():
+    assert common.per_worker("older", lambda: "large") == "large"
+    batch = pa.RecordBatch.from_pydict({"text": ["some words", None], "quality": [1, None], "toxic": [0, 1]})
+    (rows,) = weak_labels.feature_rows(iter([batch]))
+    assert rows.num_rows == 2 and rows.column(0).to_pylist() == [1, None]
+    assert common.per_worker("older", lambda: "made again") == "made again"
