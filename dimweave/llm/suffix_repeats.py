@@ -15,6 +15,7 @@ unequal are needed, so buckets are ranges of hashes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import column_of, slices, table, trim, work_folder, written
+from dimweave.llm.common import column_of, freed, slices, table, trim, work_folder, written
 
 #: Perfect difference sets: every distance modulo the period is that of exactly one pair.
 COVERS = {
@@ -42,11 +43,11 @@ SHORTEST = 16
 #: Bytes of text whose suffixes, or samples, one bucket sorts.
 BUCKET_BYTES = 32 << 20
 
-#: Most bytes of marks that are broadcast to the slices; beyond it slices and marks are shuffled.
+#: Most bytes of marks that are broadcast to the slices; beyond it marks are dealt to the slices' buckets.
 BROADCAST_BYTES = 32 << 20
 
-#: Positions hashed at a time, few enough to stay in the cache.
-AT_ONCE = 1 << 15
+#: Positions hashed at a time, few enough to stay in the cache, and the bytes they may lie apart.
+AT_ONCE, APART = 1 << 15, 1 << 19
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
@@ -56,12 +57,17 @@ def period_of(length: int) -> int:
     return max(p for p in COVERS if 2 * p <= length)
 
 
-def hashes(words: np.ndarray, at: np.ndarray, length: int, lanes: int = 1) -> np.ndarray:
-    """`lanes` 64-bit hashes of the `length` (8 at least) bytes from each position; words holds the 8 bytes at each."""
+def hashes(text: np.ndarray, at: np.ndarray, length: int, lanes: int = 1) -> np.ndarray:
+    """`lanes` 64-bit hashes of the `length` (8 at least) bytes of a text from each position; positions ascend."""
     steps = [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]
     out = np.empty((lanes, len(at)), np.uint64)
-    for start in range(0, len(at), AT_ONCE):
-        here = at[start : start + AT_ONCE]
+    start = 0
+    while start < len(at):
+        low = int(at[start])
+        end = start + int(np.searchsorted(at[start : start + AT_ONCE], low + APART))
+        here = at[start:end] - low
+        words = np.ndarray(shape=(int(here[-1]) + length - 7,), dtype="<u8", buffer=text, offset=low, strides=(1,))
+        words = np.ascontiguousarray(words)  # the 8 bytes at each position
         states = [np.full(len(here), length + lane, np.uint64) for lane in range(lanes)]
         for step in steps:
             read = words[here + step]
@@ -71,7 +77,8 @@ def hashes(words: np.ndarray, at: np.ndarray, length: int, lanes: int = 1) -> np
                 h ^= h >> np.uint64(29)
         for lane, h in enumerate(states):
             h *= np.uint64(0xBF58476D1CE4E5B9)
-            out[lane, start : start + AT_ONCE] = h ^ (h >> np.uint64(32))
+            out[lane, start:end] = h ^ (h >> np.uint64(32))
+        start = end
     return out
 
 
@@ -161,9 +168,7 @@ class Slice:
     def __init__(
         self, data: bytes, sizes: np.ndarray, length: int, buckets: int, state: dict[str, bytes], marks: list[tuple[int, bytes]]
     ):
-        self.bytes = np.frombuffer(data + bytes(8), np.uint8)
-        at_each = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=self.bytes, strides=(1,))
-        self.words = np.ascontiguousarray(at_each)
+        self.bytes = np.frombuffer(data, np.uint8) if len(data) else np.empty(0, np.uint8)
         self.n, self.length, self.buckets, self.state, self.marks = len(data), length, buckets, state, marks
         self.period = period_of(length)
         self.ends = np.cumsum(sizes)
@@ -174,7 +179,7 @@ class Slice:
         edge = np.zeros(self.n + 1, np.int32)
         np.add.at(edge, first, 1)
         np.add.at(edge, last, -1)
-        return np.cumsum(edge[:-1]) > 0
+        return np.cumsum(edge[:-1], out=edge[:-1]) > 0
 
     @cached_property
     def _samples(self) -> tuple[np.ndarray, np.ndarray]:
@@ -191,7 +196,7 @@ class Slice:
     @cached_property
     def short_ties(self) -> Ties:
         """Round 1: samples by their first length - period + 1 bytes."""
-        keys = hashes(self.words, self._samples[0], self.length - self.period + 1)[0]
+        keys = hashes(self.bytes, self._samples[0], self.length - self.period + 1)[0]
         return Ties(keys, keys, self.buckets, 5)
 
     @cached_property
@@ -215,11 +220,11 @@ class Slice:
         short, deep = self.length - self.period + 1, self.length + self.period - 1
         whole = at + deep <= ends
         keys = np.empty((2, len(at)), np.uint64)
-        keys[:, whole] = hashes(self.words, at[whole], deep, 2)
+        keys[:, whole] = hashes(self.bytes, at[whole], deep, 2)
         first, last = at[~whole], ends[~whole] - short
         key = np.tile((ends[~whole] - first).astype(np.uint64), (2, 1))
         for piece in (first, np.minimum(first + short, last), last):
-            key = (key ^ hashes(self.words, piece, short, 2)) * _ODD[:, None]
+            key = (key ^ hashes(self.bytes, piece, short, 2)) * _ODD[:, None]
             key ^= key >> np.uint64(31)
         keys[:, ~whole] = key
         return Ties(keys[0], keys[1], self.buckets, 8)
@@ -252,9 +257,10 @@ class Slice:
         """Round 3: tied samples again; those that follow an open suffix say so to the others of their rank."""
         at, ends = self._tied
         begins = self.starts[np.searchsorted(self.ends, at, "right")]
-        opened = np.concatenate([[0], np.cumsum(self._open)])
+        opened = np.zeros(self.n + 1, np.int32)
+        np.cumsum(self._open, out=opened[1:])
         said = opened[at + 1] > opened[np.maximum(at - self.period + 1, begins)]
-        keys = hashes(self.words, at, self.length - self.period + 1)[0]
+        keys = hashes(self.bytes, at, self.length - self.period + 1)[0]
         return Ties(keys, keys, self.buckets, 5, said)
 
     @cached_property
@@ -267,7 +273,7 @@ class Slice:
     @cached_property
     def suffix_ties(self) -> Ties:
         """Round 4: these suffixes by their first `length` bytes. Keys are full; a second hash picks the bucket."""
-        keys, spread = hashes(self.words, np.flatnonzero(self.sorted), self.length, 2)
+        keys, spread = hashes(self.bytes, np.flatnonzero(self.sorted), self.length, 2)
         return Ties(keys, spread, self.buckets, 8)
 
     def covered(self) -> np.ndarray:
@@ -327,28 +333,43 @@ def _read(batches, length: int, buckets: int) -> Iterator[tuple[int, pa.RecordBa
             state = {n: column_of(batch, n)[i].as_py() for n in known}
             marks = column_of(batch, "marks")[i].as_py() if "marks" in batch.schema.names else None
             sizes = column_of(batch, "sizes")[i].values.to_numpy()
-            here = Slice(
-                column_of(batch, "data")[i].as_py(), sizes, length, buckets, state,
-                [(m["bucket"], m["bits"]) for m in marks or []],
-            )
-            yield column_of(batch, "slice")[i].as_py(), batch, i, here
+            data = column_of(batch, "data")[i].as_buffer()
+            pairs = [(m["bucket"], m["bits"]) for m in marks or []]
+            yield column_of(batch, "slice")[i].as_py(), batch, i, Slice(data, sizes, length, buckets, state, pairs)
     trim()
 
 
+def _dealt(df: DataFrame, folder: str) -> DataFrame:
+    """The slices as a table in buckets, as many as the session has shuffle partitions: what joins them comes to them."""
+    spark = df.sparkSession
+    parts = min(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), 100_000)  # Spark takes no more buckets
+    name = f"dimweave_slices_{uuid.uuid4().hex}"
+    df.write.bucketBy(parts, "slice").option("compression", "zstd").option("path", folder).saveAsTable(name)
+    dealt = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: files with a path of their own stay
+    return dealt
+
+
 def _joined(docs: DataFrame, facts: DataFrame, weight: int) -> DataFrame:
-    """Slices with a row of facts each, which are broadcast if they weigh little."""
-    return docs.join(F.broadcast(facts) if weight <= BROADCAST_BYTES else facts, "slice", "left")
+    """Slices with a row of facts each, which are broadcast if they weigh little; slices are never shuffled."""
+    return docs.join(F.broadcast(facts) if weight <= BROADCAST_BYTES else facts.hint("shuffle_hash"), "slice", "left")
 
 
-def _round(docs: DataFrame, step: int, length: int, buckets: int, folder: str) -> DataFrame:
-    """One more round: keys go to their buckets, bits come back as marks, beside the states so far."""
+def _round(
+    docs: DataFrame, known: DataFrame, states: dict[str, DataFrame], step: int, length: int, buckets: int, folder: str
+) -> DataFrame:
+    """One more round: keys go to their buckets, bits come back as marks, beside the states so far.
+
+    `known` are the slices of `docs` with what the rounds before have left. A state is a bucket of its own.
+    """
     keys_of, width, name, state_of = ROUNDS[step]
 
     def send(batches):
         for place, _, _, here in _read(batches, length, buckets):
             found = list(keys_of(here).packed())
             if name:
-                found.append((-1, state_of(here), None))
+                found.append((-1 - place, state_of(here), None))
+            del here  # before the next one is made
             for start in range(0, len(found), 256):
                 at, keys, said = zip(*found[start : start + 256])
                 yield pa.RecordBatch.from_arrays(
@@ -362,19 +383,23 @@ def _round(docs: DataFrame, step: int, length: int, buckets: int, folder: str) -
                 )
 
     def sort(group: pa.Table) -> pa.Table:
+        if group.num_rows and group["bucket"][0].as_py() < 0:
+            return group.select(["bucket", "slice", "keys"]).rename_columns(["bucket", "slice", "bits"])
         bits = sorted_bucket(group.column("keys").to_pylist(), group.column("said").to_pylist(), width)
         return group.select(["bucket", "slice"]).append_column("bits", pa.array(bits, pa.binary()))
 
-    sent = docs.mapInArrow(send, "bucket long, slice long, keys binary, said binary")
-    docs = docs.drop("marks")
+    sent = known.mapInArrow(send, "bucket long, slice long, keys binary, said binary").groupBy("bucket")
+    bits = written(sent.applyInArrow(sort, "bucket long, slice long, bits binary"), f"{folder}/bits{step}")
+    freed(docs.sparkSession)
     if name:
-        sent = written(sent, f"{folder}/sent{step}")
-        state = sent.where("bucket < 0").select("slice", F.col("keys").alias(name))
-        docs = _joined(docs, state, state.agg(F.sum(F.length(name) + 32)).first()[0] or 0)
-    groups = sent.where("bucket >= 0").groupBy("bucket")
-    bits = written(groups.applyInArrow(sort, "bucket long, slice long, bits binary"), f"{folder}/bits{step}")
-    marks = bits.groupBy("slice").agg(F.collect_list(F.struct("bucket", "bits")).alias("marks"))
-    return _joined(docs, marks, bits.agg(F.sum(F.length("bits") + 32)).first()[0] or 0)
+        states[name] = bits.where("bucket < 0")
+    kinds = {n: F.when(F.col("kind") == n, F.col("bits")) for n in states}
+    rows = bits.where("bucket >= 0").withColumn("kind", F.lit("marks"))
+    for n, state in states.items():
+        rows = rows.union(state.withColumn("kind", F.lit(n)))
+    marks = F.collect_list(F.when(F.col("kind") == "marks", F.struct("bucket", "bits"))).alias("marks")
+    facts = rows.groupBy("slice").agg(marks, *(F.max(bits_of).alias(n) for n, bits_of in kinds.items()))
+    return _joined(docs, facts, rows.agg(F.sum(F.length("bits") + 32)).first()[0] or 0)
 
 
 def without_repeats(
@@ -396,12 +421,12 @@ def without_repeats(
         raise ValueError(f"repeats have {SHORTEST} bytes at least")
     kind = df.schema[key].dataType.simpleString()
     plain = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    _slices(plain, kind).write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/slices")
-    docs = df.sparkSession.read.parquet(f"{folder}/slices")
+    docs = _dealt(_slices(plain, kind), f"{folder}/slices")
     total = docs.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = total // bucket_bytes + 1
+    known, states = docs, {}
     for step in range(len(ROUNDS)):
-        docs = _round(docs, step, length, buckets, folder)
+        known = _round(docs, known, states, step, length, buckets, folder)
 
     def finish(batches):
         for _, batch, i, here in _read(batches, length, buckets):
@@ -416,8 +441,9 @@ def without_repeats(
                 ["key", "n_bytes", "spans", "kept"],
             )
             yield whole
+            del here, spans, kept, whole
 
-    found = docs.mapInArrow(finish, f"key {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    found = known.mapInArrow(finish, f"key {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
     return found.withColumnRenamed("key", key)
 
 

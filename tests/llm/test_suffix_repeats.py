@@ -72,6 +72,31 @@ def test_marks_too_large_to_broadcast(spark, folder, monkeypatch):
     assert found(suffix_repeats.without_repeats(docs, folder, length=20)) == brute(rows, 20)
 
 
+def test_slices_are_never_shuffled(spark, folder, monkeypatch):
+    monkeypatch.setattr(suffix_repeats, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr("dimweave.llm.common.SLICE_BYTES", 500)
+    rows = passages(random.Random(6), 50, 20)
+    out = suffix_repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), folder, length=20)
+    nodes = str(out._jdf.queryExecution().explainString(out._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+    dealt = [n for n in nodes.split("\n\n") if "Exchange" in n.split("\n")[0]]
+    assert dealt and not any("data#" in n for n in dealt)
+    assert "ShuffledHashJoin" in nodes and "SortMergeJoin" not in nodes
+    assert found(out) == brute(rows, 20)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("dimweave_slices")]
+
+
+@pytest.mark.parametrize("lanes", [1, 2])
+def test_hashes_do_not_depend_on_what_is_hashed_beside(monkeypatch, lanes):
+    rng = np.random.default_rng(3)
+    text = rng.integers(0, 256, 5000).astype(np.uint8)
+    at = np.flatnonzero(rng.random(5000 - 29) < 0.2)
+    alone = np.concatenate([suffix_repeats.hashes(text[p : p + 29].copy(), np.array([0]), 29, lanes) for p in at], axis=1)
+    assert (suffix_repeats.hashes(text, at, 29, lanes) == alone).all()
+    monkeypatch.setattr(suffix_repeats, "APART", 40)
+    assert (suffix_repeats.hashes(text, at, 29, lanes) == alone).all()
+    assert suffix_repeats.hashes(text, at[:0], 29, lanes).shape == (lanes, 0)
+
+
 def test_query_on_odd_documents(spark, documents):
     rng = random.Random(2)
     passage = "".join(rng.choice("pqrstuvw ") for _ in range(200))
