@@ -7,11 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import WordHashes, column_of, mix, per_worker, slices, small, table, trim, windows, work_folder, written
+from dimweave.llm.common import BROADCAST_ROWS, WordHashes, column_of, freed, mix, per_worker, slices, small, table, trim, windows, work_folder, written
 
 #: Words in a shingle; two sets link when 100 * intersection >= SIMILARITY * union. The bounds below are for 75.
 WIDTH, SIMILARITY = 5, 75
@@ -22,6 +24,9 @@ BITS, FANOUT, LEAF = 2048, 8, 512
 #: Shingles of smaller nodes that come to one task.
 PARTNERS = 1 << 20
 
+#: Shingles of smaller nodes that are sent to their pairs at a time, if all nodes together do not have more.
+AT_ONCE = 1 << 26
+
 #: Sets that a blob's places of 16 bits tell apart.
 PLACES = 1 << 16
 
@@ -161,6 +166,151 @@ def links_between(
 # --- which sets can have a partner at all ---------------------------------------------------------
 
 
+def _part_of(tokens: np.ndarray, parts: int) -> np.ndarray:
+    return (tokens % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
+
+
+def _lists(sets: list[np.ndarray], parts: int) -> Iterator[tuple[int, bytes]]:
+    """(part, packed shingles) of a slice's sets: the steps from one shingle's set to the next one's, in 8 or 16
+    bits as the first byte says, and the shingles' upper 32 bits. Nothing in it grows with the number of parts."""
+    tokens = np.concatenate(sets)
+    place = np.repeat(np.arange(len(sets), dtype="<u2"), [len(s) for s in sets])
+    part = _part_of(tokens, parts)
+    order = np.argsort(part, kind="stable")
+    high, place = (tokens[order] >> np.uint64(32)).astype("<u4"), place[order]
+    ends = np.cumsum(np.bincount(part, minlength=parts))
+    start = 0
+    for p, end in enumerate(ends.tolist()):
+        if end > start:
+            steps = np.diff(place[start:end], prepend=np.uint16(0))
+            width = 1 if steps.max() < 256 else 2
+            yield p, bytes([width]) + steps.astype(f"<u{width}").tobytes() + high[start:end].tobytes()
+            start = end
+
+
+def _met(lists: list[bytes]) -> list[np.ndarray]:
+    """For each of a part's lists the places of the shingles that come again in the part, one for each."""
+    places, highs = [], []
+    for packed in lists:
+        width = packed[0]
+        n = (len(packed) - 1) // (4 + width)
+        places.append(np.cumsum(np.frombuffer(packed, f"<u{width}", n, 1), dtype=np.uint32).astype("<u2"))
+        highs.append(np.frombuffer(packed, "<u4", n, 1 + n * width))
+    both = np.concatenate(highs).astype(np.uint64)
+    both <<= np.uint64(32)
+    both |= np.arange(len(both), dtype=np.uint64)
+    both.sort()
+    same = both[1:] >> np.uint64(32) == both[:-1] >> np.uint64(32)
+    again = np.zeros(len(both), bool)
+    again[(both[1:][same] & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+    again[(both[:-1][same] & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+    cuts = np.cumsum([len(x) for x in places])[:-1]
+    return [x[found] for x, found in zip(places, np.split(again, cuts))]
+
+
+def _kind(docs: DataFrame) -> tuple[str, pa.DataType]:
+    """The type of doc_id, for Spark and for Arrow."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return kind, {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+
+
+def sets_and_able(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, n) of every document, and (key) of the sets of which three in four shingles are met again.
+
+    Shingles are dealt by hash to as many parts as the session has shuffle partitions, in 5 or 6 bytes each
+    however many parts there are. They carry the place of their set in a slice of text, not its key: a set that
+    another slice has too is met there, so that all sets with copies are among the able.
+    """
+    spark = docs.sparkSession
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    kind, arrow = _kind(docs)
+    names = ["part", "doc_id", "key", "n", "slice", "packed"]
+
+    def rows(part: list[int], slice_: int, packed: list[bytes], key: int | None) -> pa.RecordBatch:
+        n = len(part)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(part, pa.int32()), pa.nulls(n, arrow), pa.array([key] * n, pa.int64()), pa.nulls(n, pa.int64()),
+                pa.array([slice_] * n, pa.int64()), pa.array(packed, pa.binary()),
+            ],
+            names,
+        )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = per_worker("hashes", WordHashes)
+        made = TaskContext.get().partitionId() << 32
+        for batch in slices(batches, "text"):
+            sets = [shingles(t or "", hashes) for t in column_of(batch, "text").to_pylist()]
+            keys = [set_key(s) for s in sets]
+            count = len(sets)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(count) % parts, pa.int32()),  # they meet nothing there
+                    column_of(batch, "doc_id"),
+                    pa.array(keys, pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.nulls(count, pa.int64()),
+                    pa.nulls(count, pa.binary()),
+                ],
+                names,
+            )
+            full = list({k: s for k, s in zip(keys, sets) if len(s)}.items())
+            for start in range(0, len(full), PLACES):
+                some = full[start : start + PLACES]
+                head = np.array([(k, len(s)) for k, s in some], np.int64).tobytes()
+                yield rows([made % parts], made, [head], 0)
+                part, packed = zip(*_lists([s for _, s in some], parts))
+                for at in range(0, len(part), 1024):
+                    yield rows(part[at : at + 1024], made, packed[at : at + 1024], None)
+                made += 1
+        trim()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists: dict[int, list[tuple[int, bytes]]] = {}
+        for batch in batches:
+            known = column_of(batch, "key").is_valid()
+            others = batch.filter(known)
+            if others.num_rows:
+                yield others.select(names[1:])
+            batch = batch.filter(pc.invert(known))
+            packed = column_of(batch, "packed").to_pylist()
+            for part, place, raw in zip(column_of(batch, "part").to_pylist(), column_of(batch, "slice").to_pylist(), packed):
+                lists.setdefault(part, []).append((place, raw))
+        for part in list(lists):
+            place, raw = zip(*lists.pop(part))
+            found = [(s, x.tobytes()) for s, x in zip(place, _met(raw)) if len(x)]
+            if found:
+                n = len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.nulls(n, arrow), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+                        pa.array([s for s, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary()),
+                    ],
+                    names[1:],
+                )
+        trim()
+
+    def able(group: pa.Table) -> pa.Table:
+        heads = group["key"].is_valid().to_pylist()
+        packed = group["packed"].to_pylist()
+        keys, sizes = np.frombuffer(packed[heads.index(True)], np.int64).reshape(-1, 2).T
+        met = np.zeros(len(keys), np.int64)
+        for head, raw in zip(heads, packed):
+            if not head:
+                met += np.bincount(np.frombuffer(raw, "<u2"), minlength=len(keys))
+        return pa.table({"key": pa.array(keys[4 * met >= 3 * sizes])})
+
+    packed = docs.select("doc_id", "text").mapInArrow(
+        pack, f"part int, doc_id {kind}, key long, n long, slice long, packed binary"
+    )
+    found = packed.repartition(parts, "part").mapInArrow(count, f"doc_id {kind}, key long, n long, slice long, packed binary")
+    found = written(found, f"{folder}/counted", "zstd")
+    freed(spark)
+    of_slices = found.where("slice IS NOT NULL").select("slice", "key", "packed").groupBy("slice")
+    keys = written(of_slices.applyInArrow(able, "key long").distinct(), f"{folder}/counted_keys")
+    return found.where("n IS NOT NULL").select("doc_id", "key", "n"), keys
+
+
 def _blobs(sets: dict[int, np.ndarray], parts: int) -> Iterator[tuple[int, bytes]]:
     """(part, packed shingles) of some sets by key: a part has the keys present, then for each of its
     shingles the key's place (16 bits) and the shingle's upper 32 bits."""
@@ -169,7 +319,7 @@ def _blobs(sets: dict[int, np.ndarray], parts: int) -> Iterator[tuple[int, bytes
     keys = np.array(list(sets), np.int64)
     tokens = np.concatenate(list(sets.values()))
     place = np.repeat(np.arange(len(keys)), [len(s) for s in sets.values()])
-    part = (tokens % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
+    part = _part_of(tokens, parts)
     order = np.argsort(part, kind="stable")
     high, place = (tokens[order] >> np.uint64(32)).astype("<u4"), place[order]
     ends = np.cumsum(np.bincount(part, minlength=parts))
@@ -214,84 +364,23 @@ def _shared(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return own[some], counts[some]
 
 
-def sets_and_shared(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, key, n) of every document, and (key, shared): how many shingles of a set others have too.
-
-    Shingles are dealt by hash to as many parts as the session has shuffle partitions, packed into
-    about 7 bytes each; a shingle that very many documents have is packed once per set and slice of
-    text. Only 32 bits are compared, beside those that name the part, so `shared` may be too large by
-    a chance equality, never too small.
-    """
-    spark = docs.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    names = ["part", "doc_id", "key", "n", "blob"]
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = per_worker("hashes", WordHashes)
-        for batch in slices(batches, "text"):
-            sets = [shingles(t or "", hashes) for t in column_of(batch, "text").to_pylist()]
-            keys = [set_key(s) for s in sets]
-            count = len(sets)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(count) % parts, pa.int32()),  # they meet nothing there
-                    column_of(batch, "doc_id"),
-                    pa.array(keys, pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.nulls(count, pa.binary()),
-                ],
-                names,
-            )
-            full = [(k, s) for k, s in zip(keys, sets) if len(s)]
-            for start in range(0, len(full), PLACES):
-                for part, blob in _blobs(dict(full[start : start + PLACES]), parts):
-                    nothing = [pa.nulls(1, arrow), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([part], pa.int32()), *nothing, pa.array([blob], pa.binary())], names
-                    )
-        trim()
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs: dict[int, list[bytes]] = {}
-        out = ["doc_id", "key", "n", "shared"]
-        for batch in batches:
-            raw = column_of(batch, "blob")
-            docs_only = batch.filter(raw.is_null())
-            if docs_only.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [*(column_of(docs_only, c) for c in out[:3]), pa.nulls(docs_only.num_rows, pa.int64())], out
-                )
-            for part, blob in zip(column_of(batch, "part").to_pylist(), raw.to_pylist()):
-                if blob is not None:
-                    blobs.setdefault(part, []).append(blob)
-        for part in list(blobs):
-            keys, shared = _shared(blobs.pop(part))
-            if len(keys):
-                n = len(keys)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, arrow), pa.array(keys), pa.nulls(n, pa.int64()), pa.array(shared, pa.int64())], out
-                )
-        trim()
-
-    packed = docs.select("doc_id", "text").mapInArrow(pack, f"part int, doc_id {kind}, key long, n long, blob binary")
-    found = packed.repartition(parts, "part").mapInArrow(count, f"doc_id {kind}, key long, n long, shared long")
-    found = written(found, f"{folder}/found")
-    return found.where("n IS NOT NULL").drop("shared"), found.where("shared IS NOT NULL").select("key", "shared")
+def docs_of(docs: DataFrame, able: DataFrame) -> DataFrame:
+    """(doc_id, text) of documents with these ids (first)."""
+    same = F.col("d.doc_id").eqNullSafe(F.col("a.first"))
+    return docs.select("doc_id", "text").alias("d").join(small(able).alias("a"), same, "left_semi")
 
 
-def sets_with_partners(docs: DataFrame, keys: DataFrame, shared: DataFrame, folder: str) -> DataFrame:
+def sets_with_partners(docs: DataFrame, keys: DataFrame, met: DataFrame, folder: str) -> DataFrame:
     """(key, n, tokens) of the sets of which three in four shingles are found in another set.
 
-    Others can't link: the intersection alone has to be that large. One document stands for a key, and
-    its shingles are made anew from its text.
+    Others can't link: the intersection alone has to be that large, and so is the other set's. `met` are the keys
+    that a count of all documents has left. One document stands for each and they are counted again without their
+    copies; shingles are made anew from the texts.
     """
-    total = shared.groupBy("key").agg(F.sum("shared").alias("shared"))
-    able = keys.join(total, "key").where(4 * F.col("shared") >= 3 * F.col("n")).select("first")
-    able = small(written(able, f"{folder}/able")).alias("a")
-    same = F.col("d.doc_id").eqNullSafe(F.col("a.first"))
-    texts = docs.select("doc_id", "text").alias("d").join(able, same, "left_semi")
+    firsts = written(keys.join(met, "key").select("first"), f"{folder}/firsts")
+    some = written(docs_of(docs, firsts).distinct(), f"{folder}/texts", "zstd")  # ids may repeat, with their texts
+    able = keys.join(sets_and_able(some, f"{folder}/again")[1], "key").select("first")
+    texts = docs_of(some, written(able, f"{folder}/able"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("hashes", WordHashes)
@@ -474,7 +563,9 @@ def compare(pairs: DataFrame, held: DataFrame, folder: str) -> DataFrame:
     """(a, b): roots connected by links between the sets of paired nodes; held is (node, roots, sets, w).
 
     The larger node of each pair is sent once to a task, which all its smaller partners come to; where
-    these are more than PARTNERS shingles, it is sent to several tasks that share them.
+    these are more than PARTNERS shingles, it is sent to several tasks that share them. A node with many
+    partners is sent as many times: larger nodes take turns, so that no more is under way at a time than all
+    nodes have, or AT_ONCE shingles.
     """
     weights = small(written(held.select("node", "w"), f"{folder}/weights"))
     sized = pairs.join(weights.select(F.col("node").alias("left"), F.col("w").alias("x")), "left")
@@ -486,14 +577,9 @@ def compare(pairs: DataFrame, held: DataFrame, folder: str) -> DataFrame:
         F.least("x", "y").alias("w"),
     )
     sized = written(sized, f"{folder}/sized")
-    tasks = sized.groupBy("big").agg(F.ceil(F.sum("w") / PARTNERS).cast("int").alias("tasks"))
-    tasks = small(written(tasks, f"{folder}/tasks"))
-    part = F.pmod(F.xxhash64("node"), F.col("tasks")).cast("int").alias("part")
-    partners = sized.select("big", "node").join(tasks, "big").select("big", "node", part)
-    partners = partners.join(held.select("node", "roots", "sets"), "node")
-    every = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("part")
-    own = held.select(F.col("node").alias("big"), F.col("roots").alias("own_roots"), F.col("sets").alias("own"))
-    bigs = tasks.select("big", every).join(own, "big")
+    facts = sized.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).first()
+    most = max(AT_ONCE, weights.agg(F.sum("w")).first()[0] or 0)
+    turns = max(1, -(-(facts["w"] or 0) // most), -(-2 * facts["n"] // BROADCAST_ROWS))
 
     def run(big: pa.Table, others: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
@@ -506,9 +592,23 @@ def compare(pairs: DataFrame, held: DataFrame, folder: str) -> DataFrame:
                 found += links_between(tree, roots, SignatureTree(partner), others["roots"][i].as_py())
         return pa.table({name: pa.array([x[k] for x in found], pa.int64()) for k, name in enumerate("ab")})
 
-    together = bigs.groupBy("big", "part").cogroup(partners.groupBy("big", "part"))
-    links = together.applyInArrow(run, "a long, b long").distinct()
-    return written(links, f"{folder}/links")
+    found = None
+    for turn in range(turns):
+        mine = sized.where(F.pmod(F.xxhash64("big", F.lit(turns)), F.lit(turns)) == turn)
+        tasks = mine.groupBy("big").agg(F.ceil(F.sum("w") / PARTNERS).cast("int").alias("tasks"))
+        tasks = small(written(tasks, f"{folder}/tasks{turn}"))
+        part = F.pmod(F.xxhash64("node"), F.col("tasks")).cast("int").alias("part")
+        partners = mine.select("big", "node").join(tasks, "big").select("big", "node", part)
+        partners = small(written(partners, f"{folder}/partners{turn}"))
+        partners = partners.join(held.select("node", "roots", "sets"), "node")
+        every = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("part")
+        own = held.select(F.col("node").alias("big"), F.col("roots").alias("own_roots"), F.col("sets").alias("own"))
+        bigs = tasks.select("big", every).join(own, "big")
+        together = bigs.groupBy("big", "part").cogroup(partners.groupBy("big", "part"))
+        links = written(together.applyInArrow(run, "a long, b long").distinct(), f"{folder}/links{turn}")
+        found = links if found is None else found.union(links)
+        freed(held.sparkSession)
+    return found
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
@@ -544,10 +644,10 @@ def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
     a component is named by the smallest doc_id it has, null if it has none. Hashes are 64 bits: two
     different sets or shingles count as one with a chance of 2 ** -64.
     """
-    rows, shared = sets_and_shared(docs, folder)
+    rows, met = sets_and_able(docs, folder)
     keys = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
     keys = written(keys, f"{folder}/keys")
-    sets = sets_with_partners(docs, keys, shared, folder)
+    sets = sets_with_partners(docs, keys, met, folder)
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(sets))  # COMMON numbers at most
     nodes = leaves(sets, common, folder)
     rooted = nodes.join(small(trees(sets, nodes, folder)), "key", "left")

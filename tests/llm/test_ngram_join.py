@@ -1,6 +1,7 @@
 """The join's links and components against all pairs."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -128,3 +129,42 @@ def test_shared_counts_are_exact_on_blobs():
             total[int(key)] = total.get(int(key), 0) + int(n)
     want = {k: sum(any(x in t for j, t in sets.items() if j != k) for x in s) for k, s in sets.items()}
     assert total == want
+
+
+def test_lists_do_not_grow_with_the_parts():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 63, 60, np.uint64)) for _ in range(400)]
+    total = sum(map(len, sets))
+    for parts in (1, 20, 600):
+        made = list(ngram_join._lists(sets, parts))
+        assert sum(len(x) - 1 for _, x in made) <= 6 * total
+
+
+@pytest.mark.parametrize("parts", [1, 7, 500])
+def test_met_places_are_those_of_repeated_shingles(parts):
+    rng = np.random.default_rng(parts)
+    draw = lambda: np.unique(rng.integers(0, 400, 30).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    made = [[draw() for _ in range(n)] for n in (3, 1, 700)]
+    by_part = {}
+    for k, sets in enumerate(made):
+        for part, packed in ngram_join._lists(sets, parts):
+            by_part.setdefault(part, []).append((k, packed))
+    got = [np.zeros(len(sets), int) for sets in made]
+    for lists in by_part.values():
+        for (k, _), places in zip(lists, ngram_join._met([x for _, x in lists])):
+            np.add.at(got[k], places, 1)
+    seen = Counter(int(x) for sets in made for s in sets for x in s)
+    assert [g.tolist() for g in got] == [[sum(seen[int(x)] > 1 for x in s) for s in sets] for sets in made]
+
+
+@pytest.mark.parametrize("rows", [1, 1_000_000])
+def test_nodes_take_turns(spark, documents, monkeypatch, rows):
+    monkeypatch.setattr(ngram_join, "LEAF", 4)
+    monkeypatch.setattr(ngram_join, "AT_ONCE", 1)
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", max(rows, 8))
+    turns = []
+    monkeypatch.setattr(ngram_join, "freed", turns.append)
+    rng = random.Random(8)
+    near = near_copies(rng, 6, 40, 50, 3)
+    assert answered(spark, documents(near)) == brute(near)
+    assert rows > 1 or len(turns) > 4  # two of the counts of shingles, the others of turns
